@@ -24,8 +24,11 @@ _HERE, _THERE, _PREFIX = "_key_hash", "_other_key_hash", "_other_"
 
 def _sides(rows: DataFrame, other: DataFrame, on: Mapping[str, str]) -> tuple[DataFrame, DataFrame, Column]:
     names = {theirs: _PREFIX + theirs for theirs in on.values()}
-    left = rows.withColumn(_HERE, F.xxhash64(*on))
-    right = other.withColumnsRenamed(names).withColumn(_THERE, F.xxhash64(*names.values()))
+    left = rows.select("*", F.xxhash64(*on).alias(_HERE))
+    right = other.select(
+        *(F.col(name).alias(names.get(name, name)) for name in other.columns),
+        F.xxhash64(*names).alias(_THERE),
+    )
     equal = [F.col(ours) == F.col(names[theirs]) for ours, theirs in on.items()]
     return left, right, reduce(and_, equal, F.col(_HERE) == F.col(_THERE))
 

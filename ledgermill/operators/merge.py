@@ -52,23 +52,24 @@ def merge_cdc(
 
 
 def merge_upsert(
-    target: DataFrame, source: DataFrame, keys: Sequence[str], ignore_action: bool = False
+    target: DataFrame,
+    source: DataFrame,
+    keys: Sequence[str],
+    ignore_action: bool = False,
+    netted: bool = False,
 ) -> DataFrame:
     """Target with every source row overwriting its key or added to it.
 
     The newest row per key counts. Deleted images are left out of a change feed unless
     ``ignore_action`` treats them like any other row.
     """
-    rows = source
-    for name, default in (("_action", "INSERT"), ("_is_update", False), ("_seq", 0)):
-        if name not in rows.columns:
-            rows = rows.withColumn(name, F.lit(default))
+    defaults = {"_action": F.lit("INSERT"), "_is_update": F.lit(False), "_seq": F.lit(0)}
+    rows = source.withColumns({name: v for name, v in defaults.items() if name not in source.columns})
     if not ignore_action:
         rows = rows.filter(F.col("_action") == "INSERT")
+    net = rows if netted else net_changes(rows, keys)
     always = F.lit(True)
-    return _apply(
-        target, net_changes(rows, keys), keys, overwrite=always, delete=F.lit(False), insert=always, stamps={}
-    )
+    return _apply(target, net, keys, overwrite=always, delete=F.lit(False), insert=always, stamps={})
 
 
 def _apply(

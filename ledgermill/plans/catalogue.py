@@ -13,7 +13,7 @@ from ledgermill.operators import changes as ch
 from ledgermill.operators import dashboard as dash
 from ledgermill.operators import edits, merge, netting, star, views
 from ledgermill.plans import load
-from ledgermill.session import scratch_path, stored
+from ledgermill.session import all_stored, scratch_path, stored
 from ledgermill.sources import adapter, billing_csv, deliveries
 from ledgermill.sources.layers import Layers
 from ledgermill.streaming.refresh import parquet_stream, start_refresh
@@ -59,10 +59,7 @@ def _fact(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _dash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Dashboard rows over stored dimensions, whose sizes the planner knows."""
-    dims = {
-        name: stored(frame, name)
-        for name, frame in star.load_dimensions(_silver(spark, sf_dir)).items()
-    }
+    dims = all_stored(star.load_dimensions(_silver(spark, sf_dir)))
     return views.sales_dashboard(_fact(spark, sf_dir), dims["dim_date"], dims["dim_billing_type"], dims["dim_product"])
 
 
@@ -458,24 +455,30 @@ def change_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ch.change_counts(adapter.change_feed(spark, sf_dir))
 
 
+def _net(spark: SparkSession, sf_dir: str, keys: tuple[str, ...]) -> DataFrame:
+    """The net changes as a stored table, so that the planner knows whether they can be broadcast."""
+    return stored(ch.net_changes(adapter.change_feed(spark, sf_dir), keys), "net")
+
+
 @query
 def merge_cdc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return merge.merge_cdc(adapter.merge_target(spark, sf_dir), adapter.change_feed(spark, sf_dir)).select(*FLAT)
+    target = adapter.merge_target(spark, sf_dir)
+    return merge.merge_cdc(target, _net(spark, sf_dir, LINE), netted=True).select(*FLAT)
 
 
 @query
 def merge_cdc_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The merge with re-delivered keys overwriting what is there."""
-    return merge.merge_cdc(
-        adapter.merge_target(spark, sf_dir), adapter.change_feed(spark, sf_dir), on_existing_insert="upsert"
-    ).select(*FLAT)
+    target = adapter.merge_target(spark, sf_dir)
+    net = _net(spark, sf_dir, LINE)
+    return merge.merge_cdc(target, net, on_existing_insert="upsert", netted=True).select(*FLAT)
 
 
 @query
 def merge_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return merge.merge_upsert(
-        adapter.merge_target(spark, sf_dir), adapter.change_feed(spark, sf_dir), UPSERT_KEY
-    ).select(*FLAT)
+    images = adapter.change_feed(spark, sf_dir).filter(F.col("_action") == "INSERT")
+    net = stored(ch.net_changes(images, UPSERT_KEY), "net")
+    return merge.merge_upsert(adapter.merge_target(spark, sf_dir), net, UPSERT_KEY, netted=True).select(*FLAT)
 
 
 # --- runs over stored layers ----------------------------------------------------------------------

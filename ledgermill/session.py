@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 _local_scratch: tempfile.TemporaryDirectory | None = None
@@ -26,6 +28,8 @@ def build_session(app_name: str = "ledgermill", master: str | None = None, **con
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+        # Recording the call site of every column costs several round trips to the JVM each.
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         **conf,
     }
     for key, value in settings.items():
@@ -64,3 +68,12 @@ def stored(frame: DataFrame, label: str) -> DataFrame:
     path = scratch_path(spark, label)
     frame.write.parquet(path)
     return spark.read.schema(frame.schema).parquet(path)
+
+
+def all_stored(frames: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """Several frames stored at the same time, as jobs that share the cluster."""
+    spark = next(iter(frames.values())).sparkSession
+    store = inheritable_thread_target(spark)(stored)
+    with ThreadPoolExecutor(len(frames)) as pool:
+        pending = {name: pool.submit(store, frame, name) for name, frame in frames.items()}
+        return {name: job.result() for name, job in pending.items()}

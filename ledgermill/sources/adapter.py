@@ -9,7 +9,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgermill import fixed_values as fx
 from ledgermill.functions.rules import clean
 
 # First word of a description by part number modulo 8.
@@ -23,57 +22,50 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _percent(column: str) -> Column:
-    return F.round(F.col(column) * 100).cast("bigint")
-
+def billing_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One sales row per order line and one return row per returned order line.
 
-def _order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    The item number is made of the line's own part, quantity, discount, tax and line number.
+    """
+    words = ", ".join(f"'{word}'" for word in WORDS)
     parts = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand")
-    item = (
-        (F.col("l_partkey") * 100 + F.col("l_quantity").cast("bigint")) * 100 + _percent("l_discount")
-    ) * 100 + _percent("l_tax")
-    word = F.element_at(F.array(*map(F.lit, WORDS)), (F.col("l_partkey") % 8 + 1).cast("int"))
-    return (
+    lines = (
         table(spark, sf_dir, "lineitem")
         .join(parts, F.col("l_partkey") == F.col("p_partkey"))
-        .withColumns(
-            {
-                "item": item * 10 + F.col("l_linenumber"),
-                "item_description": F.concat_ws(" ", word, F.col("p_name")),
-                "material_group": F.col("p_brand"),
-                "assignment": F.col("l_orderkey"),
-            }
+        .selectExpr(
+            "*",
+            "cast(l_quantity as bigint) as quantity",
+            "cast(l_shipdate as date) as day",
+            f"cast(l_partkey + {MATERIAL_OFFSET} as string) as part_number",
+            f"concat_ws(' ', element_at(array({words}), cast(l_partkey % 8 + 1 as int)), p_name) as item_description",
+            """(((l_partkey * 100 + cast(l_quantity as bigint)) * 100
+                 + cast(round(l_discount * 100) as bigint)) * 100
+                 + cast(round(l_tax * 100) as bigint)) * 10 + l_linenumber as item""",
         )
     )
-
-
-def billing_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One sales row per order line and one return row per returned order line."""
-    lines = _order_lines(spark, sf_dir)
-    order = F.col("l_orderkey")
-    day = F.col("l_shipdate").cast("date")
-    material = (F.col("l_partkey") + MATERIAL_OFFSET).cast("string")
-    quantity = F.col("l_quantity").cast("bigint")
-    export = (F.col("l_returnflag") == "A") & (F.col("l_linestatus") == "O")
-    sales = lines.withColumns(
-        {
-            "billing_document": order,
-            "billing_type": F.when(export, "ZXP").otherwise("ZF2"),
-            "billing_date": F.when(order % 89 != 0, day),
-            "billing_qty_in_sku": F.when(order % 83 == 0, -quantity).otherwise(quantity),
-            "material": F.when(order % 79 != 0, material),
-        }
+    sales = lines.selectExpr(
+        "l_orderkey as billing_document",
+        "item",
+        "case when l_returnflag = 'A' and l_linestatus = 'O' then 'ZXP' else 'ZF2' end as billing_type",
+        "case when l_orderkey % 89 != 0 then day end as billing_date",
+        "case when l_orderkey % 83 = 0 then -quantity else quantity end as billing_qty_in_sku",
+        "case when l_orderkey % 79 != 0 then part_number end as material",
+        "item_description",
+        "p_brand as material_group",
+        "l_orderkey as assignment",
     )
-    returns = lines.filter(F.col("l_returnflag") == "R").withColumns(
-        {
-            "billing_document": order + RETURN_OFFSET,
-            "billing_type": F.when(F.col("l_linestatus") == "F", "ZRE").otherwise("S1"),
-            "billing_date": day,
-            "billing_qty_in_sku": F.floor(F.col("l_quantity") * F.col("l_discount") * 10).cast("bigint"),
-            "material": material,
-        }
+    returns = lines.filter("l_returnflag = 'R'").selectExpr(
+        f"l_orderkey + {RETURN_OFFSET} as billing_document",
+        "item",
+        "case when l_linestatus = 'F' then 'ZRE' else 'S1' end as billing_type",
+        "day as billing_date",
+        "cast(floor(l_quantity * l_discount * 10) as bigint) as billing_qty_in_sku",
+        "part_number as material",
+        "item_description",
+        "p_brand as material_group",
+        "l_orderkey as assignment",
     )
-    return sales.select(*fx.BILLING_COLUMNS).unionByName(returns.select(*fx.BILLING_COLUMNS))
+    return sales.unionByName(returns)
 
 
 def silver_lines(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -56,6 +56,6 @@ def start_refresh(
 
 
 def last_version(query: StreamingQuery) -> int | None:
-    """Version written by the latest micro-batch of a query, None if it had nothing to do."""
-    progress = query.lastProgress
-    return None if progress is None else fx.FIRST_BATCH_ID + progress["batchId"]
+    """Version written by the latest micro-batch with rows, None if the query found nothing to do."""
+    written = [fx.FIRST_BATCH_ID + p["batchId"] for p in query.recentProgress if p["numInputRows"] > 0]
+    return max(written, default=None)

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgermill.operators.joins import attach
+from ledgermill.session import stored
 
 FEED_COLUMNS = ("_action", "_is_update", "_seq", "_copies")
 
@@ -31,15 +32,17 @@ def snapshot_diff(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFr
 
     Equal rows of both snapshots cancel out in one aggregation over whole rows, which combines
     before the shuffle; no key is ever gathered in one place. ``_copies`` counts identical rows.
+    What differs is stored, since it is read twice and far smaller than the snapshots.
     """
     columns = old.columns
-    net = (
+    differing = (
         old.withColumn("_side", F.lit(-1))
         .unionByName(new.select(*columns).withColumn("_side", F.lit(1)))
         .groupBy(*columns)
         .agg(F.sum("_side").alias("_net"))
         .filter(F.col("_net") != 0)
     )
+    net = stored(differing, "diff")
     added = F.col("_net") > 0
     changed = net.select(
         *columns,

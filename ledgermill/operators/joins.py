@@ -3,11 +3,13 @@
 Adaptive execution splits a skewed partition of a join between several tasks, but only if each
 side of the join reads straight from a shuffle. An aggregate grouped by the join keys does not:
 its output already has the right partitioning, so no shuffle stands between it and the join, and
-a hot key would stay with one task. Both functions below join on the keys and on a hash of them;
-the added key makes Spark shuffle the aggregated side once more (after aggregation, so it is small)
-and the big side can be split.
+a hot key would stay with one task. The joins below compare a hash of the keys and the keys packed
+into a struct. Neither is a grouping key, so Spark shuffles the aggregated side once more (after
+aggregation, so it is small) and the big side can be split. The hash also keeps sorting cheap.
 
-Equality never matches NULL keys here.
+Equality never matches NULL keys here: rows of the other side with one are left out beforehand.
+Being packed, the keys get no inferred NOT NULL filters either, which would be pushed into one
+reading of a shuffle and not into the other and so make Spark compute it twice.
 """
 
 from __future__ import annotations
@@ -25,12 +27,13 @@ _HERE, _THERE, _PREFIX = "_key_hash", "_other_key_hash", "_other_"
 def _sides(rows: DataFrame, other: DataFrame, on: Mapping[str, str]) -> tuple[DataFrame, DataFrame, Column]:
     names = {theirs: _PREFIX + theirs for theirs in on.values()}
     left = rows.select("*", F.xxhash64(*on).alias(_HERE))
-    right = other.select(
+    right = other.filter(reduce(and_, (F.col(name).isNotNull() for name in names))).select(
         *(F.col(name).alias(names.get(name, name)) for name in other.columns),
         F.xxhash64(*names).alias(_THERE),
     )
-    equal = [F.col(ours) == F.col(names[theirs]) for ours, theirs in on.items()]
-    return left, right, reduce(and_, equal, F.col(_HERE) == F.col(_THERE))
+    keys = F.struct(*(F.col(ours).alias(ours) for ours in on))
+    other_keys = F.struct(*(F.col(names[theirs]).alias(ours) for ours, theirs in on.items()))
+    return left, right, (F.col(_HERE) == F.col(_THERE)) & (keys == other_keys)
 
 
 def _tidy(joined: DataFrame, on: Mapping[str, str]) -> DataFrame:

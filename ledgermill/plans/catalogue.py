@@ -87,7 +87,8 @@ def null_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def typed_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return billing_csv.split_defects(_as_text(adapter.billing_lines(spark, sf_dir)))[0]
+    text = stored(_as_text(adapter.billing_lines(spark, sf_dir)), "text")
+    return billing_csv.split_defects(text)[0]
 
 
 @query
@@ -103,7 +104,8 @@ def csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def quarantine_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     spoilt = F.when(F.col("assignment").cast("bigint") % 50 == 0, "bad").otherwise(F.col("billing_qty_in_sku"))
     text = _as_text(adapter.billing_lines(spark, sf_dir)).withColumn("billing_qty_in_sku", spoilt)
-    return billing_csv.split_defects(text, "quarantine")[1].select(*LINE, "reason")
+    bad = billing_csv.split_defects(stored(text, "text"), "quarantine")[1]
+    return bad.select(*(F.col(name).cast("bigint") for name in LINE), "reason")
 
 
 @query

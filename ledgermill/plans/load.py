@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -136,31 +138,35 @@ def refresh(
     def bi_views() -> None:
         register_views(layers, version)
 
-    steps = [
-        ("bronze", bronze),
-        ("silver", silver),
-        ("gold", gold),
-        *((name, dimension(name)) for name in DIMENSIONS),
-        ("fact_sales", fact),
-        ("views", bi_views),
+    # Steps of one group need only earlier groups and run as jobs side by side.
+    groups = [
+        {"bronze": bronze},
+        {"silver": silver},
+        {"gold": gold, **{name: dimension(name) for name in DIMENSIONS}},
+        {"fact_sales": fact},
+        {"views": bi_views},
     ]
-    report: list[tuple] = []
-    failed = False
-    for name, step in steps:
-        if failed:
-            report.append((name, None, "skipped", "an earlier step failed"))
-            continue
+
+    def attempt(name: str, step: Callable[[], DataFrame | None]) -> tuple:
         try:
             table = step()
-            if table is not None:
-                made[name] = table
-            n_rows = None if table is None else table.count()
-            report.append((name, n_rows, "done", ""))
-            if name == "bronze" and n_rows == 0 and skip_empty:
-                return [("bronze", 0, "skipped", "no new rows")]
+            if table is None:
+                return (name, None, "done", "")
+            made[name] = table
+            return (name, table.count(), "done", "")
         except Exception as error:  # the report is the place where a failed step shows
-            failed = True
-            report.append((name, None, "failed", str(error).splitlines()[0][:500]))
+            return (name, None, "failed", str(error).splitlines()[0][:500])
+
+    attempt_in_thread = inheritable_thread_target(layers.spark)(attempt)
+    report: list[tuple] = []
+    for group in groups:
+        if any(row[2] != "done" for row in report):
+            report += [(name, None, "skipped", "an earlier step failed") for name in group]
+            continue
+        with ThreadPoolExecutor(len(group)) as pool:
+            report += list(pool.map(attempt_in_thread, group.keys(), group.values()))
+        if skip_empty and report[0][:3] == ("bronze", 0, "done"):
+            return [("bronze", 0, "skipped", "no new rows")]
     return report
 
 

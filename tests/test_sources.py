@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgermill.sources import deliveries
-from ledgermill.sources.billing_csv import export_csv, read_billing_csv, split_defects, typed
+from ledgermill.sources.billing_csv import export_csv, read_billing_csv, split_defects
 
 HEADER = (
     "BILLING_DOCUMENT,ITEM,BILLING_TYPE,BILLING_DATE,BILLING_QTY_IN_SKU,"
@@ -55,7 +55,9 @@ def test_null_tokens_rounding_and_bad_dates(spark, inbox):
     assert rows[1].billing_date is None and rows[1].billing_qty_in_sku == 11
     assert (rows[1].material, rows[1].item_description, rows[1].material_group) == (None, None, None)
     assert rows[2].billing_qty_in_sku == -11
-    assert [row.reason for row in bad.collect()] == ["item,billing_qty_in_sku"]
+    assert [(row.reason, row.item, row.billing_qty_in_sku) for row in bad.collect()] == [
+        ("item,billing_qty_in_sku", "x", "many")
+    ]
 
 
 def test_null_tokens_can_be_turned_off(spark, inbox):
@@ -65,10 +67,11 @@ def test_null_tokens_can_be_turned_off(spark, inbox):
 
 def test_abort_also_stops_a_count(spark, inbox):
     good, _ = read_billing_csv(spark, inbox("d.csv", DIRTY))
+    assert good.schema["item"].dataType.simpleString() == "bigint"
     with pytest.raises(Exception, match="not a number"):
         good.count()
     with pytest.raises(ValueError):
-        split_defects(typed(good.limit(0)), "explode")
+        split_defects(good, "explode")
 
 
 def test_only_new_files_are_loaded(spark, inbox):

@@ -22,9 +22,12 @@ FACT_COLUMNS = [
 ]
 
 
-def insert_new(dim: DataFrame, source: DataFrame, key: str) -> DataFrame:
+def insert_new(dim: DataFrame, source: DataFrame, key: str, as_of: Column | None = None) -> DataFrame:
     """Dimension plus the source rows whose key it lacks; NULL keys are left out."""
     fresh = attach(source.filter(F.col(key).isNotNull()), dim.select(key).distinct(), {key: key}, "left_anti")
+    if "created_at" in dim.columns and "created_at" not in fresh.columns:
+        stamp = F.current_timestamp() if as_of is None else as_of
+        fresh = fresh.withColumn("created_at", stamp.cast(dim.schema["created_at"].dataType))
     return dim.unionByName(fresh, allowMissingColumns=True)
 
 
@@ -108,10 +111,12 @@ def billing_type_rows(silver: DataFrame) -> DataFrame:
     )
 
 
-def dim_billing_type(silver: DataFrame, dim: DataFrame | None = None) -> DataFrame:
+def dim_billing_type(
+    silver: DataFrame, dim: DataFrame | None = None, as_of: Column | None = None
+) -> DataFrame:
     """Billing types seen so far, with their names."""
     rows = billing_type_rows(silver)
-    return rows if dim is None else insert_new(dim, rows, "billing_type")
+    return rows if dim is None else insert_new(dim, rows, "billing_type", as_of)
 
 
 def date_rows(silver: DataFrame) -> DataFrame:
@@ -144,7 +149,7 @@ def load_dimensions(
     old = dims or {}
     return {
         "dim_product": dim_product(silver, old.get("dim_product"), as_of),
-        "dim_billing_type": dim_billing_type(silver, old.get("dim_billing_type")),
+        "dim_billing_type": dim_billing_type(silver, old.get("dim_billing_type"), as_of),
         "dim_date": dim_date(silver, old.get("dim_date")),
     }
 

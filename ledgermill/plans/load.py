@@ -18,10 +18,27 @@ from ledgermill.operators.merge import DOCUMENT_LINE, merge_cdc
 from ledgermill.operators.netting import net_out
 from ledgermill.operators.star import fact_sales, load_dimensions
 from ledgermill.sources.billing_csv import read_billing_csv
-from ledgermill.sources.layers import Layers
+from ledgermill.sources.layers import Layers, column_names
 
 REPORT_SCHEMA = "step string, n_rows bigint, status string, message string"
-DIMENSIONS = ("dim_product", "dim_billing_type", "dim_date")
+_STAMPS = "created_at timestamp_ntz, updated_at timestamp_ntz"
+_LINE = (
+    "billing_document bigint, item bigint, billing_type string, billing_date date, billing_qty_in_sku bigint, "
+    "material string, item_description string, material_group string, assignment bigint"
+)
+_NET = "return_qty bigint, final_qty bigint, t_final_amount bigint"
+DIMENSIONS = {
+    "dim_product": f"material string, item_description string, material_group string, product_category string, {_STAMPS}",
+    "dim_billing_type": "billing_type string, billing_type_desc string, created_at timestamp_ntz",
+    "dim_date": "date_key date, year bigint, quarter bigint, month bigint, month_name string, week bigint, "
+    "day bigint, day_name string, year_month string",
+}
+BUCKETED = {
+    "silver": f"{_LINE}, product_category string, year_month string, {_STAMPS}, data_quality_flag string",
+    "gold": f"{_LINE}, {_NET}, created_at timestamp_ntz",
+    "fact_sales": "billing_document bigint, item bigint, billing_date date, billing_qty_in_sku bigint, "
+    f"material string, billing_type string, assignment bigint, {_NET}",
+}
 # Layer tables, those that depend on others first.
 RESET_ORDER = ("fact_sales", "gold", "silver", *DIMENSIONS, "bronze")
 
@@ -42,14 +59,10 @@ def as_feed(delivered: DataFrame) -> DataFrame:
     )
 
 
-def bronze_to_silver(silver: DataFrame | None, net: DataFrame, as_of: Column | None = None) -> DataFrame:
+def bronze_to_silver(silver: DataFrame, net: DataFrame, as_of: Column | None = None) -> DataFrame:
     """Silver after the net changes, with category, month and quality flag of every new image."""
-    moment = (F.current_timestamp() if as_of is None else as_of).cast("timestamp_ntz")
-    feed = clean(net)
-    if silver is None:
-        stamps = {"created_at": moment, "updated_at": moment}
-        return feed.filter(F.col("_action") == "INSERT").drop("_action", "_is_update").withColumns(stamps)
-    return merge_cdc(silver, feed, DOCUMENT_LINE, as_of=moment, netted=True)
+    moment = F.current_timestamp() if as_of is None else as_of
+    return merge_cdc(silver, clean(net), DOCUMENT_LINE, as_of=moment, netted=True)
 
 
 def touched_documents(images: DataFrame) -> DataFrame:
@@ -61,33 +74,34 @@ def touched_documents(images: DataFrame) -> DataFrame:
     return own.unionByName(assigned).filter(F.col("billing_document").isNotNull()).distinct()
 
 
-def refresh_gold(gold: DataFrame, silver: DataFrame, images: DataFrame) -> DataFrame:
+def _images(before: DataFrame, net: DataFrame) -> DataFrame:
+    """Old and new images of the changed lines, as far as the netting looks at them."""
+    columns = ["billing_document", "billing_type", "assignment"]
+    keys = net.select(*DOCUMENT_LINE).distinct()
+    old = attach(before.select("item", *columns), keys, {key: key for key in DOCUMENT_LINE}, "left_semi")
+    return net.select(*columns).unionByName(old.select(*columns))
+
+
+def refresh_gold(
+    gold: DataFrame, silver: DataFrame, images: DataFrame, returns: DataFrame | None = None
+) -> DataFrame:
     """Gold with only the touched documents netted again.
 
     ``images`` holds the old and the new image of every changed line. Equal to netting all of
-    ``silver``, but the join runs over the touched documents alone.
+    ``silver``, but the join runs over the touched documents alone. If ``gold`` and ``silver``
+    are cut down to parts that hold the touched documents, pass all ``returns`` beside them.
     """
     touched = touched_documents(images)
     document = {"billing_document": "billing_document"}
     kept = attach(gold, touched, document, "left_anti")
     invoices = attach(silver.filter(one_of("billing_type", fx.INVOICE_TYPES)), touched, document, "left_semi")
-    returns = attach(
-        silver.filter(one_of("billing_type", fx.RETURN_TYPES)),
+    assigned = attach(
+        (silver if returns is None else returns).filter(one_of("billing_type", fx.RETURN_TYPES)),
         touched,
         {"assignment": "billing_document"},
         "left_semi",
     )
-    return kept.unionByName(net_out(invoices.unionByName(returns)))
-
-
-def _silver_images(old_silver: DataFrame | None, changes: DataFrame) -> DataFrame:
-    columns = ["billing_document", "billing_type", "assignment"]
-    new = changes.select(*columns)
-    if old_silver is None:
-        return new
-    keys = changes.select(*DOCUMENT_LINE).distinct()
-    old = attach(old_silver.select("item", *columns), keys, {key: key for key in DOCUMENT_LINE}, "left_semi")
-    return new.unionByName(old.select(*columns))
+    return kept.unionByName(net_out(invoices.unionByName(assigned)))
 
 
 def refresh(
@@ -100,14 +114,24 @@ def refresh(
 ) -> list[tuple]:
     """Write version ``version`` of every layer from ``previous`` and the delivered rows.
 
-    Stops at the first failing step. Returns the report rows; without new rows nothing is written.
+    Of silver, gold and fact only the buckets with changed documents are read and written. The
+    report counts the rows written. It stops at the first failing step; without new rows nothing
+    is written.
     """
-    moment = F.current_timestamp() if as_of is None else as_of
-    if previous is not None and not layers.exists("silver", previous):
+    moment = (F.current_timestamp() if as_of is None else as_of).cast("timestamp_ntz")
+    if previous is not None and not layers.has_buckets("silver", previous):
         raise RunFailed(f"version {previous} of the silver layer does not exist")
-    old = (lambda table: None) if previous is None else (lambda table: layers.read(table, previous))
     made: dict[str, DataFrame] = {}
 
+    def current(table: str, at: int | None, only: DataFrame | None = None) -> DataFrame:
+        if at is None:
+            return layers.spark.createDataFrame([], BUCKETED[table])
+        return layers.read_buckets(table, at, BUCKETED[table], only)
+
+    def rewrite(table: str, rows: DataFrame, touched: DataFrame) -> DataFrame:
+        layers.write_buckets(rows.select(*column_names(BUCKETED[table])), table, version, touched, previous)
+        return layers.written_rows(table, version, BUCKETED[table])
+
     def bronze() -> DataFrame:
         # Only the rows of this load; the layer is the union of its versions.
         return layers.write(as_feed(delivered), "bronze", version)
@@ -116,24 +140,36 @@ def refresh(
         # Stored, so that the planner knows how small the changes are when it joins them.
         feed = made["bronze"].select(*fx.BILLING_COLUMNS, "_action", "_is_update", "_seq")
         made["net"] = layers.write(net_changes(feed, DOCUMENT_LINE), "changes", version)
-        return layers.write(bronze_to_silver(old("silver"), made["net"], moment), "silver", version)
+        touched = layers.buckets_of(made["net"])
+        before = current("silver", previous, touched)
+        made["images"] = layers.write(_images(before, made["net"]), "images", version)
+        return rewrite("silver", bronze_to_silver(before, made["net"], moment), touched)
 
     def gold() -> DataFrame:
-        if previous is None:
-            rows = net_out(made["silver"])
-        else:
-            rows = refresh_gold(old("gold").drop("created_at"), made["silver"], _silver_images(old("silver"), made["net"]))
-        return layers.write(rows.withColumn("created_at", moment.cast("timestamp_ntz")), "gold", version)
+        touched = layers.buckets_of(touched_documents(made["images"]))
+        rows = refresh_gold(
+            current("gold", previous, touched).drop("created_at"),
+            current("silver", version, touched),
+            made["images"],
+            current("silver", version),
+        )
+        made["gold buckets"] = touched
+        return rewrite("gold", rows.withColumn("created_at", moment), touched)
 
     def dimension(name: str) -> Callable[[], DataFrame]:
         def load() -> DataFrame:
-            dims = {} if previous is None else {name: old(name)}
-            return layers.write(load_dimensions(made["silver"], dims, moment)[name], name, version)
+            old = (
+                layers.spark.createDataFrame([], DIMENSIONS[name])
+                if previous is None
+                else layers.read(name, previous)
+            )
+            rows = load_dimensions(current("silver", version), {name: old}, moment)[name]
+            return layers.write(rows, name, version)
 
         return load
 
     def fact() -> DataFrame:
-        return layers.write(fact_sales(made["gold"]), "fact_sales", version)
+        return rewrite("fact_sales", fact_sales(made["gold"]), made["gold buckets"])
 
     def bi_views() -> None:
         register_views(layers, version)
@@ -191,17 +227,23 @@ def run(
     return spark.createDataFrame(report, REPORT_SCHEMA)
 
 
+def layer(layers: Layers, name: str, version: int) -> DataFrame:
+    """A layer table as of a version."""
+    if name == "bronze":
+        return layers.read_all(name)
+    if name in BUCKETED:
+        return layers.read_buckets(name, version, BUCKETED[name])
+    return layers.read(name, version)
+
+
 def register_views(layers: Layers, version: int) -> dict[str, DataFrame]:
     """The four reporting views over a stored version, also as temporary views."""
-    fact = layers.read("fact_sales", version)
-    dims = {name: layers.read(name, version) for name in DIMENSIONS}
+    fact, products, types, days = (layer(layers, name, version) for name in ("fact_sales", *DIMENSIONS))
     made = {
-        "vw_sales_by_billing_type": views.sales_by_billing_type(fact, dims["dim_billing_type"]),
-        "vw_sales_by_product": views.sales_by_product(fact, dims["dim_product"]),
-        "vw_sales_by_date": views.sales_by_date(fact, dims["dim_date"]),
-        "vw_sales_dashboard": views.sales_dashboard(
-            fact, dims["dim_date"], dims["dim_billing_type"], dims["dim_product"]
-        ),
+        "vw_sales_by_billing_type": views.sales_by_billing_type(fact, types),
+        "vw_sales_by_product": views.sales_by_product(fact, products),
+        "vw_sales_by_date": views.sales_by_date(fact, days),
+        "vw_sales_dashboard": views.sales_dashboard(fact, days, types, products),
     }
     for name, frame in made.items():
         frame.createOrReplaceTempView(name)
@@ -220,7 +262,9 @@ def layer_row_counts(tables: dict[str, DataFrame]) -> DataFrame:
     return result
 
 
-def reset_layers(layers: Layers, version: int, next_version: int, tables: tuple[str, ...] = RESET_ORDER) -> DataFrame:
+def reset_layers(
+    layers: Layers, version: int, next_version: int, tables: tuple[str, ...] = RESET_ORDER
+) -> DataFrame:
     """Empty every table, dependants first, as a new version, and report the rows dropped.
 
     A table that cannot be emptied is reported and does not stop the others.
@@ -228,9 +272,13 @@ def reset_layers(layers: Layers, version: int, next_version: int, tables: tuple[
     report = []
     for name in tables:
         try:
-            table = layers.read(name, version)
-            n_rows = (layers.read_all(name) if name == "bronze" else table).count()
-            layers.write(table.limit(0), name, next_version)
+            table = layer(layers, name, version)
+            n_rows = table.count()
+            if name in BUCKETED:
+                every = layers.spark.range(layers.buckets).select(F.col("id").cast("int").alias("bucket"))
+                layers.write_buckets(table.limit(0), name, next_version, every, version)
+            else:
+                layers.write(table.limit(0), name, next_version)
             report.append((name, n_rows, None))
         except Exception as error:  # reported per table
             report.append((name, None, str(error).splitlines()[0][:500]))

@@ -1,20 +1,37 @@
-"""Layer tables as Parquet folders: a run reads version n-1 and writes version n.
+"""Layer tables as Parquet folders: a run builds on version n-1 and writes version n.
 
-Nothing is ever overwritten while it is read, and a run that is repeated, after a lost driver or
-by a replayed micro-batch, writes the same version again.
+Nothing is overwritten while it is read, and a run that is repeated, after a lost driver or by a
+replayed micro-batch, writes the same version again.
+
+Small tables are written whole. Large ones are split into buckets by document: a version holds only
+the buckets that changed, and a table of at most one row per bucket says which version of each is
+live. Joining that table to the folders lets Spark skip all others (dynamic partition pruning).
 """
 
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgermill.operators.joins import attach
+
+DEFAULT_BUCKETS = 64
+
+
+def column_names(schema: str) -> list[str]:
+    """Names in a schema written as "name type, name type, ..."."""
+    return [column.split()[0] for column in schema.split(", ")]
+
 
 class Layers:
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, buckets: int = DEFAULT_BUCKETS):
+        """``buckets`` must stay the same for a root; aim at a few GB of silver rows in each."""
         self.spark = spark
         self.root = root.rstrip("/")
+        self.buckets = buckets
+
+    # Whole tables
 
     def path(self, table: str, version: int) -> str:
         return f"{self.root}/{table}/v={version}"
@@ -36,3 +53,50 @@ class Layers:
     def write(self, frame: DataFrame, table: str, version: int) -> DataFrame:
         frame.write.mode("overwrite").parquet(self.path(table, version))
         return self.read(table, version)
+
+    # Tables in buckets
+
+    def _folder(self, table: str) -> str:
+        return f"{table}_in_{self.buckets}"
+
+    def bucket_of(self, document: str = "billing_document") -> Column:
+        return F.pmod(F.xxhash64(document), F.lit(self.buckets)).cast("int")
+
+    def buckets_of(self, rows: DataFrame, document: str = "billing_document") -> DataFrame:
+        """The buckets some rows fall into, at most as many rows as there are buckets."""
+        return rows.select(self.bucket_of(document).alias("bucket")).distinct()
+
+    def has_buckets(self, table: str, version: int) -> bool:
+        return self.exists(f"{self._folder(table)}_live", version)
+
+    def read_buckets(
+        self, table: str, version: int, schema: str, only: DataFrame | None = None
+    ) -> DataFrame:
+        """The live rows as of a version, of all buckets or only of some."""
+        live = self.read(f"{self._folder(table)}_live", version).filter(F.col("v") >= 0)
+        if only is not None:
+            live = live.join(only, "bucket", "left_semi")
+        rows = self.spark.read.schema(f"{schema}, v bigint, bucket int").parquet(f"{self.root}/{self._folder(table)}")
+        # At most one row per bucket, so it can always be broadcast.
+        return rows.join(F.broadcast(live), ["v", "bucket"]).select(*column_names(schema))
+
+    def written_rows(self, table: str, version: int, schema: str) -> DataFrame:
+        """The rows a version itself holds."""
+        return self.spark.read.schema(schema).parquet(self.path(self._folder(table), version))
+
+    def write_buckets(
+        self, frame: DataFrame, table: str, version: int, touched: DataFrame, previous: int | None
+    ) -> None:
+        """Replace the touched buckets by the rows given, which are all the rows they now have.
+
+        A bucket left without rows is recorded as changed all the same, so its old rows are gone.
+        """
+        folder = self._folder(table)
+        # Rows of a bucket come together in few files; a very large bucket is split between tasks.
+        placed = frame.withColumn("bucket", self.bucket_of()).hint("rebalance", "bucket")
+        placed.write.mode("overwrite").partitionBy("bucket").parquet(self.path(folder, version))
+        live = touched.select("bucket", F.lit(version).cast("bigint").alias("v"))
+        if previous is not None:
+            older = attach(self.read(f"{folder}_live", previous), touched, {"bucket": "bucket"}, "left_anti")
+            live = live.unionByName(older)
+        self.write(live.coalesce(1), f"{folder}_live", version)

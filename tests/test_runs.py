@@ -25,7 +25,7 @@ STAMPS = ("created_at", "updated_at")
 
 
 def table(layers, name, version):
-    frame = layers.read(name, version)
+    frame = load.layer(layers, name, version)
     return sorted((tuple(r) for r in frame.drop(*STAMPS).collect()), key=str)
 
 
@@ -50,10 +50,11 @@ def test_two_batches_and_a_replay(spark, put, tmp_path):
     ]
     second = put("two", "b.csv", SECOND)
     load.run(spark, second, out, batch_id=1002).collect()
-    gold = {r.billing_document: (r.billing_qty_in_sku, r.return_qty, r.final_qty) for r in layers.read("gold", 1002).collect()}
+    gold = {r.billing_document: (r.billing_qty_in_sku, r.return_qty, r.final_qty) for r in load.layer(layers, "gold", 1002).collect()}
     assert gold == {80001928: (400, 10, 390), 80001929: (50, 0, 50), 80001930: (7, 0, 7)}
-    assert layers.read("silver", 1002).count() == 4 and layers.read_all("bronze").count() == 5
-    full = sorted((tuple(r) for r in net_out(clean(layers.read("silver", 1002).select(*fx.BILLING_COLUMNS))).collect()), key=str)
+    silver = load.layer(layers, "silver", 1002)
+    assert silver.count() == 4 and layers.read_all("bronze").count() == 5
+    full = sorted((tuple(r) for r in net_out(clean(silver.select(*fx.BILLING_COLUMNS))).collect()), key=str)
     assert table(layers, "gold", 1002) == full
     before = {name: table(layers, name, 1002) for name in load.RESET_ORDER if name != "bronze"}
     load.run(spark, second, out, batch_id=1002).collect()
@@ -66,7 +67,7 @@ def test_no_new_rows_writes_nothing(spark, put, tmp_path):
     out = str(tmp_path / "out")
     report = load.run(spark, put("empty", "e.csv", HEADER), out).collect()
     assert [(r.step, r.status, r.message) for r in report] == [("bronze", "skipped", "no new rows")]
-    assert not Layers(spark, out).exists("silver", 1001)
+    assert not Layers(spark, out).has_buckets("silver", 1001)
 
 
 def test_a_failed_step_stops_the_run(spark, put, tmp_path):
@@ -84,9 +85,9 @@ def test_reset_reports_dropped_rows_and_errors(spark, put, tmp_path):
     report = load.reset_layers(layers, 1001, 1002, (*load.RESET_ORDER, "unknown")).collect()
     assert [(r.layer, r.rows_deleted) for r in report][:3] == [("fact_sales", 2), ("gold", 2), ("silver", 2)]
     assert report[-1].layer == "unknown" and report[-1].error
-    assert layers.read("gold", 1002).count() == 0 and layers.read("gold", 1001).count() == 2
+    assert load.layer(layers, "gold", 1002).count() == 0 and load.layer(layers, "gold", 1001).count() == 2
     load.run(spark, put("two", "b.csv", SECOND), out, batch_id=1003).collect()
-    assert layers.read("silver", 1003).count() == 3
+    assert load.layer(layers, "silver", 1003).count() == 3
 
 
 def test_stream_equals_batches(spark, put, tmp_path):
@@ -105,7 +106,33 @@ def test_stream_equals_batches(spark, put, tmp_path):
     load.run(spark, put("one", "a.csv", FIRST), batch_out).collect()
     load.run(spark, put("two", "b.csv", SECOND), batch_out, batch_id=1002).collect()
     streamed, batched = Layers(spark, out), Layers(spark, batch_out)
-    assert not streamed.exists("silver", 1003)
+    assert not streamed.has_buckets("silver", 1003)
     for name in load.RESET_ORDER:
         if name != "bronze":
             assert table(streamed, name, 1002) == table(batched, name, 1002)
+
+
+def test_only_touched_buckets_are_written_and_read(spark, put, tmp_path):
+    out = str(tmp_path / "out")
+    layers = Layers(spark, out)
+    load.run(spark, put("one", "a.csv", FIRST), out).collect()
+    load.run(spark, put("two", "b.csv", SECOND), out, batch_id=1002).collect()
+    live = {row.bucket: row.v for row in layers.read("silver_in_64_live", 1002).collect()}
+    assert set(live.values()) == {1001, 1002}
+    untouched = layers.buckets_of(spark.createDataFrame([(80001929,)], "billing_document bigint"))
+    assert live[untouched.first().bucket] == 1001
+    part = layers.read_buckets("silver", 1002, load.BUCKETED["silver"], untouched)
+    assert {row.billing_document for row in part.collect()} == {80001929}
+    plan = part._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruning" in plan
+
+
+def test_a_bucket_that_loses_all_rows_stays_empty(spark, lines, tmp_path):
+    layers = Layers(spark, str(tmp_path / "out"))
+    load.refresh(layers, lines((1, 10, "ZF2", 5), (2, 10, "ZF2", 6)), 1001, None)
+    gone = lines((1, 10, "ZF2", 5)).selectExpr("*", "'DELETE' as _action", "false as _is_update", "1L as _seq")
+    report = load.refresh(layers, gone, 1002, 1001)
+    assert {row[2] for row in report} == {"done"}
+    for name in ("silver", "gold", "fact_sales"):
+        assert [row.billing_document for row in load.layer(layers, name, 1002).collect()] == [2]
+        assert load.layer(layers, name, 1001).count() == 2

@@ -24,6 +24,8 @@ QUERIES: dict[str, Query] = {}
 LINE = ("billing_document", "item")
 UPSERT_KEY = ("billing_document", "item", "material", "billing_type")
 FLAT = [*LINE, "billing_type", "billing_qty_in_sku"]
+# Buckets of the stored layers, few because the given tables are small.
+BUCKETS = 8
 # Day from which the files of the ledger example are new.
 LEDGER_END = "1998-01-01"
 DASH_MONTHS = ["1997-03", "1997-04", "1998-11", "2000-07"]
@@ -491,14 +493,14 @@ def run_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All lines delivered as CSV, loaded through every layer."""
     inbox = scratch_path(spark, "inbox")
     billing_csv.export_csv(_as_text(adapter.billing_lines(spark, sf_dir)), inbox)
-    report = load.run(spark, inbox, scratch_path(spark, "layers"))
+    report = load.run(spark, inbox, scratch_path(spark, "layers"), buckets=BUCKETS)
     return report.select("step", "n_rows", "status")
 
 
 @query
 def reset_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All layers filled from the lines, then emptied."""
-    layers = Layers(spark, scratch_path(spark, "layers"))
+    layers = Layers(spark, scratch_path(spark, "layers"), BUCKETS)
     load.refresh(layers, adapter.billing_lines(spark, sf_dir), fx.FIRST_BATCH_ID, None)
     report = load.reset_layers(layers, fx.FIRST_BATCH_ID, fx.FIRST_BATCH_ID + 1)
     return report.select("layer", "rows_deleted")
@@ -512,8 +514,8 @@ def stream_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     is_return = F.col("billing_type").isin(*fx.RETURN_TYPES)
     for delivery in (lines.filter(~is_return), lines.filter(is_return)):
         delivery.write.mode("append").parquet(inbox)
-        start_refresh(spark, parquet_stream(spark, inbox, lines.schema), out, checkpoint).awaitTermination()
-    layers = Layers(spark, out)
+        start_refresh(spark, parquet_stream(spark, inbox, lines.schema), out, checkpoint, buckets=BUCKETS).awaitTermination()
+    layers = Layers(spark, out, BUCKETS)
     last = fx.FIRST_BATCH_ID + 1
     return load.layer_row_counts({name: load.layer(layers, name, last) for name in load.RESET_ORDER})
 

@@ -18,7 +18,7 @@ from ledgermill.operators.merge import DOCUMENT_LINE, merge_cdc
 from ledgermill.operators.netting import net_out
 from ledgermill.operators.star import fact_sales, load_dimensions
 from ledgermill.sources.billing_csv import read_billing_csv
-from ledgermill.sources.layers import Layers, column_names
+from ledgermill.sources.layers import DEFAULT_BUCKETS, Layers, column_names, empty
 
 REPORT_SCHEMA = "step string, n_rows bigint, status string, message string"
 _STAMPS = "created_at timestamp_ntz, updated_at timestamp_ntz"
@@ -125,7 +125,7 @@ def refresh(
 
     def current(table: str, at: int | None, only: DataFrame | None = None) -> DataFrame:
         if at is None:
-            return layers.spark.createDataFrame([], BUCKETED[table])
+            return empty(layers.spark, BUCKETED[table])
         return layers.read_buckets(table, at, BUCKETED[table], only)
 
     def rewrite(table: str, rows: DataFrame, touched: DataFrame) -> DataFrame:
@@ -147,19 +147,22 @@ def refresh(
 
     def gold() -> DataFrame:
         touched = layers.buckets_of(touched_documents(made["images"]))
-        rows = refresh_gold(
-            current("gold", previous, touched).drop("created_at"),
-            current("silver", version, touched),
-            made["images"],
-            current("silver", version),
-        )
+        if previous is None:
+            rows = net_out(current("silver", version))
+        else:
+            rows = refresh_gold(
+                current("gold", previous, touched).drop("created_at"),
+                current("silver", version, touched),
+                made["images"],
+                current("silver", version),
+            )
         made["gold buckets"] = touched
         return rewrite("gold", rows.withColumn("created_at", moment), touched)
 
     def dimension(name: str) -> Callable[[], DataFrame]:
         def load() -> DataFrame:
             old = (
-                layers.spark.createDataFrame([], DIMENSIONS[name])
+                empty(layers.spark, DIMENSIONS[name])
                 if previous is None
                 else layers.read(name, previous)
             )
@@ -214,6 +217,7 @@ def run(
     as_of: Column | None = None,
     previous: int | None = None,
     on_error: str = "abort",
+    buckets: int = DEFAULT_BUCKETS,
 ) -> DataFrame:
     """Load the files under ``in_dir`` as one batch and report every step.
 
@@ -223,7 +227,7 @@ def run(
     if previous is None and batch_id != fx.FIRST_BATCH_ID:
         previous = batch_id - 1
     good, _ = read_billing_csv(spark, in_dir, batch_id=batch_id, as_of=as_of, on_error=on_error)
-    report = refresh(Layers(spark, out_dir), good, batch_id, previous, as_of)
+    report = refresh(Layers(spark, out_dir, buckets), good, batch_id, previous, as_of)
     return spark.createDataFrame(report, REPORT_SCHEMA)
 
 

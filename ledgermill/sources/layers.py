@@ -24,6 +24,11 @@ def column_names(schema: str) -> list[str]:
     return [column.split()[0] for column in schema.split(", ")]
 
 
+def empty(spark: SparkSession, schema: str) -> DataFrame:
+    """No rows, in a way the planner sees: the limit lets it drop joins with this frame."""
+    return spark.createDataFrame([], schema).limit(0)
+
+
 class Layers:
     def __init__(self, spark: SparkSession, root: str, buckets: int = DEFAULT_BUCKETS):
         """``buckets`` must stay the same for a root; aim at a few GB of silver rows in each."""

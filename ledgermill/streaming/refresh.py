@@ -9,7 +9,7 @@ from pyspark.sql.types import StructType
 from ledgermill import fixed_values as fx
 from ledgermill.plans.load import RunFailed, refresh
 from ledgermill.sources.billing_csv import CSV_OPTIONS, TEXT_SCHEMA, split_defects, stamp_batch, with_lineage
-from ledgermill.sources.layers import Layers
+from ledgermill.sources.layers import DEFAULT_BUCKETS, Layers
 
 
 def csv_stream(spark: SparkSession, in_dir: str, on_error: str = "abort", **options: str) -> DataFrame:
@@ -30,13 +30,14 @@ def start_refresh(
     out_dir: str,
     checkpoint: str,
     trigger: dict | None = None,
+    buckets: int = DEFAULT_BUCKETS,
 ) -> StreamingQuery:
     """Start the query. ``trigger`` defaults to working off what is there and stopping.
 
     Micro-batch n writes version 1001 + n from the version before it, and does so again if it is
     replayed; a failed step fails the query, which resumes from its checkpoint.
     """
-    layers = Layers(spark, out_dir)
+    layers = Layers(spark, out_dir, buckets)
 
     def write_version(batch: DataFrame, epoch: int) -> None:
         version = fx.FIRST_BATCH_ID + epoch

@@ -35,10 +35,10 @@ SEARCH_TERM = "(pig|fish) feed|brand#1[0-3]"
 
 # Hand-entered lines.
 HAND_ENTERED = [
-    (60000004, 10, "ZF2", "2024-09-23", 3250, "34000000", "COMFEED P Oroiler Starter CRB50", "FPBF01", 60000004),
-    (60000025, 10, "ZRE", "2024-09-03", 200, "34000000", "COMFEED P Broiler Starter CRB50", "FPBF01", 60000004),
-    (60000046, 10, "ZRE", "2024-09-27", 200, "34000000", "COMFEED P Broiler Starter CRB50", "FPBF01", 60000046),
-    (60000012, 10, "ZRE", "2024-09-13", 200, "34000000", "COMFEED P Broiler Starter CRB50", "FPBF01", 600000012),
+    (60000004, 10, "ZF2", "2024-09-23", 3250, "34000000", "Feed P Oroiler Starter CRB50", "G01", 60000004),
+    (60000025, 10, "ZRE", "2024-09-03", 200, "34000000", "Feed P Broiler Starter CRB50", "G01", 60000004),
+    (60000046, 10, "ZRE", "2024-09-27", 200, "34000000", "Feed P Broiler Starter CRB50", "G01", 60000046),
+    (60000012, 10, "ZRE", "2024-09-13", 200, "34000000", "Feed P Broiler Starter CRB50", "G01", 600000012),
 ]
 
 

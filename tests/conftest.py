@@ -49,8 +49,8 @@ def lines(spark):
                 "billing_date": date(2025, 11, 6),
                 "billing_qty_in_sku": None,
                 "material": "34000009",
-                "item_description": "COMFEED P Broiler Finisher",
-                "material_group": "FPBF01",
+                "item_description": "Feed P Broiler Finisher",
+                "material_group": "G01",
                 "assignment": None,
             }
             names = ("billing_document", "item", "billing_type", "billing_qty_in_sku")

@@ -9,13 +9,13 @@ from ledgermill.functions.rules import categorize, clean, describe, final_amount
 
 def test_category_takes_the_first_rule_that_matches(spark):
     texts = {
-        "COMFEED P Broiler Finisher": "Broiler Feed",
+        "Feed P Broiler Finisher": "Broiler Feed",
         "broiler and layer": "Broiler Feed",
         "Layer mash": "Layer Feed",
         "calf starter": "Cattle Feed",
         "CATTLE 20": "Cattle Feed",
         "pig with deshi": "Pig Feed",
-        "COMFEED P Oroiler Starter CRB50": "Other",
+        "Feed P Oroiler Starter CRB50": "Other",
         None: "Other",
     }
     frame = spark.createDataFrame([(text,) for text in texts], "t string")

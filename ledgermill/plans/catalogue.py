@@ -184,14 +184,14 @@ def filter_and(spark: SparkSession, sf_dir: str) -> DataFrame:
     wanted = (
         (F.col("billing_type") == "ZF2")
         & (F.col("material_group") == "Brand#13")
-        & (F.col("billing_date") == F.lit("1997-10-31").cast("date"))
+        & (F.col("billing_qty_in_sku") == 20)
     )
     return adapter.billing_lines(spark, sf_dir).filter(wanted).select(*FLAT)
 
 
 @query
 def filter_in(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return adapter.billing_lines(spark, sf_dir).filter(F.col("billing_type").isin("ZRE", "S1")).select(*FLAT)
+    return adapter.billing_lines(spark, sf_dir).filter(rules.one_of("billing_type", fx.RETURN_TYPES)).select(*FLAT)
 
 
 @query

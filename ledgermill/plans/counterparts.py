@@ -218,7 +218,7 @@ COUNTERPARTS: dict[str, str] = {
     "rename_prefix": _sql("SELECT " + ", ".join(f"{name} AS z3_{name}" for name in fx.BILLING_COLUMNS) + " FROM b"),
     "filter_and": _sql(
         f"""SELECT {FLAT} FROM b
-            WHERE billing_type = 'ZF2' AND material_group = 'Brand#13' AND billing_date = DATE '1997-10-31'"""
+            WHERE billing_type = 'ZF2' AND material_group = 'Brand#13' AND billing_qty_in_sku = 20"""
     ),
     "filter_in": _sql(f"SELECT {FLAT} FROM b WHERE billing_type IN ('ZRE', 'S1')"),
     "null_count": _sql("SELECT count(*) AS n_rows, count(*) - count(final_qty) AS n_null_final FROM enriched"),

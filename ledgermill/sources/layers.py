@@ -98,7 +98,12 @@ class Layers:
         """
         folder = self._folder(table)
         # Rows of a bucket come together in few files; a very large bucket is split between tasks.
-        placed = frame.withColumn("bucket", self.bucket_of()).hint("rebalance", "bucket")
+        # Sorted by type, a scan for returns skips the row groups that hold only invoices.
+        placed = (
+            frame.withColumn("bucket", self.bucket_of())
+            .hint("rebalance", "bucket")
+            .sortWithinPartitions("bucket", "billing_type")
+        )
         placed.write.mode("overwrite").partitionBy("bucket").parquet(self.path(folder, version))
         live = touched.select("bucket", F.lit(version).cast("bigint").alias("v"))
         if previous is not None:

@@ -5,7 +5,9 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from ledgermill.llm.near_dedup import near_duplicates
 from ledgermill.llm.packing import pack_documents
+from ledgermill.llm.source_mixing import mix_report
 from ledgermill.llm.texts import documents
 from ledgermill.llm.token_counts import token_counts
 from ledgermill.llm.token_output import read_token_ids, with_checksums, write_token_ids
@@ -15,6 +17,14 @@ BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(documents(spark, sf_dir), shingle_words=3, radius=2)
+
+
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_report(documents(spark, sf_dir), weights=(5, 2, 1), share=1.5, most=2.0)
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(documents(spark, sf_dir), BYTE_BPE)
 
@@ -30,8 +40,48 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LLM_QUERIES = {
+    "op1_simhash": op1_simhash,
+    "op4_mixing": op4_mixing,
     "op8_token_counts": op8_token_counts,
     "op9_token_output": op9_token_output,
     "op10_packing": op10_packing,
 }
-LLM_COUNTERPARTS: dict[str, str] = {}
+# The targets are found in one pass: sources fill up in order of size over weight, and the level that the
+# others share is that of the first one that does not.
+_OP4 = r"""
+WITH sized AS (
+    SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size
+    FROM documents
+), weighed AS (
+    SELECT source, sum(size)::BIGINT AS source_size, 2.0::DOUBLE * sum(size)::DOUBLE AS cap,
+        CASE (row_number() OVER (ORDER BY encode(source) NULLS LAST) - 1) % 3 WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END AS weight
+    FROM sized GROUP BY source
+), filling AS (
+    SELECT *, coalesce(sum(cap) OVER before, 0) AS held, sum(weight) OVER () - coalesce(sum(weight) OVER before, 0) AS open_weight,
+        1.5::DOUBLE * sum(source_size) OVER () AS total
+    FROM weighed
+    WINDOW before AS (ORDER BY cap / weight, encode(source) NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+), levels AS (
+    SELECT (total - held) / open_weight AS level FROM filling
+    WHERE cap > weight * ((total - held) / open_weight)
+    ORDER BY cap / weight, encode(source) NULLS LAST LIMIT 1
+), targets AS (
+    SELECT source, source_size, CASE WHEN cap <= weight * coalesce(level, 0) THEN cap ELSE weight * coalesce(level, 0) END AS target,
+        CAST('0x' || substr(md5(concat_ws(':', CASE WHEN source IS NULL THEN '1' ELSE '0' END, coalesce(source, ''))), 1, 8) AS BIGINT)
+            / 4294967296.0::DOUBLE AS shift
+    FROM weighed LEFT JOIN levels ON true
+), ranked AS (
+    SELECT doc_id, source, size, row_number() OVER (
+        PARTITION BY source
+        ORDER BY length(bin(size)), substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 3), size, doc_id) - 1 AS rank
+    FROM sized
+)
+SELECT doc_id, size, source_size, target,
+    CAST(floor((rank + 1)::DOUBLE * rate + shift) - floor(rank::DOUBLE * rate + shift) AS BIGINT) * size AS taken
+FROM (
+    SELECT r.*, source_size, target, shift, CASE WHEN source_size > 0 THEN target / source_size::DOUBLE ELSE 0 END AS rate
+    FROM ranked r JOIN targets t ON r.source IS NOT DISTINCT FROM t.source
+)
+"""
+
+LLM_COUNTERPARTS: dict[str, str] = {"op4_mixing": _OP4}

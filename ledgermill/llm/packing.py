@@ -24,8 +24,8 @@ from ledgermill.llm.tokenizing import encoder, shared_tokenizer
 from ledgermill.session import stored
 
 PIECE_SCHEMA = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint"
-# Pieces that one task numbers at a time, about; a length with more is dealt out to more groups.
-GROUP_ROWS = 100_000
+# Pieces that are numbered together, about; a length with more is dealt out to more groups.
+GROUP_ROWS = 1_000
 
 
 def fullest(counts: dict[int, int], room: int) -> dict[int, int]:
@@ -100,9 +100,9 @@ def pack(cut: DataFrame, capacity: int) -> DataFrame:
     ``cut`` should be a stored table: it is read three times.
     """
     spark = cut.sparkSession
-    # At most ``capacity`` rows, whatever the corpus.
+    # At most ``capacity`` rows, whatever the corpus; so is the table made of them that is broadcast below.
     counts = {row.length: row.n for row in cut.groupBy("length").agg(F.count("*").alias("n")).collect()}
-    groups = max(1, sum(counts.values()) // GROUP_ROWS)
+    groups = spark.createDataFrame([(n, c // GROUP_ROWS + 1) for n, c in counts.items()], "length bigint, _groups bigint")
     places: dict[int, list[tuple[int, int, int, int, int]]] = {}
     taken = dict.fromkeys(counts, 0)
     first_bin = 0
@@ -118,7 +118,8 @@ def pack(cut: DataFrame, capacity: int) -> DataFrame:
     shared = spark.sparkContext.broadcast({n: np.array(rows, np.int64) for n, rows in places.items()})
 
     # Rank within a length: rank within a group of it, plus the pieces in the groups before.
-    grouped = cut.withColumn("_group", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.lit(groups)).cast("int"))
+    mark = F.xxhash64("doc_id", "start", "ids_crc32")
+    grouped = cut.join(F.broadcast(groups), "length").withColumn("_group", F.pmod(mark, "_groups")).drop("_groups")
     sizes = grouped.groupBy("length", "_group").agg(F.count("*").alias("_n"))
     before = Window.partitionBy("length").orderBy("_group").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("length", "_group", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))

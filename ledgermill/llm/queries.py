@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ledgermill.llm.near_dedup import near_duplicates
 from ledgermill.llm.packing import pack_documents
 from ledgermill.llm.source_mixing import mix_report
+from ledgermill.llm.substring_dedup import remove_repeats
 from ledgermill.llm.texts import documents
 from ledgermill.llm.token_counts import token_counts
 from ledgermill.llm.token_output import read_token_ids, with_checksums, write_token_ids
@@ -25,6 +27,11 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_report(documents(spark, sf_dir), weights=(5, 2, 1), share=1.5, most=2.0)
 
 
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = remove_repeats(documents(spark, sf_dir), window=13)
+    return cut.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(documents(spark, sf_dir), BYTE_BPE)
 
@@ -42,6 +49,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 LLM_QUERIES = {
     "op1_simhash": op1_simhash,
     "op4_mixing": op4_mixing,
+    "op5_substring_dedup": op5_substring_dedup,
     "op8_token_counts": op8_token_counts,
     "op9_token_output": op9_token_output,
     "op10_packing": op10_packing,
@@ -84,4 +92,26 @@ FROM (
 )
 """
 
-LLM_COUNTERPARTS: dict[str, str] = {"op4_mixing": _OP4}
+_OP5 = r"""
+WITH split AS (
+    SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
+), positions AS (
+    SELECT doc_id, words, unnest(range(1, len(words) + 1)) AS p FROM split
+), windows AS (
+    SELECT doc_id, p, array_to_string(words[p : p + 12], ' ') AS sequence FROM positions WHERE p + 12 <= len(words)
+), repeated AS (
+    SELECT doc_id, p FROM windows
+    JOIN (SELECT sequence, min(doc_id) AS first FROM windows GROUP BY sequence HAVING min(doc_id) < max(doc_id)) USING (sequence)
+    WHERE first < doc_id
+), covered AS (
+    SELECT DISTINCT doc_id, p + k AS p FROM repeated, (SELECT unnest(range(0, 13)) AS k)
+), stays AS (
+    SELECT doc_id, string_agg(words[p], ' ' ORDER BY p) AS kept, count(*) AS n_kept
+    FROM positions ANTI JOIN covered USING (doc_id, p) GROUP BY doc_id
+)
+SELECT s.doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(len(words) - coalesce(n_kept, 0) AS BIGINT) AS n_removed,
+    sha256(coalesce(kept, '')) AS kept_sha256
+FROM split s LEFT JOIN stays t ON s.doc_id = t.doc_id
+"""
+
+LLM_COUNTERPARTS: dict[str, str] = {"op4_mixing": _OP4, "op5_substring_dedup": _OP5}

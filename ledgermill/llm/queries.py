@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ledgermill.llm.near_dedup import near_duplicates
 from ledgermill.llm.packing import pack_documents
+from ledgermill.llm.repetition_rules import quality_rules
 from ledgermill.llm.source_mixing import mix_report
 from ledgermill.llm.substring_dedup import remove_repeats
 from ledgermill.llm.texts import documents
@@ -23,6 +24,10 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(documents(spark, sf_dir), shingle_words=3, radius=2)
 
 
+def op3_repetition_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules(documents(spark, sf_dir))
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_report(documents(spark, sf_dir), weights=(5, 2, 1), share=1.5, most=2.0)
 
@@ -48,6 +53,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 LLM_QUERIES = {
     "op1_simhash": op1_simhash,
+    "op3_repetition_rules": op3_repetition_rules,
     "op4_mixing": op4_mixing,
     "op5_substring_dedup": op5_substring_dedup,
     "op8_token_counts": op8_token_counts,

@@ -14,6 +14,7 @@ from ledgermill.llm.substring_dedup import remove_repeats
 from ledgermill.llm.texts import documents
 from ledgermill.llm.token_counts import token_counts
 from ledgermill.llm.token_output import read_token_ids, with_checksums, write_token_ids
+from ledgermill.llm.top_k_search import top_k
 from ledgermill.session import scratch_path
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -37,6 +38,10 @@ def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op6_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), F.col("vec_id") % 50 == 0, k=5, scale=256)
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(documents(spark, sf_dir), BYTE_BPE)
 
@@ -56,6 +61,7 @@ LLM_QUERIES = {
     "op3_repetition_rules": op3_repetition_rules,
     "op4_mixing": op4_mixing,
     "op5_substring_dedup": op5_substring_dedup,
+    "op6_top_k": op6_top_k,
     "op8_token_counts": op8_token_counts,
     "op9_token_output": op9_token_output,
     "op10_packing": op10_packing,
@@ -120,4 +126,17 @@ SELECT s.doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(len(words) - coales
 FROM split s LEFT JOIN stays t ON s.doc_id = t.doc_id
 """
 
-LLM_COUNTERPARTS: dict[str, str] = {"op4_mixing": _OP4, "op5_substring_dedup": _OP5}
+_OP6 = """
+WITH vectors AS (
+    SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
+    WHERE embedding IS NOT NULL AND NOT list_contains(list_transform(embedding, lambda x: coalesce(isfinite(x), false)), false)
+), scored AS (
+    SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.v, c.v) AS BIGINT) AS score
+    FROM vectors q JOIN vectors c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0
+), ranked AS (
+    SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scored
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
+
+LLM_COUNTERPARTS: dict[str, str] = {"op4_mixing": _OP4, "op5_substring_dedup": _OP5, "op6_top_k": _OP6}

@@ -15,6 +15,7 @@ from ledgermill.llm.texts import documents
 from ledgermill.llm.token_counts import token_counts
 from ledgermill.llm.token_output import read_token_ids, with_checksums, write_token_ids
 from ledgermill.llm.top_k_search import top_k
+from ledgermill.llm.toxicity import toxicity
 from ledgermill.session import scratch_path
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -25,6 +26,10 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(documents(spark, sf_dir), shingle_words=3, radius=2)
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def op3_repetition_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(documents(spark, sf_dir))
 
@@ -58,6 +63,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 LLM_QUERIES = {
     "op1_simhash": op1_simhash,
+    "op2_toxicity": op2_toxicity,
     "op3_repetition_rules": op3_repetition_rules,
     "op4_mixing": op4_mixing,
     "op5_substring_dedup": op5_substring_dedup,

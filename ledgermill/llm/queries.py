@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ledgermill.llm.near_dedup import near_duplicates
 from ledgermill.llm.packing import pack_documents
+from ledgermill.llm.pii import personal_data_report
 from ledgermill.llm.repetition_rules import quality_rules
 from ledgermill.llm.source_mixing import mix_report
 from ledgermill.llm.substring_dedup import remove_repeats
@@ -47,6 +48,10 @@ def op6_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), F.col("vec_id") % 50 == 0, k=5, scale=256)
 
 
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data_report(documents(spark, sf_dir))
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(documents(spark, sf_dir), BYTE_BPE)
 
@@ -68,6 +73,7 @@ LLM_QUERIES = {
     "op4_mixing": op4_mixing,
     "op5_substring_dedup": op5_substring_dedup,
     "op6_top_k": op6_top_k,
+    "op7_pii": op7_pii,
     "op8_token_counts": op8_token_counts,
     "op9_token_output": op9_token_output,
     "op10_packing": op10_packing,

@@ -19,6 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgermill.llm.texts import text_of
 from ledgermill.session import stored
@@ -306,6 +307,31 @@ def _weights(training: DataFrame, costs) -> dict[str, float]:
     return weights
 
 
+def _scored(docs: DataFrame, labels: DataFrame, kept: list[str]) -> DataFrame:
+    """Columns ``kept`` of every row and its ``_score``."""
+    spark = docs.sparkSession
+    costs = spark.sparkContext.broadcast(_language_model(docs))  # one number per trigram of the alphabet
+    training = _training(docs, labels)
+    shared = spark.sparkContext.broadcast(_weights(training, costs))
+
+    def weighed(rows: DataFrame, names: list[str]) -> DataFrame:
+        def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            weights = Weights(shared.value, Restorer(costs.value))
+            for batch in batches:
+                found = [_evidence(weights.of_text(t)) for t in batch.column("_whole").to_pylist()]
+                columns = [batch.column(c) for c in names]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(found, pa.float64())], [*names, "_evidence"])
+
+        schema = rows.select(*names).schema.add("_evidence", T.DoubleType())
+        return rows.select(*names, text_of().alias("_whole")).mapInArrow(weigh, schema)
+
+    # Evidence lies between 0 and a constant; in steps of a hundredth there are a few hundred values.
+    binned = weighed(training, ["toxic"]).groupBy(F.round("_evidence", 2).alias("x"), "toxic").agg(F.count("*").alias("n"))
+    intercept, slope = _calibrated([(r.x, r.toxic, r.n) for r in binned.collect()])
+    score = 1 / (1 + F.exp(-(F.lit(intercept) + F.lit(slope) * F.col("_evidence"))))
+    return weighed(docs, kept).select(*kept, score.alias("_score"))
+
+
 def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """Per row of ``docs`` (``doc_id``, ``text``): doc_id, held_out, score (0 to 1) and predicted (0 or 1).
 
@@ -317,26 +343,15 @@ def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -
     weight, and scores are low. Repeated rows give repeated rows; an empty table gives none. Other columns
     are not looked at.
     """
-    spark = docs.sparkSession
-    costs = spark.sparkContext.broadcast(_language_model(docs))  # one number per trigram of the alphabet
-    training = _training(docs, labels)
-    shared = spark.sparkContext.broadcast(_weights(training, costs))
+    scored = _scored(docs, labels, ["doc_id"])
+    return scored.select(
+        "doc_id",
+        _held_out().alias("held_out"),
+        F.col("_score").alias("score"),
+        (F.col("_score") >= threshold).cast("int").alias("predicted"),
+    )
 
-    def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weights = Weights(shared.value, Restorer(costs.value))
-        for batch in batches:
-            found = [_evidence(weights.of_text(t)) for t in batch.column("text").to_pylist()]
-            names = batch.schema.names[:-1]
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in names), pa.array(found, pa.float64())], [*names, "_evidence"]
-            )
 
-    seen = training.select("toxic", "text").mapInArrow(weigh, "toxic int, _evidence double")
-    # Evidence lies between 0 and a constant; in steps of a hundredth there are a few hundred values.
-    binned = seen.groupBy(F.round("_evidence", 2).alias("x"), "toxic").agg(F.count("*").alias("n")).collect()
-    intercept, slope = _calibrated([(r.x, r.toxic, r.n) for r in binned])
-    weighed = docs.select("doc_id", text_of().alias("text")).mapInArrow(weigh, "doc_id bigint, _evidence double")
-    score = 1 / (1 + F.exp(-(F.lit(intercept) + F.lit(slope) * F.col("_evidence"))))
-    return weighed.select("doc_id", _held_out().alias("held_out"), score.alias("score")).withColumn(
-        "predicted", (F.col("score") >= threshold).cast("int")
-    )
+def without_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """``docs`` without the rows whose text scores ``threshold`` or more."""
+    return _scored(docs, labels, docs.columns).filter(F.col("_score") < threshold).select(*docs.columns)

@@ -39,37 +39,62 @@ BITS, BLOCKS = 64, 5
 # Rows of a bucket that are compared at once; a larger bucket is dealt out again.
 BUCKET_ROWS = 512
 BATCH_ROWS = 1 << 16
+# Planes after which words that have passed the radius are looked for.
+CHECKED_PLANES = 4
 
+# For similar texts: shingles and words of a fingerprint, bits that may differ, and the bands, each of some bits
+# drawn at random, of which one has to agree. Texts whose 5-word shingles overlap by 0.8 differ in one bit of seven:
+# about 19 of 20 such pairs agree in a band and nearly as many are within the radius; more of closer ones.
+SIMILAR_SHINGLE, SIMILAR_WORDS, SIMILAR_RADIUS = 5, 4, 44
+BANDS, BAND_BITS = 24, 14
 
-def fingerprint(text: str | None, shingle_words: int = SHINGLE_WORDS) -> int:
-    """The SimHash of a text's word shingles, A-Z in lower case; 0 without words."""
+
+def fingerprint(text: str | None, shingle_words: int = SHINGLE_WORDS, n_words: int = 1) -> np.ndarray:
+    """The SimHash of a text's word shingles, A-Z in lower case, in ``n_words`` words of 64 bits; 0 without words.
+
+    The first word is made of the shingles' hashes, each further one of these hashes mixed once more.
+    """
+    marks = np.zeros(n_words, np.uint64)
     words = text.encode().lower().split() if text else []
     if not words:
-        return 0
+        return marks
     if len(words) < shingle_words:
         shingles = [b" ".join(words)]
     else:
         shingles = list(map(b" ".join, zip(*(words[k:] for k in range(shingle_words)))))
     digest = xxhash.xxh64_intdigest
     hashes = np.fromiter((digest(s, SEED) for s in shingles), np.uint64, len(shingles))
-    counts = np.zeros(BITS, np.int64)
-    for at in range(0, len(hashes), 1 << 14):
-        part = hashes[at : at + (1 << 14)]
-        counts += np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, np.uint32)
-    return int(np.packbits(2 * counts > len(hashes), bitorder="little").view(np.uint64)[0])
-
-
-def fingerprints(docs: DataFrame, kept: list[str], shingle_words: int = SHINGLE_WORDS) -> DataFrame:
-    """Columns ``kept`` of every row and ``_fp``, its fingerprint as a signed 64-bit integer."""
-    fields = docs.select(*kept).schema.add("_fp", T.LongType())
-    reads_text = "text" in kept
-    rows = docs.select(*kept) if reads_text else docs.select(*kept, text_of().alias("text"))
+    for n in range(n_words):
+        if n:
+            hashes = hashes + np.uint64(0x9E3779B97F4A7C15)
+            hashes = (hashes ^ hashes >> np.uint64(30)) * np.uint64(0xBF58476D1CE4E5B9)
+            hashes = (hashes ^ hashes >> np.uint64(27)) * np.uint64(0x94D049BB133111EB)
+            hashes ^= hashes >> np.uint64(31)
+        counts = np.zeros(BITS, np.int64)
+        for at in range(0, len(hashes), 1 << 14):
+            part = hashes[at : at + (1 << 14)]
+            counts += np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, np.uint32)
+        marks[n] = np.packbits(2 * counts > len(hashes), bitorder="little").view(np.uint64)[0]
+    return marks
+
+
+def fingerprints(
+    docs: DataFrame, kept: list[str], shingle_words: int = SHINGLE_WORDS, n_words: int = 1
+) -> DataFrame:
+    """Columns ``kept`` of every row and ``_fp``, its fingerprint as signed 64-bit integers: one, or an array of several."""
+    kind = T.LongType() if n_words == 1 else T.ArrayType(T.LongType())
+    fields = docs.select(*kept).schema.add("_fp", kind)
+    rows = docs.select(*kept, text_of().alias("_whole"))
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            marks = np.array([fingerprint(t, shingle_words) for t in batch.column("text").to_pylist()], np.uint64)
+            texts = batch.column("_whole").to_pylist()
+            marks = np.array([fingerprint(t, shingle_words, n_words) for t in texts], np.uint64).reshape(-1, n_words)
+            signed = pa.array(marks.view(np.int64).ravel())
+            if n_words > 1:
+                signed = pa.ListArray.from_arrays(pa.array(np.arange(len(texts) + 1) * n_words, pa.int32()), signed)
             columns = [batch.column(name) for name in kept]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(marks.view(np.int64))], [*kept, "_fp"])
+            yield pa.RecordBatch.from_arrays([*columns, signed], [*kept, "_fp"])
 
     return rows.mapInArrow(digest, fields)
 
@@ -98,8 +123,9 @@ def finer_masks(mask: int, radius: int) -> list[int]:
 
 def _planes(marks: np.ndarray, words: int) -> np.ndarray:
     """Bit planes: row b, word w, bit k is bit b of mark 64 w + k."""
-    bits = np.unpackbits(marks.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-    planes = np.zeros((BITS, words * 8), np.uint8)
+    n_bits = marks[0].nbytes * 8 if len(marks) else BITS
+    bits = np.unpackbits(np.ascontiguousarray(marks).view(np.uint8).reshape(-1, n_bits // 8), axis=1, bitorder="little")
+    planes = np.zeros((n_bits, words * 8), np.uint8)
     packed = np.packbits(bits.T, axis=1, bitorder="little")
     planes[:, : packed.shape[1]] = packed
     return planes.view(np.uint64)
@@ -108,8 +134,8 @@ def _planes(marks: np.ndarray, words: int) -> np.ndarray:
 def close_pairs(marks: np.ndarray, left: np.ndarray, radius: int = RADIUS) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Pairs of rows of one bucket that differ in at most ``radius`` bits, by their distance along the rows.
 
-    ``marks`` are the fingerprints of whole buckets in a row; ``left`` says how many rows of its bucket
-    follow each.
+    ``marks`` are the fingerprints of whole buckets in a row, each of one or more words; ``left`` says how
+    many rows of its bucket follow each.
     """
     n, full = len(marks), np.uint64(0xFFFFFFFFFFFFFFFF)
     most = int(left.max(initial=0))
@@ -127,8 +153,7 @@ def close_pairs(marks: np.ndarray, left: np.ndarray, radius: int = RADIUS) -> It
         passed = ~inside[at]
         counters = [np.zeros(len(at), np.uint64) for _ in range(bits_needed)]
         q, r = divmod(d, 64)
-        for b in range(BITS):
-            plane = planes[b]
+        for b, plane in enumerate(planes):
             moved = plane[at + q]
             if r:
                 moved = moved >> np.uint64(r) | plane[at + q + 1] << np.uint64(64 - r)
@@ -139,7 +164,7 @@ def close_pairs(marks: np.ndarray, left: np.ndarray, radius: int = RADIUS) -> It
             for k, counter in enumerate(counters):
                 reached = reached & (counter if radius + 1 >> k & 1 else ~counter)
             passed = passed | reached
-            if b % 4 == 3:
+            if b % CHECKED_PLANES == CHECKED_PLANES - 1:
                 alive = passed != full
                 if not alive.all():
                     at, passed = at[alive], passed[alive]
@@ -177,31 +202,33 @@ def _forest(marks: np.ndarray, left: np.ndarray, radius: int) -> np.ndarray:
     return root
 
 
-def _bucket_links(radius: int):
-    def links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def found(keys: np.ndarray, marks: np.ndarray) -> pa.RecordBatch:
-            change = np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(0)) + 1
-            ends = np.append(change, keys.shape[1])
-            left = np.repeat(ends, np.diff(np.append(0, ends))) - np.arange(keys.shape[1]) - 1
-            root = _forest(marks.view(np.uint64), left, radius)
-            linked = np.flatnonzero(root != np.arange(len(root)))
-            return pa.RecordBatch.from_arrays([pa.array(marks[linked]), pa.array(marks[root[linked]])], ["u", "v"])
+def _by_bucket(batches, key_names, value_names, found) -> Iterator[pa.RecordBatch]:
+    """Call ``found`` with the keys and values of whole buckets, some thousands of rows at a time."""
+    keys, values = np.zeros((len(key_names), 0), np.int64), np.zeros((len(value_names), 0), np.int64)
+    for batch in batches:
+        keys = np.hstack([keys, np.stack([batch.column(c).to_numpy() for c in key_names])])
+        values = np.hstack([values, np.stack([batch.column(c).to_numpy() for c in value_names])])
+        if keys.shape[1] >= BATCH_ROWS:
+            # The last bucket may go on in the next batch.
+            whole = np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(0))
+            if len(whole):
+                cut = whole[-1] + 1
+                yield found(keys[:, :cut], values[:, :cut])
+                keys, values = keys[:, cut:].copy(), values[:, cut:].copy()
+    if keys.shape[1]:
+        yield found(keys, values)
 
-        keys, marks = np.zeros((2, 0), np.int64), np.zeros(0, np.int64)
-        for batch in batches:
-            keys = np.hstack([keys, np.stack([batch.column(c).to_numpy() for c in ("mask", "bucket")])])
-            marks = np.append(marks, batch.column("_fp").to_numpy())
-            if len(marks) >= BATCH_ROWS:
-                # The last bucket may go on in the next batch.
-                whole = np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(0))
-                if len(whole):
-                    cut = whole[-1] + 1
-                    yield found(keys[:, :cut], marks[:cut])
-                    keys, marks = keys[:, cut:], marks[cut:].copy()
-        if len(marks):
-            yield found(keys, marks)
 
-    return links
+def _bucket_links(radius: int):
+    def found(keys: np.ndarray, values: np.ndarray) -> pa.RecordBatch:
+        ends = np.append(np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(0)) + 1, keys.shape[1])
+        left = np.repeat(ends, np.diff(np.append(0, ends))) - np.arange(keys.shape[1]) - 1
+        marks = values[0]
+        root = _forest(marks.view(np.uint64), left, radius)
+        linked = np.flatnonzero(root != np.arange(len(root)))
+        return pa.RecordBatch.from_arrays([pa.array(marks[linked]), pa.array(marks[root[linked]])], ["u", "v"])
+
+    return lambda batches: _by_bucket(batches, ("mask", "bucket"), ("_fp",), found)
 
 
 def _literals(masks: list[int]) -> Column:
@@ -247,9 +274,17 @@ def group_fingerprints(marked: DataFrame, radius: int = RADIUS, bucket_rows: int
     """
     distinct = stored(marked.groupBy("_fp").agg(F.min("doc_id").alias("_first")), "fingerprints")
     roots = components(_near_links(distinct.select("_fp"), radius, bucket_rows))
-    rooted = attach(distinct, roots, {"_fp": "node"}).withColumn("root", F.coalesce("root", "_fp"))
+    labels = _labelled(distinct.select(F.col("_fp").alias("node"), "_first"), roots)
+    return labels.withColumnRenamed("node", "_fp")
+
+
+def _labelled(nodes: DataFrame, roots: DataFrame) -> DataFrame:
+    """node, _root and component_id of ``nodes`` (``node``, ``_first``: its smallest doc_id)."""
+    rooted = attach(nodes, roots.withColumnRenamed("node", "_node"), {"node": "_node"}).withColumn(
+        "root", F.coalesce("root", "node")
+    )
     smallest = rooted.groupBy("root").agg(F.min("_first").alias("component_id"))
-    return attach(rooted, smallest, {"root": "root"}, "inner").select("_fp", F.col("root").alias("_root"), "component_id")
+    return attach(rooted, smallest, {"root": "root"}, "inner").select("node", F.col("root").alias("_root"), "component_id")
 
 
 def near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, radius: int = RADIUS) -> DataFrame:
@@ -269,11 +304,77 @@ def near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, radius:
     )
 
 
-def one_per_group(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, radius: int = RADIUS) -> DataFrame:
-    """``docs`` with one row of each group of near-duplicates: the one with the smallest doc_id."""
+def _bands() -> np.ndarray:
+    """Per band the bits it is made of: fixed draws, without repeats within a band."""
+    draw = np.random.default_rng(SEED)
+    return np.array([draw.permutation(SIMILAR_WORDS * BITS)[:BAND_BITS] for _ in range(BANDS)])
+
+
+def _band_values(marks: np.ndarray) -> np.ndarray:
+    bits = np.unpackbits(marks.view(np.uint8).reshape(len(marks), -1), axis=1, bitorder="little")
+    return np.stack([bits[:, band] @ (1 << np.arange(BAND_BITS)) for band in _bands()], axis=1)
+
+
+def _similar_links(distinct: DataFrame, radius: int, bucket_rows: int) -> DataFrame:
+    """Links (u, v) between the nodes of ``distinct`` (``node``, ``_fp``) that share a band and lie within the radius."""
+    n_words = SIMILAR_WORDS
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            marks = np.array(batch.column("_fp").to_pylist(), np.int64).reshape(-1, n_words).view(np.uint64)
+            values = _band_values(marks)
+            buckets = np.arange(BANDS) << BAND_BITS | values
+            repeated = np.repeat(marks.view(np.int64), BANDS, axis=0)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(buckets.ravel()), pa.array(np.repeat(batch.column("node").to_numpy(), BANDS)), *map(pa.array, repeated.T)],
+                ["bucket", "node", *(f"w{k}" for k in range(n_words))],
+            )
+
+    columns = ["node", *(f"w{k}" for k in range(n_words))]
+    rows = distinct.mapInArrow(spread, "bucket bigint, " + ", ".join(f"{c} bigint" for c in columns))
+    # Buckets of more rows than are compared at once: their rows are linked to the bucket's first row, and to each
+    # other in pieces. Such rows are mostly copies of one text, which other bands bring together as well.
+    large = stored(rows.groupBy("bucket").agg(F.count("*").alias("n")).filter(F.col("n") > bucket_rows), "large-buckets")
+    placed = rows.join(large, "bucket", "left").withColumn(
+        "piece", F.when(F.col("n").isNull(), 0).otherwise(F.pmod(F.xxhash64("node"), (F.col("n") / bucket_rows).cast("bigint") + 1))
+    )
+
+    def links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def found(keys: np.ndarray, values: np.ndarray) -> pa.RecordBatch:
+            ends = np.append(np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(0)) + 1, keys.shape[1])
+            left = np.repeat(ends, np.diff(np.append(0, ends))) - np.arange(keys.shape[1]) - 1
+            root = _forest(values[1:].T.copy().view(np.uint64), left, radius)
+            linked = np.flatnonzero(root != np.arange(len(root)))
+            return pa.RecordBatch.from_arrays([pa.array(values[0, linked]), pa.array(values[0, root[linked]])], ["u", "v"])
+
+        yield from _by_bucket(batches, ("bucket", "piece"), columns, found)
+
+    dealt = placed.select("bucket", "piece", *columns).repartition("bucket", "piece").sortWithinPartitions("bucket", "piece")
+    near = dealt.mapInArrow(links, "u bigint, v bigint")
+    if large.isEmpty():
+        return near
+    in_large = attach(rows, large, {"bucket": "bucket"}, "inner").select("bucket", *columns)
+    firsts = in_large.groupBy("bucket").agg(F.min(F.struct(*columns)).alias("first"))
+    beside = attach(in_large, firsts, {"bucket": "bucket"}, "inner")
+    apart = sum((F.bit_count(F.col(f"w{k}").bitwiseXOR(F.col("first")[f"w{k}"])) for k in range(n_words)), F.lit(0))
+    to_first = beside.filter(apart <= radius).select(F.col("node").alias("u"), F.col("first.node").alias("v"))
+    return near.unionByName(to_first)
+
+
+def one_per_group(docs: DataFrame, radius: int = SIMILAR_RADIUS) -> DataFrame:
+    """``docs`` with one row of each group of similar texts: the one with the smallest doc_id.
+
+    Texts are similar whose 5-word shingles overlap by about 0.8 or more: their SimHashes of 256 bits agree
+    in a band and differ in at most ``radius`` bits. Groups are what such links connect.
+
+    Null and empty texts are copies of each other. Rows without doc_id go where their group has a row with
+    one; of rows that are equal in doc_id one stays. An empty table stays empty; other columns are kept.
+    """
     columns = docs.columns
-    marked = fingerprints(docs, columns, shingle_words)
-    labels = group_fingerprints(stored(marked.select("doc_id", "_fp"), "simhash"), radius)
-    labels = labels.withColumnRenamed("component_id", "_component")
-    first = attach(marked, labels, {"_fp": "_fp"}, "inner").filter(F.col("doc_id").eqNullSafe(F.col("_component")))
+    marked = fingerprints(docs, columns, SIMILAR_SHINGLE, SIMILAR_WORDS).withColumn("_node", F.xxhash64("_fp")).drop("_fp")
+    narrow = fingerprints(docs, ["doc_id"], SIMILAR_SHINGLE, SIMILAR_WORDS)
+    distinct = stored(narrow.groupBy(F.xxhash64("_fp").alias("node"), "_fp").agg(F.min("doc_id").alias("_first")), "simhash")
+    roots = components(_similar_links(distinct.select("node", "_fp"), radius, BUCKET_ROWS))
+    labels = _labelled(distinct.select("node", "_first"), roots).withColumnRenamed("component_id", "_component")
+    first = attach(marked, labels, {"_node": "node"}, "inner").filter(F.col("doc_id").eqNullSafe(F.col("_component")))
     return first.dropDuplicates(["_root"]).select(*columns)

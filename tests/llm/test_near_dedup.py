@@ -120,3 +120,26 @@ def test_components_of_a_chain_and_a_star(spark):
     frame = spark.createDataFrame([*chain, *star, (70, 70), (5, 0)], "u bigint, v bigint")
     got = {(r.node, r.root) for r in components(frame).collect()}
     assert got == {(n, 100) for n in range(100, 161)} | {(n, 0) for n in range(50)}
+
+
+def test_similar_texts_are_found_and_others_left(spark, docs):
+    rng = random.Random(8)
+    rows, groups = [], []
+    for n in range(150):
+        words = [f"w{rng.randrange(5_000)}" for _ in range(200)]
+        rows.append((n * 10, " ".join(words)))
+        if n % 3 == 0:
+            changed = list(words)
+            for at in rng.sample(range(200), 2):
+                changed[at] = "x"
+            rows.append((n * 10 + 1, " ".join(changed)))
+            groups.append(n * 10)
+    base = [f"w{rng.randrange(5_000)}" for _ in range(100)]
+    for n in range(700):  # more near copies of one text than are compared at once
+        changed = list(base)
+        changed[rng.randrange(100)] = f"y{n}"
+        rows.append((5_000 + n, " ".join(changed)))
+    kept = {r.doc_id for r in near_dedup.one_per_group(docs(*rows)).collect()}
+    assert {n * 10 for n in range(150)} <= kept
+    assert 5_000 in kept and len({d for d in kept if d > 5_000}) <= 7
+    assert len({g + 1 for g in groups} & kept) <= 2

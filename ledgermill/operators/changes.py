@@ -73,18 +73,20 @@ def net_changes(changes: DataFrame, keys: Sequence[str], seq: str = "_seq") -> D
     columns = payload(changes)
     inserted = F.col("_action") == "INSERT"
     newest = F.max(F.struct(F.col(seq).alias("_order"), inserted.alias("_inserted"), *columns))
-    per_key = (
-        changes.filter(keys_known(keys))
-        .groupBy(*keys)
-        .agg(newest.alias("_newest"), F.bool_or(F.col("_is_update") | ~inserted).alias("_replaces"))
+    # A row with a NULL key gets a number of its own and so is a group of one; which number does not matter.
+    marked = changes.withColumn("_lone", F.when(~keys_known(keys), F.monotonically_increasing_id()))
+    replaces = F.when(F.col("_lone").isNotNull(), F.col("_updates")).otherwise(
+        F.col("_newest._inserted") & (F.col("_updates") | F.col("_deletes"))
+    )
+    return (
+        marked.groupBy(*keys, "_lone")
+        .agg(newest.alias("_newest"), F.bool_or("_is_update").alias("_updates"), F.bool_or(~inserted).alias("_deletes"))
         .select(
             *(F.col(f"_newest.{name}").alias(name) for name in columns),
             F.when(F.col("_newest._inserted"), "INSERT").otherwise("DELETE").alias("_action"),
-            (F.col("_newest._inserted") & F.col("_replaces")).alias("_is_update"),
+            replaces.alias("_is_update"),
         )
     )
-    keyless = changes.filter(~keys_known(keys)).select(*columns, "_action", "_is_update")
-    return per_key.unionByName(keyless)
 
 
 def change_counts(changes: DataFrame) -> DataFrame:

@@ -69,10 +69,10 @@ def sales_trend(by_date: DataFrame, months: Sequence[str] | DataFrame | None = N
 
 
 def share(view: DataFrame, key: str, value: str) -> DataFrame:
-    """Value of each key and its part of the whole; the whole is a scalar subquery."""
+    """Value of each key, summed over its rows, and its part of the whole; the whole is a scalar subquery."""
     whole = view.agg(F.sum(value)).scalar().cast("double")
-    part = F.when(whole != 0, F.col(value).cast("double") / whole)
-    return view.select(key, F.col(value).alias("total_qty"), part.alias("share"))
+    part = F.when(whole != 0, F.col("total_qty").cast("double") / whole)
+    return view.groupBy(key).agg(F.sum(value).alias("total_qty")).withColumn("share", part)
 
 
 def _by(dash: DataFrame, key: str, *totals: Column) -> DataFrame:

@@ -49,15 +49,3 @@ def attach(rows: DataFrame, lookup: DataFrame, on: Mapping[str, str], how: str =
     """
     left, right, equal = _sides(rows, lookup, on)
     return _tidy(left.join(right, equal, how), on)
-
-
-def attach_all(rows: DataFrame, many: DataFrame, on: Mapping[str, str]) -> DataFrame:
-    """Left join of rows to a side that may have any number of rows per key.
-
-    A left join can only split its left side. Done as an inner join, which can split both, plus
-    the rows without a partner; both parts read the same shuffle of ``rows``.
-    """
-    left, right, equal = _sides(rows, many, on)
-    matched = _tidy(left.join(right, equal, "inner"), on)
-    lonely = attach(rows, many.select(*on.values()).distinct(), on, "left_anti")
-    return matched.unionByName(lonely, allowMissingColumns=True)

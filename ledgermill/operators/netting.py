@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import sub
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgermill import fixed_values as fx
 from ledgermill.functions.rules import final_amount, one_of
-from ledgermill.operators.joins import attach, attach_all
+from ledgermill.operators.joins import attach
 
 _BY_LINE = {
     "billing_document": "assignment",
@@ -37,9 +39,10 @@ def net_out(
     """Invoice lines with what is left of them.
 
     ``sum``: valid invoices minus the sum of their returns, one row per invoice line.
-    ``pairwise``: every invoice line once per return of it, minus that return alone.
-    ``priority``: invoice lines, and lines any return points at, minus the return of the first
-    type in ``return_types`` that exists; the returns of every type are kept side by side.
+    ``pairwise``: every invoice line, valid or not, minus all returns of it, with their number and
+    their sums by type. One row per line: the pairs themselves would grow with the square of a key.
+    ``priority``: distinct invoice lines, and lines any return points at, minus the returns of the
+    first type in ``return_types`` that exists; the sums of every type are kept side by side.
     """
     if mode == "sum":
         return _net_by_sum(silver, invoice_types, return_types)
@@ -63,16 +66,32 @@ def _net_by_sum(silver: DataFrame, invoice_types: Sequence[str], return_types: S
     )
 
 
+def _returns_by_type(lines: DataFrame, keys: Sequence[str], return_types: Sequence[str]) -> DataFrame:
+    """Per key the number of returns and, for every type, whether there are any and their sum."""
+    of_type = {code: F.col("billing_type") == code for code in return_types}
+    named = F.col("billing_document").isNotNull()
+    return (
+        lines.filter(one_of("billing_type", return_types))
+        .groupBy(*keys)
+        .agg(
+            F.count("*").alias("n_returns"),
+            *(F.bool_or(test & named).alias(f"_has_{code.lower()}") for code, test in of_type.items()),
+            *(F.sum(F.when(test, F.col("billing_qty_in_sku"))).alias(f"{code.lower()}_bq") for code, test in of_type.items()),
+        )
+    )
+
+
 def _net_pairwise(lines: DataFrame, invoice_types: Sequence[str], return_types: Sequence[str]) -> DataFrame:
     invoices = lines.filter(one_of("billing_type", invoice_types)).select(*fx.BILLING_COLUMNS)
-    returns = lines.filter(one_of("billing_type", return_types)).select(
-        "assignment", "material", "item_description", F.col("billing_qty_in_sku").alias("_returned")
-    )
-    returned = F.coalesce("_returned", F.lit(0).cast("bigint"))
+    returns = _returns_by_type(lines, ["assignment", "material", "item_description"], return_types)
+    zero = F.lit(0).cast("bigint")
+    sums = [f"{code.lower()}_bq" for code in return_types]
+    final = reduce(sub, (F.coalesce(name, zero) for name in sums), F.col("billing_qty_in_sku"))
     return (
-        attach_all(invoices, returns, _BY_LINE)
-        .withColumn("final_qty", F.col("billing_qty_in_sku") - returned)
-        .drop("_returned")
+        attach(invoices, returns, _BY_LINE)
+        .withColumn("n_returns", F.coalesce("n_returns", zero))
+        .withColumn("final_qty", final)
+        .select(*fx.BILLING_COLUMNS, "n_returns", *sums, "final_qty")
     )
 
 
@@ -81,7 +100,7 @@ def pairwise_totals(
     invoice_types: Sequence[str] = fx.INVOICE_TYPES,
     return_types: Sequence[str] = fx.RETURN_TYPES,
 ) -> DataFrame:
-    """What the ``pairwise`` rows of each (document, item) sum up to, without making the pairs.
+    """What the pairs of invoice line and return of each (document, item) sum up to, without making them.
 
     An invoice line with n returns stands for n rows of quantity minus return, one without for
     itself; so count and sum of the returns are enough.
@@ -107,29 +126,16 @@ def pairwise_totals(
 def _net_by_priority(lines: DataFrame, invoice_types: Sequence[str], return_types: Sequence[str]) -> DataFrame:
     lines = lines.select(*fx.BILLING_COLUMNS)
     is_invoice = F.coalesce(one_of("billing_type", invoice_types), F.lit(False))
-    pointed_at = (
-        lines.filter(one_of("billing_type", return_types)).select("assignment", "material").distinct()
-    )
-    netted = (
-        lines.filter(is_invoice)
-        .unionByName(attach(lines.filter(~is_invoice), pointed_at, _BY_MATERIAL, "left_semi"))
-        .distinct()
-    )
+    returns = _returns_by_type(lines, ["assignment", "material"], return_types)
+    # One row per distinct line; of lines that are no invoices, those that some return points at.
+    netted = attach(lines.distinct(), returns, _BY_MATERIAL).filter(is_invoice | F.col("n_returns").isNotNull())
     quantity = F.col("billing_qty_in_sku")
     left_over = None
     for code in return_types:
-        found, returned = f"_has_{code.lower()}", f"{code.lower()}_bq"
-        returns = lines.filter(F.col("billing_type") == code).select(
-            "assignment",
-            "material",
-            F.col("billing_document").isNotNull().alias(found),
-            quantity.alias(returned),
-        )
-        netted = attach_all(netted, returns, _BY_MATERIAL)
-        rest = quantity - F.col(returned)
-        left_over = F.when(F.col(found), rest) if left_over is None else left_over.when(F.col(found), rest)
-    return netted.withColumn("final_quantity", left_over.otherwise(quantity)).drop(
-        *(f"_has_{code.lower()}" for code in return_types)
+        found, rest = F.col(f"_has_{code.lower()}"), quantity - F.col(f"{code.lower()}_bq")
+        left_over = F.when(found, rest) if left_over is None else left_over.when(found, rest)
+    return netted.withColumn("final_quantity", left_over.otherwise(quantity)).select(
+        *fx.BILLING_COLUMNS, *(f"{code.lower()}_bq" for code in return_types), "final_quantity"
     )
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ledgermill.functions.rules import describe, year_month
 from ledgermill.operators.changes import keys_known
-from ledgermill.operators.joins import attach, attach_all
+from ledgermill.operators.joins import attach
 
 FACT_COLUMNS = [
     "billing_document",
@@ -23,8 +23,8 @@ FACT_COLUMNS = [
 
 
 def insert_new(dim: DataFrame, source: DataFrame, key: str, as_of: Column | None = None) -> DataFrame:
-    """Dimension plus the source rows whose key it lacks; NULL keys are left out."""
-    fresh = attach(source.filter(F.col(key).isNotNull()), dim.select(key).distinct(), {key: key}, "left_anti")
+    """Dimension plus one source row for each key it lacks; NULL keys are left out."""
+    fresh = attach(one_per_key(source, key), dim.select(key).distinct(), {key: key}, "left_anti")
     if "created_at" in dim.columns and "created_at" not in fresh.columns:
         stamp = F.current_timestamp() if as_of is None else as_of
         fresh = fresh.withColumn("created_at", stamp.cast(dim.schema["created_at"].dataType))
@@ -162,17 +162,16 @@ def fact_sales(gold: DataFrame) -> DataFrame:
 def fact_left_enrich(stage: DataFrame, agg: DataFrame) -> DataFrame:
     """All staged lines with the net quantity of their (document, item), NULL where there is none.
 
-    Several net rows of a line give several fact rows.
+    Several net rows of a key are summed, so every staged line gives one fact row.
     """
     lines = stage.filter(F.col("billing_document").isNotNull()).select(*FACT_COLUMNS)
-    net = agg.select("billing_document", "item", "final_qty")
-    return attach_all(lines, net, {"billing_document": "billing_document", "item": "item"}).select(
-        *FACT_COLUMNS, "final_qty"
-    )
+    keys = ["billing_document", "item"]
+    net = agg.groupBy(*keys).agg(F.sum("final_qty").alias("final_qty"))
+    return attach(lines, net, {key: key for key in keys}).select(*FACT_COLUMNS, "final_qty")
 
 
 def fact_totals(stage: DataFrame, totals: DataFrame) -> DataFrame:
-    """``fact_left_enrich`` of the pairwise rows, with one row per staged line.
+    """The fact with a row per line and return, as totals with one row per staged line.
 
     ``n_rows`` says how many fact rows it stands for and ``final_qty`` what they sum up to, so
     counts and sums over the fact need none of the repeated rows.

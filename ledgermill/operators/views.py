@@ -116,10 +116,11 @@ def null_count(fact: DataFrame, column: str = "final_qty") -> DataFrame:
     )
 
 
-def top_k(frame: DataFrame, column: str, k: int, exact: bool = True) -> DataFrame:
+def top_k(frame: DataFrame, column: str, k: int, exact: bool = True, tracked: int = 10_000) -> DataFrame:
     """The k most frequent values and their counts.
 
-    Exact: every value is counted. Otherwise a sketch of bounded size is used per task.
+    Exact: every value is counted. Otherwise a sketch that tracks at most ``tracked`` values is used;
+    a count is then too high by at most the number of rows over ``tracked``.
     """
     if exact:
         return (
@@ -128,7 +129,7 @@ def top_k(frame: DataFrame, column: str, k: int, exact: bool = True) -> DataFram
             .orderBy(F.col("n").desc(), F.col(column).asc())
             .limit(k)
         )
-    sketch = F.call_function("approx_top_k", F.col(column), F.lit(k))
+    sketch = F.call_function("approx_top_k", F.col(column), F.lit(k), F.lit(tracked))
     return frame.agg(sketch.alias("_top")).select(F.inline("_top")).toDF(column, "n")
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgermill import fixed_values as fx
@@ -33,13 +33,16 @@ DASH_CATEGORIES = ["Broiler Feed", "Cattle Feed", "Other"]
 DASH_TYPES = ["Sales Invoice"]
 SEARCH_TERM = "(pig|fish) feed|brand#1[0-3]"
 
-# Hand-entered lines.
+# Lines entered by hand: an invoice, a return of part of it, an adjustment and an export.
 HAND_ENTERED = [
-    (60000004, 10, "ZF2", "2024-09-23", 3250, "34000000", "Feed P Oroiler Starter CRB50", "G01", 60000004),
-    (60000025, 10, "ZRE", "2024-09-03", 200, "34000000", "Feed P Broiler Starter CRB50", "G01", 60000004),
-    (60000046, 10, "ZRE", "2024-09-27", 200, "34000000", "Feed P Broiler Starter CRB50", "G01", 60000046),
-    (60000012, 10, "ZRE", "2024-09-13", 200, "34000000", "Feed P Broiler Starter CRB50", "G01", 600000012),
+    (910000001, 1, "ZF2", "1996-02-10", 48, "M-0417", "layer mash coarse", "hand", 910000001),
+    (910000002, 1, "ZRE", "1996-03-01", 6, "M-0417", "layer mash coarse", "hand", 910000001),
+    (910000003, 1, "S1", "1996-03-05", 2, "M-0417", "layer mash coarse", "hand", 910000001),
+    (910000004, 1, "ZXP", "1996-04-22", 31, "M-0933", "fish pellets small", "hand", 910000004),
 ]
+# Parts of the allowed error of the sketches: three standard errors of the distinct counts.
+DISTINCT_ERROR, MERGED_ERROR = 0.15, 0.05
+TRACKED = 10_000
 
 
 def query(function: Query) -> Query:
@@ -417,16 +420,26 @@ def approx_percentile_qty(spark: SparkSession, sf_dir: str) -> DataFrame:
     return views.approx_percentile(adapter.billing_lines(spark, sf_dir), "billing_qty_in_sku", 0.7)
 
 
+def _within(estimate: DataFrame, exact: DataFrame, error: float) -> DataFrame:
+    """The exact number and whether an estimate lies within its error."""
+    near = F.abs(F.col("n") - F.col("n_exact")) <= error * F.col("n_exact")
+    return exact.withColumn("n", estimate.scalar()).select("n_exact", near.alias("within_error"))
+
+
 @query
 def approx_distinct_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return views.approx_distinct(adapter.billing_lines(spark, sf_dir), "billing_document")
+    lines = adapter.billing_lines(spark, sf_dir)
+    exact = lines.agg(F.count_distinct("billing_document").alias("n_exact"))
+    return _within(views.approx_distinct(lines, "billing_document"), exact, DISTINCT_ERROR)
 
 
 @query
 def approx_distinct_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Distinct documents from one sketch per billing type."""
     lines = adapter.billing_lines(spark, sf_dir)
-    return views.merged_distinct(views.distinct_sketches(lines, "billing_type", "billing_document"))
+    exact = lines.agg(F.count_distinct("billing_document").alias("n_exact"))
+    sketches = views.distinct_sketches(lines, "billing_type", "billing_document")
+    return _within(views.merged_distinct(sketches), exact, MERGED_ERROR)
 
 
 @query
@@ -436,7 +449,23 @@ def top_k_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def approx_top_materials(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return views.top_k(adapter.billing_lines(spark, sf_dir), "material", 3, exact=False)
+    """The sketch's counts of its three top values, in order, against the exact top counts."""
+    lines = adapter.billing_lines(spark, sf_dir).filter(F.col("material").isNotNull())
+    place = F.row_number().over(Window.orderBy(F.col("n").desc(), "material")).alias("place")
+    exact = views.top_k(lines, "material", 3).select(place, F.col("n").alias("n_exact"))
+    sketch = views.top_k(lines, "material", 3, exact=False, tracked=TRACKED).select(place, "n")
+    slack = lines.agg(F.count("*") / TRACKED).scalar()
+    near = F.abs(F.col("n") - F.col("n_exact")) <= slack
+    return exact.join(sketch, "place").select("place", "n_exact", near.alias("within_error"))
+
+
+@query
+def quantity_ranks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact by ascending net quantity, unknown ones last: places of the first hundred rows."""
+    net = netting.net_out(_silver(spark, sf_dir), "pairwise")
+    fact = star.fact_left_enrich(adapter.billing_lines(spark, sf_dir), net)
+    first = views.by_final_qty(fact).limit(100)
+    return first.groupBy("final_qty").agg(F.count("*").alias("n_rows"))
 
 
 # --- change capture and merge ---------------------------------------------------------------------
@@ -555,6 +584,9 @@ def sales_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
 def billing_type_share(spark: SparkSession, sf_dir: str) -> DataFrame:
     silver = _silver(spark, sf_dir)
     lines = star.fact_sales(netting.net_out(silver, invoice_types=tuple(fx.BILLING_TYPE_NAMES)))
+    # Codes without a name of their own share one label.
+    unknown = F.when(F.col("billing_type") == "ZXP", F.concat(F.lit("X"), F.col("item") % 2)).otherwise(F.col("billing_type"))
+    lines, silver = (frame.withColumn("billing_type", unknown) for frame in (lines, silver))
     by_type = views.sales_by_billing_type(lines, star.dim_billing_type(silver))
     return dash.share(by_type, "billing_type_desc", "total_final_qty")
 

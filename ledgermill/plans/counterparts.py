@@ -94,6 +94,22 @@ TABLES = {
         FROM (SELECT * FROM b WHERE billing_type = 'ZF2') s
         LEFT JOIN (SELECT * FROM b WHERE billing_type IN ('ZRE', 'S1')) r
           ON (s.billing_document, s.material, s.item_description) = (r.assignment, r.material, r.item_description)""",
+    "returned_by_type": """
+        SELECT assignment, material, item_description, count(*) AS n_returns,
+               CAST(sum(billing_qty_in_sku) FILTER (WHERE billing_type = 'ZRE') AS BIGINT) AS zre_bq,
+               CAST(sum(billing_qty_in_sku) FILTER (WHERE billing_type = 'S1') AS BIGINT) AS s1_bq
+        FROM b WHERE billing_type IN ('ZRE', 'S1') AND material IS NOT NULL GROUP BY ALL""",
+    "net_lines": f"""
+        SELECT {", ".join("s." + name for name in fx.BILLING_COLUMNS)}, coalesce(n_returns, 0) AS n_returns, zre_bq, s1_bq,
+               s.billing_qty_in_sku - coalesce(zre_bq, 0) - coalesce(s1_bq, 0) AS final_qty
+        FROM b s LEFT JOIN returned_by_type r
+          ON s.billing_document = r.assignment AND s.material = r.material AND s.item_description = r.item_description
+        WHERE s.billing_type = 'ZF2'""",
+    "one_per_line": """
+        SELECT b.billing_document, b.item, b.billing_date, b.billing_qty_in_sku, b.material, b.billing_type,
+               b.assignment, n.final_qty
+        FROM b LEFT JOIN (SELECT billing_document, item, CAST(sum(final_qty) AS BIGINT) AS final_qty FROM net_lines GROUP BY ALL) n
+          ON n.billing_document = b.billing_document AND n.item = b.item""",
     "enriched": """
         SELECT b.billing_document, b.item, b.billing_date, b.billing_qty_in_sku, b.material, b.billing_type,
                b.assignment, p.final_qty
@@ -238,22 +254,15 @@ COUNTERPARTS: dict[str, str] = {
     "dq_summary": _sql("SELECT data_quality_flag, count(*) AS record_count FROM silver GROUP BY 1"),
     "returns_agg": _sql("SELECT * FROM returned"),
     "gold_netout": _sql("SELECT * FROM gold"),
-    "gold_pairwise": _sql("SELECT * FROM pairs"),
+    "gold_pairwise": _sql("SELECT * FROM net_lines"),
     "gold_priority": _sql(
-        f"""SELECT {", ".join("c." + name for name in fx.BILLING_COLUMNS)},
-                   z.billing_qty_in_sku AS zre_bq, s.billing_qty_in_sku AS s1_bq,
-                   c.billing_qty_in_sku - CASE WHEN z.billing_document IS NOT NULL THEN z.billing_qty_in_sku
-                                               WHEN s.billing_document IS NOT NULL THEN s.billing_qty_in_sku
-                                               ELSE 0 END AS final_quantity
-            FROM (SELECT DISTINCT {NINE} FROM b
-                  WHERE billing_type = 'ZF2'
-                     OR (billing_document, material) IN
-                        (SELECT (assignment, material) FROM b
-                         WHERE billing_type IN ('ZRE', 'S1') AND material IS NOT NULL)) c
-            LEFT JOIN (SELECT * FROM b WHERE billing_type = 'ZRE') z
-              ON z.assignment = c.billing_document AND z.material = c.material
-            LEFT JOIN (SELECT * FROM b WHERE billing_type = 'S1') s
-              ON s.assignment = c.billing_document AND s.material = c.material"""
+        f"""SELECT {", ".join("c." + name for name in fx.BILLING_COLUMNS)}, r.zre_bq, r.s1_bq,
+                   c.billing_qty_in_sku - coalesce(r.zre_bq, r.s1_bq, 0) AS final_quantity
+            FROM (SELECT DISTINCT {NINE} FROM b) c
+            LEFT JOIN (SELECT assignment, material, CAST(sum(zre_bq) AS BIGINT) AS zre_bq,
+                              CAST(sum(s1_bq) AS BIGINT) AS s1_bq FROM returned_by_type GROUP BY ALL) r
+              ON r.assignment = c.billing_document AND r.material = c.material
+            WHERE c.billing_type = 'ZF2' OR r.assignment IS NOT NULL"""
     ),
     "affected_invoices": _sql(
         f"""SELECT billing_document, item FROM b i
@@ -282,7 +291,7 @@ COUNTERPARTS: dict[str, str] = {
            FROM products"""
     ),
     "fact_sales": _sql(f"SELECT {FACT}, return_qty, final_qty, t_final_amount FROM gold"),
-    "fact_left_enrich": _sql("SELECT * FROM enriched"),
+    "fact_left_enrich": _sql("SELECT * FROM one_per_line"),
     "fact_append_once": _sql(
         """SELECT 1001 + billing_document % 2 AS batch_id, count(*) AS n_rows,
                   CAST(sum(final_qty) AS BIGINT) AS total_final_qty
@@ -314,6 +323,16 @@ COUNTERPARTS: dict[str, str] = {
     "top_products": _sql("SELECT * FROM by_product ORDER BY total_final_qty DESC, material LIMIT 10"),
     "latest_dates": _sql("SELECT * FROM by_date ORDER BY date_key DESC LIMIT 30"),
     "approx_percentile_qty": _sql("SELECT quantile_disc(billing_qty_in_sku, 0.7) AS value FROM b"),
+    "approx_distinct_docs": _sql("SELECT count(DISTINCT billing_document) AS n_exact, true AS within_error FROM b"),
+    "approx_distinct_merged": _sql("SELECT count(DISTINCT billing_document) AS n_exact, true AS within_error FROM b"),
+    "approx_top_materials": _sql(
+        """SELECT CAST(row_number() OVER (ORDER BY n DESC, material) AS INTEGER) AS place, n AS n_exact, true AS within_error
+           FROM (SELECT material, count(*) AS n FROM b WHERE material IS NOT NULL GROUP BY 1 ORDER BY n DESC, material LIMIT 3)"""
+    ),
+    "quantity_ranks": _sql(
+        """SELECT final_qty, count(*) AS n_rows
+           FROM (SELECT final_qty FROM one_per_line ORDER BY final_qty NULLS LAST LIMIT 100) GROUP BY 1"""
+    ),
     "top_k_documents": _sql(
         "SELECT billing_document, count(*) AS n FROM b GROUP BY 1 ORDER BY n DESC, billing_document LIMIT 3"
     ),
@@ -374,7 +393,8 @@ COUNTERPARTS: dict[str, str] = {
     "billing_type_share": _sql(
         """SELECT billing_type_desc, total_qty,
                   CAST(total_qty AS DOUBLE) / CAST((sum(total_qty) OVER ()) AS DOUBLE) AS share
-           FROM (SELECT billing_type_desc, CAST(sum(final_qty) AS BIGINT) AS total_qty
+           FROM (SELECT if(billing_type = 'ZXP', 'Other', billing_type_desc) AS billing_type_desc,
+                        CAST(sum(final_qty) AS BIGINT) AS total_qty
                  FROM netted JOIN types USING (billing_type) GROUP BY 1)"""
     ),
     "category_sales": _sql(

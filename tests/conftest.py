@@ -46,10 +46,10 @@ def lines(spark):
                 "billing_document": None,
                 "item": None,
                 "billing_type": None,
-                "billing_date": date(2025, 11, 6),
+                "billing_date": date(1996, 3, 14),
                 "billing_qty_in_sku": None,
-                "material": "34000009",
-                "item_description": "Feed P Broiler Finisher",
+                "material": "M-0417",
+                "item_description": "broiler pellets",
                 "material_group": "G01",
                 "assignment": None,
             }

@@ -47,7 +47,7 @@ def test_groupings_skip_unknown_keys(rows):
 
 
 def test_share(spark):
-    view = spark.createDataFrame([("a", 30), ("b", 10)], "billing_type_desc string, total_final_qty bigint")
+    view = spark.createDataFrame([("a", 20), ("b", 10), ("a", 10)], "billing_type_desc string, total_final_qty bigint")
     assert {tuple(r) for r in d.share(view, "billing_type_desc", "total_final_qty").collect()} == {
         ("a", 30, 0.75), ("b", 10, 0.25),
     }

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from ledgermill.functions.rules import clean
 from ledgermill.operators.netting import affected_invoices, net_out, pairwise_totals, unmatched_returns
+from ledgermill.operators.star import fact_left_enrich
 from ledgermill.plans.load import refresh_gold
 
 
@@ -17,12 +18,12 @@ def by_line(frame, *columns):
 def test_delivered_sample(lines):
     silver = clean(
         lines(
-            (80001928, 10, "ZF2", 400, {"assignment": 80001928}),
-            (85000125, 10, "ZRE", 10, {"assignment": 80001928}),
+            (910000011, 10, "ZF2", 64, {"assignment": 910000011}),
+            (910000077, 10, "ZRE", 9, {"assignment": 910000011}),
         )
     )
     assert by_line(net_out(silver), "return_qty", "final_qty", "t_final_amount") == {
-        (80001928, 10): (10, 390, 390)
+        (910000011, 10): (9, 55, 55)
     }
     assert silver.select("product_category", "data_quality_flag").distinct().first() == ("Broiler Feed", "VALID")
 
@@ -52,7 +53,7 @@ def test_sum_mode_rules(lines):
     assert {row.billing_document for row in unmatched_returns(silver).collect()} == {93, 94, 96}
 
 
-def test_pairwise_repeats_a_line_per_return(lines):
+def test_pairwise_gives_one_row_per_line(lines):
     silver = clean(
         lines(
             (1, 10, "ZF2", 100),
@@ -61,8 +62,8 @@ def test_pairwise_repeats_a_line_per_return(lines):
             (92, 10, "S1", None, {"assignment": 1}),
         )
     )
-    pairs = net_out(silver, "pairwise")
-    assert sorted((row.billing_document, row.final_qty) for row in pairs.collect()) == [(1, 40), (1, 100), (2, -7)]
+    net = net_out(silver, "pairwise")
+    assert by_line(net, "n_returns", "zre_bq", "s1_bq", "final_qty") == {(1, 10): (2, 60, None, 40), (2, 10): (0, None, None, -7)}
     assert by_line(pairwise_totals(silver), "n_rows", "final_qty") == {(1, 10): (2, 140), (2, 10): (1, -7)}
 
 
@@ -88,6 +89,21 @@ def test_priority_prefers_the_first_return_type(lines):
     }
 
 
+def test_a_key_with_many_lines_and_returns_gives_its_lines(lines):
+    n = 300
+    rows = [(7, item, "ZF2", 10) for item in range(n)]
+    rows += [(1000 + k, 1, code, 1, {"assignment": 7}) for k in range(n) for code in ("ZRE", "S1")]
+    silver = clean(lines(*rows))
+    for mode in ("pairwise", "priority"):
+        net = net_out(silver, mode)
+        assert net.count() == n
+        scans = net._jdf.queryExecution().optimizedPlan().toString().count("LocalRelation") + net._jdf.queryExecution().optimizedPlan().toString().count("LogicalRDD")
+        assert scans == 2
+    fact = fact_left_enrich(silver, net_out(silver, "pairwise"))
+    assert fact.count() == 3 * n
+    assert fact.agg({"final_qty": "sum"}).first()[0] == n * (10 - 2 * n)
+
+
 def feed_of(frame, action, is_update=False):
     return frame.withColumns(
         {"_action": F.lit(action), "_is_update": F.lit(is_update), "_seq": F.lit(1).cast("bigint")}

@@ -9,13 +9,13 @@ from ledgermill.functions.rules import categorize, clean, describe, final_amount
 
 def test_category_takes_the_first_rule_that_matches(spark):
     texts = {
-        "Feed P Broiler Finisher": "Broiler Feed",
+        "broiler pellets": "Broiler Feed",
         "broiler and layer": "Broiler Feed",
         "Layer mash": "Layer Feed",
         "calf starter": "Cattle Feed",
         "CATTLE 20": "Cattle Feed",
         "pig with deshi": "Pig Feed",
-        "Feed P Oroiler Starter CRB50": "Other",
+        "plain mash": "Other",
         None: "Other",
     }
     frame = spark.createDataFrame([(text,) for text in texts], "t string")
@@ -42,7 +42,7 @@ def test_quality_flag_names_the_first_defect(lines):
         6: "VALID",
     }
     months = {row.year_month for row in clean(rows).filter("billing_date is not null").collect()}
-    assert months == {"2025-11"}
+    assert months == {"1996-03"}
 
 
 def test_final_amount(spark):
@@ -61,4 +61,4 @@ def test_describe(spark):
 
 
 def test_literal_dates_stay_dates(lines):
-    assert lines((1, 1, "ZF2", 1)).first().billing_date == date(2025, 11, 6)
+    assert lines((1, 1, "ZF2", 1)).first().billing_date == date(1996, 3, 14)

@@ -13,13 +13,13 @@ from ledgermill.streaming.refresh import csv_stream, last_version, start_refresh
 
 HEADER = ",".join(name.upper() for name in fx.BILLING_COLUMNS) + "\n"
 FIRST = HEADER + (
-    "80001928,10,ZF2,11/06/2025,400,34000009,Broiler,G01,80001928\n"
-    "80001929,10,ZF2,11/07/2025,50,34000010,Layer,G01,80001929\n"
+    "910000011,10,ZF2,03/14/1996,64,M-0417,Broiler,G01,910000011\n"
+    "910000012,10,ZF2,03/15/1996,50,M-0933,Layer,G01,910000012\n"
 )
 SECOND = HEADER + (
-    "85000125,10,ZRE,11/06/2025,10,34000009,Broiler,G01,80001928\n"
-    "80001928,10,ZF2,11/06/2025,999,34000009,Broiler,G01,80001928\n"
-    "80001930,10,ZF2,12/01/2025,7,34000011,Fish,G02,80001930\n"
+    "910000077,10,ZRE,03/14/1996,9,M-0417,Broiler,G01,910000011\n"
+    "910000011,10,ZF2,03/14/1996,999,M-0417,Broiler,G01,910000011\n"
+    "910000013,10,ZF2,06/02/1996,7,M-1205,Fish,G02,910000013\n"
 )
 STAMPS = ("created_at", "updated_at")
 
@@ -51,7 +51,7 @@ def test_two_batches_and_a_replay(spark, put, tmp_path):
     second = put("two", "b.csv", SECOND)
     load.run(spark, second, out, batch_id=1002).collect()
     gold = {r.billing_document: (r.billing_qty_in_sku, r.return_qty, r.final_qty) for r in load.layer(layers, "gold", 1002).collect()}
-    assert gold == {80001928: (400, 10, 390), 80001929: (50, 0, 50), 80001930: (7, 0, 7)}
+    assert gold == {910000011: (64, 9, 55), 910000012: (50, 0, 50), 910000013: (7, 0, 7)}
     silver = load.layer(layers, "silver", 1002)
     assert silver.count() == 4 and layers.read_all("bronze").count() == 5
     full = sorted((tuple(r) for r in net_out(clean(silver.select(*fx.BILLING_COLUMNS))).collect()), key=str)
@@ -60,7 +60,7 @@ def test_two_batches_and_a_replay(spark, put, tmp_path):
     load.run(spark, second, out, batch_id=1002).collect()
     assert {name: table(layers, name, 1002) for name in before} == before
     assert spark.table("vw_sales_dashboard").count() == 3
-    assert spark.table("vw_sales_by_billing_type").first().total_returns == 10
+    assert spark.table("vw_sales_by_billing_type").first().total_returns == 9
 
 
 def test_no_new_rows_writes_nothing(spark, put, tmp_path):
@@ -71,7 +71,7 @@ def test_no_new_rows_writes_nothing(spark, put, tmp_path):
 
 
 def test_a_failed_step_stops_the_run(spark, put, tmp_path):
-    bad = put("bad", "x.csv", HEADER + "x,10,ZF2,11/06/2025,1,3,d,g,5\n")
+    bad = put("bad", "x.csv", HEADER + "x,10,ZF2,03/14/1996,1,3,d,g,5\n")
     report = load.run(spark, bad, str(tmp_path / "out")).collect()
     assert report[0].status == "failed" and {r.status for r in report[1:]} == {"skipped"}
     with pytest.raises(load.RunFailed):
@@ -119,10 +119,10 @@ def test_only_touched_buckets_are_written_and_read(spark, put, tmp_path):
     load.run(spark, put("two", "b.csv", SECOND), out, batch_id=1002).collect()
     live = {row.bucket: row.v for row in layers.read("silver_in_64_live", 1002).collect()}
     assert set(live.values()) == {1001, 1002}
-    untouched = layers.buckets_of(spark.createDataFrame([(80001929,)], "billing_document bigint"))
+    untouched = layers.buckets_of(spark.createDataFrame([(910000012,)], "billing_document bigint"))
     assert live[untouched.first().bucket] == 1001
     part = layers.read_buckets("silver", 1002, load.BUCKETED["silver"], untouched)
-    assert {row.billing_document for row in part.collect()} == {80001929}
+    assert {row.billing_document for row in part.collect()} == {910000012}
     plan = part._jdf.queryExecution().executedPlan().toString()
     assert "dynamicpruning" in plan
 

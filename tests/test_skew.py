@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ledgermill.functions.rules import clean
 from ledgermill.operators.edits import update_from
-from ledgermill.operators.joins import attach, attach_all
+from ledgermill.operators.joins import attach
 from ledgermill.operators.merge import merge_cdc
 from ledgermill.operators.netting import net_out, pairwise_totals, unmatched_returns
 
@@ -23,9 +23,9 @@ def hot_lines(spark):
         document.cast("bigint").alias("billing_document"),
         line.alias("item"),
         F.lit("ZF2").alias("billing_type"),
-        F.lit("2025-11-06").cast("date").alias("billing_date"),
+        F.lit("1996-03-14").cast("date").alias("billing_date"),
         F.lit(10).cast("bigint").alias("billing_qty_in_sku"),
-        F.lit("34000009").alias("material"),
+        F.lit("M-0417").alias("material"),
         F.lit("Broiler").alias("item_description"),
         F.sha2(line.cast("string"), 256).alias("material_group"),
         document.cast("bigint").alias("assignment"),
@@ -35,9 +35,9 @@ def hot_lines(spark):
         (line + 9_000_000).alias("billing_document"),
         F.lit(10).cast("bigint").alias("item"),
         F.lit("ZRE").alias("billing_type"),
-        F.lit("2025-11-06").cast("date").alias("billing_date"),
+        F.lit("1996-03-14").cast("date").alias("billing_date"),
         F.lit(4).cast("bigint").alias("billing_qty_in_sku"),
-        F.lit("34000009").alias("material"),
+        F.lit("M-0417").alias("material"),
         F.lit("Broiler").alias("item_description"),
         F.lit("g").alias("material_group"),
         pointed_at.cast("bigint").alias("assignment"),
@@ -66,20 +66,6 @@ def test_pairwise_netting_splits_a_hot_document(spark, hot_lines, small_partitio
     assert pairs.count() == N
 
 
-def test_pairwise_netting_splits_a_document_with_very_many_returns(spark, hot_lines, small_partitions):
-    turned = hot_lines.withColumns(
-        {
-            "billing_type": F.when(F.col("billing_type") == "ZF2", "ZRE").otherwise("ZF2"),
-            "billing_qty_in_sku": F.pmod(F.xxhash64("item"), F.lit(10**15)),
-            "billing_document": F.col("assignment"),
-            "assignment": F.col("billing_document"),
-        }
-    )
-    pairs = net_out(turned, "pairwise")
-    assert "SortMergeJoin(skew=true)" in final_plan(pairs)
-    assert pairs.count() == N // 3 + 299
-
-
 def test_priority_netting_splits_a_hot_document(spark, hot_lines, small_partitions):
     netted = net_out(hot_lines, "priority")
     assert "SortMergeJoin(skew=true)" in final_plan(netted)
@@ -87,7 +73,9 @@ def test_priority_netting_splits_a_hot_document(spark, hot_lines, small_partitio
 
 
 def test_totals_need_no_pairs(spark, hot_lines, small_partitions):
-    pairs = net_out(hot_lines, "pairwise").agg(F.count("*"), F.sum("final_qty")).first()
+    returns = hot_lines.filter("billing_type = 'ZRE'").selectExpr("assignment as billing_document", "billing_qty_in_sku as r")
+    pairs = hot_lines.filter("billing_type = 'ZF2'").join(returns, "billing_document", "left")
+    pairs = pairs.agg(F.count("*"), F.sum(F.expr("billing_qty_in_sku - coalesce(r, 0)"))).first()
     totals = pairwise_totals(hot_lines).agg(F.sum("n_rows"), F.sum("final_qty")).first()
     assert tuple(pairs) == tuple(totals)
 
@@ -124,9 +112,6 @@ def test_update_from_splits_a_hot_key(spark, hot_lines, small_partitions):
 
 def test_joins_equal_the_plain_ones(spark):
     left = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c"), (None, "d")], "k int, v string")
-    right = spark.createDataFrame([(1, 10), (1, 11), (3, 12), (None, 13)], "q int, w int")
-    plain = sorted(left.join(right, F.expr("k = q"), "left").select("k", "v", "w").collect(), key=str)
-    assert sorted(attach_all(left, right, {"k": "q"}).collect(), key=str) == plain
     one = spark.createDataFrame([(1, 10), (None, 13)], "q int, w int")
     for how in ("left", "inner", "left_semi", "left_anti"):
         kept = ["k", "v"] if how in ("left_semi", "left_anti") else ["k", "v", "w"]

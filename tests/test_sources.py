@@ -14,13 +14,13 @@ HEADER = (
 )
 GOOD = (
     HEADER
-    + '80001928,10,ZF2,11/06/2025,400,34000009,"Broiler, ""Pellet50""",G01,80001928\n'
-    + "85000125,10,ZRE,1/6/2025,10,34000009,Broiler,G01,80001928\n"
+    + '910000011,10,ZF2,03/14/1996,64,M-0417,"Broiler, ""coarse""",G01,910000011\n'
+    + "910000077,10,ZRE,1/9/1996,9,M-0417,Broiler,G01,910000011\n"
 )
 DIRTY = HEADER + (
     "1,10,ZF2,13/45/2025,10.5,NULL,null,,1\n"
-    "2,20,ZF2,11/06/2025,-10.5,340,x,g,2\n"
-    "3,x,ZF2,11/06/2025,many,340,x,g,3\n"
+    "2,20,ZF2,03/14/1996,-10.5,340,x,g,2\n"
+    "3,x,ZF2,03/14/1996,many,340,x,g,3\n"
 )
 
 
@@ -36,15 +36,15 @@ def inbox(tmp_path):
 
 
 def test_columns_are_read_by_position_with_lineage(spark, inbox):
-    good, bad = read_billing_csv(spark, inbox("a.csv", GOOD), batch_id=1007, as_of=F.lit("2025-11-07").cast("timestamp"))
+    good, bad = read_billing_csv(spark, inbox("a.csv", GOOD), batch_id=1007, as_of=F.lit("1996-03-15").cast("timestamp"))
     rows = {row.billing_document: row for row in good.collect()}
-    assert rows[80001928].item_description == 'Broiler, "Pellet50"'
-    assert rows[80001928].billing_date == date(2025, 11, 6)
-    assert rows[85000125].billing_date == date(2025, 1, 6)
-    assert rows[85000125].assignment == 80001928
+    assert rows[910000011].item_description == 'Broiler, "coarse"'
+    assert rows[910000011].billing_date == date(1996, 3, 14)
+    assert rows[910000077].billing_date == date(1996, 1, 9)
+    assert rows[910000077].assignment == 910000011
     assert {row.source_file for row in rows.values()} == {"a.csv"}
     assert {row.batch_id for row in rows.values()} == {1007}
-    assert {row.ingestion_timestamp.isoformat() for row in rows.values()} == {"2025-11-07T00:00:00"}
+    assert {row.ingestion_timestamp.isoformat() for row in rows.values()} == {"1996-03-15T00:00:00"}
     assert bad.count() == 0
 
 
@@ -82,7 +82,7 @@ def test_only_new_files_are_loaded(spark, inbox):
     ledger = deliveries.record_files(ledger, files, 1001)
     assert read_billing_csv(spark, path, ledger=ledger)[0].count() == 0
     assert read_billing_csv(spark, path, ledger=ledger, force=True)[0].count() == 2
-    inbox("b.csv", HEADER + "5,10,ZF2,11/06/2025,1,3,d,g,5\n")
+    inbox("b.csv", HEADER + "5,10,ZF2,03/14/1996,1,3,d,g,5\n")
     assert [row.billing_document for row in read_billing_csv(spark, path, ledger=ledger)[0].collect()] == [5]
 
 

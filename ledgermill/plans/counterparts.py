@@ -371,7 +371,27 @@ COUNTERPARTS: dict[str, str] = {
         + _counts(*LAYERS)
         + ") UNION ALL SELECT 'views', NULL, 'done'"
     ),
-    "reset_report": _sql("SELECT layer, n_rows AS rows_deleted FROM (" + _counts(*LAYERS) + ")"),
+    "reset_report": _sql("SELECT layer, n_rows AS rows_deleted, 0 AS rows_left FROM (" + _counts(*LAYERS) + ")"),
+    "load_twice": _sql(_counts(*LAYERS)),
+    "quarantine_run": _sql(
+        """SELECT unnest(['bronze', 'silver', 'quarantine']) AS step, unnest([good, good, bad]) AS n_rows
+           FROM (SELECT count(*) FILTER (WHERE assignment % 50 <> 0) AS good,
+                        count(*) FILTER (WHERE assignment % 50 = 0) AS bad FROM b)"""
+    ),
+    "edited_layers": _sql(
+        """SELECT 'silver' AS layer, count(*) AS n_rows, CAST(sum(billing_qty_in_sku) AS BIGINT) AS quantity FROM after
+           UNION ALL
+           SELECT unnest(['gold', 'fact_sales']), count(*), CAST(sum(billing_qty_in_sku) AS BIGINT) FROM after
+           WHERE billing_type = 'ZF2' AND billing_date IS NOT NULL AND billing_qty_in_sku >= 0 AND material IS NOT NULL
+           GROUP BY ALL"""
+    ),
+    "empty_run": _sql(
+        f"""SELECT 'bronze' AS step, unnest([count(*), 0]) AS n_rows, unnest(['done', 'skipped']) AS status,
+                   CAST({fx.FIRST_BATCH_ID} AS BIGINT) AS newest FROM b"""
+    ),
+    "rows_per_file": _sql(
+        "SELECT billing_type, CAST(1007 AS BIGINT) AS batch_id, count(*) AS n_rows, 1 AS n_files FROM b GROUP BY 1"
+    ),
     "stream_refresh": _sql(_counts(*LAYERS)),
     "dash_filter": _sql(
         f"""SELECT * FROM dash

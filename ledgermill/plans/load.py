@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import hashlib
+import uuid
+from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import inheritable_thread_target
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,11 +16,12 @@ from ledgermill import fixed_values as fx
 from ledgermill.functions.rules import clean, one_of
 from ledgermill.operators import views
 from ledgermill.operators.changes import net_changes
+from ledgermill.operators.edits import update_where
 from ledgermill.operators.joins import attach
 from ledgermill.operators.merge import DOCUMENT_LINE, merge_cdc
 from ledgermill.operators.netting import net_out
 from ledgermill.operators.star import fact_sales, load_dimensions
-from ledgermill.sources.billing_csv import read_billing_csv
+from ledgermill.sources.billing_csv import stamp_batch
 from ledgermill.sources.layers import DEFAULT_BUCKETS, Layers, column_names, empty
 
 REPORT_SCHEMA = "step string, n_rows bigint, status string, message string"
@@ -111,13 +115,19 @@ def refresh(
     previous: int | None,
     as_of: Column | None = None,
     skip_empty: bool = True,
+    load_key: str | None = None,
+    quarantined: DataFrame | None = None,
 ) -> list[tuple]:
     """Write version ``version`` of every layer from ``previous`` and the delivered rows.
 
     Of silver, gold and fact only the buckets with changed documents are read and written. The
     report counts the rows written. It stops at the first failing step; without new rows nothing
-    is written.
+    is written. ``quarantined`` rows are stored beside the layers and counted in the report. A
+    version counts once all steps are done, when it is recorded as the work of ``load_key``.
     """
+    newest = layers.latest()
+    if newest is not None and version < newest:
+        raise RunFailed(f"version {version} is older than {newest}, which builds on it or replaces it")
     moment = (F.current_timestamp() if as_of is None else as_of).cast("timestamp_ntz")
     if previous is not None and not layers.has_buckets("silver", previous):
         raise RunFailed(f"version {previous} of the silver layer does not exist")
@@ -166,7 +176,10 @@ def refresh(
                 if previous is None
                 else layers.read(name, previous)
             )
-            rows = load_dimensions(current("silver", version), {name: old}, moment)[name]
+            # Days and types are only ever added, so the rewritten buckets are enough; a product's latest line may
+            # lie in any other.
+            lines = current("silver", version) if name == "dim_product" else made["silver"]
+            rows = load_dimensions(lines, {name: old}, moment)[name]
             return layers.write(rows, name, version)
 
         return load
@@ -177,9 +190,12 @@ def refresh(
     def bi_views() -> None:
         register_views(layers, version)
 
+    def quarantine() -> DataFrame:
+        return layers.write(quarantined, "quarantine", version)
+
     # Steps of one group need only earlier groups and run as jobs side by side.
     groups = [
-        {"bronze": bronze},
+        {"bronze": bronze} if quarantined is None else {"bronze": bronze, "quarantine": quarantine},
         {"silver": silver},
         {"gold": gold, **{name: dimension(name) for name in DIMENSIONS}},
         {"fact_sales": fact},
@@ -194,7 +210,7 @@ def refresh(
             made[name] = table
             return (name, table.count(), "done", "")
         except Exception as error:  # the report is the place where a failed step shows
-            return (name, None, "failed", str(error).splitlines()[0][:500])
+            return (name, None, "failed", str(error))
 
     attempt_in_thread = inheritable_thread_target(layers.spark)(attempt)
     report: list[tuple] = []
@@ -204,8 +220,12 @@ def refresh(
             continue
         with ThreadPoolExecutor(len(group)) as pool:
             report += list(pool.map(attempt_in_thread, group.keys(), group.values()))
-        if skip_empty and report[0][:3] == ("bronze", 0, "done"):
+        nothing = all(row[1:3] == (0, "done") for row in report if row[0] in ("bronze", "quarantine"))
+        if skip_empty and nothing:
             return [("bronze", 0, "skipped", "no new rows")]
+    if all(row[2] == "done" for row in report):
+        since = version if previous is None else layers.since(previous) or previous
+        layers.record(load_key or f"version:{version}", version, previous, since)
     return report
 
 
@@ -213,28 +233,75 @@ def run(
     spark: SparkSession,
     in_dir: str,
     out_dir: str,
-    batch_id: int = fx.FIRST_BATCH_ID,
+    batch_id: int | None = None,
     as_of: Column | None = None,
-    previous: int | None = None,
     on_error: str = "abort",
     buckets: int = DEFAULT_BUCKETS,
+    force: bool = False,
 ) -> DataFrame:
-    """Load the files under ``in_dir`` as one batch and report every step.
+    """Load the files under ``in_dir`` that were not loaded before as one batch and report every step.
 
-    Batches are numbered without gaps from the first one; a run without new rows uses up no
-    number. ``previous`` names the version to build on where that rule does not hold.
+    Which files those are is kept beside the layers by a file stream that stops when it has caught up;
+    a file that comes again under its name is not loaded again. ``force`` loads all files. Batches are
+    numbered without gaps from the first one; a run without new rows uses up no number. ``batch_id`` only
+    states which number is expected. Bad rows are kept in the table ``quarantine`` if ``on_error`` says so.
     """
-    if previous is None and batch_id != fx.FIRST_BATCH_ID:
-        previous = batch_id - 1
-    good, _ = read_billing_csv(spark, in_dir, batch_id=batch_id, as_of=as_of, on_error=on_error)
-    report = refresh(Layers(spark, out_dir, buckets), good, batch_id, previous, as_of)
-    return spark.createDataFrame(report, REPORT_SCHEMA)
+    from ledgermill.streaming.refresh import csv_stream, start_refresh
+
+    layers = Layers(spark, out_dir, buckets)
+    expected = next_version(layers)
+    if batch_id not in (None, expected, expected - 1):
+        raise RunFailed(f"the next batch is {expected}, not {batch_id}")
+    known = uuid.uuid4().hex if force else hashlib.sha256(in_dir.rstrip("/").encode()).hexdigest()[:16]
+    reports: list[list[tuple]] = []
+    stream = start_refresh(
+        spark, csv_stream(spark, in_dir), out_dir, f"{layers.root}/_loaded/{known}", buckets=buckets, as_of=as_of,
+        on_error=on_error, reports=reports, skip_empty=True,
+    )
+    try:
+        stream.awaitTermination()
+    except StreamingQueryException:
+        if not reports:
+            raise
+    return spark.createDataFrame(reports[-1] if reports else [("bronze", 0, "skipped", "no new rows")], REPORT_SCHEMA)
+
+
+def next_version(layers: Layers) -> int:
+    """The number of the next load."""
+    newest = layers.latest()
+    return fx.FIRST_BATCH_ID if newest is None else newest + 1
+
+
+def edit(
+    layers: Layers, condition: Column, values: Mapping[str, Column] | None = None, as_of: Column | None = None
+) -> list[tuple]:
+    """Update the lines that meet a condition, or delete them if no ``values`` are given, in every layer.
+
+    The lines are those of the newest version; the edit becomes a change feed, a delivery like any
+    other, and the next version. Lines without document or item can't be told apart and are not edited.
+    """
+    newest = layers.latest()
+    if newest is None:
+        raise RunFailed("there is nothing to edit yet")
+    known = F.col("billing_document").isNotNull() & F.col("item").isNotNull()
+    lines = layer(layers, "silver", newest).filter(condition & known).select(*fx.BILLING_COLUMNS)
+
+    def feed(rows: DataFrame, action: str, seq: int) -> DataFrame:
+        return rows.withColumns(
+            {"_action": F.lit(action), "_is_update": F.lit(values is not None), "_seq": F.lit(seq).cast("bigint")}
+        )
+
+    changes = feed(lines, "DELETE", 1)
+    if values is not None:
+        changes = changes.unionByName(feed(update_where(lines, F.lit(True), values), "INSERT", 2))
+    batch = stamp_batch(changes.withColumn("source_file", F.lit(None).cast("string")), newest + 1, as_of)
+    return refresh(layers, batch, newest + 1, newest, as_of)
 
 
 def layer(layers: Layers, name: str, version: int) -> DataFrame:
-    """A layer table as of a version."""
+    """A layer table as of a version; bronze holds all rows delivered since it was last emptied."""
     if name == "bronze":
-        return layers.read_all(name)
+        return layers.read_all(name, layers.since(version) or 0, version)
     if name in BUCKETED:
         return layers.read_buckets(name, version, BUCKETED[name])
     return layers.read(name, version)
@@ -285,5 +352,8 @@ def reset_layers(
                 layers.write(table.limit(0), name, next_version)
             report.append((name, n_rows, None))
         except Exception as error:  # reported per table
-            report.append((name, None, str(error).splitlines()[0][:500]))
+            report.append((name, None, str(error)))
+    if all(error is None for name, _, error in report if name in RESET_ORDER):
+        # Bronze counts from here on.
+        layers.record(f"reset:{next_version}", next_version, version, next_version)
     return layers.spark.createDataFrame(report, "layer string, rows_deleted bigint, error string")

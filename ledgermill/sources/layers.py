@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from ledgermill.operators.joins import attach
 
 DEFAULT_BUCKETS = 64
+LOAD_SCHEMA = "load_key string, version bigint, previous bigint, since bigint"
 
 
 def column_names(schema: str) -> list[str]:
@@ -44,9 +45,10 @@ class Layers:
     def read(self, table: str, version: int) -> DataFrame:
         return self.spark.read.parquet(self.path(table, version))
 
-    def read_all(self, table: str, since: int = 0) -> DataFrame:
-        """Rows of all versions from one on, for a layer whose versions hold only their own rows."""
-        return self.spark.read.parquet(f"{self.root}/{table}").filter(F.col("v") >= since).drop("v")
+    def read_all(self, table: str, since: int = 0, until: int | None = None) -> DataFrame:
+        """Rows of all versions from one to another, for a layer whose versions hold only their own rows."""
+        rows = self.spark.read.parquet(f"{self.root}/{table}").filter(F.col("v") >= since)
+        return (rows if until is None else rows.filter(F.col("v") <= until)).drop("v")
 
     def exists(self, table: str, version: int) -> bool:
         try:
@@ -59,6 +61,33 @@ class Layers:
         frame.write.mode("overwrite").parquet(self.path(table, version))
         return self.read(table, version)
 
+    # Which loads made which versions
+
+    def loads(self) -> DataFrame:
+        """One row per finished version: the load that made it, the version before it and the first one whose bronze
+        rows still count."""
+        try:
+            return self.spark.read.schema(LOAD_SCHEMA).parquet(f"{self.root}/loads")
+        except AnalysisException:
+            return empty(self.spark, LOAD_SCHEMA)
+
+    def latest(self) -> int | None:
+        """The newest finished version."""
+        return self.loads().agg(F.max("version")).first()[0]
+
+    def made_by(self, load_key: str) -> int | None:
+        """The version that a load has made, if it has finished before."""
+        return self.loads().filter(F.col("load_key") == load_key).agg(F.max("version")).first()[0]
+
+    def record(self, load_key: str, version: int, previous: int | None, since: int) -> None:
+        """Mark a version as finished. Doing so again, by a repeated load, replaces its row."""
+        row = self.spark.createDataFrame([(load_key, version, previous, since)], LOAD_SCHEMA)
+        row.coalesce(1).write.mode("overwrite").parquet(f"{self.root}/loads/load_of={version}")
+
+    def since(self, version: int) -> int | None:
+        """The first version whose bronze rows count in a finished version."""
+        return self.loads().filter(F.col("version") == version).agg(F.max("since")).first()[0]
+
     # Tables in buckets
 
     def _folder(self, table: str) -> str:

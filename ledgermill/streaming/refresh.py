@@ -2,20 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from ledgermill import fixed_values as fx
-from ledgermill.plans.load import RunFailed, refresh
+from ledgermill.plans.load import RunFailed, next_version, refresh
 from ledgermill.sources.billing_csv import CSV_OPTIONS, TEXT_SCHEMA, split_defects, stamp_batch, with_lineage
 from ledgermill.sources.layers import DEFAULT_BUCKETS, Layers
 
 
-def csv_stream(spark: SparkSession, in_dir: str, on_error: str = "abort", **options: str) -> DataFrame:
-    """Typed rows of delivered CSV files as they arrive."""
-    raw = spark.readStream.schema(TEXT_SCHEMA).options(**CSV_OPTIONS, **options).csv(in_dir)
-    return split_defects(with_lineage(raw), on_error)[0]
+def csv_stream(spark: SparkSession, in_dir: str, **options: str) -> DataFrame:
+    """Rows of delivered CSV files as they arrive, still as text; ``start_refresh`` types and checks them."""
+    return with_lineage(spark.readStream.schema(TEXT_SCHEMA).options(**CSV_OPTIONS, **options).csv(in_dir))
 
 
 def parquet_stream(spark: SparkSession, in_dir: str, schema: StructType, **options: str) -> DataFrame:
@@ -31,19 +29,34 @@ def start_refresh(
     checkpoint: str,
     trigger: dict | None = None,
     buckets: int = DEFAULT_BUCKETS,
+    on_error: str = "abort",
+    as_of: Column | None = None,
+    reports: list[list[tuple]] | None = None,
+    skip_empty: bool = False,
 ) -> StreamingQuery:
     """Start the query. ``trigger`` defaults to working off what is there and stopping.
 
-    Micro-batch n writes version 1001 + n from the version before it, and does so again if it is
-    replayed; a failed step fails the query, which resumes from its checkpoint.
+    Each micro-batch becomes the version after the newest one, whoever made that. A micro-batch that is
+    replayed finds the version it has made and leaves it; one that failed half-way writes it again. A
+    failed step fails the query, which resumes from its checkpoint. Rows that come as text are typed here,
+    bad ones treated as ``on_error`` says. ``reports`` gets the report of every micro-batch.
     """
     layers = Layers(spark, out_dir, buckets)
 
     def write_version(batch: DataFrame, epoch: int) -> None:
-        version = fx.FIRST_BATCH_ID + epoch
-        previous = None if epoch == 0 else version - 1
-        # A micro-batch without rows still makes a version, so that there are no gaps.
-        report = refresh(layers, stamp_batch(batch, version), version, previous, skip_empty=False)
+        load_key = f"{checkpoint}:{epoch}"
+        if layers.made_by(load_key) is not None:
+            return
+        newest, version = layers.latest(), next_version(layers)
+        quarantined = None
+        if dict(batch.dtypes)["item"] == "string":
+            batch, bad = split_defects(batch, on_error)
+            quarantined = stamp_batch(bad, version, as_of) if on_error == "quarantine" else None
+        report = refresh(
+            layers, stamp_batch(batch, version, as_of), version, newest, as_of, skip_empty, load_key, quarantined
+        )
+        if reports is not None:
+            reports.append(report)
         failed = [row for row in report if row[2] == "failed"]
         if failed:
             raise RunFailed(f"{failed[0][0]}: {failed[0][3]}")
@@ -54,9 +67,3 @@ def start_refresh(
         .trigger(**(trigger or {"availableNow": True}))
         .start()
     )
-
-
-def last_version(query: StreamingQuery) -> int | None:
-    """Version written by the latest micro-batch with rows, None if the query found nothing to do."""
-    written = [fx.FIRST_BATCH_ID + p["batchId"] for p in query.recentProgress if p["numInputRows"] > 0]
-    return max(written, default=None)

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import functions as F
 
 from ledgermill import fixed_values as fx
 from ledgermill.functions.rules import clean
 from ledgermill.operators.netting import net_out
 from ledgermill.plans import load
 from ledgermill.sources.layers import Layers
-from ledgermill.streaming.refresh import csv_stream, last_version, start_refresh
+from ledgermill.streaming.refresh import csv_stream, start_refresh
 
 HEADER = ",".join(name.upper() for name in fx.BILLING_COLUMNS) + "\n"
 FIRST = HEADER + (
@@ -63,6 +64,52 @@ def test_two_batches_and_a_replay(spark, put, tmp_path):
     assert spark.table("vw_sales_by_billing_type").first().total_returns == 9
 
 
+def test_default_runs_follow_each_other_and_load_files_once(spark, put, tmp_path):
+    out = str(tmp_path / "out")
+    layers = Layers(spark, out)
+    one, two = put("one", "a.csv", FIRST), put("two", "b.csv", SECOND)
+    for folder in (one, two, one, two):
+        load.run(spark, folder, out).collect()
+    assert layers.latest() == 1002
+    assert load.layer(layers, "silver", 1002).count() == 4 and load.layer(layers, "bronze", 1002).count() == 5
+    load.run(spark, two, out, force=True).collect()
+    assert layers.latest() == 1003
+    assert load.layer(layers, "silver", 1003).count() == 4 and load.layer(layers, "bronze", 1003).count() == 8
+    with pytest.raises(load.RunFailed, match="older"):
+        load.refresh(layers, load.layer(layers, "silver", 1002), 1002, 1001)
+
+
+def test_streams_and_runs_share_a_root(spark, put, tmp_path):
+    out = str(tmp_path / "out")
+    load.run(spark, put("one", "a.csv", FIRST), out).collect()
+    for name, text in (("two", SECOND), ("three", HEADER + "5,10,ZF2,03/14/1996,1,3,d,g,5\n")):
+        folder = put(name, "b.csv", text)
+        start_refresh(spark, csv_stream(spark, folder), out, str(tmp_path / f"marks-{name}")).awaitTermination()
+    layers = Layers(spark, out)
+    assert layers.latest() == 1003
+    assert load.layer(layers, "silver", 1003).count() == 5 and load.layer(layers, "bronze", 1003).count() == 6
+
+
+def test_bad_rows_are_kept_aside(spark, put, tmp_path):
+    out = str(tmp_path / "out")
+    folder = put("bad", "x.csv", FIRST + "x,10,ZF2,03/14/1996,1,3,d,g,5\n")
+    report = {r.step: r.n_rows for r in load.run(spark, folder, out, on_error="quarantine").collect()}
+    assert (report["bronze"], report["quarantine"]) == (2, 1)
+    kept = Layers(spark, out).read("quarantine", 1001).first()
+    assert (kept.billing_document, kept.reason, kept.source_file, kept.batch_id) == ("x", "billing_document", "x.csv", 1001)
+
+
+def test_edits_flow_through(spark, put, tmp_path):
+    out = str(tmp_path / "out")
+    layers = Layers(spark, out)
+    load.run(spark, put("one", "a.csv", FIRST), out).collect()
+    load.edit(layers, F.col("billing_document") == 910000011, {"billing_qty_in_sku": F.lit(7).cast("bigint")})
+    load.edit(layers, F.col("billing_document") == 910000012)
+    for name in ("silver", "gold", "fact_sales"):
+        rows = load.layer(layers, name, layers.latest()).select("billing_document", "billing_qty_in_sku").collect()
+        assert [tuple(r) for r in rows] == [(910000011, 7)]
+
+
 def test_no_new_rows_writes_nothing(spark, put, tmp_path):
     out = str(tmp_path / "out")
     report = load.run(spark, put("empty", "e.csv", HEADER), out).collect()
@@ -85,9 +132,10 @@ def test_reset_reports_dropped_rows_and_errors(spark, put, tmp_path):
     report = load.reset_layers(layers, 1001, 1002, (*load.RESET_ORDER, "unknown")).collect()
     assert [(r.layer, r.rows_deleted) for r in report][:3] == [("fact_sales", 2), ("gold", 2), ("silver", 2)]
     assert report[-1].layer == "unknown" and report[-1].error
-    assert load.layer(layers, "gold", 1002).count() == 0 and load.layer(layers, "gold", 1001).count() == 2
+    for name in load.RESET_ORDER:
+        assert load.layer(layers, name, 1002).count() == 0 and load.layer(layers, name, 1001).count() > 0
     load.run(spark, put("two", "b.csv", SECOND), out, batch_id=1003).collect()
-    assert load.layer(layers, "silver", 1003).count() == 3
+    assert load.layer(layers, "silver", 1003).count() == 3 and load.layer(layers, "bronze", 1003).count() == 3
 
 
 def test_stream_equals_batches(spark, put, tmp_path):
@@ -95,14 +143,13 @@ def test_stream_equals_batches(spark, put, tmp_path):
     out, batch_out, marks = (str(tmp_path / name) for name in ("stream", "batch", "marks"))
 
     def drain():
-        query = start_refresh(spark, csv_stream(spark, inbox), out, marks)
-        query.awaitTermination()
-        return last_version(query)
+        start_refresh(spark, csv_stream(spark, inbox), out, marks).awaitTermination()
+        return Layers(spark, out).latest()
 
     assert drain() == 1001
     put("in", "b.csv", SECOND)
     assert drain() == 1002
-    assert drain() is None
+    assert drain() == 1002
     load.run(spark, put("one", "a.csv", FIRST), batch_out).collect()
     load.run(spark, put("two", "b.csv", SECOND), batch_out, batch_id=1002).collect()
     streamed, batched = Layers(spark, out), Layers(spark, batch_out)

@@ -379,11 +379,11 @@ COUNTERPARTS: dict[str, str] = {
                         count(*) FILTER (WHERE assignment % 50 = 0) AS bad FROM b)"""
     ),
     "edited_layers": _sql(
-        """SELECT 'silver' AS layer, count(*) AS n_rows, CAST(sum(billing_qty_in_sku) AS BIGINT) AS quantity FROM after
-           UNION ALL
-           SELECT unnest(['gold', 'fact_sales']), count(*), CAST(sum(billing_qty_in_sku) AS BIGINT) FROM after
-           WHERE billing_type = 'ZF2' AND billing_date IS NOT NULL AND billing_qty_in_sku >= 0 AND material IS NOT NULL
-           GROUP BY ALL"""
+        """SELECT layer, count(*) AS n_rows, CAST(sum(billing_qty_in_sku) AS BIGINT) AS quantity
+           FROM after, (VALUES ('silver'), ('gold'), ('fact_sales')) layers(layer)
+           WHERE layer = 'silver'
+              OR billing_type = 'ZF2' AND billing_date IS NOT NULL AND billing_qty_in_sku >= 0 AND material IS NOT NULL
+           GROUP BY layer"""
     ),
     "empty_run": _sql(
         f"""SELECT 'bronze' AS step, unnest([count(*), 0]) AS n_rows, unnest(['done', 'skipped']) AS status,

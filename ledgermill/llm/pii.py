@@ -193,16 +193,18 @@ def fit_candidates(docs: DataFrame) -> Callable[[Column], Column] | None:
     exploded = sampled.select(
         "text", "_hash", _all_base(F.col("text")).alias("base"), F.explode(candidates(F.col("text"))).alias("c")
     )
+    numbers = {f"f_{name}": value for name, value in features(F.col("c")).items()}
+    labelled = exploded.select(
+        _seed(F.col("c"), F.col("base")).alias("label"), "_hash", "c.kind", *(v.alias(n) for n, v in numbers.items())
+    ).filter("label IS NOT NULL")
+    # Ordered, so that every run learns from the same candidates, in the same order.
     seeds = stored(
-        exploded.select(_seed(F.col("c"), F.col("base")).alias("label"), "_hash", "c.kind", *(
-            value.alias(f"f_{name}") for name, value in features(F.col("c")).items()
-        )).filter("label IS NOT NULL").limit(SAMPLE_CANDIDATES).coalesce(1),
-        "candidate-seeds",
+        labelled.orderBy("_hash", "kind", "label", *numbers).limit(SAMPLE_CANDIDATES).coalesce(1), "candidate-seeds"
     )
     fitting, checking = seeds.filter("_hash % 3 <> 0"), seeds.filter("_hash % 3 = 0")
     if fitting.select("label").distinct().count() < 2:
         return None
-    names = [c.removeprefix("f_") for c in seeds.columns if c.startswith("f_")]
+    names = [n.removeprefix("f_") for n in numbers]
     assembler = VectorAssembler(inputCols=[f"f_{name}" for name in names], outputCol="features")
     trees = GBTClassifier(maxIter=ROUNDS, maxDepth=DEPTH, maxBins=64, minInstancesPerNode=10, seed=7, featuresCol="features", labelCol="label")
     model = trees.fit(assembler.transform(fitting))

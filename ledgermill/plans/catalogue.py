@@ -79,6 +79,16 @@ def _as_text(lines: DataFrame) -> DataFrame:
     )
 
 
+def _two_inboxes(spark: SparkSession, sf_dir: str) -> list[str]:
+    """All lines as CSV files in two folders, returns apart."""
+    lines, inboxes = adapter.billing_lines(spark, sf_dir), []
+    is_return = F.col("billing_type").isin(*fx.RETURN_TYPES)
+    for part in (lines.filter(~is_return), lines.filter(is_return)):
+        inboxes.append(scratch_path(spark, "inbox"))
+        billing_csv.export_csv(_as_text(part), inboxes[-1])
+    return inboxes
+
+
 # --- ingest -------------------------------------------------------------------------------------
 
 
@@ -115,21 +125,28 @@ def quarantine_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def new_files_only(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Monthly files with lines not in the ledger, which ends with 1997."""
-    lines = adapter.billing_lines(spark, sf_dir)
+    """Months whose delivered files are not in the ledger, which holds the files up to 1997."""
+    path = scratch_path(spark, "delivery")
     month = F.coalesce(F.date_format("billing_date", "yyyy-MM"), F.lit("undated"))
-    named = lines.select(F.concat(F.lit("billing_"), month, F.lit(".csv")).alias("file_name"), "billing_date")
-    files = named.select("file_name").distinct()
-    ledger = named.filter(F.col("billing_date") < F.lit(LEDGER_END).cast("date")).select("file_name")
-    return deliveries.new_files(files, ledger)
+    monthly = adapter.billing_lines(spark, sf_dir).withColumn("month", month)
+    monthly.repartition("month").write.partitionBy("month").option("header", True).csv(path)
+    files = deliveries.delivered_files(spark, path)
+    month_of = F.regexp_extract("path", "/month=([^/]+)/", 1)
+    ledger = deliveries.record_files(
+        deliveries.empty_ledger(spark), files.filter(month_of < F.lit(LEDGER_END[:7])), fx.FIRST_BATCH_ID
+    )
+    return deliveries.new_files(files, ledger).select(month_of.alias("month")).distinct()
 
 
 @query
 def batch_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    batch = F.lit(fx.FIRST_BATCH_ID) + F.col("billing_document") % 3
-    return (
-        adapter.billing_lines(spark, sf_dir).groupBy(batch.alias("batch_id")).agg(F.count("*").alias("n_rows"))
-    )
+    """Bronze rows per batch after two loads."""
+    out = scratch_path(spark, "layers")
+    for inbox in _two_inboxes(spark, sf_dir):
+        load.run(spark, inbox, out, buckets=BUCKETS)
+    layers = Layers(spark, out, BUCKETS)
+    bronze = load.layer(layers, "bronze", layers.latest())
+    return bronze.groupBy("batch_id").agg(F.count("*").alias("n_rows"))
 
 
 @query
@@ -547,12 +564,7 @@ def _counts(spark: SparkSession, out: str) -> DataFrame:
 @query
 def load_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two folders loaded one after the other, then the second one again, which holds nothing new."""
-    out, lines = scratch_path(spark, "layers"), adapter.billing_lines(spark, sf_dir)
-    is_return = F.col("billing_type").isin(*fx.RETURN_TYPES)
-    inboxes = []
-    for part in (lines.filter(~is_return), lines.filter(is_return)):
-        inboxes.append(scratch_path(spark, "inbox"))
-        billing_csv.export_csv(_as_text(part), inboxes[-1])
+    out, inboxes = scratch_path(spark, "layers"), _two_inboxes(spark, sf_dir)
     for inbox in (*inboxes, inboxes[1]):
         load.run(spark, inbox, out, buckets=BUCKETS)
     return _counts(spark, out)

@@ -211,14 +211,12 @@ COUNTERPARTS: dict[str, str] = {
         "SELECT billing_document, item, 'billing_qty_in_sku' AS reason FROM b WHERE assignment % 50 = 0"
     ),
     "new_files_only": _sql(
-        f"""SELECT file_name FROM (
-              SELECT 'billing_' || coalesce(strftime(billing_date, '%Y-%m'), 'undated') || '.csv' AS file_name,
-                     min(billing_date) AS first_day
-              FROM b GROUP BY 1)
-            WHERE first_day IS NULL OR first_day >= DATE '{cat.LEDGER_END}'"""
+        f"""SELECT DISTINCT coalesce(strftime(billing_date, '%Y-%m'), 'undated') AS month FROM b
+            WHERE billing_date IS NULL OR billing_date >= DATE '{cat.LEDGER_END}'"""
     ),
     "batch_summary": _sql(
-        f"SELECT {fx.FIRST_BATCH_ID} + billing_document % 3 AS batch_id, count(*) AS n_rows FROM b GROUP BY 1"
+        f"""SELECT CAST({fx.FIRST_BATCH_ID} + if(billing_type IN ('ZRE', 'S1'), 1, 0) AS BIGINT) AS batch_id, count(*) AS n_rows
+            FROM b GROUP BY 1"""
     ),
     "append_rows": _sql(
         f"""SELECT billing_type, count(*) AS n_rows, CAST(sum(billing_qty_in_sku) AS BIGINT) AS total_qty

@@ -27,10 +27,12 @@ from ledgermill.session import stored
 # The classifier is fitted on at most about so many labelled rows, chosen by hash; the language model on all rows.
 TRAINING_ROWS = 20_000
 THRESHOLD = 0.7
-# A part carries weight if at least so many toxic training rows have it, so many times as often as clean ones.
-LEAST_ROWS, LEAST_RATIO = 5, 20.0
+# A part carries weight if so many toxic training rows have it, and this share of them, and if it is so many times as
+# frequent there as in clean ones, even with both counts one standard error less telling.
+LEAST_ROWS, LEAST_SHARE, LEAST_RATIO = 5, 0.02, 60.0
 SHORTEST_PART, LONGEST_PART = 3, 6
-REMEMBERED = 500_000
+# Tokens whose weight, and tokens whose readings, a task remembers.
+REMEMBERED, REMEMBERED_READINGS = 200_000, 50_000
 # A document's summed weight grows no further than that of so many plain hits.
 MOST_HITS = 50
 
@@ -198,7 +200,7 @@ def _restored_words(text: str, restorer: Restorer, known: dict[str, frozenset[st
     for token in tokens:
         found = known.get(token)
         if found is None:
-            if len(known) >= REMEMBERED:
+            if len(known) >= REMEMBERED_READINGS:
                 known.clear()
             found = known[token] = frozenset(_readings(token, restorer))
         yield found
@@ -241,16 +243,23 @@ def _calibrated(rows: list[tuple[float, int, int]]) -> tuple[float, float]:
     if not rows:
         return math.log(0.01), 3.0
     x, y, n = (np.array(c, float) for c in zip(*rows, strict=True))
-    theta = np.zeros(2)
     design = np.stack([np.ones_like(x), x], axis=1)
-    ridge = np.diag([1e-6, 1e-2])
-    for _ in range(50):
-        p = 1 / (1 + np.exp(-np.clip(design @ theta, -30, 30)))
+    ridge = np.diag([1e-4, 1e-2])
+
+    def loss(theta: np.ndarray) -> float:
+        margin = design @ theta
+        return float((n * (np.logaddexp(0, margin) - y * margin)).sum() + theta @ ridge @ theta / 2)
+
+    theta = np.zeros(2)
+    for _ in range(100):
+        p = 1 / (1 + np.exp(-np.clip(design @ theta, -500, 500)))
         slope = design.T @ (n * (y - p)) - ridge @ theta
         curve = design.T @ (design * (n * p * (1 - p))[:, None]) + ridge
-        step = np.linalg.solve(curve, slope)
-        theta += np.clip(step, -2, 2)
-        if abs(step).max() < 1e-6:
+        step, length = np.linalg.solve(curve, slope), 1.0
+        while loss(theta + length * step) > loss(theta) and length > 1e-6:
+            length /= 2
+        theta = theta + length * step
+        if abs(length * step).max() < 1e-6:
             break
     return float(theta[0]), float(theta[1])
 
@@ -299,10 +308,17 @@ def _weights(training: DataFrame, costs) -> dict[str, float]:
     # Bounded by the training rows: parts that several toxic ones of them have.
     toxic = rows_with(1, None, LEAST_ROWS)
     clean = rows_with(0, training.sparkSession.sparkContext.broadcast(frozenset(toxic)), 1)
+    return weights_of(toxic, clean, totals.get(1, 0), totals.get(0, 0))
+
+
+def weights_of(toxic: dict[str, int], clean: dict[str, int], n_toxic: int, n_clean: int) -> dict[str, float]:
+    """Weights of parts from the numbers of toxic and clean rows that have them."""
     weights = {}
     for part, n in toxic.items():
-        ratio = ((n + 0.5) / (totals.get(1, 0) + 1)) / ((clean.get(part, 0) + 0.5) / (totals.get(0, 0) + 1))
-        if ratio >= LEAST_RATIO:
+        other = clean.get(part, 0)
+        often, seldom = n - math.sqrt(n) + 0.5, other + math.sqrt(other) + 0.5
+        ratio = often / (n_toxic + 1) / (seldom / (n_clean + 1))
+        if n >= max(LEAST_ROWS, LEAST_SHARE * n_toxic) and ratio >= LEAST_RATIO:
             weights[part] = math.log(ratio)
     return weights
 

@@ -90,6 +90,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, capacity: int, end_id: int) ->
                     rows.append((doc_id, start, len(piece), zlib.crc32(piece.tobytes()), len(ids)))
             columns = [pa.array(column, pa.int64()) for column in zip(*rows, strict=True)] or [pa.array([], pa.int64())] * 5
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
+        known.forget()
 
     return docs.select("doc_id", text_of().alias("text")).mapInArrow(cut, PIECE_SCHEMA)
 

@@ -1,7 +1,7 @@
 """Token ids as the tokenizers library gives them, with ids remembered per piece of text.
 
 Most words of a corpus return often. Where a tokenizer's own rules never look past a blank, the
-ids of a text are the ids of its pieces in a row, so a piece is encoded once per Python worker:
+ids of a text are the ids of its pieces in a row, so a piece is encoded once per task:
 
 * ``words``: white space is dropped and no token reaches over it; pieces are the words.
 * ``blanks``: a blank between two characters other than white space begins a new token; pieces
@@ -24,8 +24,8 @@ from pyspark import Broadcast
 from pyspark.sql import SparkSession
 from tokenizers import Tokenizer
 
-# Pieces a worker remembers; at this number it starts anew, which costs time and no result.
-REMEMBERED = 800_000
+# Pieces a task remembers; at this number it starts anew, which costs time and no result.
+REMEMBERED = 400_000
 # Words of these letters and marks are cut into the tokenizers' pre-tokens here, which is much faster
 # than asking the library for each: no rule of either kind treats them in another way.
 _LETTERS, _MARKS = "[a-zA-ZÀ-ÖØ-öø-ÿ]+", "[.,;:!?]"
@@ -101,6 +101,10 @@ class TextEncoder:
         self._known: dict = {}
         self._known_parts: dict[str, bytes] = {}
 
+    def forget(self) -> None:
+        """Free what was learnt; to be called at the end of a task, since workers live on."""
+        self._known, self._known_parts = {}, {}
+
     def _library(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 

@@ -88,8 +88,9 @@ def fingerprints(
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column("_whole").to_pylist()
-            marks = np.array([fingerprint(t, shingle_words, n_words) for t in texts], np.uint64).reshape(-1, n_words)
+            texts = batch.column("_whole")
+            found = [fingerprint(t.as_py(), shingle_words, n_words) for t in texts]
+            marks = np.array(found, np.uint64).reshape(-1, n_words)
             signed = pa.array(marks.view(np.int64).ravel())
             if n_words > 1:
                 signed = pa.ListArray.from_arrays(pa.array(np.arange(len(texts) + 1) * n_words, pa.int32()), signed)

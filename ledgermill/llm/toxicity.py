@@ -32,7 +32,9 @@ THRESHOLD = 0.7
 LEAST_ROWS, LEAST_SHARE, LEAST_RATIO = 5, 0.02, 60.0
 SHORTEST_PART, LONGEST_PART = 3, 6
 # Tokens whose weight, and tokens whose readings, a task remembers.
-REMEMBERED, REMEMBERED_READINGS = 200_000, 50_000
+REMEMBERED, REMEMBERED_READINGS = 100_000, 20_000
+# Parts that a task counts before it hands its counts on.
+COUNTED_PARTS = 50_000
 # A document's summed weight grows no further than that of so many plain hits.
 MOST_HITS = 50
 
@@ -75,9 +77,9 @@ def _language_model(docs: DataFrame) -> np.ndarray:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, counts = _code_table(), np.zeros(_N**3, np.int64)
         for batch in batches:
-            texts = batch.column("text").to_pylist()
-            for at in range(0, len(texts), 256):  # some texts at a time, whole ones
-                counts += np.bincount(_trigrams(texts[at : at + 256], table), minlength=_N**3)
+            for at in range(0, batch.num_rows, 32):  # some texts at a time, whole ones
+                texts = batch.column("text").slice(at, 32).to_pylist()
+                counts += np.bincount(_trigrams(texts, table), minlength=_N**3)
         seen = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(counts[seen])], ["trigram", "n"])
 
@@ -289,14 +291,20 @@ def _weights(training: DataFrame, costs) -> dict[str, float]:
     def counting(parts):
         def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             restorer, known, counts = Restorer(costs.value), {}, Counter()
+
+            def counted() -> pa.RecordBatch:
+                columns = [pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())]
+                return pa.RecordBatch.from_arrays(columns, ["part", "n"])
+
             for batch in batches:
-                for text in batch.column("text").to_pylist():
-                    words = frozenset().union(*_restored_words(text, restorer, known))
+                for text in batch.column("text"):
+                    words = frozenset().union(*_restored_words(text.as_py(), restorer, known))
                     own = {part for word in words for part in parts_of(word)}
                     counts.update(own if parts is None else own & parts.value)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], ["part", "n"]
-            )
+                    if len(counts) >= COUNTED_PARTS:
+                        yield counted()
+                        counts.clear()
+            yield counted()
 
         return count
 
@@ -334,7 +342,7 @@ def _scored(docs: DataFrame, labels: DataFrame, kept: list[str]) -> DataFrame:
         def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             weights = Weights(shared.value, Restorer(costs.value))
             for batch in batches:
-                found = [_evidence(weights.of_text(t)) for t in batch.column("_whole").to_pylist()]
+                found = [_evidence(weights.of_text(t.as_py())) for t in batch.column("_whole")]
                 columns = [batch.column(c) for c in names]
                 yield pa.RecordBatch.from_arrays([*columns, pa.array(found, pa.float64())], [*names, "_evidence"])
 

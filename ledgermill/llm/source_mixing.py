@@ -81,6 +81,8 @@ def copies(
             "_size": n_words_of(),
             "_source": F.coalesce(F.col("source"), F.lit("")),
             "_no_source": F.col("source").isNull().cast("int"),
+            # Made before the shuffle, so that a text that is not wanted itself does not move.
+            "_tie": F.xxhash64("text"),
             "_group": F.substring(F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), 1, GROUP_DIGITS),
         }
     ).withColumn("_class", F.length(F.bin("_size")))
@@ -105,7 +107,7 @@ def copies(
             _offset_of_source().alias("_offset"),
         )
     )
-    within = Window.partitionBy(*group).orderBy("_size", "doc_id", F.xxhash64("text"))
+    within = Window.partitionBy(*group).orderBy("_size", "doc_id", "_tie")
     rank = F.col("_before") + F.row_number().over(within) - 1
 
     def up_to(n: Column) -> Column:
@@ -113,7 +115,7 @@ def copies(
 
     placed = rows.join(offsets, group).withColumn("_rank", rank)
     return placed.withColumn("_copies", up_to(F.col("_rank") + 1) - up_to(F.col("_rank"))).drop(
-        *group, "_before", "_rate", "_offset", "_rank"
+        *group, "_before", "_rate", "_offset", "_rank", "_tie"
     )
 
 

@@ -26,6 +26,9 @@ from ledgermill.session import stored
 PIECE_SCHEMA = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint"
 # Pieces that are numbered together, about; a length with more is dealt out to more groups.
 GROUP_ROWS = 1_000
+# Pieces a task remembers the ids of. Fewer than elsewhere, and forgotten at its end: packing is the last of
+# several stages that share workers.
+REMEMBERED = 400_000
 
 
 def fullest(counts: dict[int, int], room: int) -> dict[int, int]:
@@ -79,7 +82,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, capacity: int, end_id: int) ->
     content, version = shared_tokenizer(spark, tokenizer_path)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = encoder(content.value, version)
+        known = encoder(content.value, version, REMEMBERED)
         for batch in batches:
             rows: list[tuple] = []
             arrays = known.ids(batch.column("text").to_pylist())

@@ -62,7 +62,6 @@ def token_counts(
             counts = list(known.counts(batch.column("text").to_pylist()))
             columns = [batch.column("content_digest"), pa.array([version] * len(counts)), pa.array(counts, pa.int64())]
             yield pa.RecordBatch.from_arrays(columns, ["content_digest", "tokenizer_digest", "n_tokens"])
-        known.forget()
 
     misses.mapInArrow(encode, CACHE_SCHEMA).write.mode("append").parquet(cache_path)
     keys = rows.select("doc_id", "content_digest", F.octet_length("text").cast("bigint").alias("n_bytes"))

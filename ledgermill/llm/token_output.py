@@ -135,7 +135,6 @@ def write_token_ids(docs: DataFrame, tokenizer_path: str, out_dir: str, end_id:
                     yield cut()
                     segment += 1
                     doc_ids, counts, offsets, frames = [], [], [0], []
-        known.forget()
         if doc_ids:
             yield cut()
 

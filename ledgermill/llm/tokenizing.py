@@ -1,7 +1,7 @@
 """Token ids as the tokenizers library gives them, with ids remembered per piece of text.
 
 Most words of a corpus return often. Where a tokenizer's own rules never look past a blank, the
-ids of a text are the ids of its pieces in a row, so a piece is encoded once per task:
+ids of a text are the ids of its pieces in a row, so a piece is encoded once per Python worker:
 
 * ``words``: white space is dropped and no token reaches over it; pieces are the words.
 * ``blanks``: a blank between two characters other than white space begins a new token; pieces
@@ -24,8 +24,8 @@ from pyspark import Broadcast
 from pyspark.sql import SparkSession
 from tokenizers import Tokenizer
 
-# Pieces a task remembers; at this number it starts anew, which costs time and no result.
-REMEMBERED = 400_000
+# Pieces a worker remembers; at this number it starts anew, which costs time and no result.
+REMEMBERED = 800_000
 # Words of these letters and marks are cut into the tokenizers' pre-tokens here, which is much faster
 # than asking the library for each: no rule of either kind treats them in another way.
 _LETTERS, _MARKS = "[a-zA-ZÀ-ÖØ-öø-ÿ]+", "[.,;:!?]"
@@ -50,11 +50,12 @@ def shared_tokenizer(spark: SparkSession, path: str) -> tuple[Broadcast, str]:
     return spark.sparkContext.broadcast(content), version
 
 
-def encoder(content: str, version: str) -> TextEncoder:
-    """The encoder of this worker; loaded once."""
+def encoder(content: str, version: str, remembered: int = REMEMBERED) -> TextEncoder:
+    """The encoder of this worker; loaded once. It remembers at most ``remembered`` pieces from now on."""
     if version not in _loaded:
         _loaded.clear()
         _loaded[version] = TextEncoder(content)
+    _loaded[version].remembered = remembered
     return _loaded[version]
 
 
@@ -98,11 +99,12 @@ class TextEncoder:
         self._special = [t["content"] for t in added]
         self.vocabulary_size = self._tokenizer.get_vocab_size()
         self._dtype = np.dtype("<u2" if self.vocabulary_size <= 1 << 16 else "<u4")
+        self.remembered = REMEMBERED
         self._known: dict = {}
         self._known_parts: dict[str, bytes] = {}
 
     def forget(self) -> None:
-        """Free what was learnt; to be called at the end of a task, since workers live on."""
+        """Free what was learnt, at the end of a task whose worker goes on with other work."""
         self._known, self._known_parts = {}, {}
 
     def _library(self, texts: list[str]) -> list[list[int]]:
@@ -126,7 +128,7 @@ class TextEncoder:
         """Ids of one pre-token."""
         found = self._known_parts.get(part)
         if found is None:
-            if len(self._known_parts) >= REMEMBERED:
+            if len(self._known_parts) >= self.remembered:
                 self._known_parts = {}
             written = part.encode().decode("latin-1").translate(_BYTE_LETTERS)
             found = np.array([t.id for t in self._tokenizer.model.tokenize(written)], self._dtype).tobytes()
@@ -134,7 +136,7 @@ class TextEncoder:
         return found
 
     def _learn(self, pieces: set) -> None:
-        if len(self._known) + len(pieces) > REMEMBERED:
+        if len(self._known) + len(pieces) > self.remembered:
             self._known = {}
         others, written = [], []
         for piece in pieces:

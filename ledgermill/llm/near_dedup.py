@@ -42,11 +42,13 @@ BATCH_ROWS = 1 << 16
 # Planes after which words that have passed the radius are looked for.
 CHECKED_PLANES = 4
 
-# For similar texts: shingles and words of a fingerprint, bits that may differ, and the bands, each of some bits
-# drawn at random, of which one has to agree. Texts whose 5-word shingles overlap by 0.8 differ in one bit of seven:
-# about 19 of 20 such pairs agree in a band and nearly as many are within the radius; more of closer ones.
-SIMILAR_SHINGLE, SIMILAR_WORDS, SIMILAR_RADIUS = 5, 4, 44
-BANDS, BAND_BITS = 24, 14
+# For similar texts: words of a shingle, and the overlap from which on two texts are linked, as a fraction.
+SIMILAR_SHINGLE = 5
+SIMILAR = (4, 5)
+# Documents in which frequent shingles are looked for, in how many of them such a shingle is, and how many are known.
+SAMPLED_DOCS, FREQUENT, MOST_FREQUENT = 10_000, 5, 200_000
+# Longs of a sketch: a bit is set if an odd number of a text's shingles fall to it.
+SKETCH_LONGS = 8
 
 
 def fingerprint(text: str | None, shingle_words: int = SHINGLE_WORDS, n_words: int = 1) -> np.ndarray:
@@ -305,77 +307,150 @@ def near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, radius:
     )
 
 
-def _bands() -> np.ndarray:
-    """Per band the bits it is made of: fixed draws, without repeats within a band."""
-    draw = np.random.default_rng(SEED)
-    return np.array([draw.permutation(SIMILAR_WORDS * BITS)[:BAND_BITS] for _ in range(BANDS)])
+def shingle_set(text: str | None) -> np.ndarray:
+    """The distinct hashes of a text's five-word shingles in order, A-Z in lower case; of all its words if they are fewer."""
+    words = text.encode().lower().split() if text else []
+    if not words:
+        return np.zeros(0, np.uint64)
+    n = min(SIMILAR_SHINGLE, len(words))
+    digest = xxhash.xxh64_intdigest
+    return np.unique(np.array([digest(s, SEED) for s in map(b" ".join, zip(*(words[k:] for k in range(n))))], np.uint64))
 
 
-def _band_values(marks: np.ndarray) -> np.ndarray:
-    bits = np.unpackbits(marks.view(np.uint8).reshape(len(marks), -1), axis=1, bitorder="little")
-    return np.stack([bits[:, band] @ (1 << np.arange(BAND_BITS)) for band in _bands()], axis=1)
+def _node(shingles: np.ndarray) -> int:
+    """A number for a set of shingles; equal sets are one node."""
+    return xxhash.xxh64_intdigest(shingles.tobytes(), SEED) - (1 << 63)
 
 
-def _similar_links(distinct: DataFrame, radius: int, bucket_rows: int) -> DataFrame:
-    """Links (u, v) between the nodes of ``distinct`` (``node``, ``_fp``) that share a band and lie within the radius."""
-    n_words = SIMILAR_WORDS
+def _sketch(shingles: np.ndarray) -> np.ndarray:
+    """Which of some hundred bits an odd number of shingles fall to.
+
+    Two sketches differ in at most as many bits as there are shingles in only one of the sets.
+    """
+    places = np.bincount((shingles >> np.uint64(20)).astype(np.int64) % (SKETCH_LONGS * 64), minlength=SKETCH_LONGS * 64)
+    return np.packbits(places & 1, bitorder="little").view(np.int64)
+
 
-    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _frequent(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles that many of some sampled documents have, in order, and their counts. At most ``MOST_FREQUENT``."""
+    texts = docs.select(text_of().alias("text"))
+    share = int(min(1.0, SAMPLED_DOCS / max(1, docs.count())) * (1 << 30))
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            marks = np.array(batch.column("_fp").to_pylist(), np.int64).reshape(-1, n_words).view(np.uint64)
-            values = _band_values(marks)
-            buckets = np.arange(BANDS) << BAND_BITS | values
-            repeated = np.repeat(marks.view(np.int64), BANDS, axis=0)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(buckets.ravel()), pa.array(np.repeat(batch.column("node").to_numpy(), BANDS)), *map(pa.array, repeated.T)],
-                ["bucket", "node", *(f"w{k}" for k in range(n_words))],
-            )
-
-    columns = ["node", *(f"w{k}" for k in range(n_words))]
-    rows = distinct.mapInArrow(spread, "bucket bigint, " + ", ".join(f"{c} bigint" for c in columns))
-    # Buckets of more rows than are compared at once: their rows are linked to the bucket's first row, and to each
-    # other in pieces. Such rows are mostly copies of one text, which other bands bring together as well.
-    large = stored(rows.groupBy("bucket").agg(F.count("*").alias("n")).filter(F.col("n") > bucket_rows), "large-buckets")
-    placed = rows.join(large, "bucket", "left").withColumn(
-        "piece", F.when(F.col("n").isNull(), 0).otherwise(F.pmod(F.xxhash64("node"), (F.col("n") / bucket_rows).cast("bigint") + 1))
-    )
+            for text in batch.column("text"):
+                yield pa.RecordBatch.from_arrays([pa.array(shingle_set(text.as_py()).view(np.int64))], ["shingle"])
+
+    sampled = texts.filter(F.pmod(F.xxhash64("text"), F.lit(1 << 30)) < share)
+    counts = sampled.mapInArrow(count, "shingle bigint").groupBy("shingle").agg(F.count("*").alias("n"))
+    rows = counts.filter(F.col("n") >= FREQUENT).orderBy(F.desc("n"), "shingle").limit(MOST_FREQUENT).collect()
+    found = np.array([(r.shingle, r.n) for r in rows], np.int64).reshape(-1, 2)
+    marks = found[:, 0].copy().view(np.uint64)
+    order = np.argsort(marks)
+    return marks[order], found[order, 1]
+
+
+def _prefix(shingles: np.ndarray, frequent: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """The first shingles of a set in one order for all sets, frequent ones last: so many that similar sets share one.
 
-    def links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def found(keys: np.ndarray, values: np.ndarray) -> pa.RecordBatch:
-            ends = np.append(np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(0)) + 1, keys.shape[1])
-            left = np.repeat(ends, np.diff(np.append(0, ends))) - np.arange(keys.shape[1]) - 1
-            root = _forest(values[1:].T.copy().view(np.uint64), left, radius)
-            linked = np.flatnonzero(root != np.arange(len(root)))
-            return pa.RecordBatch.from_arrays([pa.array(values[0, linked]), pa.array(values[0, root[linked]])], ["u", "v"])
-
-        yield from _by_bucket(batches, ("bucket", "piece"), columns, found)
-
-    dealt = placed.select("bucket", "piece", *columns).repartition("bucket", "piece").sortWithinPartitions("bucket", "piece")
-    near = dealt.mapInArrow(links, "u bigint, v bigint")
-    if large.isEmpty():
-        return near
-    in_large = attach(rows, large, {"bucket": "bucket"}, "inner").select("bucket", *columns)
-    firsts = in_large.groupBy("bucket").agg(F.min(F.struct(*columns)).alias("first"))
-    beside = attach(in_large, firsts, {"bucket": "bucket"}, "inner")
-    apart = sum((F.bit_count(F.col(f"w{k}").bitwiseXOR(F.col("first")[f"w{k}"])) for k in range(n_words)), F.lit(0))
-    to_first = beside.filter(apart <= radius).select(F.col("node").alias("u"), F.col("first.node").alias("v"))
-    return near.unionByName(to_first)
-
-
-def one_per_group(docs: DataFrame, radius: int = SIMILAR_RADIUS) -> DataFrame:
+    Of n shingles a similar text has at least four fifths, so it lacks at most n less these, and one more is shared.
+    """
+    marks, counts = frequent
+    known = np.zeros(len(shingles), np.int64)
+    if len(marks):
+        at = np.minimum(np.searchsorted(marks, shingles), len(marks) - 1)
+        known = np.where(marks[at] == shingles, counts[at], 0)
+    n, (part, whole) = len(shingles), SIMILAR
+    return shingles[np.lexsort((shingles, known))][: n + part * n // -whole + 1 if n else 0]
+
+
+def _shingled(docs: DataFrame, kept: list[str], more: str, made) -> DataFrame:
+    """Columns ``kept`` of every row, ``_node`` and the columns ``more`` that ``made`` makes of a row's set of shingles."""
+    fields = T.StructType([*docs.select(*kept).schema, *T._parse_datatype_string(f"_node bigint{more}")])
+    types = [pa.int64() if isinstance(f.dataType, T.LongType) else pa.list_(pa.int64()) for f in fields[len(kept) + 1 :]]
+
+    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                sets = [shingle_set(t.as_py()) for t in part.column("_whole")]
+                columns = list(zip(*map(made, sets), strict=True)) if types else []
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        *(part.column(c) for c in kept),
+                        pa.array(list(map(_node, sets)), pa.int64()),
+                        *(pa.array(c, t) for c, t in zip(columns, types, strict=True)),
+                    ],
+                    fields.names,
+                )
+
+    return docs.select(*kept, text_of().alias("_whole")).mapInArrow(digest, fields)
+
+
+def _similar_pairs(pairs: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
+    """Those of the distinct ``pairs`` (``u``, ``v``) whose sets of shingles overlap by ``SIMILAR`` or more."""
+    part, whole = SIMILAR
+    known = nodes.select("node", "n", "sketch")
+    left = attach(pairs, known.select(F.col("node").alias("_k"), F.col("n").alias("n_u"), F.col("sketch").alias("s_u")), {"u": "_k"}, "inner")
+    both = attach(left, known.select(F.col("node").alias("_k"), F.col("n").alias("n_v"), F.col("sketch").alias("s_v")), {"v": "_k"}, "inner")
+    apart = sum((F.bit_count(F.col("s_u")[k].bitwiseXOR(F.col("s_v")[k])) for k in range(SKETCH_LONGS)), F.lit(0))
+    # Shared over all is at least part / whole, so shared * (whole + part) is at least part * (n_u + n_v); and those in
+    # only one of the sets, of which the sketches show some, are at most (n_u + n_v) * (whole - part) / (whole + part).
+    total = F.col("n_u") + F.col("n_v")
+    able = (F.least("n_u", "n_v") * whole >= F.greatest("n_u", "n_v") * part) & (apart * (whole + part) <= total * (whole - part))
+    open_ = stored(both.filter(able).select("u", "v", total.alias("total")), "open-pairs")
+    ends = stored(open_.select(F.explode(F.array("u", "v")).alias("node")).distinct(), "open-nodes")
+    # One row for a node: copies of a text have the same set.
+    asked = attach(nodes.select("node", "_row"), ends, {"node": "node"}, "left_semi")
+    own = attach(docs.withColumn("_mark", F.xxhash64(text_of())), asked.select("_row").distinct(), {"_mark": "_row"}, "left_semi")
+    sets = _shingled(own, [], ", shingles array<bigint>", lambda s: (s.view(np.int64),))
+    sets = stored(sets.groupBy("_node").agg(F.any_value("shingles").alias("shingles")), "sets")
+    left = attach(open_, sets.select("_node", F.col("shingles").alias("_us")), {"u": "_node"}, "inner")
+    both = attach(left, sets.select("_node", F.col("shingles").alias("_vs")), {"v": "_node"}, "inner")
+    shared = F.size(F.array_intersect("_us", "_vs"))
+    return stored(both.filter(shared * (whole + part) >= F.col("total") * part).select("u", "v"), "similar-pairs")
+
+
+def _similar_links(nodes: DataFrame, docs: DataFrame) -> DataFrame:
+    """Links (u, v) that connect all ``nodes`` whose sets of shingles overlap by ``SIMILAR`` or more, and no others.
+
+    Similar sets share a shingle of their prefixes. Of the nodes that share one each is first compared with the
+    smallest; what is not connected then is compared with every other node of the bucket.
+    """
+    rows = nodes.select("node", F.explode("prefix").alias("bucket"))
+    sizes = rows.groupBy("bucket").agg(F.count("*").alias("n"), F.min("node").alias("first")).filter("n > 1")
+    shared = stored(attach(rows, sizes, {"bucket": "bucket"}, "inner").filter("node <> first"), "buckets")
+    near = _similar_pairs(shared.select(F.col("first").alias("u"), F.col("node").alias("v")).distinct(), nodes, docs)
+    many = attach(shared.filter("n > 2"), components(near).withColumnRenamed("node", "_k"), {"node": "_k"})
+    many = many.select("bucket", "node", F.coalesce("root", "node").alias("root"))
+    apart = many.groupBy("bucket").agg(F.min("root").alias("a"), F.max("root").alias("b")).filter("a <> b").select("bucket")
+    left = stored(attach(many, apart, {"bucket": "bucket"}, "left_semi"), "mixed-buckets")
+    right = left.select("bucket", F.col("node").alias("v"), F.col("root").alias("_root"))
+    pairs = left.withColumnRenamed("node", "u").join(right, "bucket").filter("root <> _root AND u < v")
+    return near.unionByName(_similar_pairs(stored(pairs.select("u", "v").distinct(), "pairs"), nodes, docs))
+
+
+def one_per_group(docs: DataFrame) -> DataFrame:
     """``docs`` with one row of each group of similar texts: the one with the smallest doc_id.
 
-    Texts are similar whose 5-word shingles overlap by about 0.8 or more: their SimHashes of 256 bits agree
-    in a band and differ in at most ``radius`` bits. Groups are what such links connect.
+    Texts are similar whose sets of 5-word shingles overlap by 0.8 or more, shared ones over all. Groups are what
+    such links connect. No pair is left to chance, but for equal hashes of 64 bits.
 
     Null and empty texts are copies of each other. Rows without doc_id go where their group has a row with
     one; of rows that are equal in doc_id one stays. An empty table stays empty; other columns are kept.
     """
-    columns = docs.columns
-    marked = fingerprints(docs, columns, SIMILAR_SHINGLE, SIMILAR_WORDS).withColumn("_node", F.xxhash64("_fp")).drop("_fp")
-    narrow = fingerprints(docs, ["doc_id"], SIMILAR_SHINGLE, SIMILAR_WORDS)
-    distinct = stored(narrow.groupBy(F.xxhash64("_fp").alias("node"), "_fp").agg(F.min("doc_id").alias("_first")), "simhash")
-    roots = components(_similar_links(distinct.select("node", "_fp"), radius, BUCKET_ROWS))
-    labels = _labelled(distinct.select("node", "_first"), roots).withColumnRenamed("component_id", "_component")
-    first = attach(marked, labels, {"_node": "node"}, "inner").filter(F.col("doc_id").eqNullSafe(F.col("_component")))
-    return first.dropDuplicates(["_root"]).select(*columns)
+    frequent = docs.sparkSession.sparkContext.broadcast(_frequent(docs))
+
+    def made(shingles: np.ndarray) -> tuple:
+        return len(shingles), _sketch(shingles), _prefix(shingles, frequent.value).view(np.int64)
+
+    texts = docs.withColumn("_row", F.xxhash64(text_of()))
+    narrow = _shingled(texts, ["doc_id", "_row"], ", n bigint, sketch array<bigint>, prefix array<bigint>", made)
+    found = [F.any_value(c).alias(c) for c in ("n", "sketch", "prefix")]
+    nodes = stored(
+        narrow.groupBy(F.col("_node").alias("node")).agg(F.min("doc_id").alias("_first"), F.min("_row").alias("_row"), *found), "shingled"
+    )
+    labels = _labelled(nodes.select("node", "_first"), components(_similar_links(nodes, docs)))
+    marked = _shingled(docs, docs.columns, "", None)
+    first = attach(marked, labels.withColumnRenamed("component_id", "_component"), {"_node": "node"}, "inner")
+    return first.filter(F.col("doc_id").eqNullSafe(F.col("_component"))).dropDuplicates(["_root"]).select(*docs.columns)

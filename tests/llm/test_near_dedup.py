@@ -143,3 +143,38 @@ def test_similar_texts_are_found_and_others_left(spark, docs):
     assert {n * 10 for n in range(150)} <= kept
     assert 5_000 in kept and len({d for d in kept if d > 5_000}) <= 7
     assert len({g + 1 for g in groups} & kept) <= 2
+
+
+def overlap(a, b):
+    sets = [{tuple(t.split()[i : i + 5]) for i in range(max(1, len(t.split()) - 4))} for t in (a, b)]
+    return len(sets[0] & sets[1]) / len(sets[0] | sets[1])
+
+
+def groups_by_brute_force(rows):
+    """The smallest doc_id of each group that pairs of 0.8 or more connect."""
+    group = list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            if group[i] != group[j] and overlap(rows[i][1], rows[j][1]) >= 0.8:
+                group = [group[j] if g == group[i] else g for g in group]
+    return {min(rows[i][0] for i in range(len(rows)) if group[i] == g) for g in set(group)}
+
+
+def changed_at(words, n, rng):
+    """Words of which a run of n is replaced: the run's shingles, and four more, are new."""
+    at = rng.randrange(4, len(words) - n - 4)
+    return [*words[:at], *(f"z{rng.random()}" for _ in range(n)), *words[at + n :]]
+
+
+def test_every_pair_of_a_large_bucket_is_compared(docs):
+    """Texts that share their beginning, more than one bucket took at once, and pairs of them that are similar."""
+    rng = random.Random(9)
+    start, rows, pairs = [f"b{n}" for n in range(60)], [], 0
+    for n in range(700):
+        words = start + [f"w{rng.random()}" for _ in range(60)]
+        rows.append((n, " ".join(words)))
+        if n % 7 == 0:
+            rows.append((1_000 + n, " ".join(changed_at(words, 8, rng))))
+            pairs += overlap(rows[-2][1], rows[-1][1]) >= 0.8
+    assert pairs == 100
+    assert {r.doc_id for r in near_dedup.one_per_group(docs(*rows)).collect()} == set(range(700))

@@ -146,20 +146,10 @@ def test_similar_texts_are_found_and_others_left(spark, docs):
 
 
 def overlap(a, b):
-    sets = [{tuple(t.split()[i : i + 5]) for i in range(max(1, len(t.split()) - 4))} for t in (a, b)]
+    sets = [{tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} for w in (a.split(), b.split())]
     return len(sets[0] & sets[1]) / len(sets[0] | sets[1])
 
 
-def groups_by_brute_force(rows):
-    """The smallest doc_id of each group that pairs of 0.8 or more connect."""
-    group = list(range(len(rows)))
-    for i in range(len(rows)):
-        for j in range(i):
-            if group[i] != group[j] and overlap(rows[i][1], rows[j][1]) >= 0.8:
-                group = [group[j] if g == group[i] else g for g in group]
-    return {min(rows[i][0] for i in range(len(rows)) if group[i] == g) for g in set(group)}
-
-
 def changed_at(words, n, rng):
     """Words of which a run of n is replaced: the run's shingles, and four more, are new."""
     at = rng.randrange(4, len(words) - n - 4)
@@ -178,3 +168,15 @@ def test_every_pair_of_a_large_bucket_is_compared(docs):
             pairs += overlap(rows[-2][1], rows[-1][1]) >= 0.8
     assert pairs == 100
     assert {r.doc_id for r in near_dedup.one_per_group(docs(*rows)).collect()} == set(range(700))
+
+
+def test_only_texts_of_the_stated_overlap_are_linked(docs):
+    rng = random.Random(10)
+    rows = []
+    for n in range(120):
+        words = [f"w{rng.random()}" for _ in range(120)]
+        rows += [(2 * n, " ".join(words)), (2 * n + 1, " ".join(changed_at(words, 5 + n % 15, rng)))]
+    overlaps = [overlap(a, b) for (_, a), (_, b) in zip(rows[::2], rows[1::2], strict=True)]
+    assert min(overlaps) < 0.7 < 0.8 < max(overlaps)
+    want = {2 * n for n in range(120)} | {2 * n + 1 for n, x in enumerate(overlaps) if x < 0.8}
+    assert {r.doc_id for r in near_dedup.one_per_group(docs(*rows)).collect()} == want

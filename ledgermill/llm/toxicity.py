@@ -52,7 +52,7 @@ _OTHER = len(LETTERS) + 1
 _N = _OTHER + 1  # 0 is the edge of a word
 _EDGES = "\"'`.,;:?!()[]{}<>«»„“”‘’…-–—_*#%&|$+=/\\~^"
 _PLAIN = re.compile(r"[^\W\d_]+")
-_THRICE = re.compile(r"(.)\1\1")
+_TWICE = re.compile(r"(.)\1")
 
 
 def _code_table() -> np.ndarray:
@@ -148,33 +148,35 @@ class Restorer:
             at += run
         return lattice
 
+    def restore_outer(self, before: str, core: str, after: str) -> str:
+        """The likeliest reading of a token between signs that are letters or nothing."""
+        return self._search([*_outer(before), *self._lattice(core), *_outer(after)])
+
     def restore(self, token: str) -> str:
         """The likeliest reading of a token in lower case, or of tokens with one blank between."""
         return self._search(self._lattice(token))
 
 
-def _trimmed(token: str) -> str:
-    """A token without the marks around it; a sign that may stand for an outer letter stays."""
-    core = token.strip(_EDGES)
-    if core and any(map(str.isalpha, core)):
-        at = token.find(core)
-        before, after = token[:at], token[at + len(core) :]
-        if len(before) == 1 and before in "$|+(":
-            core = before + core
-        if len(after) == 1 and after in "$|+":
-            core += after
-    return core
+def _outer(signs: str) -> list[list[tuple[str, float]]]:
+    """Places of signs at the edge of a token: each may be a letter it stands for, or nothing."""
+    return [[("", MARK_COST), *((x, SIGN_COST) for x in STANDS_FOR.get(c, ""))] for c in signs]
 
 
 def _readings(token: str, restorer: Restorer) -> set[str]:
-    """The words a token may be meant as: what it restores to and, where it has marks inside, its parts."""
-    core = _trimmed(token)
-    if _PLAIN.fullmatch(core):
-        return {core} if not _THRICE.search(core) else {core, restorer.restore(core)}
+    """The words a token may be meant as: what it restores to, with signs at its edges as letters or as nothing, and its parts."""
+    core = token.strip(_EDGES)
+    at = token.find(core) if core else len(token)
+    # Marks that stand for no letter go.
+    before = "".join(c for c in token[:at] if c in STANDS_FOR)
+    after = "".join(c for c in token[at + len(core) :] if c in STANDS_FOR)
     parts = set(_PLAIN.findall(core))
-    if not parts:
-        return parts
-    return parts | set(restorer.restore(core).split())
+    plain = _PLAIN.fullmatch(core)
+    found = parts.copy()
+    if (plain and _TWICE.search(core)) or (not plain and any(c.isalpha() or c in STANDS_FOR for c in core)):
+        found |= set(restorer.restore(core).split())
+    if (before or after) and (core or len(before) > 1):
+        found |= set(restorer.restore_outer(before, core, after).split())
+    return found
 
 
 def _spelled(tokens: list[str]) -> list[str]:
@@ -216,6 +218,8 @@ class Weights(dict):
     def __init__(self, weights: dict[str, float], restorer: Restorer) -> None:
         super().__init__()
         self._weights, self._restorer = weights, restorer
+        self._whole = {part[:-1]: weight for part, weight in weights.items() if part.endswith("$")}
+        self._longest, self._joined = max(map(len, self._whole), default=0), {}
 
     def of_word(self, word: str) -> float:
         return max((self._weights.get(part, 0.0) for part in parts_of(word)), default=0.0)
@@ -226,9 +230,33 @@ class Weights(dict):
         self[token] = found = max(map(self.of_word, _readings(token, self._restorer)), default=0.0)
         return found
 
+    def _of_joined(self, joined: str) -> float:
+        """Weight of neighbouring tokens read as one whole word."""
+        if joined.isalpha():
+            return self._whole.get(joined, 0.0)
+        found = self._joined.get(joined)
+        if found is None:
+            if len(self._joined) >= REMEMBERED:
+                self._joined.clear()
+            found = self._joined[joined] = self._whole.get(self._restorer.restore(joined), 0.0)
+        return found
+
+    def _of_neighbours(self, tokens: list[str]) -> float:
+        """Weight of whole words with blanks in them; runs of single characters are read elsewhere."""
+        cores = [token.strip(_EDGES) or token for token in tokens]
+        total = 0.0
+        for at, joined in enumerate(cores):
+            for n, core in enumerate(cores[at + 1 : at + self._longest], 2):
+                joined += core
+                if len(joined) > self._longest or not all(c.isalpha() or c in STANDS_FOR for c in core):
+                    break
+                if len(joined) > n:
+                    total += self._of_joined(joined)
+        return total
+
     def of_text(self, text: str) -> float:
         tokens = text.lower().split()
-        total = sum(map(self.__getitem__, tokens))
+        total = sum(map(self.__getitem__, tokens)) + self._of_neighbours(tokens)
         if sum(len(t) == 1 for t in tokens) > 2:
             for run in _spelled(tokens):
                 total += sum(map(self.of_word, self._restorer.restore(run).split()))

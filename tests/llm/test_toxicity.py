@@ -83,3 +83,21 @@ def test_no_documents_or_labels(spark, docs):
     rows = tox.toxicity(docs((1, "a b"), (2, None)), labels).collect()
     assert {r.predicted for r in rows} == {0}
     assert tox.without_toxic(docs((1, "a b")), labels).count() == 1
+
+
+@pytest.mark.parametrize(
+    ("token", "meant"),
+    [("$$tupid", "stupid"), ("!diot", "idiot"), ("455", "ass"), ("4$$", "ass"), ("l0$$", "loss"), ("iiddiioott", "idiot")],
+)
+def test_signs_at_edges_and_doubled_letters_are_read(token, meant):
+    texts = [" ".join([*FILLER, "stupid", "idiot", "ass", "loss"])] * 20
+    counts = np.bincount(tox._trigrams(texts, tox._code_table()), minlength=tox._N**3)
+    found = tox._readings(token, tox.Restorer(tox.costs_of(counts.astype(float))))
+    assert meant in found, found
+
+
+def test_words_with_blanks_are_weighed(restorer):
+    weights = tox.Weights({"blockhead$": 4.0}, restorer)
+    assert weights.of_text("a bl ock head, river") == weights.of_text("a block h3ad river") == 4.0
+    assert weights.of_text("b l o c k h e a d") == weights.of_text("blockhead") == 4.0
+    assert weights.of_text("a quiet river") == 0.0

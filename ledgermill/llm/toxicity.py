@@ -27,9 +27,9 @@ from ledgermill.session import stored
 # The classifier is fitted on at most about so many labelled rows, chosen by hash; the language model on all rows.
 TRAINING_ROWS = 20_000
 THRESHOLD = 0.7
-# A part carries weight if so many toxic training rows have it, and this share of them, and if it is so many times as
-# frequent there as in clean ones, even with both counts one standard error less telling.
-LEAST_ROWS, LEAST_SHARE, LEAST_RATIO = 5, 0.02, 60.0
+# A part carries weight if so many toxic training rows have it, and if it is so many times as frequent there as in clean
+# ones, even with both counts one standard error less telling.
+LEAST_ROWS, LEAST_RATIO = 5, 60.0
 SHORTEST_PART, LONGEST_PART = 3, 6
 # Tokens whose weight, and tokens whose readings, a task remembers.
 REMEMBERED, REMEMBERED_READINGS = 100_000, 20_000
@@ -354,7 +354,7 @@ def weights_of(toxic: dict[str, int], clean: dict[str, int], n_toxic: int, n_cle
         other = clean.get(part, 0)
         often, seldom = n - math.sqrt(n) + 0.5, other + math.sqrt(other) + 0.5
         ratio = often / (n_toxic + 1) / (seldom / (n_clean + 1))
-        if n >= max(LEAST_ROWS, LEAST_SHARE * n_toxic) and ratio >= LEAST_RATIO:
+        if n >= LEAST_ROWS and ratio >= LEAST_RATIO:
             weights[part] = math.log(ratio)
     return weights
 

@@ -101,3 +101,8 @@ def test_words_with_blanks_are_weighed(restorer):
     assert weights.of_text("a bl ock head, river") == weights.of_text("a block h3ad river") == 4.0
     assert weights.of_text("b l o c k h e a d") == weights.of_text("blockhead") == 4.0
     assert weights.of_text("a quiet river") == 0.0
+
+
+def test_words_of_few_toxic_rows_carry_weight():
+    weights = tox.weights_of({"seldom$": 29, "chance$": 5, "few$": 4}, {"chance$": 3}, 1_500, 13_000)
+    assert set(weights) == {"seldom$"}

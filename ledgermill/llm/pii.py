@@ -15,6 +15,8 @@ document's candidates stay an array in its row.
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
+from functools import reduce
+from operator import and_, or_
 
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
@@ -48,6 +50,16 @@ GENERATORS = (
     ("secret", r"(?i)(?<![a-z])(?:pass(?:word|wd)?|pwd|token|secret|api[_-]?key)[\"']? ?[=:] ?[\"']?[^\s\"'=]{6,}+"),
     ("secret", r"(?<![A-Za-z0-9])(?:[A-Z0-9]{16,}+|[0-9a-f]{16,}+)(?![A-Za-z0-9])"),
 )
+# What a text must hold for each of them to be worth a search: patterns that are all found in it.
+_GENERATOR_HOLDS = (
+    ("@|[\\[(]at[\\])]",),
+    ("[0-9]\\.[0-9]",),
+    ("[0-9A-Fa-f]:[0-9A-Fa-f]",),
+    ("[0-9]",),
+    ("[0-9]",),
+    ("[=:]", "(?i)pass|pwd|token|secret|api"),
+    ("[A-Z0-9]{16}|[0-9a-f]{16}",),
+)
 _KEY_WORDS = r"(?i)(?:pass|pwd|token|secret|key|tel|phone|call|mail|card|visa|host|server|ip)[a-z_]*[\"']?[\s:=]*$"
 _ANCHORED = r"(?i)^(?:pass|pwd|token|secret|api)"
 # Trees: at most about so many candidates to learn from, chosen by hash of their documents.
@@ -119,15 +131,21 @@ def base_spans(text: Column, kind: str) -> Column:
     return F.when(worth, F.filter(located(text, BASE_PATTERNS[kind]), lambda m: _passes(kind, m["value"]))).otherwise(_none())
 
 
+def _worth(text: Column, holds: tuple[str, ...]) -> Column:
+    return reduce(and_, (text.rlike(pattern) for pattern in holds))
+
+
 def candidates(text: Column) -> Column:
     """What the generators propose: array of (kind, start, end, value, before), without repeats."""
 
     def named(kind: str) -> Callable[[Column], Column]:
         return lambda m: F.struct(F.lit(kind).alias("kind"), *(m[c].alias(c) for c in ("start", "end", "value", "before")))
 
-    found = [F.transform(located(text, pattern), named(kind)) for kind, pattern in GENERATORS]
-    empty = F.expr("CAST(array() AS array<struct<kind:string,start:int,end:int,value:string,before:string>>)")
-    return F.when(text.rlike("[0-9]|[\\[(]at[\\])]"), F.array_distinct(F.concat(*found))).otherwise(empty)
+    found = [
+        F.transform(F.when(_worth(text, holds), located(text, pattern)).otherwise(_none()), named(kind))
+        for (kind, pattern), holds in zip(GENERATORS, _GENERATOR_HOLDS, strict=True)
+    ]
+    return F.array_distinct(F.concat(*found))
 
 
 def features(c: Column) -> dict[str, Column]:
@@ -187,7 +205,7 @@ def fit_candidates(docs: DataFrame) -> Callable[[Column], Column] | None:
     """A predicate on candidates that says which to accept, learnt from ``docs``; None if nothing can be learnt."""
     own = docs.select(text_of().alias("text"), F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)).alias("_hash"))
     # The generators look at a share of the documents that should give about as many candidates as wanted.
-    likely = own.filter(F.col("text").rlike("[0-9]"))
+    likely = own.filter(reduce(or_, (_worth(F.col("text"), holds) for holds in _GENERATOR_HOLDS)))
     share = int(min(1.0, SAMPLE_CANDIDATES / max(1, likely.count())) * (1 << 30))
     sampled = likely.filter(F.col("_hash") < share)
     exploded = sampled.select(

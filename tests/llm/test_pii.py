@@ -98,3 +98,10 @@ def test_only_columns_are_used(spark, docs):
     plan = pii.personal_data(docs((1, "a@b.cd")))._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
     assert isinstance(F.col("x"), type(pii.located(F.col("x"), "a")))
+
+
+def test_texts_without_digits_have_candidates(docs):
+    texts = {"say password: correcthorse": "secret", "secret=AbcdefGhij": "secret", "name @ host.org": "email",
+             "ABCDEFGHIJKLMNOPQR": "secret", "ab:cd:ef:ab": "ip", "a quiet river": None}
+    rows = docs(*enumerate(texts)).select("text", pii.candidates(F.col("text"))["kind"].alias("kinds")).collect()
+    assert {r.text: next(iter(r.kinds), None) for r in rows} == texts

@@ -5,8 +5,8 @@ generators with loose patterns propose candidates, which may overlap: written-ou
 other separators or without a plus, secrets. Gradient-boosted trees score candidates by their format
 and what stands before them. They learn from seeds: candidates that a base rule confirms, or that
 follow a word such as "password", are true; candidates that fail a check which true ones pass, such as
-card numbers with a wrong check digit, are false. A threshold per kind is calibrated on seeds the trees
-have not seen, so that nearly all accepted ones are true; where that can't be reached, none is added.
+card numbers with a wrong check digit, are false. A threshold per kind is calibrated on the seeds of all
+documents, so that nearly all accepted ones are true; where that can't be reached, none is added.
 
 Everything is built from column expressions. The trees become one too, so scoring needs no shuffle: a
 document's candidates stay an array in its row.
@@ -62,7 +62,7 @@ _GENERATOR_HOLDS = (
 )
 _KEY_WORDS = r"(?i)(?:pass|pwd|token|secret|key|tel|phone|call|mail|card|visa|host|server|ip)[a-z_]*[\"']?[\s:=]*$"
 _ANCHORED = r"(?i)^(?:pass|pwd|token|secret|api)"
-# Trees: at most about so many candidates to learn from, chosen by hash of their documents.
+# Trees: at most so many candidates to learn from, of every kind, chosen by hash of their documents.
 SAMPLE_CANDIDATES = 20_000
 ROUNDS, DEPTH = 8, 3
 PRECISION, LEAST_SEEDS = 0.99, 20
@@ -201,25 +201,36 @@ def _node(node, names: list[str]) -> Callable[[Mapping[str, Column]], Column]:
     return lambda x: F.when(x[name] <= threshold, left(x)).otherwise(right(x))
 
 
+def _shares(counts: Mapping[str, int]) -> dict[str, float]:
+    """Per kind the share of its seeds to learn from: as many of each as there are, within ``SAMPLE_CANDIDATES`` in all."""
+    shares, left = {}, SAMPLE_CANDIDATES
+    for at, (kind, n) in enumerate(sorted(counts.items(), key=lambda found: found[1])):
+        taken = min(n, left // (len(counts) - at))
+        shares[kind], left = taken / n, left - taken
+    return shares
+
+
 def fit_candidates(docs: DataFrame) -> Callable[[Column], Column] | None:
     """A predicate on candidates that says which to accept, learnt from ``docs``; None if nothing can be learnt."""
     own = docs.select(text_of().alias("text"), F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)).alias("_hash"))
-    # The generators look at a share of the documents that should give about as many candidates as wanted.
     likely = own.filter(reduce(or_, (_worth(F.col("text"), holds) for holds in _GENERATOR_HOLDS)))
-    share = int(min(1.0, SAMPLE_CANDIDATES / max(1, likely.count())) * (1 << 30))
-    sampled = likely.filter(F.col("_hash") < share)
-    exploded = sampled.select(
+    exploded = likely.select(
         "text", "_hash", _all_base(F.col("text")).alias("base"), F.explode(candidates(F.col("text"))).alias("c")
     )
     numbers = {f"f_{name}": value for name, value in features(F.col("c")).items()}
     labelled = exploded.select(
         _seed(F.col("c"), F.col("base")).alias("label"), "_hash", "c.kind", *(v.alias(n) for n, v in numbers.items())
     ).filter("label IS NOT NULL")
+    seeds = stored(labelled, "candidate-seeds")
+    shares = _shares({r.kind: r.n for r in seeds.groupBy("kind").agg(F.count("*").alias("n")).collect()})
+    least = F.lit(0)
+    for kind, share in shares.items():
+        least = F.when(F.col("kind") == kind, int(share * (1 << 30))).otherwise(least)
     # Ordered, so that every run learns from the same candidates, in the same order.
-    seeds = stored(
-        labelled.orderBy("_hash", "kind", "label", *numbers).limit(SAMPLE_CANDIDATES).coalesce(1), "candidate-seeds"
+    chosen = seeds.filter((F.col("_hash") % 3 != 0) & (F.pmod(F.xxhash64("_hash", "kind"), F.lit(1 << 30)) < least))
+    fitting = stored(
+        chosen.orderBy("_hash", "kind", "label", *numbers).limit(SAMPLE_CANDIDATES).coalesce(1), "fitting-seeds"
     )
-    fitting, checking = seeds.filter("_hash % 3 <> 0"), seeds.filter("_hash % 3 = 0")
     if fitting.select("label").distinct().count() < 2:
         return None
     names = [n.removeprefix("f_") for n in numbers]
@@ -232,8 +243,8 @@ def fit_candidates(docs: DataFrame) -> Callable[[Column], Column] | None:
         margin = sum((F.lit(w) * node(x) for w, node in zip(model.treeWeights, nodes, strict=True)), F.lit(0.0))
         return 1 / (1 + F.exp(-2 * margin))
 
-    # Calibration: per kind the lowest score, in hundredths, from which on nearly all seeds not seen are true.
-    scored = checking.select("kind", "label", F.floor(score({n: F.col(f"f_{n}") for n in names}) * 100).alias("bin"))
+    # Calibration: per kind the lowest score, in hundredths, from which on nearly all seeds of all documents are true.
+    scored = seeds.select("kind", "label", F.floor(score({n: F.col(f"f_{n}") for n in names}) * 100).alias("bin"))
     bins = scored.groupBy("kind", "bin").agg(F.sum("label").alias("true"), F.count("*").alias("n")).collect()
     thresholds = {}
     for kind in KINDS:

@@ -105,3 +105,18 @@ def test_texts_without_digits_have_candidates(docs):
              "ABCDEFGHIJKLMNOPQR": "secret", "ab:cd:ef:ab": "ip", "a quiet river": None}
     rows = docs(*enumerate(texts)).select("text", pii.candidates(F.col("text"))["kind"].alias("kinds")).collect()
     assert {r.text: next(iter(r.kinds), None) for r in rows} == texts
+
+
+def test_a_seldom_kind_has_its_threshold(docs):
+    rng = random.Random(4)
+    rows = []
+    for n in range(400):
+        phone, wrong = f"+1 ({rng.randint(200, 999)}) 555-{rng.randint(1000, 9999)}", f"{rng.randint(256, 999)}.1.1.7"
+        own = f" password={rng.getrandbits(64):016x}" if n % 16 == 0 else ""
+        rows.append((n, f"plain words and {phone} then {wrong}{own} line {n}"))
+    spans = {r.doc_id: r.spans for r in pii.personal_data_report(docs(*rows)).collect()}
+    assert all("secret:" in spans[n] for n in range(0, 400, 16))
+
+
+def test_every_kind_is_learnt_from():
+    assert pii._shares({"secret": 50, "card": 1_000_000, "phone": 10_000}) == {"secret": 1.0, "phone": 0.9975, "card": 0.009975}

@@ -8,9 +8,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgermill.session import stored
+
 
 def _documents() -> Column:
     return F.count_distinct("billing_document").alias("total_documents")
@@ -104,6 +106,21 @@ def by_final_qty(fact: DataFrame) -> DataFrame:
     return fact.orderBy(F.col("final_qty").asc_nulls_last(), "billing_document", "item")
 
 
+def ranked_by_final_qty(fact: DataFrame) -> DataFrame:
+    """``fact`` with ``place``, each row's place by ascending net quantity, unknown ones last, from 1.
+
+    Rows are counted within ranges of the order, and the rows of the ranges before are added.
+    """
+    order = [F.col("final_qty").asc_nulls_last(), F.col("billing_document"), F.col("item")]
+    ranged = stored(fact.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()), "ranges")
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = ranged.groupBy("_part").agg(F.count("*").alias("_n"))
+    offsets = parts.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    within = F.row_number().over(Window.partitionBy("_part").orderBy(*order))
+    placed = ranged.withColumn("place", within).join(offsets, "_part")
+    return placed.withColumn("place", F.col("place") + F.col("_before")).drop("_part", "_before")
+
+
 def null_count(fact: DataFrame, column: str = "final_qty") -> DataFrame:
     """Rows of the fact, and those without a net quantity.
 

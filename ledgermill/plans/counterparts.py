@@ -331,6 +331,11 @@ COUNTERPARTS: dict[str, str] = {
         """SELECT final_qty, count(*) AS n_rows
            FROM (SELECT final_qty FROM one_per_line ORDER BY final_qty NULLS LAST LIMIT 100) GROUP BY 1"""
     ),
+    "quantity_order": _sql(
+        """SELECT billing_document, item, final_qty,
+                  row_number() OVER (ORDER BY final_qty NULLS LAST, billing_document, item NULLS FIRST) AS place
+           FROM one_per_line"""
+    ),
     "top_k_documents": _sql(
         "SELECT billing_document, count(*) AS n FROM b GROUP BY 1 ORDER BY n DESC, billing_document LIMIT 3"
     ),

@@ -80,3 +80,11 @@ def test_sketches(spark):
 def test_unknown_quantities_sort_last(spark):
     frame = spark.createDataFrame([(1, 1, None), (2, 1, 5), (3, 1, -5)], "billing_document int, item int, final_qty int")
     assert [row.final_qty for row in views.by_final_qty(frame).collect()] == [-5, 5, None]
+
+
+def test_every_row_has_its_place_by_net_quantity(spark):
+    rows = [(n, 1, None if n % 5 == 0 else n % 7 - 3) for n in range(300)]
+    frame = spark.createDataFrame(rows, "billing_document bigint, item bigint, final_qty bigint").repartition(7)
+    got = {r.billing_document: r.place for r in views.ranked_by_final_qty(frame).collect()}
+    order = sorted(rows, key=lambda r: (r[2] is None, r[2] or 0, r[0]))
+    assert got == {doc: place for place, (doc, _, _) in enumerate(order, 1)}

@@ -6,8 +6,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgermill.llm.fit_packing import fit_documents
+from ledgermill.llm.lexical_search import ranked_documents
 from ledgermill.llm.near_dedup import near_duplicates
 from ledgermill.llm.packing import pack_documents
+from ledgermill.llm.periodic_runs import periodic_runs, run_digests, with_planted_periods
 from ledgermill.llm.pii import personal_data_report
 from ledgermill.llm.repetition_rules import quality_rules
 from ledgermill.llm.source_mixing import mix_report
@@ -66,6 +69,18 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(documents(spark, sf_dir), WORD_BPE, capacity=2048, end_id=1).drop("padded_to")
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return run_digests(periodic_runs(with_planted_periods(documents(spark, sf_dir)), least=12))
+
+
+def op12_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fit_documents(documents(spark, sf_dir), WORD_BPE, capacity=4096, end_id=1)
+
+
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_documents(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"), k=50)
+
+
 LLM_QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_toxicity": op2_toxicity,
@@ -77,6 +92,9 @@ LLM_QUERIES = {
     "op8_token_counts": op8_token_counts,
     "op9_token_output": op9_token_output,
     "op10_packing": op10_packing,
+    "op11_periodic_runs": op11_periodic_runs,
+    "op12_fit_packing": op12_fit_packing,
+    "op13_lexical_search": op13_lexical_search,
 }
 # The targets are found in one pass: sources fill up in order of size over weight, and the level that the
 # others share is that of the first one that does not.
@@ -151,4 +169,37 @@ WITH vectors AS (
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
 """
 
-LLM_COUNTERPARTS: dict[str, str] = {"op4_mixing": _OP4, "op5_substring_dedup": _OP5, "op6_top_k": _OP6}
+_OP13 = r"""
+WITH split AS (
+    SELECT doc_id, row_number() OVER () AS place, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+    FROM documents
+), totals AS (
+    SELECT count(*)::BIGINT AS n_docs, sum(len(terms))::BIGINT AS n_terms FROM split WHERE len(terms) > 0
+), counted AS (
+    SELECT place, doc_id, len(terms)::BIGINT AS n, unnest(terms) AS term FROM split
+), cells AS (
+    SELECT place, doc_id, n, term, count(*)::BIGINT AS tf FROM counted GROUP BY ALL
+), weights AS (
+    SELECT term, floor(1000 * ln((2 * any_value(n_docs) + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w
+    FROM cells, totals GROUP BY term
+), asked AS (
+    SELECT DISTINCT item_id, unnest(regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM benchmark
+), scored AS (
+    SELECT item_id, place, doc_id,
+        sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + (50 * n * n_docs) // n_terms))))::BIGINT AS score
+    FROM asked JOIN cells USING (term) JOIN weights USING (term), totals GROUP BY ALL
+), ranked AS (
+    SELECT *, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER) AS rank
+    FROM scored WHERE score > 0
+)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 50
+"""
+
+LLM_COUNTERPARTS: dict[str, str] = {
+    "op4_mixing": _OP4, "op5_substring_dedup": _OP5, "op6_top_k": _OP6, "op13_lexical_search": _OP13,
+}

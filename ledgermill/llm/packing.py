@@ -26,8 +26,7 @@ from ledgermill.session import stored
 PIECE_SCHEMA = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint"
 # Pieces that are numbered together, about; a length with more is dealt out to more groups.
 GROUP_ROWS = 1_000
-# Pieces a task remembers the ids of. Fewer than elsewhere, and forgotten at its end: packing is the last of
-# several stages that share workers.
+# Pieces of text a worker remembers the ids of.
 REMEMBERED = 400_000
 
 
@@ -76,8 +75,11 @@ def plan_bins(counts: dict[int, int], capacity: int) -> list[tuple[int, dict[int
     return plan
 
 
-def pieces(docs: DataFrame, tokenizer_path: str, capacity: int, end_id: int) -> DataFrame:
-    """Each document's ids with ``end_id`` behind them, cut into full windows and a rest."""
+def pieces(docs: DataFrame, tokenizer_path: str, capacity: int, end_id: int, forget: bool = False) -> DataFrame:
+    """Each document's ids with ``end_id`` behind them, cut into full windows and a rest.
+
+    A worker keeps what its encoder has learnt for the next task, unless it is to ``forget`` it.
+    """
     spark = docs.sparkSession
     content, version = shared_tokenizer(spark, tokenizer_path)
 
@@ -93,7 +95,8 @@ def pieces(docs: DataFrame, tokenizer_path: str, capacity: int, end_id: int) ->
                     rows.append((doc_id, start, len(piece), zlib.crc32(piece.tobytes()), len(ids)))
             columns = [pa.array(column, pa.int64()) for column in zip(*rows, strict=True)] or [pa.array([], pa.int64())] * 5
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
-        known.forget()
+        if forget:
+            known.forget()
 
     return docs.select("doc_id", text_of().alias("text")).mapInArrow(cut, PIECE_SCHEMA)
 
@@ -103,14 +106,27 @@ def pack(cut: DataFrame, capacity: int) -> DataFrame:
 
     ``cut`` should be a stored table: it is read three times.
     """
+    counts = length_counts(cut)
+    return placed(cut, counts, plan_bins({n: c for n, c in counts.items() if n < capacity}, capacity), capacity)
+
+
+def length_counts(cut: DataFrame) -> dict[int, int]:
+    """How many pieces there are of each length: at most as many numbers as the capacity, whatever the corpus."""
+    return {row.length: row.n for row in cut.groupBy("length").agg(F.count("*").alias("n")).collect()}
+
+
+def placed(cut: DataFrame, counts: dict[int, int], plan: list[tuple[int, dict[int, int]]], capacity: int) -> DataFrame:
+    """Places of all pieces under a plan for those shorter than ``capacity``; a full piece is a sequence of its own.
+
+    ``counts`` are those of ``cut``, and ``plan`` has (number of bins, lengths in each) for all shorter lengths.
+    """
     spark = cut.sparkSession
-    # At most ``capacity`` rows, whatever the corpus; so is the table made of them that is broadcast below.
-    counts = {row.length: row.n for row in cut.groupBy("length").agg(F.count("*").alias("n")).collect()}
+    # At most ``capacity`` rows; so is the table made of them that is broadcast below.
     groups = spark.createDataFrame([(n, c // GROUP_ROWS + 1) for n, c in counts.items()], "length bigint, _groups bigint")
     places: dict[int, list[tuple[int, int, int, int, int]]] = {}
     taken = dict.fromkeys(counts, 0)
     first_bin = 0
-    for bins, used in plan_bins(counts, capacity):
+    for bins, used in plan:
         total = sum(n * k for n, k in used.items())
         padded = total if total & (total - 1) == 0 else capacity
         offset = 0
@@ -124,14 +140,16 @@ def pack(cut: DataFrame, capacity: int) -> DataFrame:
     # Rank within a length: rank within a group of it, plus the pieces in the groups before.
     mark = F.xxhash64("doc_id", "start", "ids_crc32")
     grouped = cut.join(F.broadcast(groups), "length").withColumn("_group", F.pmod(mark, "_groups")).drop("_groups")
-    sizes = grouped.groupBy("length", "_group").agg(F.count("*").alias("_n"))
+    # Full pieces need no place in the plan, so their numbers may have gaps: a group's begin at a multiple of 2^32.
+    full = F.col("length") == capacity
+    sizes = grouped.filter(~full).groupBy("length", "_group").agg(F.count("*").alias("_n"))
     before = Window.partitionBy("length").orderBy("_group").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("length", "_group", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
     within = Window.partitionBy("length", "_group").orderBy("doc_id", "start", "ids_crc32", "doc_tokens")
     ranked = (
         grouped.withColumn("_rank", F.row_number().over(within) - 1)
-        .join(offsets, ["length", "_group"])
-        .withColumn("_rank", F.col("_rank") + F.col("_before"))
+        .join(offsets, ["length", "_group"], "left")
+        .withColumn("_rank", F.col("_rank") + F.when(full, F.shiftleft(F.col("_group"), 32)).otherwise(F.col("_before")))
         .drop("_group", "_before")
     )
 
@@ -141,6 +159,9 @@ def pack(cut: DataFrame, capacity: int) -> DataFrame:
             out = np.zeros((3, len(lengths)), np.int64)
             for n in np.unique(lengths):
                 own = np.flatnonzero(lengths == n)
+                if n == capacity:
+                    out[0, own], out[2, own] = first_bin + ranks[own], capacity
+                    continue
                 begin, each, first, at, padded = shared.value[int(n)].T
                 slot = np.searchsorted(begin, ranks[own], "right") - 1
                 inside = ranks[own] - begin[slot]
@@ -155,14 +176,17 @@ def pack(cut: DataFrame, capacity: int) -> DataFrame:
     return ranked.mapInArrow(place, f"{PIECE_SCHEMA}, sequence_id bigint, offset bigint, padded_to bigint")
 
 
-def pack_documents(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, end_id: int = 1) -> DataFrame:
+def pack_documents(
+    docs: DataFrame, tokenizer_path: str, capacity: int = 2048, end_id: int = 1, forget: bool = False
+) -> DataFrame:
     """Pack ``docs`` (``doc_id``, ``text``) into sequences of at most ``capacity`` tokens.
 
     One row per piece: doc_id, start (its document's ids before it), length, ids_crc32, doc_tokens,
     sequence_id, offset and padded_to. A sequence is padded to ``capacity`` unless its length is a power
-    of two already.
+    of two already. ``forget`` frees what the workers' encoders have learnt, for a job that goes on with
+    other work.
 
     Null and empty texts are the end id alone. Null doc_ids stay null; repeated rows are packed each; an
-    empty table gives no rows. Other columns are not looked at.
+    empty table gives no rows; texts of any length are cut whole. Other columns are not looked at.
     """
-    return pack(stored(pieces(docs, tokenizer_path, capacity, end_id), "pieces"), capacity)
+    return pack(stored(pieces(docs, tokenizer_path, capacity, end_id, forget), "pieces"), capacity)

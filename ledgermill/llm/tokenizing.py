@@ -3,7 +3,8 @@
 Most words of a corpus return often. Where a tokenizer's own rules never look past a blank, the
 ids of a text are the ids of its pieces in a row, so a piece is encoded once per Python worker:
 
-* ``words``: white space is dropped and no token reaches over it; pieces are the words.
+* ``words``: white space is dropped and no token reaches over it; pieces are the words. Texts of plain letters,
+  digits and signs are cut into the tokenizer's own pre-tokens at once, by its pattern.
 * ``blanks``: a blank between two characters other than white space begins a new token; pieces
   begin at such blanks.
 * ``texts``: nothing is known; whole texts go to the library.
@@ -31,6 +32,9 @@ REMEMBERED = 800_000
 _LETTERS, _MARKS = "[a-zA-ZÀ-ÖØ-öø-ÿ]+", "[.,;:!?]"
 _PLAIN = re.compile(f"{_LETTERS}{_MARKS}*(?:\n{_LETTERS}{_MARKS}*)*")
 _PLAIN_PARTS = re.compile(f"{_LETTERS}|{_MARKS}+|\n")
+# Texts of these characters only, in lower case, are cut alike by any library's reading of a tokenizer's pattern.
+_SAFE = re.compile(r"[\t-\r\x20-\x7eÀ-ÖØ-öø-ÿ]*")
+_SAFE_CLASSES = {r"\p{L}": "a-zß-öø-ÿ", r"\p{N}": "0-9"}
 _WHITE = frozenset(chr(c) for c in range(0x3001) if chr(c).isspace())
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 
@@ -55,7 +59,7 @@ def encoder(content: str, version: str, remembered: int = REMEMBERED) -> TextEnc
     if version not in _loaded:
         _loaded.clear()
         _loaded[version] = TextEncoder(content)
-    _loaded[version].remembered = remembered
+    _loaded[version].remember(remembered)
     return _loaded[version]
 
 
@@ -74,6 +78,14 @@ def _kind(rules: dict) -> str:
     return "texts"
 
 
+def _safe_pattern(rules: dict) -> re.Pattern | None:
+    """The pattern that cuts words into pre-tokens, for texts of ``_SAFE`` characters in lower case."""
+    written = rules["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
+    for name, letters in _SAFE_CLASSES.items():
+        written = written.replace(name, letters)
+    return None if "\\p" in written or "(" in written else re.compile(written)
+
+
 def _byte_letters() -> dict[int, str]:
     """The letter that byte-level tokenizers write for each byte: itself where it is printable."""
     printable = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
@@ -84,6 +96,21 @@ def _byte_letters() -> dict[int, str]:
 _BYTE_LETTERS = _byte_letters()
 
 
+class _Parts(dict):
+    """Ids of pre-tokens as bytes, found out when first asked for."""
+
+    def __init__(self, tokenizer: Tokenizer, dtype: np.dtype) -> None:
+        super().__init__()
+        self._tokenizer, self._dtype, self.remembered = tokenizer, dtype, REMEMBERED
+
+    def __missing__(self, part: str) -> bytes:
+        if len(self) >= self.remembered:
+            self.clear()
+        written = part.encode().decode("latin-1").translate(_BYTE_LETTERS)
+        self[part] = found = np.array([t.id for t in self._tokenizer.model.tokenize(written)], self._dtype).tobytes()
+        return found
+
+
 class TextEncoder:
     """Ids of texts without added special tokens, truncation or padding."""
 
@@ -97,15 +124,21 @@ class TextEncoder:
         if any(t.get("lstrip") or t.get("rstrip") or t.get("single_word") or t.get("normalized") for t in added):
             self.kind = "texts"
         self._special = [t["content"] for t in added]
+        self._cut = _safe_pattern(rules) if self.kind == "words" else None
         self.vocabulary_size = self._tokenizer.get_vocab_size()
         self._dtype = np.dtype("<u2" if self.vocabulary_size <= 1 << 16 else "<u4")
         self.remembered = REMEMBERED
         self._known: dict = {}
-        self._known_parts: dict[str, bytes] = {}
+        self._known_parts = _Parts(self._tokenizer, self._dtype)
+
+    def remember(self, n: int) -> None:
+        """Keep the ids of at most so many pieces, and of so many pre-tokens, from now on."""
+        self.remembered = self._known_parts.remembered = n
 
     def forget(self) -> None:
         """Free what was learnt, at the end of a task whose worker goes on with other work."""
-        self._known, self._known_parts = {}, {}
+        self._known = {}
+        self._known_parts.clear()
 
     def _library(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -124,16 +157,11 @@ class TextEncoder:
         # A text's first piece has no blank before it and so is another piece; marked by its type.
         return [(first,), *rest]
 
-    def _part(self, part: str) -> bytes:
-        """Ids of one pre-token."""
-        found = self._known_parts.get(part)
-        if found is None:
-            if len(self._known_parts) >= self.remembered:
-                self._known_parts = {}
-            written = part.encode().decode("latin-1").translate(_BYTE_LETTERS)
-            found = np.array([t.id for t in self._tokenizer.model.tokenize(written)], self._dtype).tobytes()
-            self._known_parts[part] = found
-        return found
+    def _known_cut(self, text: str) -> list[bytes] | None:
+        """Ids of the pre-tokens of a text that is safe to cut by the tokenizer's pattern, as bytes; None for others."""
+        if self._cut is None or not _SAFE.fullmatch(text) or any(s in text for s in self._special):
+            return None
+        return list(map(self._known_parts.__getitem__, self._cut.findall(text.lower())))
 
     def _learn(self, pieces: set) -> None:
         if len(self._known) + len(pieces) > self.remembered:
@@ -154,7 +182,7 @@ class TextEncoder:
                 else:
                     parts = _PLAIN_PARTS.findall(plain)
                     parts[0] = blank + parts[0]
-                self._known[piece] = b"".join(map(self._part, parts))
+                self._known[piece] = b"".join(map(self._known_parts.__getitem__, parts))
             else:
                 others.append(piece)
                 written.append(blank + plain)
@@ -165,6 +193,10 @@ class TextEncoder:
     def _known_pieces(self, texts: list[str]) -> Iterable[list[bytes] | None]:
         """Per text the ids of its pieces, as bytes; None for texts that have to stay whole."""
         for text in texts:
+            cut = self._known_cut(text)
+            if cut is not None:
+                yield cut
+                continue
             pieces = self._pieces(text)
             if pieces is None:
                 yield None

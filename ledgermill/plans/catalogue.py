@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -14,7 +15,7 @@ from ledgermill.operators import dashboard as dash
 from ledgermill.operators import edits, merge, netting, star, views
 from ledgermill.plans import load
 from ledgermill.session import all_stored, scratch_path, stored
-from ledgermill.sources import adapter, billing_csv, deliveries
+from ledgermill.sources import adapter, billing_csv, deliveries, files
 from ledgermill.sources.layers import Layers
 from ledgermill.streaming.refresh import parquet_stream, start_refresh
 
@@ -130,12 +131,12 @@ def new_files_only(spark: SparkSession, sf_dir: str) -> DataFrame:
     month = F.coalesce(F.date_format("billing_date", "yyyy-MM"), F.lit("undated"))
     monthly = adapter.billing_lines(spark, sf_dir).withColumn("month", month)
     monthly.repartition("month").write.partitionBy("month").option("header", True).csv(path)
-    files = deliveries.delivered_files(spark, path)
+    found = deliveries.delivered_files(spark, path)
     month_of = F.regexp_extract("path", "/month=([^/]+)/", 1)
     ledger = deliveries.record_files(
-        deliveries.empty_ledger(spark), files.filter(month_of < F.lit(LEDGER_END[:7])), fx.FIRST_BATCH_ID
+        deliveries.empty_ledger(spark), found.filter(month_of < F.lit(LEDGER_END[:7])), fx.FIRST_BATCH_ID
     )
-    return deliveries.new_files(files, ledger).select(month_of.alias("month")).distinct()
+    return deliveries.new_files(found, ledger).select(month_of.alias("month")).distinct()
 
 
 @query
@@ -478,11 +479,11 @@ def approx_top_materials(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def quantity_ranks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The fact by ascending net quantity, unknown ones last: places of the first hundred rows."""
+    """Every net quantity of the fact: its rows, and the first place they have in ascending order, unknown ones last."""
     net = netting.net_out(_silver(spark, sf_dir), "pairwise")
     fact = star.fact_left_enrich(adapter.billing_lines(spark, sf_dir), net)
-    first = views.by_final_qty(fact).limit(100)
-    return first.groupBy("final_qty").agg(F.count("*").alias("n_rows"))
+    places = views.ranked_by_final_qty(fact)
+    return places.groupBy("final_qty").agg(F.count("*").alias("n_rows"), F.min("place").alias("first_place"))
 
 
 @query
@@ -608,6 +609,103 @@ def edited_layers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sums[0].unionByName(sums[1]).unionByName(sums[2])
 
 
+def _deliver(spark: SparkSession, lines: DataFrame, inbox: str, name: str) -> list[str]:
+    """Lines as CSV files of a given name in a folder; the paths of the files."""
+    made = scratch_path(spark, "made")
+    billing_csv.export_csv(_as_text(lines), made)
+    spark.createDataFrame([(1,)], "n int").limit(0).write.mode("append").csv(inbox)  # makes the folder
+    for old in files.names_in(spark, inbox):
+        if old.startswith(f"{name}-"):
+            files.remove(spark, f"{inbox}/{old}")
+    paths = []
+    for n, part in enumerate(p for p in files.names_in(spark, made) if p.endswith(".csv")):
+        paths.append(f"{inbox}/{name}-{n:05}.csv")
+        files.rename(spark, f"{made}/{part}", paths[-1])
+    return paths
+
+
+@query
+def late_and_replaced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of bronze and silver after a first load; after a file a month old came late; after the first files were replaced
+    under their names; after the late files were renamed, which changes nothing; and after all was loaded once more by force."""
+    inbox, out = scratch_path(spark, "inbox"), scratch_path(spark, "layers")
+    lines, digit = adapter.billing_lines(spark, sf_dir), F.col("billing_document") % 10
+    counts: list[DataFrame] = []
+
+    def load_and_count(step: str, force: bool = False) -> None:
+        load.run(spark, inbox, out, buckets=BUCKETS, force=force)
+        layers = Layers(spark, out, BUCKETS)
+        newest = layers.latest()
+        tables = {name: load.layer(layers, name, newest) for name in ("bronze", "silver")}
+        counts.append(load.layer_row_counts(tables).select(F.lit(step).alias("step"), "layer", "n_rows"))
+
+    _deliver(spark, lines.filter(digit < 4), inbox, "first")
+    load_and_count("first")
+    late = _deliver(spark, lines.filter(digit.between(4, 5)), inbox, "late")
+    for path in late:
+        files.set_age(spark, path, datetime.now() - timedelta(days=30))
+    load_and_count("late")
+    _deliver(spark, lines.filter(digit.between(6, 8)), inbox, "first")
+    load_and_count("replaced")
+    for n, path in enumerate(late):
+        files.rename(spark, path, f"{inbox}/renamed-{n:05}.csv")
+    load_and_count("renamed")
+    load_and_count("forced", force=True)
+    result = counts[0]
+    for one in counts[1:]:
+        result = result.unionByName(one)
+    return result
+
+
+@query
+def edited_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three loads, of which the second is then deleted, the third set to a quantity of 600 for its invoices, and lines that
+    two loads brought fall back to the other one: figures of all layers."""
+    layers, quantity = Layers(spark, scratch_path(spark, "layers"), BUCKETS), F.col("billing_qty_in_sku")
+    lines, digit = adapter.billing_lines(spark, sf_dir), F.col("billing_document") % 10
+    update = {"_action": F.lit("INSERT"), "_is_update": F.lit(True), "_seq": F.lit(1).cast("bigint")}
+    plain = {**update, "_is_update": F.lit(False)}
+    # The second load changes lines of the first, and brings new ones.
+    loads = [
+        lines.filter(digit < 4).withColumns(plain),
+        lines.filter(digit.between(3, 6)).withColumns(update).withColumn("billing_qty_in_sku", quantity + 1000),
+        lines.filter(digit > 6).withColumns(plain),
+    ]
+    for n, rows in enumerate(loads):
+        version = fx.FIRST_BATCH_ID + n
+        stamped = billing_csv.stamp_batch(rows.withColumn("source_file", F.lit(f"{n}.csv")), version)
+        load.refresh(layers, stamped, version, version - 1 if n else None)
+    load.edit_batches(layers, [fx.FIRST_BATCH_ID + 1])
+    load.edit_batches(
+        layers, [fx.FIRST_BATCH_ID + 2], condition=F.col("billing_type") == "ZF2", values={"billing_qty_in_sku": F.lit(600).cast("bigint")}
+    )
+    newest, parts = layers.latest(), []
+    for name in ("bronze", "silver", "gold", "fact_sales"):
+        rows = load.layer(layers, name, newest)
+        kept = rows.agg(
+            F.count("*").alias("n_rows"),
+            F.sum("billing_qty_in_sku").alias("quantity"),
+            (F.sum("return_qty") if "return_qty" in rows.columns else F.lit(None).cast("bigint")).alias("returned"),
+        )
+        parts.append(kept.select(F.lit(name).alias("layer"), "n_rows", "quantity", "returned"))
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
+
+
+@query
+def small_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All lines but those of a few orders, then those in a load of their own: gold, returns and products as kept up."""
+    layers = Layers(spark, scratch_path(spark, "layers"), BUCKETS)
+    lines = adapter.billing_lines(spark, sf_dir)
+    few = F.col("assignment") % 97 == 5
+    for n, rows in enumerate((lines.filter(~few), lines.filter(few))):
+        load.refresh(layers, rows, fx.FIRST_BATCH_ID + n, fx.FIRST_BATCH_ID + n - 1 if n else None)
+    newest = layers.latest()
+    gold = load.layer(layers, "gold", newest)
+    dim = load.layer(layers, "dim_product", newest)
+    netted = gold.groupBy("material").agg(F.count("*").alias("n_rows"), F.sum("return_qty").alias("returned"), F.sum("final_qty").alias("remaining"))
+    return dim.join(netted, "material", "left").select("material", "item_description", "material_group", "product_category", "n_rows", "returned", "remaining")
+
+
 @query
 def empty_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A second run over the same folder finds nothing new and writes no version."""

@@ -159,6 +159,17 @@ TABLES = {
     "after": """
         SELECT * REPLACE (CAST(billing_qty_in_sku + if(billing_document % 10 = 2, 1, 0) AS BIGINT) AS billing_qty_in_sku)
         FROM b WHERE billing_document % 10 <> 1""",
+    "mended": """
+        SELECT * REPLACE (CASE WHEN billing_document % 10 > 6 AND billing_type = 'ZF2' THEN 600 ELSE billing_qty_in_sku END
+                          AS billing_qty_in_sku)
+        FROM b WHERE billing_document % 10 NOT BETWEEN 4 AND 6""",
+    "mended_gold": """
+        SELECT s.billing_qty_in_sku, coalesce(r.return_qty, 0) AS return_qty
+        FROM mended s LEFT JOIN (
+            SELECT assignment, material, item_description, sum(billing_qty_in_sku) AS return_qty
+            FROM mended WHERE billing_type IN ('ZRE', 'S1') GROUP BY ALL
+        ) r ON s.billing_document = r.assignment AND s.material = r.material AND s.item_description = r.item_description
+        WHERE s.billing_type = 'ZF2' AND s.billing_date IS NOT NULL AND s.billing_qty_in_sku >= 0 AND s.material IS NOT NULL""",
 }
 
 PREFIX = "WITH " + ",\n".join(f"{name} AS ({body})" for name, body in TABLES.items())
@@ -328,8 +339,10 @@ COUNTERPARTS: dict[str, str] = {
            FROM (SELECT material, count(*) AS n FROM b WHERE material IS NOT NULL GROUP BY 1 ORDER BY n DESC, material LIMIT 3)"""
     ),
     "quantity_ranks": _sql(
-        """SELECT final_qty, count(*) AS n_rows
-           FROM (SELECT final_qty FROM one_per_line ORDER BY final_qty NULLS LAST LIMIT 100) GROUP BY 1"""
+        """SELECT final_qty, count(*) AS n_rows,
+                  CAST(coalesce(sum(count(*)) OVER (ORDER BY final_qty NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + 1
+                       AS BIGINT) AS first_place
+           FROM one_per_line GROUP BY 1"""
     ),
     "quantity_order": _sql(
         """SELECT billing_document, item, final_qty,
@@ -388,6 +401,28 @@ COUNTERPARTS: dict[str, str] = {
               OR billing_type = 'ZF2' AND billing_date IS NOT NULL AND billing_qty_in_sku >= 0 AND material IS NOT NULL
            GROUP BY layer"""
     ),
+    "late_and_replaced": _sql(
+        """SELECT unnest(['first', 'first', 'late', 'late', 'replaced', 'replaced', 'renamed', 'renamed', 'forced', 'forced']) AS step,
+                  unnest(['bronze', 'silver', 'bronze', 'silver', 'bronze', 'silver', 'bronze', 'silver', 'bronze', 'silver']) AS layer,
+                  unnest([f, f, f + l, f + l, f + l + r, f + l + r, f + l + r, f + l + r, f + 2 * l + 2 * r, f + l + r]) AS n_rows
+           FROM (SELECT count(*) FILTER (WHERE billing_document % 10 < 4) AS f,
+                        count(*) FILTER (WHERE billing_document % 10 BETWEEN 4 AND 5) AS l,
+                        count(*) FILTER (WHERE billing_document % 10 BETWEEN 6 AND 8) AS r FROM b)"""
+    ),
+    "edited_batches": _sql(
+        """SELECT unnest(['bronze', 'silver']) AS layer, count(*) AS n_rows, CAST(sum(billing_qty_in_sku) AS BIGINT) AS quantity,
+                  CAST(NULL AS BIGINT) AS returned FROM mended
+           UNION ALL
+           SELECT unnest(['gold', 'fact_sales']), count(*), CAST(sum(billing_qty_in_sku) AS BIGINT), CAST(sum(return_qty) AS BIGINT)
+           FROM mended_gold"""
+    ),
+    "small_batch": _sql(
+        """SELECT material, item_description, material_group, product_category, n_rows, returned, remaining
+           FROM products LEFT JOIN (
+               SELECT material, count(*) AS n_rows, CAST(sum(return_qty) AS BIGINT) AS returned,
+                      CAST(sum(final_qty) AS BIGINT) AS remaining
+               FROM gold GROUP BY 1) USING (material)"""
+    ),
     "empty_run": _sql(
         f"""SELECT 'bronze' AS step, unnest([count(*), 0]) AS n_rows, unnest(['done', 'skipped']) AS status,
                    CAST({fx.FIRST_BATCH_ID} AS BIGINT) AS newest FROM b"""

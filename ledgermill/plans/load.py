@@ -2,27 +2,29 @@
 
 from __future__ import annotations
 
-import hashlib
 import uuid
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 
 from pyspark import inheritable_thread_target
-from pyspark.errors import StreamingQueryException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgermill import fixed_values as fx
 from ledgermill.functions.rules import clean, one_of
 from ledgermill.operators import views
-from ledgermill.operators.changes import net_changes
+from ledgermill.operators.changes import keys_known, net_changes
 from ledgermill.operators.edits import update_where
+from ledgermill.operators.history import EDITED, as_changes, replayed
 from ledgermill.operators.joins import attach
 from ledgermill.operators.merge import DOCUMENT_LINE, merge_cdc
 from ledgermill.operators.netting import net_out
-from ledgermill.operators.star import fact_sales, load_dimensions
-from ledgermill.sources.billing_csv import stamp_batch
-from ledgermill.sources.layers import DEFAULT_BUCKETS, Layers, column_names, empty
+from ledgermill.operators.star import dim_product, fact_sales, load_dimensions
+from ledgermill.session import stored
+from ledgermill.sources import deliveries
+from ledgermill.sources.billing_csv import read_text_rows, split_defects, stamp_batch
+from ledgermill.sources.layers import BRONZE_SCHEMA, DEFAULT_BUCKETS, Busy, Layers, column_names, empty
 
 REPORT_SCHEMA = "step string, n_rows bigint, status string, message string"
 _STAMPS = "created_at timestamp_ntz, updated_at timestamp_ntz"
@@ -43,6 +45,12 @@ BUCKETED = {
     "fact_sales": "billing_document bigint, item bigint, billing_date date, billing_qty_in_sku bigint, "
     f"material string, billing_type string, assignment bigint, {_NET}",
 }
+# Beside the layers: per bucket of silver the latest day of every description of a product; and the returns in silver, in
+# buckets by the document they are assigned to.
+STATE = {
+    "products": "material string, item_description string, material_group string, product_category string, billing_date date",
+    "returns": BUCKETED["silver"],
+}
 # Layer tables, those that depend on others first.
 RESET_ORDER = ("fact_sales", "gold", "silver", *DIMENSIONS, "bronze")
 
@@ -51,6 +59,15 @@ class RunFailed(RuntimeError):
     """A step failed; the report tells which."""
 
 
+@dataclass
+class BatchEdit:
+    """Earlier loads to be replaced: the rows they have from now on, and the rows that went or came."""
+
+    loads: DataFrame
+    rows: DataFrame
+    changed: DataFrame
+
+
 def as_feed(delivered: DataFrame) -> DataFrame:
     """Delivered rows as a change feed: plain inserts unless they say otherwise."""
     defaults = {
@@ -108,54 +125,114 @@ def refresh_gold(
     return kept.unionByName(net_out(invoices.unionByName(assigned)))
 
 
+def product_days(lines: DataFrame) -> DataFrame:
+    """Per bucket and description of a product the latest day it was billed: all that the product dimension looks at."""
+    described = ["material", "item_description", "material_group", "product_category"]
+    return lines.filter(F.col("material").isNotNull()).groupBy("bucket", *described).agg(F.max("billing_date").alias("billing_date"))
+
+
 def refresh(
     layers: Layers,
-    delivered: DataFrame,
+    delivered: DataFrame | None,
     version: int,
     previous: int | None,
     as_of: Column | None = None,
     skip_empty: bool = True,
     load_key: str | None = None,
     quarantined: DataFrame | None = None,
+    batch_edit: BatchEdit | None = None,
+    entries: DataFrame | None = None,
 ) -> list[tuple]:
     """Write version ``version`` of every layer from ``previous`` and the delivered rows.
 
-    Of silver, gold and fact only the buckets with changed documents are read and written. The
-    report counts the rows written. It stops at the first failing step; without new rows nothing
-    is written. ``quarantined`` rows are stored beside the layers and counted in the report. A
-    version counts once all steps are done, when it is recorded as the work of ``load_key``.
+    Of silver, gold, fact, returns and products only the buckets with changed documents are read and written.
+    The report counts the rows written. It stops at the first failing step; without new rows nothing is
+    written. ``quarantined`` rows are stored beside the layers and counted in the report. Instead of delivered
+    rows there may be a ``batch_edit``. ``entries`` are the files that the ledger then counts as loaded. A
+    version counts once all steps are done, when it is recorded as the work of ``load_key``; until then no
+    other load can write it.
     """
-    newest = layers.latest()
-    if newest is not None and version < newest:
-        raise RunFailed(f"version {version} is older than {newest}, which builds on it or replaces it")
+    if (layers.latest() or version) > version:
+        raise RunFailed(f"version {version} is older than {layers.latest()}, which builds on it or replaces it")
     moment = (F.current_timestamp() if as_of is None else as_of).cast("timestamp_ntz")
     if previous is not None and not layers.has_buckets("silver", previous):
         raise RunFailed(f"version {previous} of the silver layer does not exist")
+    key = load_key or f"version:{version}"
+    since = version if previous is None else layers.since(previous) or previous
     made: dict[str, DataFrame] = {}
+    schemas = {**BUCKETED, **STATE}
 
     def current(table: str, at: int | None, only: DataFrame | None = None) -> DataFrame:
         if at is None:
-            return empty(layers.spark, BUCKETED[table])
-        return layers.read_buckets(table, at, BUCKETED[table], only)
+            return empty(layers.spark, schemas[table])
+        return layers.read_buckets(table, at, schemas[table], only)
 
-    def rewrite(table: str, rows: DataFrame, touched: DataFrame) -> DataFrame:
-        layers.write_buckets(rows.select(*column_names(BUCKETED[table])), table, version, touched, previous)
-        return layers.written_rows(table, version, BUCKETED[table])
+    def rewrite(table: str, rows: DataFrame, touched: DataFrame, by: str = "billing_document") -> DataFrame:
+        names = [*column_names(schemas[table]), *(["bucket"] if "bucket" in rows.columns else [])]
+        layers.write_buckets(rows.select(*names), table, version, touched, previous, by)
+        return layers.written_rows(table, version, schemas[table])
 
     def bronze() -> DataFrame:
         # Only the rows of this load; the layer is the union of its versions.
-        return layers.write(as_feed(delivered), "bronze", version)
+        if batch_edit is not None:
+            layers.write_moved(batch_edit.loads, version)
+            return layers.write_bronze(batch_edit.rows, version)
+        layers.forget_moved(version)
+        rows = as_feed(delivered)
+        if "batch_id" not in rows.columns:
+            rows = rows.withColumn("batch_id", F.lit(version).cast("bigint"))
+        return layers.write_bronze(rows, version)
+
+    def lone(rows: DataFrame) -> DataFrame:
+        return rows.filter(~keys_known(DOCUMENT_LINE))
 
     def silver() -> DataFrame:
         # Stored, so that the planner knows how small the changes are when it joins them.
-        feed = made["bronze"].select(*fx.BILLING_COLUMNS, "_action", "_is_update", "_seq")
-        made["net"] = layers.write(net_changes(feed, DOCUMENT_LINE), "changes", version)
-        touched = layers.buckets_of(made["net"])
+        if batch_edit is None:
+            feed = made["bronze"].select(*fx.BILLING_COLUMNS, "_action", "_is_update", "_seq")
+            made["net"] = layers.write(net_changes(feed, DOCUMENT_LINE), "changes", version)
+            made["touched"] = touched = layers.buckets_of(made["net"])
+            before = current("silver", previous, touched)
+            made["images"] = layers.write(_images(before, made["net"]), "images", version)
+            return rewrite("silver", bronze_to_silver(before, made["net"], moment), touched)
+        made["touched"] = touched = layers.buckets_of(batch_edit.changed)
+        history = layers.read_bronze(version, since, touched)
         before = current("silver", previous, touched)
-        made["images"] = layers.write(_images(before, made["net"]), "images", version)
-        return rewrite("silver", bronze_to_silver(before, made["net"], moment), touched)
+        now = replayed(history, batch_edit.changed.select(*DOCUMENT_LINE))
+        net = as_changes(before.select(*fx.BILLING_COLUMNS), now, batch_edit.changed.select(*DOCUMENT_LINE))
+        made["net"] = layers.write(net, "changes", version)
+        images = _images(before, made["net"]).unionByName(batch_edit.changed.select("billing_document", "billing_type", "assignment"))
+        made["images"] = layers.write(images, "images", version)
+        # Lines without a whole key can't be told apart, so in the touched buckets all of them come from bronze anew.
+        anew = clean(lone(history.filter("_action = 'INSERT'").select(*fx.BILLING_COLUMNS))).withColumns({"created_at": moment, "updated_at": moment})
+        kept = bronze_to_silver(before.filter(keys_known(DOCUMENT_LINE)), made["net"], moment)
+        return rewrite("silver", kept.unionByName(anew.select(*kept.columns)), touched)
+
+    def returns() -> DataFrame:
+        """Returns by the document they are assigned to; only buckets that lose or gain some are rewritten."""
+        is_return, names = one_of("billing_type", fx.RETURN_TYPES), column_names(schemas["returns"])
+        known = previous is not None and layers.has_buckets("returns", previous)
+        if not known:
+            lines = made["silver"] if previous is None else current("silver", version)
+            return rewrite("returns", lines.filter(is_return).select(*names), layers.every_bucket(), "assignment")
+        touched = layers.buckets_of(made["images"].filter(is_return), "assignment")
+        keys = made["net"].filter(keys_known(DOCUMENT_LINE)).select(*DOCUMENT_LINE)
+        same = {name: name for name in DOCUMENT_LINE}
+        old = current("returns", previous, touched)
+        lines = made["silver"].filter(is_return).select(*names)
+        if batch_edit is None:
+            inserted = lone(made["net"].filter(F.col("_action") == "INSERT")).filter(is_return)
+            added = clean(inserted.select(*fx.BILLING_COLUMNS)).withColumns({"created_at": moment, "updated_at": moment})
+        else:
+            rewritten = layers.bucket_of()
+            # At most one row per bucket each.
+            old = old.join(F.broadcast(made["touched"]), (rewritten == F.col("bucket")) & ~keys_known(DOCUMENT_LINE), "left_anti")
+            added = lone(lines).join(F.broadcast(touched), layers.bucket_of("assignment") == F.col("bucket"), "left_semi")
+        rows = attach(old, keys, same, "left_anti").unionByName(attach(lines, keys, same, "left_semi")).unionByName(added.select(*names))
+        return rewrite("returns", rows, touched, "assignment")
 
     def gold() -> DataFrame:
+        made["returns"] = returns()
         touched = layers.buckets_of(touched_documents(made["images"]))
         if previous is None:
             rows = net_out(current("silver", version))
@@ -164,7 +241,7 @@ def refresh(
                 current("gold", previous, touched).drop("created_at"),
                 current("silver", version, touched),
                 made["images"],
-                current("silver", version),
+                current("returns", version, touched),
             )
         made["gold buckets"] = touched
         return rewrite("gold", rows.withColumn("created_at", moment), touched)
@@ -176,10 +253,18 @@ def refresh(
                 if previous is None
                 else layers.read(name, previous)
             )
-            # Days and types are only ever added, so the rewritten buckets are enough; a product's latest line may
-            # lie in any other.
-            lines = current("silver", version) if name == "dim_product" else made["silver"]
-            rows = load_dimensions(lines, {name: old}, moment)[name]
+            lines = made["silver"]
+            if name == "dim_product":
+                # Types and days are only ever added, so the rewritten buckets are enough for them; a product's latest line
+                # may lie in any other bucket, of each of which the latest days are kept.
+                known = previous is None or layers.has_buckets("products", previous)
+                seen = lines if known else current("silver", version)
+                days = product_days(seen.withColumn("bucket", layers.bucket_of()))
+                rewrite("products", days, made["touched"] if known else layers.every_bucket())
+                lines = current("products", version)
+                rows = dim_product(lines, old, moment)
+            else:
+                rows = load_dimensions(lines, {name: old}, moment)[name]
             return layers.write(rows, name, version)
 
         return load
@@ -214,18 +299,25 @@ def refresh(
 
     attempt_in_thread = inheritable_thread_target(layers.spark)(attempt)
     report: list[tuple] = []
-    for group in groups:
-        if any(row[2] != "done" for row in report):
-            report += [(name, None, "skipped", "an earlier step failed") for name in group]
-            continue
-        with ThreadPoolExecutor(len(group)) as pool:
-            report += list(pool.map(attempt_in_thread, group.keys(), group.values()))
-        nothing = all(row[1:3] == (0, "done") for row in report if row[0] in ("bronze", "quarantine"))
-        if skip_empty and nothing:
-            return [("bronze", 0, "skipped", "no new rows")]
-    if all(row[2] == "done" for row in report):
-        since = version if previous is None else layers.since(previous) or previous
-        layers.record(load_key or f"version:{version}", version, previous, since)
+    layers.claim(version, key)
+    try:
+        if layers.latest() == version and layers.made_by(key) != version:
+            raise Busy(f"version {version} was made by another run in the meantime")
+        for group in groups:
+            if any(row[2] != "done" for row in report):
+                report += [(name, None, "skipped", "an earlier step failed") for name in group]
+                continue
+            with ThreadPoolExecutor(len(group)) as pool:
+                report += list(pool.map(attempt_in_thread, group.keys(), group.values()))
+            nothing = all(row[1:3] == (0, "done") for row in report if row[0] in ("bronze", "quarantine"))
+            if skip_empty and nothing and batch_edit is None:
+                return [("bronze", 0, "skipped", "no new rows")]
+        if all(row[2] == "done" for row in report):
+            if entries is not None:
+                layers.write_files(entries.withColumn("batch_id", F.lit(version).cast("bigint")), version)
+            layers.record(key, version, previous, since)
+    finally:
+        layers.release(version)
     return report
 
 
@@ -239,31 +331,46 @@ def run(
     buckets: int = DEFAULT_BUCKETS,
     force: bool = False,
 ) -> DataFrame:
-    """Load the files under ``in_dir`` that were not loaded before as one batch and report every step.
-
-    Which files those are is kept beside the layers by a file stream that stops when it has caught up;
-    a file that comes again under its name is not loaded again. ``force`` loads all files. Batches are
-    numbered without gaps from the first one; a run without new rows uses up no number. ``batch_id`` only
-    states which number is expected. Bad rows are kept in the table ``quarantine`` if ``on_error`` says so.
+    """Load the files under ``in_dir`` whose content was not loaded before as one batch and report every step.
+
+    Which files those are is decided by the ledger beside the layers: late files are loaded, files replaced under
+    their name too, and files renamed, copied or touched without a change are not. ``force`` loads all files.
+    Batches are numbered without gaps from the first one; a run without new rows uses up no number. ``batch_id``
+    states which number is expected; the number of the newest batch is accepted too if there is nothing new.
+    Bad rows are kept in the table ``quarantine`` if ``on_error`` says so. A second run at the same time is
+    refused with ``Busy``.
     """
-    from ledgermill.streaming.refresh import csv_stream, start_refresh
-
     layers = Layers(spark, out_dir, buckets)
     expected = next_version(layers)
     if batch_id not in (None, expected, expected - 1):
         raise RunFailed(f"the next batch is {expected}, not {batch_id}")
-    known = uuid.uuid4().hex if force else hashlib.sha256(in_dir.rstrip("/").encode()).hexdigest()[:16]
-    reports: list[list[tuple]] = []
-    stream = start_refresh(
-        spark, csv_stream(spark, in_dir), out_dir, f"{layers.root}/_loaded/{known}", buckets=buckets, as_of=as_of,
-        on_error=on_error, reports=reports, skip_empty=True,
+    nothing = spark.createDataFrame([("bronze", 0, "skipped", "no new rows")], REPORT_SCHEMA)
+    ledger = layers.ledger()
+    found = deliveries.with_digests(deliveries.new_files(deliveries.delivered_files(spark, in_dir), ledger, force))
+    found = stored(found, "found-files")
+    # Names of new files are all that reaches the driver.
+    chosen = [deliveries.as_path(row.path) for row in deliveries.to_load(found, ledger, force).collect()]
+    if chosen and batch_id == expected - 1:
+        raise RunFailed(f"the next batch is {expected}, not {batch_id}")
+    if not chosen:
+        _enter(layers, found)
+        return nothing
+    good, bad = split_defects(read_text_rows(spark, chosen), on_error)
+    quarantined = stamp_batch(bad, expected, as_of) if on_error == "quarantine" else None
+    newest = expected - 1 if layers.latest() is not None else None
+    report = refresh(
+        layers, stamp_batch(good, expected, as_of), expected, newest, as_of, True, f"run:{uuid.uuid4().hex}", quarantined, entries=found
     )
-    try:
-        stream.awaitTermination()
-    except StreamingQueryException:
-        if not reports:
-            raise
-    return spark.createDataFrame(reports[-1] if reports else [("bronze", 0, "skipped", "no new rows")], REPORT_SCHEMA)
+    if report[0][2] == "skipped":
+        _enter(layers, found)
+    return spark.createDataFrame(report, REPORT_SCHEMA)
+
+
+def _enter(layers: Layers, found: DataFrame) -> None:
+    """Enter files that brought nothing new, so that they are not read again, as the work of the newest version."""
+    if not found.isEmpty():
+        newest = layers.latest() or 0
+        layers.write_files(found.withColumn("batch_id", F.lit(newest).cast("bigint")), newest, more=True)
 
 
 def next_version(layers: Layers) -> int:
@@ -279,6 +386,7 @@ def edit(
 
     The lines are those of the newest version; the edit becomes a change feed, a delivery like any
     other, and the next version. Lines without document or item can't be told apart and are not edited.
+    ``edit_batches`` edits lines by the load or file that brought them.
     """
     newest = layers.latest()
     if newest is None:
@@ -294,14 +402,57 @@ def edit(
     changes = feed(lines, "DELETE", 1)
     if values is not None:
         changes = changes.unionByName(feed(update_where(lines, F.lit(True), values), "INSERT", 2))
-    batch = stamp_batch(changes.withColumn("source_file", F.lit(None).cast("string")), newest + 1, as_of)
+    batch = stamp_batch(changes.withColumn("source_file", F.lit(EDITED)), newest + 1, as_of)
     return refresh(layers, batch, newest + 1, newest, as_of)
 
 
+def edit_batches(
+    layers: Layers,
+    batch_ids: Sequence[int] = (),
+    source_files: Sequence[str] = (),
+    condition: Column | None = None,
+    values: Mapping[str, Column] | None = None,
+    as_of: Column | None = None,
+) -> list[tuple]:
+    """Update or delete delivered rows by the load or the file they came with, and bring all layers to what they would be
+    if the rows had been delivered so.
+
+    Rows are those of the loads ``batch_ids``, and of files named in ``source_files``; ``condition`` over the columns of
+    bronze chooses among them. Without ``values`` they are deleted. The loads' rows are stored again as edited; the lines
+    that the chosen rows name are then made anew from all that bronze holds of them, load after load, which reads only
+    their buckets. Later edits of single lines keep their stored images, and only apply to lines that are there.
+    """
+    newest = layers.latest()
+    if newest is None:
+        raise RunFailed("there is nothing to edit yet")
+    version, since = newest + 1, layers.since(newest) or 0
+    by_file = F.col("source_file").isin(list(source_files)) if source_files else F.lit(False)
+    loads = set(batch_ids)
+    if source_files:
+        # The ledger knows which loads read a file of the name.
+        names = layers.ledger().filter(F.element_at(F.split("path", "/"), -1).isin(list(source_files)))
+        loads |= {row.batch_id for row in names.select("batch_id").distinct().collect()}
+    chosen = (F.col("batch_id").isin(list(batch_ids)) | by_file) & (F.lit(True) if condition is None else condition)
+    chosen = F.coalesce(chosen, F.lit(False))
+    own = layers.read_bronze(newest, since, loads=sorted(loads))
+    old = own.filter(chosen)
+    rows, changed = own.filter(~chosen), old
+    if values is not None:
+        new = update_where(old, F.lit(True), values)
+        rows, changed = rows.unionByName(new), changed.unionByName(new)
+    changed = stored(changed.select(*DOCUMENT_LINE, "billing_type", "assignment").distinct(), "edited-rows")
+    if changed.isEmpty():
+        return [("bronze", 0, "skipped", "no such rows")]
+    places = layers.spark.createDataFrame([(n,) for n in sorted(loads)], "load bigint")
+    return refresh(
+        layers, None, version, newest, as_of, False, f"edit:{version}", batch_edit=BatchEdit(places, rows, changed)
+    )
+
+
 def layer(layers: Layers, name: str, version: int) -> DataFrame:
     """A layer table as of a version; bronze holds all rows delivered since it was last emptied."""
     if name == "bronze":
-        return layers.read_all(name, layers.since(version) or 0, version)
+        return layers.read_bronze(version, layers.since(version) or 0)
     if name in BUCKETED:
         return layers.read_buckets(name, version, BUCKETED[name])
     return layers.read(name, version)
@@ -346,14 +497,18 @@ def reset_layers(
             table = layer(layers, name, version)
             n_rows = table.count()
             if name in BUCKETED:
-                every = layers.spark.range(layers.buckets).select(F.col("id").cast("int").alias("bucket"))
-                layers.write_buckets(table.limit(0), name, next_version, every, version)
+                layers.write_buckets(table.limit(0), name, next_version, layers.every_bucket(), version)
+            elif name == "bronze":
+                layers.write_bronze(table.limit(0), next_version)
             else:
                 layers.write(table.limit(0), name, next_version)
             report.append((name, n_rows, None))
         except Exception as error:  # reported per table
             report.append((name, None, str(error)))
     if all(error is None for name, _, error in report if name in RESET_ORDER):
+        for name, schema in STATE.items():
+            none = empty(layers.spark, f"{schema}, bucket int")
+            layers.write_buckets(none, name, next_version, layers.every_bucket(), version)
         # Bronze counts from here on.
         layers.record(f"reset:{next_version}", next_version, version, next_version)
     return layers.spark.createDataFrame(report, "layer string, rows_deleted bigint, error string")

@@ -15,9 +15,21 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgermill.operators.joins import attach
+from ledgermill.sources import files
+from ledgermill.sources.deliveries import LEDGER_SCHEMA
 
 DEFAULT_BUCKETS = 64
 LOAD_SCHEMA = "load_key string, version bigint, previous bigint, since bigint"
+BRONZE_SCHEMA = (
+    "billing_document bigint, item bigint, billing_type string, billing_date date, billing_qty_in_sku bigint, "
+    "material string, item_description string, material_group string, assignment bigint, source_file string, "
+    "batch_id bigint, ingestion_timestamp timestamp_ntz, _action string, _is_update boolean, _seq bigint"
+)
+MOVED_SCHEMA = "load bigint, v bigint"
+
+
+class Busy(RuntimeError):
+    """Another writer is at work on the same root."""
 
 
 def column_names(schema: str) -> list[str]:
@@ -45,11 +57,6 @@ class Layers:
     def read(self, table: str, version: int) -> DataFrame:
         return self.spark.read.parquet(self.path(table, version))
 
-    def read_all(self, table: str, since: int = 0, until: int | None = None) -> DataFrame:
-        """Rows of all versions from one to another, for a layer whose versions hold only their own rows."""
-        rows = self.spark.read.parquet(f"{self.root}/{table}").filter(F.col("v") >= since)
-        return (rows if until is None else rows.filter(F.col("v") <= until)).drop("v")
-
     def exists(self, table: str, version: int) -> bool:
         try:
             self.read(table, version)
@@ -61,6 +68,82 @@ class Layers:
         frame.write.mode("overwrite").parquet(self.path(table, version))
         return self.read(table, version)
 
+    # Bronze: every version holds the rows of its own load, by bucket; an edited load is stored once more
+
+    def write_bronze(self, rows: DataFrame, version: int) -> DataFrame:
+        """Store the rows of a load, or the edited rows of earlier ones, as part of a version."""
+        names = column_names(BRONZE_SCHEMA)
+        missing = {n: F.lit(None).cast(t) for n, t in (c.split() for c in BRONZE_SCHEMA.split(", ")) if n not in rows.columns}
+        placed = rows.withColumns(missing).select(*names).withColumn("bucket", self.bucket_of()).hint("rebalance", "bucket")
+        placed.write.mode("overwrite").partitionBy("bucket").parquet(self.path("bronze", version))
+        return self.spark.read.schema(BRONZE_SCHEMA).parquet(self.path("bronze", version))
+
+    def write_moved(self, loads: DataFrame, version: int) -> None:
+        """Record that the rows of some loads (``load``) are those stored with a version from now on."""
+        self.write(loads.select(F.col("load").cast("bigint")).coalesce(1), "bronze_moved", version)
+
+    def forget_moved(self, version: int) -> None:
+        """Drop what an edit that failed has recorded under the number of a version."""
+        files.remove(self.spark, self.path("bronze_moved", version))
+
+    def moved(self, version: int) -> DataFrame:
+        """load and v, where the rows of edited loads are as of a version: one row for every load ever edited."""
+        try:
+            rows = self.spark.read.schema(MOVED_SCHEMA).parquet(f"{self.root}/bronze_moved")
+        except AnalysisException:
+            return empty(self.spark, MOVED_SCHEMA)
+        # An edit that failed left its record, but no version.
+        edits = self.loads().filter(F.col("load_key").startswith("edit:")).select(F.col("version").alias("v"))
+        done = edits.unionByName(self.spark.createDataFrame([(version,)], "v bigint")).distinct()
+        return rows.filter(F.col("v") <= version).join(done, "v").groupBy("load").agg(F.max("v").alias("v"))
+
+    def read_bronze(self, version: int, since: int = 0, only: DataFrame | None = None, loads: list[int] | None = None) -> DataFrame:
+        """Rows of all loads from ``since`` to a version, of all buckets or some, of all loads or some.
+
+        Versions and buckets that are not asked for are not read.
+        """
+        rows = self.spark.read.schema(f"{BRONZE_SCHEMA}, v bigint, bucket int").parquet(f"{self.root}/bronze")
+        rows = rows.filter(F.col("v").between(since, version) & (F.col("batch_id") >= since))
+        moved = self.moved(version)
+        if loads is not None:
+            places = {n: n for n in loads} | {row.load: row.v for row in moved.filter(F.col("load").isin(loads)).collect()}
+            rows = rows.filter(F.col("v").isin(sorted(set(places.values()))) & F.col("batch_id").isin(loads))
+        if only is not None:
+            rows = rows.join(F.broadcast(only), "bucket", "left_semi")
+        moved = moved.select(F.col("load").alias("_load"), F.col("v").alias("_place"))
+        placed = rows.join(moved, F.col("batch_id") == F.col("_load"), "left")
+        return placed.filter(F.coalesce("_place", "batch_id") == F.col("v")).select(*column_names(BRONZE_SCHEMA))
+
+    # Which files were loaded
+
+    def write_files(self, entries: DataFrame, version: int, more: bool = False) -> None:
+        """Enter files into the ledger as the work of a version; it counts once the version is recorded."""
+        kept = entries.select(*column_names(LEDGER_SCHEMA)).coalesce(1)
+        kept.write.mode("append" if more else "overwrite").parquet(self.path("files", version))
+
+    def ledger(self) -> DataFrame:
+        """Files that finished loads have read, or found to be known already."""
+        try:
+            entries = self.spark.read.schema(f"{LEDGER_SCHEMA}, v bigint").parquet(f"{self.root}/files")
+        except AnalysisException:
+            return empty(self.spark, LEDGER_SCHEMA)
+        done = self.loads().select(F.col("version").alias("v")).unionByName(self.spark.createDataFrame([(0,)], "v bigint")).distinct()
+        return entries.join(done, "v", "left_semi").select(*column_names(LEDGER_SCHEMA))
+
+    # One writer at a time
+
+    def claim(self, version: int, owner: str) -> None:
+        """Take the right to write a version; ``Busy`` if another owner has it.
+
+        A load that is repeated under the same name goes on. What a dead writer left is freed by ``release``.
+        """
+        place = f"{self.root}/claims/{version}"
+        if not files.create_once(self.spark, place, owner) and files.content_of(self.spark, place) != owner:
+            raise Busy(f"version {version} is being written by another run; if that run is gone, release the version")
+
+    def release(self, version: int) -> None:
+        files.remove(self.spark, f"{self.root}/claims/{version}")
+
     # Which loads made which versions
 
     def loads(self) -> DataFrame:
@@ -118,21 +201,29 @@ class Layers:
         """The rows a version itself holds."""
         return self.spark.read.schema(schema).parquet(self.path(self._folder(table), version))
 
+    def every_bucket(self) -> DataFrame:
+        return self.spark.range(self.buckets).select(F.col("id").cast("int").alias("bucket"))
+
     def write_buckets(
-        self, frame: DataFrame, table: str, version: int, touched: DataFrame, previous: int | None
+        self,
+        frame: DataFrame,
+        table: str,
+        version: int,
+        touched: DataFrame,
+        previous: int | None,
+        by: str = "billing_document",
     ) -> None:
         """Replace the touched buckets by the rows given, which are all the rows they now have.
 
-        A bucket left without rows is recorded as changed all the same, so its old rows are gone.
+        A bucket left without rows is recorded as changed all the same, so its old rows are gone. Rows that have
+        a column ``bucket`` bring their place with them; others go by the document in ``by``.
         """
         folder = self._folder(table)
         # Rows of a bucket come together in few files; a very large bucket is split between tasks.
         # Sorted by type, a scan for returns skips the row groups that hold only invoices.
-        placed = (
-            frame.withColumn("bucket", self.bucket_of())
-            .hint("rebalance", "bucket")
-            .sortWithinPartitions("bucket", "billing_type")
-        )
+        placed = frame if "bucket" in frame.columns else frame.withColumn("bucket", self.bucket_of(by))
+        order = [name for name in ("bucket", "billing_type") if name in placed.columns]
+        placed = placed.hint("rebalance", "bucket").sortWithinPartitions(*order)
         placed.write.mode("overwrite").partitionBy("bucket").parquet(self.path(folder, version))
         live = touched.select("bucket", F.lit(version).cast("bigint").alias("v"))
         if previous is not None:

@@ -2,15 +2,23 @@
 
 from __future__ import annotations
 
+import os
+import time
+from concurrent.futures import ThreadPoolExecutor
+from pathlib import Path
+
 import pytest
+from pyspark import inheritable_thread_target
 from pyspark.sql import functions as F
 
 from ledgermill import fixed_values as fx
 from ledgermill.functions.rules import clean
 from ledgermill.operators.netting import net_out
 from ledgermill.plans import load
-from ledgermill.sources.layers import Layers
-from ledgermill.streaming.refresh import csv_stream, start_refresh
+from ledgermill.operators.changes import net_changes
+from ledgermill.operators.history import EDITED, replayed
+from ledgermill.sources.layers import Busy, Layers
+from ledgermill.streaming.refresh import csv_stream, start_refresh, start_watch
 
 HEADER = ",".join(name.upper() for name in fx.BILLING_COLUMNS) + "\n"
 FIRST = HEADER + (
@@ -54,10 +62,12 @@ def test_two_batches_and_a_replay(spark, put, tmp_path):
     gold = {r.billing_document: (r.billing_qty_in_sku, r.return_qty, r.final_qty) for r in load.layer(layers, "gold", 1002).collect()}
     assert gold == {910000011: (64, 9, 55), 910000012: (50, 0, 50), 910000013: (7, 0, 7)}
     silver = load.layer(layers, "silver", 1002)
-    assert silver.count() == 4 and layers.read_all("bronze").count() == 5
+    assert silver.count() == 4 and load.layer(layers, "bronze", 1002).count() == 5
     full = sorted((tuple(r) for r in net_out(clean(silver.select(*fx.BILLING_COLUMNS))).collect()), key=str)
     assert table(layers, "gold", 1002) == full
     before = {name: table(layers, name, 1002) for name in load.RESET_ORDER if name != "bronze"}
+    with pytest.raises(load.RunFailed, match="next batch is 1003"):
+        load.run(spark, second, out, batch_id=1002, force=True)
     load.run(spark, second, out, batch_id=1002).collect()
     assert {name: table(layers, name, 1002) for name in before} == before
     assert spark.table("vw_sales_dashboard").count() == 3
@@ -183,3 +193,187 @@ def test_a_bucket_that_loses_all_rows_stays_empty(spark, lines, tmp_path):
     for name in ("silver", "gold", "fact_sales"):
         assert [row.billing_document for row in load.layer(layers, name, 1002).collect()] == [2]
         assert load.layer(layers, name, 1001).count() == 2
+
+
+def line(document, qty=1, kind="ZF2", assigned=None, item=10):
+    return f"{document},{item},{kind},03/14/1996,{qty},M-0417,Broiler,G01,{assigned or document}\n"
+
+
+def documents(spark, out, name="silver"):
+    layers = Layers(spark, out, 4)
+    return sorted(r.billing_document for r in load.layer(layers, name, layers.latest()).collect())
+
+
+def test_the_ledger_goes_by_content(spark, put, tmp_path):
+    out, inbox = str(tmp_path / "out"), tmp_path / "in"
+    put("in", "a [1] {x}.csv", HEADER + line(1))
+    load.run(spark, str(inbox), out, buckets=4)
+    put("in", "late.csv", HEADER + line(2))
+    month_ago = time.time() - 30 * 86_400
+    os.utime(inbox / "late.csv", (month_ago, month_ago))
+    load.run(spark, str(inbox), out, buckets=4)
+    assert documents(spark, out) == [1, 2]
+    put("in", "late.csv", HEADER + line(3) + line(4))
+    put("in", "copy.csv", HEADER + line(5))
+    put("in", "twin.csv", HEADER + line(5))
+    load.run(spark, str(inbox), out, buckets=4)
+    assert documents(spark, out) == documents(spark, out, "bronze") == [1, 2, 3, 4, 5]
+    (inbox / "late.csv").rename(inbox / "renamed.csv")
+    os.utime(inbox / "copy.csv")
+    for _ in range(2):
+        report = load.run(spark, str(inbox), out, buckets=4).collect()
+        assert [(r.status, r.message) for r in report] == [("skipped", "no new rows")]
+    ledger = Layers(spark, out, 4).ledger()
+    assert ledger.count() == 7 and ledger.select("digest").distinct().count() == 4
+    assert Layers(spark, out, 4).latest() == 1003
+
+
+def test_two_writers_at_once_are_refused(spark, put, tmp_path):
+    out, inbox = str(tmp_path / "out"), put("in", "a.csv", HEADER + line(1))
+    layers = Layers(spark, out, 4)
+    layers.claim(1001, "someone else")
+    with pytest.raises(Busy):
+        load.run(spark, inbox, out, buckets=4)
+    layers.claim(1001, "someone else")  # the same load may go on
+    layers.release(1001)
+
+    def attempt(_):
+        try:
+            return load.run(spark, inbox, out, buckets=4).first().status
+        except Busy:
+            return "busy"
+
+    with ThreadPoolExecutor(2) as pool:
+        found = sorted(pool.map(inheritable_thread_target(spark)(attempt), range(2)))
+    assert found in (["busy", "done"], ["done", "skipped"])
+    assert documents(spark, out, "bronze") == [1]
+
+
+def test_a_watch_loads_replaced_files(spark, put, tmp_path):
+    out, inbox = str(tmp_path / "out"), put("in", "a.csv", HEADER + line(1))
+    query = start_watch(spark, inbox, out, str(tmp_path / "marks"), {"processingTime": "1 second"}, buckets=4)
+    try:
+        for n, text in enumerate((line(1), line(2), line(3))):
+            put("in", "a.csv", HEADER + text)
+            limit = time.time() + 240
+            while (Layers(spark, out, 4).latest() or 0) < 1001 + n:
+                assert time.time() < limit and query.exception() is None
+                time.sleep(1)
+    finally:
+        query.stop()
+    assert documents(spark, out) == [1, 2, 3]
+
+
+def test_a_small_batch_opens_no_untouched_bucket(spark, lines, tmp_path):
+    """What lies in other buckets of silver, gold, fact and returns is made unreadable before the small batch."""
+    layers = Layers(spark, str(tmp_path / "out"), 16)
+    first = [(n, 10, "ZF2", 50, {"assignment": n, "material": f"M{n % 7}"}) for n in range(200)]
+    first += [(1_000 + n, 10, "ZRE", 1 + n, {"assignment": n, "material": f"M{n % 7}"}) for n in range(0, 200, 3)]
+    load.refresh(layers, lines(*first), 1001, None)
+    second = [(3, 20, "ZF2", 9, {"assignment": 3, "material": "M3"}), (1_003, 10, "ZRE", 4, {"assignment": 3, "material": "M3"})]
+    second += [(2_000, 10, "S1", 5, {"assignment": 6, "material": "M6"})]
+    feed = lines(*second).withColumns({"_action": F.lit("INSERT"), "_is_update": F.lit(True), "_seq": F.lit(1).cast("bigint")})
+    named = spark.createDataFrame([(3,), (1_003,), (2_000,), (6,)], "billing_document bigint")
+    touched = {r.bucket for r in layers.buckets_of(named).collect()}
+    assert len(touched) < 8
+    spoilt = 0
+    for name in ("silver", "gold", "fact_sales", "returns"):
+        for part in Path(layers.root, f"{name}_in_16", "v=1001").glob("bucket=*/*.parquet"):
+            if int(part.parent.name.split("=")[1]) not in touched:
+                part.write_bytes(b"not to be read")
+                part.with_name(f".{part.name}.crc").unlink(missing_ok=True)
+                spoilt += 1
+    report = load.refresh(layers, feed, 1002, 1001)
+    assert {r[2] for r in report} == {"done"} and spoilt > 20
+    gold = layers.written_rows("gold", 1002, load.BUCKETED["gold"]).filter("billing_document in (3, 6)")
+    assert {(r.billing_document, r.item): (r.billing_qty_in_sku, r.return_qty) for r in gold.collect()} == {
+        (3, 10): (50, 4), (3, 20): (9, 4), (6, 10): (50, 12),
+    }
+    assert load.layer(layers, "dim_product", 1002).count() == 7
+
+
+def feed_of(lines, *rows):
+    """Rows of (document, item, type, qty, action, is_update)."""
+    made = lines(*(r[:4] for r in rows), assignment=7)
+    marks = {(r[0], r[1], r[3]): r[4:] for r in rows}
+    action = F.lit(None).cast("string")
+    update = F.lit(None).cast("boolean")
+    for (document, item, qty), (does, is_update) in marks.items():
+        test = F.col("billing_document").eqNullSafe(F.lit(document)) & F.col("item").eqNullSafe(F.lit(item)) & (F.col("billing_qty_in_sku") == qty)
+        action, update = F.when(test, does).otherwise(action), F.when(test, is_update).otherwise(update)
+    return made.withColumns({"_action": action, "_is_update": update, "_seq": F.lit(1).cast("bigint")})
+
+
+LOADS = [
+    [(1, 10, "ZF2", 5, "INSERT", False), (2, 10, "ZF2", 6, "INSERT", False), (7, 10, "ZF2", 70, "INSERT", False), (None, 10, "ZRE", 3, "INSERT", False)],
+    [(1, 10, "ZF2", 50, "INSERT", True), (2, 10, "ZF2", 6, "DELETE", False), (3, 10, "ZF2", 8, "INSERT", False), (7, None, "ZRE", 4, "INSERT", False)],
+    [(1, 10, "ZF2", 51, "INSERT", False), (2, 10, "ZF2", 60, "INSERT", False), (3, 10, "ZF2", 80, "INSERT", True), (4, 10, "S1", 9, "INSERT", True)],
+]
+
+
+@pytest.mark.parametrize("gone", [0, 1, 2])
+def test_a_batch_deleted_is_as_if_it_never_came(spark, lines, tmp_path, gone):
+    whole, other = (Layers(spark, str(tmp_path / name), 4) for name in ("whole", "other"))
+    for n, rows in enumerate(LOADS):
+        load.refresh(whole, feed_of(lines, *rows), 1001 + n, 1000 + n if n else None)
+    kept = [rows for n, rows in enumerate(LOADS) if n != gone]
+    for n, rows in enumerate(kept):
+        load.refresh(other, feed_of(lines, *rows), 1001 + n, 1000 + n if n else None)
+    report = load.edit_batches(whole, [1001 + gone])
+    assert {r[2] for r in report} == {"done"}
+    for name in ("silver", "gold", "fact_sales"):
+        assert table_of(whole, name) == table_of(other, name), name
+    state = load.STATE["returns"]
+    for at in (whole, other):
+        at.kept_returns = sorted(tuple(r) for r in at.read_buckets("returns", at.latest(), state).drop(*STAMPS).select("billing_qty_in_sku", "assignment").collect())
+    assert whole.kept_returns == other.kept_returns
+    # Loads after it build on what is left.
+    for at in (whole, other):
+        load.refresh(at, feed_of(lines, (1, 10, "ZF2", 500, "INSERT", True), (9, 10, "ZRE", 1, "INSERT", False)), at.latest() + 1, at.latest())
+    assert table_of(whole, "gold") == table_of(other, "gold")
+
+
+def table_of(layers, name):
+    return sorted((tuple(r) for r in load.layer(layers, name, layers.latest()).drop(*STAMPS).collect()), key=str)
+
+
+def test_batches_are_edited_by_file_and_twice(spark, put, tmp_path):
+    out = str(tmp_path / "out")
+    put("in", "a.csv", HEADER + line(1, 5) + line(2, 6))
+    load.run(spark, str(tmp_path / "in"), out, buckets=4)
+    put("in", "b.csv", HEADER + line(3, 7) + line(4, 8))
+    load.run(spark, str(tmp_path / "in"), out, buckets=4)
+    layers = Layers(spark, out, 4)
+    six_hundred = {"billing_qty_in_sku": F.lit(600).cast("bigint")}
+    load.edit_batches(layers, source_files=["b.csv"], condition=F.col("billing_document") == 3, values=six_hundred)
+    load.edit(layers, F.col("billing_document") == 4, {"billing_qty_in_sku": F.lit(1).cast("bigint")})
+    load.edit_batches(layers, [1001], values=six_hundred)
+    load.edit_batches(layers, source_files=["b.csv"], condition=F.col("billing_document") == 3)
+    assert [(r.billing_document, r.billing_qty_in_sku) for r in load.layer(layers, "gold", layers.latest()).orderBy("billing_document").collect()] == [
+        (1, 600), (2, 600), (4, 1),
+    ]
+    assert load.edit_batches(layers, [1001], condition=F.col("billing_document") == 99)[0][2] == "skipped"
+    load.edit_batches(layers, source_files=["b.csv"])
+    assert documents(spark, out) == [1, 2]
+
+
+def test_replay_equals_merging_load_by_load(spark, lines):
+    import random
+
+    from ledgermill.operators.merge import DOCUMENT_LINE, merge_cdc
+
+    rng = random.Random(6)
+    feeds = []
+    for _ in range(5):
+        rows = {(rng.randrange(12), 10): (rng.randrange(1, 10_000), *rng.choice([("INSERT", False), ("INSERT", True), ("DELETE", False)])) for _ in range(8)}
+        feeds.append(feed_of(lines, *((d, i, "ZF2", q, a, u) for (d, i), (q, a, u) in rows.items())))
+    silver, history = lines(), None
+    for n, feed in enumerate(feeds):
+        silver = merge_cdc(silver, net_changes(feed, DOCUMENT_LINE), netted=True)
+        part = feed.withColumns({"batch_id": F.lit(n), "source_file": F.lit("x")})
+        history = part if history is None else history.unionByName(part)
+    got = replayed(history, history.select(*DOCUMENT_LINE)).select("billing_document", "billing_qty_in_sku")
+    want = silver.select("billing_document", "billing_qty_in_sku")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    edits = history.withColumn("source_file", F.lit(EDITED))
+    assert replayed(edits, edits.select(*DOCUMENT_LINE)).count() == 0

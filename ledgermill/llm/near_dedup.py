@@ -42,64 +42,37 @@ BATCH_ROWS = 1 << 16
 # Planes after which words that have passed the radius are looked for.
 CHECKED_PLANES = 4
 
-# For similar texts: words of a shingle, and the overlap from which on two texts are linked, as a fraction.
-SIMILAR_SHINGLE = 5
-SIMILAR = (4, 5)
-# Documents in which frequent shingles are looked for, in how many of them such a shingle is, and how many are known.
-SAMPLED_DOCS, FREQUENT, MOST_FREQUENT = 10_000, 5, 200_000
-# Longs of a sketch: a bit is set if an odd number of a text's shingles fall to it.
-SKETCH_LONGS = 8
 
 
-def fingerprint(text: str | None, shingle_words: int = SHINGLE_WORDS, n_words: int = 1) -> np.ndarray:
-    """The SimHash of a text's word shingles, A-Z in lower case, in ``n_words`` words of 64 bits; 0 without words.
-
-    The first word is made of the shingles' hashes, each further one of these hashes mixed once more.
-    """
-    marks = np.zeros(n_words, np.uint64)
+def fingerprint(text: str | None, shingle_words: int = SHINGLE_WORDS) -> int:
+    """The SimHash of a text's word shingles, A-Z in lower case; 0 without words."""
     words = text.encode().lower().split() if text else []
     if not words:
-        return marks
+        return 0
     if len(words) < shingle_words:
         shingles = [b" ".join(words)]
     else:
         shingles = list(map(b" ".join, zip(*(words[k:] for k in range(shingle_words)))))
     digest = xxhash.xxh64_intdigest
     hashes = np.fromiter((digest(s, SEED) for s in shingles), np.uint64, len(shingles))
-    for n in range(n_words):
-        if n:
-            hashes = hashes + np.uint64(0x9E3779B97F4A7C15)
-            hashes = (hashes ^ hashes >> np.uint64(30)) * np.uint64(0xBF58476D1CE4E5B9)
-            hashes = (hashes ^ hashes >> np.uint64(27)) * np.uint64(0x94D049BB133111EB)
-            hashes ^= hashes >> np.uint64(31)
-        counts = np.zeros(BITS, np.int64)
-        for at in range(0, len(hashes), 1 << 14):
-            part = hashes[at : at + (1 << 14)]
-            counts += np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, np.uint32)
-        marks[n] = np.packbits(2 * counts > len(hashes), bitorder="little").view(np.uint64)[0]
-    return marks
-
-
-def fingerprints(
-    docs: DataFrame, kept: list[str], shingle_words: int = SHINGLE_WORDS, n_words: int = 1
-) -> DataFrame:
-    """Columns ``kept`` of every row and ``_fp``, its fingerprint as signed 64-bit integers: one, or an array of several."""
-    kind = T.LongType() if n_words == 1 else T.ArrayType(T.LongType())
-    fields = docs.select(*kept).schema.add("_fp", kind)
-    rows = docs.select(*kept, text_of().alias("_whole"))
+    counts = np.zeros(BITS, np.int64)
+    for at in range(0, len(hashes), 1 << 14):
+        part = hashes[at : at + (1 << 14)]
+        counts += np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, np.uint32)
+    return int(np.packbits(2 * counts > len(hashes), bitorder="little").view(np.uint64)[0])
+
+
+def fingerprints(docs: DataFrame, kept: list[str], shingle_words: int = SHINGLE_WORDS) -> DataFrame:
+    """``row``, the columns ``kept`` of every row, and ``_fp``, its fingerprint as a signed 64-bit integer."""
+    packed = docs.select(F.struct(*kept).alias("row"), text_of().alias("text"))
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column("_whole")
-            found = [fingerprint(t.as_py(), shingle_words, n_words) for t in texts]
-            marks = np.array(found, np.uint64).reshape(-1, n_words)
-            signed = pa.array(marks.view(np.int64).ravel())
-            if n_words > 1:
-                signed = pa.ListArray.from_arrays(pa.array(np.arange(len(texts) + 1) * n_words, pa.int32()), signed)
-            columns = [batch.column(name) for name in kept]
-            yield pa.RecordBatch.from_arrays([*columns, signed], [*kept, "_fp"])
+            found = [fingerprint(t.as_py(), shingle_words) for t in batch.column("text")]
+            signed = pa.array(np.array(found, np.uint64).view(np.int64))
+            yield pa.RecordBatch.from_arrays([batch.column("row"), signed], ["row", "_fp"])
 
-    return rows.mapInArrow(digest, fields)
+    return packed.mapInArrow(digest, packed.select("row").schema.add("_fp", T.LongType()))
 
 
 def _parts(bits: list[int], n: int) -> list[list[int]]:
@@ -126,9 +99,8 @@ def finer_masks(mask: int, radius: int) -> list[int]:
 
 def _planes(marks: np.ndarray, words: int) -> np.ndarray:
     """Bit planes: row b, word w, bit k is bit b of mark 64 w + k."""
-    n_bits = marks[0].nbytes * 8 if len(marks) else BITS
-    bits = np.unpackbits(np.ascontiguousarray(marks).view(np.uint8).reshape(-1, n_bits // 8), axis=1, bitorder="little")
-    planes = np.zeros((n_bits, words * 8), np.uint8)
+    bits = np.unpackbits(np.ascontiguousarray(marks).view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+    planes = np.zeros((BITS, words * 8), np.uint8)
     packed = np.packbits(bits.T, axis=1, bitorder="little")
     planes[:, : packed.shape[1]] = packed
     return planes.view(np.uint64)
@@ -137,8 +109,8 @@ def _planes(marks: np.ndarray, words: int) -> np.ndarray:
 def close_pairs(marks: np.ndarray, left: np.ndarray, radius: int = RADIUS) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Pairs of rows of one bucket that differ in at most ``radius`` bits, by their distance along the rows.
 
-    ``marks`` are the fingerprints of whole buckets in a row, each of one or more words; ``left`` says how
-    many rows of its bucket follow each.
+    ``marks`` are the fingerprints of whole buckets in a row; ``left`` says how many rows of its bucket
+    follow each.
     """
     n, full = len(marks), np.uint64(0xFFFFFFFFFFFFFFFF)
     most = int(left.max(initial=0))
@@ -290,6 +262,11 @@ def _labelled(nodes: DataFrame, roots: DataFrame) -> DataFrame:
     return attach(rooted, smallest, {"root": "root"}, "inner").select("node", F.col("root").alias("_root"), "component_id")
 
 
+def _marked(docs: DataFrame, shingle_words: int) -> DataFrame:
+    """doc_id and ``_fp`` of every row, stored."""
+    return stored(fingerprints(docs, ["doc_id"], shingle_words).select("row.doc_id", "_fp"), "simhash")
+
+
 def near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, radius: int = RADIUS) -> DataFrame:
     """Per row of ``docs`` (``doc_id``, ``text``): doc_id, fingerprint, component_id.
 
@@ -298,159 +275,37 @@ def near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, radius:
 
     Null and empty texts have fingerprint zero and link like any other. A null doc_id stays null and is
     no candidate for component_id, which is null only where the whole group has no other; repeated rows
-    give repeated rows; an empty table gives none. Other columns are not looked at.
+    give repeated rows; an empty table gives none. Texts of any length are read whole. Other columns are
+    not looked at.
     """
-    marked = stored(fingerprints(docs, ["doc_id"], shingle_words), "simhash")
+    marked = _marked(docs, shingle_words)
     labels = group_fingerprints(marked, radius)
     return attach(marked, labels, {"_fp": "_fp"}, "inner").select(
         "doc_id", F.lpad(F.lower(F.hex("_fp")), 16, "0").alias("fingerprint"), "component_id"
     )
 
 
-def shingle_set(text: str | None) -> np.ndarray:
-    """The distinct hashes of a text's five-word shingles in order, A-Z in lower case; of all its words if they are fewer."""
-    words = text.encode().lower().split() if text else []
-    if not words:
-        return np.zeros(0, np.uint64)
-    n = min(SIMILAR_SHINGLE, len(words))
-    digest = xxhash.xxh64_intdigest
-    return np.unique(np.array([digest(s, SEED) for s in map(b" ".join, zip(*(words[k:] for k in range(n))))], np.uint64))
-
-
-def _node(shingles: np.ndarray) -> int:
-    """A number for a set of shingles; equal sets are one node."""
-    return xxhash.xxh64_intdigest(shingles.tobytes(), SEED) - (1 << 63)
-
-
-def _sketch(shingles: np.ndarray) -> np.ndarray:
-    """Which of some hundred bits an odd number of shingles fall to.
-
-    Two sketches differ in at most as many bits as there are shingles in only one of the sets.
-    """
-    places = np.bincount((shingles >> np.uint64(20)).astype(np.int64) % (SKETCH_LONGS * 64), minlength=SKETCH_LONGS * 64)
-    return np.packbits(places & 1, bitorder="little").view(np.int64)
-
-
-def _frequent(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Shingles that many of some sampled documents have, in order, and their counts. At most ``MOST_FREQUENT``."""
-    texts = docs.select(text_of().alias("text"))
-    share = int(min(1.0, SAMPLED_DOCS / max(1, docs.count())) * (1 << 30))
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for text in batch.column("text"):
-                yield pa.RecordBatch.from_arrays([pa.array(shingle_set(text.as_py()).view(np.int64))], ["shingle"])
-
-    sampled = texts.filter(F.pmod(F.xxhash64("text"), F.lit(1 << 30)) < share)
-    counts = sampled.mapInArrow(count, "shingle bigint").groupBy("shingle").agg(F.count("*").alias("n"))
-    rows = counts.filter(F.col("n") >= FREQUENT).orderBy(F.desc("n"), "shingle").limit(MOST_FREQUENT).collect()
-    found = np.array([(r.shingle, r.n) for r in rows], np.int64).reshape(-1, 2)
-    marks = found[:, 0].copy().view(np.uint64)
-    order = np.argsort(marks)
-    return marks[order], found[order, 1]
-
-
-def _prefix(shingles: np.ndarray, frequent: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
-    """The first shingles of a set in one order for all sets, frequent ones last: so many that similar sets share one.
-
-    Of n shingles a similar text has at least four fifths, so it lacks at most n less these, and one more is shared.
-    """
-    marks, counts = frequent
-    known = np.zeros(len(shingles), np.int64)
-    if len(marks):
-        at = np.minimum(np.searchsorted(marks, shingles), len(marks) - 1)
-        known = np.where(marks[at] == shingles, counts[at], 0)
-    n, (part, whole) = len(shingles), SIMILAR
-    return shingles[np.lexsort((shingles, known))][: n + part * n // -whole + 1 if n else 0]
-
-
-def _shingled(docs: DataFrame, kept: list[str], more: str, made) -> DataFrame:
-    """Columns ``kept`` of every row, ``_node`` and the columns ``more`` that ``made`` makes of a row's set of shingles."""
-    fields = T.StructType([*docs.select(*kept).schema, *T._parse_datatype_string(f"_node bigint{more}")])
-    types = [pa.int64() if isinstance(f.dataType, T.LongType) else pa.list_(pa.int64()) for f in fields[len(kept) + 1 :]]
-
-    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                sets = [shingle_set(t.as_py()) for t in part.column("_whole")]
-                columns = list(zip(*map(made, sets), strict=True)) if types else []
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        *(part.column(c) for c in kept),
-                        pa.array(list(map(_node, sets)), pa.int64()),
-                        *(pa.array(c, t) for c, t in zip(columns, types, strict=True)),
-                    ],
-                    fields.names,
-                )
-
-    return docs.select(*kept, text_of().alias("_whole")).mapInArrow(digest, fields)
-
-
-def _similar_pairs(pairs: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
-    """Those of the distinct ``pairs`` (``u``, ``v``) whose sets of shingles overlap by ``SIMILAR`` or more."""
-    part, whole = SIMILAR
-    known = nodes.select("node", "n", "sketch")
-    left = attach(pairs, known.select(F.col("node").alias("_k"), F.col("n").alias("n_u"), F.col("sketch").alias("s_u")), {"u": "_k"}, "inner")
-    both = attach(left, known.select(F.col("node").alias("_k"), F.col("n").alias("n_v"), F.col("sketch").alias("s_v")), {"v": "_k"}, "inner")
-    apart = sum((F.bit_count(F.col("s_u")[k].bitwiseXOR(F.col("s_v")[k])) for k in range(SKETCH_LONGS)), F.lit(0))
-    # Shared over all is at least part / whole, so shared * (whole + part) is at least part * (n_u + n_v); and those in
-    # only one of the sets, of which the sketches show some, are at most (n_u + n_v) * (whole - part) / (whole + part).
-    total = F.col("n_u") + F.col("n_v")
-    able = (F.least("n_u", "n_v") * whole >= F.greatest("n_u", "n_v") * part) & (apart * (whole + part) <= total * (whole - part))
-    open_ = stored(both.filter(able).select("u", "v", total.alias("total")), "open-pairs")
-    ends = stored(open_.select(F.explode(F.array("u", "v")).alias("node")).distinct(), "open-nodes")
-    # One row for a node: copies of a text have the same set.
-    asked = attach(nodes.select("node", "_row"), ends, {"node": "node"}, "left_semi")
-    own = attach(docs.withColumn("_mark", F.xxhash64(text_of())), asked.select("_row").distinct(), {"_mark": "_row"}, "left_semi")
-    sets = _shingled(own, [], ", shingles array<bigint>", lambda s: (s.view(np.int64),))
-    sets = stored(sets.groupBy("_node").agg(F.any_value("shingles").alias("shingles")), "sets")
-    left = attach(open_, sets.select("_node", F.col("shingles").alias("_us")), {"u": "_node"}, "inner")
-    both = attach(left, sets.select("_node", F.col("shingles").alias("_vs")), {"v": "_node"}, "inner")
-    shared = F.size(F.array_intersect("_us", "_vs"))
-    return stored(both.filter(shared * (whole + part) >= F.col("total") * part).select("u", "v"), "similar-pairs")
-
-
-def _similar_links(nodes: DataFrame, docs: DataFrame) -> DataFrame:
-    """Links (u, v) that connect all ``nodes`` whose sets of shingles overlap by ``SIMILAR`` or more, and no others.
-
-    Similar sets share a shingle of their prefixes. Of the nodes that share one each is first compared with the
-    smallest; what is not connected then is compared with every other node of the bucket.
-    """
-    rows = nodes.select("node", F.explode("prefix").alias("bucket"))
-    sizes = rows.groupBy("bucket").agg(F.count("*").alias("n"), F.min("node").alias("first")).filter("n > 1")
-    shared = stored(attach(rows, sizes, {"bucket": "bucket"}, "inner").filter("node <> first"), "buckets")
-    near = _similar_pairs(shared.select(F.col("first").alias("u"), F.col("node").alias("v")).distinct(), nodes, docs)
-    many = attach(shared.filter("n > 2"), components(near).withColumnRenamed("node", "_k"), {"node": "_k"})
-    many = many.select("bucket", "node", F.coalesce("root", "node").alias("root"))
-    apart = many.groupBy("bucket").agg(F.min("root").alias("a"), F.max("root").alias("b")).filter("a <> b").select("bucket")
-    left = stored(attach(many, apart, {"bucket": "bucket"}, "left_semi"), "mixed-buckets")
-    right = left.select("bucket", F.col("node").alias("v"), F.col("root").alias("_root"))
-    pairs = left.withColumnRenamed("node", "u").join(right, "bucket").filter("root <> _root AND u < v")
-    return near.unionByName(_similar_pairs(stored(pairs.select("u", "v").distinct(), "pairs"), nodes, docs))
-
-
-def one_per_group(docs: DataFrame) -> DataFrame:
-    """``docs`` with one row of each group of similar texts: the one with the smallest doc_id.
-
-    Texts are similar whose sets of 5-word shingles overlap by 0.8 or more, shared ones over all. Groups are what
-    such links connect. No pair is left to chance, but for equal hashes of 64 bits.
+def one_per_group(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, radius: int = RADIUS) -> DataFrame:
+    """``docs`` with one row of each group that ``near_duplicates`` finds: the one with the smallest doc_id.
 
     Null and empty texts are copies of each other. Rows without doc_id go where their group has a row with
-    one; of rows that are equal in doc_id one stays. An empty table stays empty; other columns are kept.
+    one; of rows that are equal in doc_id one stays. An empty table stays empty, texts of any length are read
+    whole, and all columns are kept as they are, whatever their names.
     """
-    frequent = docs.sparkSession.sparkContext.broadcast(_frequent(docs))
-
-    def made(shingles: np.ndarray) -> tuple:
-        return len(shingles), _sketch(shingles), _prefix(shingles, frequent.value).view(np.int64)
-
-    texts = docs.withColumn("_row", F.xxhash64(text_of()))
-    narrow = _shingled(texts, ["doc_id", "_row"], ", n bigint, sketch array<bigint>, prefix array<bigint>", made)
-    found = [F.any_value(c).alias(c) for c in ("n", "sketch", "prefix")]
-    nodes = stored(
-        narrow.groupBy(F.col("_node").alias("node")).agg(F.min("doc_id").alias("_first"), F.min("_row").alias("_row"), *found), "shingled"
-    )
-    labels = _labelled(nodes.select("node", "_first"), components(_similar_links(nodes, docs)))
-    marked = _shingled(docs, docs.columns, "", None)
-    first = attach(marked, labels.withColumnRenamed("component_id", "_component"), {"_node": "node"}, "inner")
-    return first.filter(F.col("doc_id").eqNullSafe(F.col("_component"))).dropDuplicates(["_root"]).select(*docs.columns)
+    marked = _marked(docs, shingle_words)
+    labels = group_fingerprints(marked, radius)
+    # A null doc_id stays only where its group has no other. Of a group's rows with the smallest doc_id one text stays.
+    ids = marked.groupBy("_fp", "doc_id").agg(F.count("*").alias("_copies"))
+    first = attach(ids, labels, {"_fp": "_fp"}, "inner").filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    chosen = first.groupBy("_root").agg(F.min_by(F.struct("_fp", "doc_id", "_copies"), "_fp").alias("_kept"))
+    kept = stored(chosen.select(F.col("_kept._fp").alias("_mark"), _named("_kept.doc_id").alias("_name"), "_kept._copies"), "kept")
+    rows = fingerprints(docs, docs.columns, shingle_words).withColumn("_own", _named("row.doc_id"))
+    found = attach(rows, kept, {"_fp": "_mark", "_own": "_name"}, "inner")
+    # Rows that share doc_id and fingerprint are few in any sane table; only they move once more.
+    single = found.filter("_copies = 1").select("row.*")
+    return single.unionByName(found.filter("_copies > 1").dropDuplicates(["_fp", "_own"]).select("row.*"))
+
+
+def _named(column: str) -> Column:
+    """A doc_id as a text, a null one as the empty text, which no number is."""
+    return F.coalesce(F.col(column).cast("string"), F.lit(""))

@@ -27,9 +27,9 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near-duplicates the document with the smallest doc_id stays.
 
-    Texts count as near-duplicates whose shingles of five words overlap by 0.8 or more.
+    Groups are those of SimHash fingerprints over shingles of three words that differ in at most two bits.
     """
-    return one_per_group(docs)
+    return one_per_group(docs, shingle_words=3, radius=2)
 
 
 def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,7 +44,7 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of token sequences of at most 2048 tokens."""
-    return pack_documents(docs, WORD_BPE, capacity=2048, end_id=1)
+    return pack_documents(docs, WORD_BPE, capacity=2048, end_id=1, forget=True)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

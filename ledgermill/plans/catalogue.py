@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import datetime, timedelta
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgermill import fixed_values as fx
@@ -691,6 +691,33 @@ def edited_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
 
 
+@query
+def any_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three loads of changes, delivered in two orders other than their own: silver by last digit of the document, where both
+    agree."""
+    lines, digit = adapter.billing_lines(spark, sf_dir), F.col("billing_document") % 10
+    quantity = F.col("billing_qty_in_sku")
+
+    def feed(rows: DataFrame, action: Column, is_update: bool, seq: int) -> DataFrame:
+        return rows.withColumns({"_action": action, "_is_update": F.lit(is_update), "_seq": F.lit(seq).cast("bigint")})
+
+    inserted = F.lit("INSERT")
+    first = feed(lines, inserted, False, 1)
+    second = feed(lines.filter(digit.isin(1, 2, 3)).withColumn("billing_qty_in_sku", quantity + 1), F.when(digit == 2, inserted).otherwise("DELETE"), True, 2)
+    third = feed(lines.filter(digit.isin(1, 2)).withColumn("billing_qty_in_sku", quantity + 5), inserted, True, 3)
+    sums = []
+    for loads in ((first, third, second), (third, second, first)):
+        layers = Layers(spark, scratch_path(spark, "layers"), BUCKETS)
+        for n, rows in enumerate(loads):
+            version = fx.FIRST_BATCH_ID + n
+            report = load.refresh(layers, rows, version, version - 1 if n else None, ordered=True)
+            if any(status == "failed" for _, _, status, _ in report):
+                raise load.RunFailed(str(report))
+        silver = load.layer(layers, "silver", layers.latest())
+        sums.append(silver.groupBy(digit.alias("digit")).agg(F.count("*").alias("n_rows"), F.sum("billing_qty_in_sku").alias("quantity")))
+    return sums[0].join(sums[1], ["digit", "n_rows", "quantity"])
+
+
 @query
 def small_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All lines but those of a few orders, then those in a load of their own: gold, returns and products as kept up."""

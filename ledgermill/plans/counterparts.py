@@ -416,6 +416,11 @@ COUNTERPARTS: dict[str, str] = {
            SELECT unnest(['gold', 'fact_sales']), count(*), CAST(sum(billing_qty_in_sku) AS BIGINT), CAST(sum(return_qty) AS BIGINT)
            FROM mended_gold"""
     ),
+    "any_order": _sql(
+        """SELECT billing_document % 10 AS digit, count(*) AS n_rows,
+                  CAST(sum(billing_qty_in_sku + if(billing_document % 10 IN (1, 2), 5, 0)) AS BIGINT) AS quantity
+           FROM b WHERE billing_document % 10 <> 3 GROUP BY 1"""
+    ),
     "small_batch": _sql(
         """SELECT material, item_description, material_group, product_category, n_rows, returned, remaining
            FROM products LEFT JOIN (

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 import uuid
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
@@ -45,12 +46,15 @@ BUCKETED = {
     "fact_sales": "billing_document bigint, item bigint, billing_date date, billing_qty_in_sku bigint, "
     f"material string, billing_type string, assignment bigint, {_NET}",
 }
-# Beside the layers: per bucket of silver the latest day of every description of a product; and the returns in silver, in
-# buckets by the document they are assigned to.
+# Beside the layers: per bucket of silver the latest day of every description of a product; the returns in silver, in
+# buckets by the document they are assigned to; and, where changes are kept in their own order, the latest change of a line.
 STATE = {
     "products": "material string, item_description string, material_group string, product_category string, billing_date date",
     "returns": BUCKETED["silver"],
+    "applied": "billing_document bigint, item bigint, seq bigint",
 }
+# The order of lines that are there before any change of a load.
+_BEFORE_ALL = -(1 << 63)
 # Layer tables, those that depend on others first.
 RESET_ORDER = ("fact_sales", "gold", "silver", *DIMENSIONS, "bronze")
 
@@ -142,12 +146,15 @@ def refresh(
     quarantined: DataFrame | None = None,
     batch_edit: BatchEdit | None = None,
     entries: DataFrame | None = None,
+    ordered: bool = False,
 ) -> list[tuple]:
     """Write version ``version`` of every layer from ``previous`` and the delivered rows.
 
     Of silver, gold, fact, returns and products only the buckets with changed documents are read and written.
     The report counts the rows written. It stops at the first failing step; without new rows nothing is
-    written. ``quarantined`` rows are stored beside the layers and counted in the report. Instead of delivered
+    written. With ``ordered``, from the first load on, changes count in the order of their ``_seq`` whatever load
+    brings them, so any order of the same loads gives the same lines; without it loads count as they come.
+    ``quarantined`` rows are stored beside the layers and counted in the report. Instead of delivered
     rows there may be a ``batch_edit``. ``entries`` are the files that the ledger then counts as loaded. A
     version counts once all steps are done, when it is recorded as the work of ``load_key``; until then no
     other load can write it.
@@ -159,6 +166,10 @@ def refresh(
         raise RunFailed(f"version {previous} of the silver layer does not exist")
     key = load_key or f"version:{version}"
     since = version if previous is None else layers.since(previous) or previous
+    kept_in_order = previous is not None and layers.has_buckets("applied", previous)
+    if ordered and previous is not None and not kept_in_order:
+        raise RunFailed("changes can be kept in their own order from the first load on only")
+    ordered = ordered or kept_in_order
     made: dict[str, DataFrame] = {}
     schemas = {**BUCKETED, **STATE}
 
@@ -186,7 +197,45 @@ def refresh(
     def lone(rows: DataFrame) -> DataFrame:
         return rows.filter(~keys_known(DOCUMENT_LINE))
 
+    def in_order() -> DataFrame:
+        """Silver after a load whose changes count in their own order.
+
+        Lines whose changes are all newer than what was applied go on from how they are; the others, of which something
+        newer is known, are made anew from all that bronze holds of them.
+        """
+        feed = made["bronze"]
+        made["touched"] = touched = layers.buckets_of(feed)
+        before = current("silver", previous, touched)
+        came = feed.filter(keys_known(DOCUMENT_LINE)).groupBy(*DOCUMENT_LINE).agg(F.min("_seq").alias("first"), F.max("_seq").alias("seq"))
+        came = layers.write(came, "came", version)
+        same = {name: name for name in DOCUMENT_LINE}
+        old = current("applied", previous, touched)
+        newest = attach(came, old.withColumnRenamed("seq", "applied"), same)
+        late = newest.filter(F.col("first") <= F.col("applied")).select(*DOCUMENT_LINE)
+        timely = newest.filter(F.coalesce(F.col("first") > F.col("applied"), F.lit(True))).select(*DOCUMENT_LINE)
+        columns = [*fx.BILLING_COLUMNS, "source_file", "_action", "_is_update", "_seq"]
+        there = before.select(
+            *fx.BILLING_COLUMNS,
+            F.lit(None).cast("string").alias("source_file"),
+            F.lit("INSERT").alias("_action"),
+            F.lit(False).alias("_is_update"),
+            F.lit(_BEFORE_ALL).alias("_seq"),
+        )
+        known = there.unionByName(feed.select(*columns)).filter(keys_known(DOCUMENT_LINE))
+        history = layers.read_bronze(version, since, touched).select(*columns).filter(keys_known(DOCUMENT_LINE))
+        rows = attach(known, timely, same, "left_semi").unionByName(attach(history, late, same, "left_semi"))
+        now = replayed(rows, came, "_seq")
+        net = as_changes(before.select(*fx.BILLING_COLUMNS), now, came)
+        alone = net_changes(lone(feed).select(*fx.BILLING_COLUMNS, "_action", "_is_update", "_seq"), DOCUMENT_LINE)
+        made["net"] = layers.write(net.unionByName(alone), "changes", version)
+        made["images"] = layers.write(_images(before, made["net"]), "images", version)
+        marks = old.unionByName(came.select(*DOCUMENT_LINE, "seq")).groupBy(*DOCUMENT_LINE).agg(F.max("seq").alias("seq"))
+        rewrite("applied", marks, touched)
+        return rewrite("silver", bronze_to_silver(before, made["net"], moment), touched)
+
     def silver() -> DataFrame:
+        if ordered and batch_edit is None:
+            return in_order()
         # Stored, so that the planner knows how small the changes are when it joins them.
         if batch_edit is None:
             feed = made["bronze"].select(*fx.BILLING_COLUMNS, "_action", "_is_update", "_seq")
@@ -198,7 +247,9 @@ def refresh(
         made["touched"] = touched = layers.buckets_of(batch_edit.changed)
         history = layers.read_bronze(version, since, touched)
         before = current("silver", previous, touched)
-        now = replayed(history, batch_edit.changed.select(*DOCUMENT_LINE))
+        if ordered:
+            layers.carry_over("applied", version, previous)
+        now = replayed(history, batch_edit.changed.select(*DOCUMENT_LINE), "_seq" if ordered else "batch_id")
         net = as_changes(before.select(*fx.BILLING_COLUMNS), now, batch_edit.changed.select(*DOCUMENT_LINE))
         made["net"] = layers.write(net, "changes", version)
         images = _images(before, made["net"]).unionByName(batch_edit.changed.select("billing_document", "billing_type", "assignment"))
@@ -330,6 +381,7 @@ def run(
     on_error: str = "abort",
     buckets: int = DEFAULT_BUCKETS,
     force: bool = False,
+    ordered: bool = False,
 ) -> DataFrame:
     """Load the files under ``in_dir`` whose content was not loaded before as one batch and report every step.
 
@@ -337,7 +389,8 @@ def run(
     their name too, and files renamed, copied or touched without a change are not. ``force`` loads all files.
     Batches are numbered without gaps from the first one; a run without new rows uses up no number. ``batch_id``
     states which number is expected; the number of the newest batch is accepted too if there is nothing new.
-    Bad rows are kept in the table ``quarantine`` if ``on_error`` says so. A second run at the same time is
+    Bad rows are kept in the table ``quarantine`` if ``on_error`` says so. With ``ordered`` a file's age, not the
+    load it comes with, orders its changes among all others. A second run at the same time is
     refused with ``Busy``.
     """
     layers = Layers(spark, out_dir, buckets)
@@ -359,8 +412,9 @@ def run(
     quarantined = stamp_batch(bad, expected, as_of) if on_error == "quarantine" else None
     newest = expected - 1 if layers.latest() is not None else None
     report = refresh(
-        layers, stamp_batch(good, expected, as_of), expected, newest, as_of, True, f"run:{uuid.uuid4().hex}", quarantined, entries=found
-    )
+        layers, stamp_batch(good, expected, as_of), expected, newest, as_of, True, f"run:{uuid.uuid4().hex}", quarantined,
+        entries=found, ordered=ordered,
+    )
     if report[0][2] == "skipped":
         _enter(layers, found)
     return spark.createDataFrame(report, REPORT_SCHEMA)
@@ -399,9 +453,11 @@ def edit(
             {"_action": F.lit(action), "_is_update": F.lit(values is not None), "_seq": F.lit(seq).cast("bigint")}
         )
 
-    changes = feed(lines, "DELETE", 1)
+    # Newer than what files brought, whose age is their order.
+    now = time.time_ns() // 1_000
+    changes = feed(lines, "DELETE", now)
     if values is not None:
-        changes = changes.unionByName(feed(update_where(lines, F.lit(True), values), "INSERT", 2))
+        changes = changes.unionByName(feed(update_where(lines, F.lit(True), values), "INSERT", now + 1))
     batch = stamp_batch(changes.withColumn("source_file", F.lit(EDITED)), newest + 1, as_of)
     return refresh(layers, batch, newest + 1, newest, as_of)
 
@@ -507,6 +563,8 @@ def reset_layers(
             report.append((name, None, str(error)))
     if all(error is None for name, _, error in report if name in RESET_ORDER):
         for name, schema in STATE.items():
+            if not layers.has_buckets(name, version):
+                continue
             none = empty(layers.spark, f"{schema}, bucket int")
             layers.write_buckets(none, name, next_version, layers.every_bucket(), version)
         # Bronze counts from here on.

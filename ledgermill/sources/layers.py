@@ -201,6 +201,11 @@ class Layers:
         """The rows a version itself holds."""
         return self.spark.read.schema(schema).parquet(self.path(self._folder(table), version))
 
+    def carry_over(self, table: str, version: int, previous: int) -> None:
+        """Let a table in buckets be in a version what it was in the one before."""
+        folder = self._folder(table)
+        self.write(self.read(f"{folder}_live", previous).coalesce(1), f"{folder}_live", version)
+
     def every_bucket(self) -> DataFrame:
         return self.spark.range(self.buckets).select(F.col("id").cast("int").alias("bucket"))
 

@@ -377,3 +377,29 @@ def test_replay_equals_merging_load_by_load(spark, lines):
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
     edits = history.withColumn("source_file", F.lit(EDITED))
     assert replayed(edits, edits.select(*DOCUMENT_LINE)).count() == 0
+
+
+@pytest.mark.parametrize("order", [(0, 1, 2), (2, 1, 0), (1, 2, 0)])
+def test_any_order_of_the_same_loads_gives_the_same_layers(spark, lines, tmp_path, order):
+    loads = [feed_of(lines, *rows).withColumn("_seq", F.lit(n + 1).cast("bigint")) for n, rows in enumerate(LOADS)]
+    layers = Layers(spark, str(tmp_path / "out"), 4)
+    for n, at in enumerate(order):
+        report = load.refresh(layers, loads[at], 1001 + n, 1000 + n if n else None, ordered=True)
+        assert {r[2] for r in report} == {"done"}, report
+    rows = load.layer(layers, "silver", 1003).select("billing_document", "item", "billing_type", "billing_qty_in_sku").collect()
+    assert sorted(map(tuple, rows), key=str) == sorted(
+        [(1, 10, "ZF2", 50), (2, 10, "ZF2", 60), (3, 10, "ZF2", 80), (4, 10, "S1", 9), (7, 10, "ZF2", 70), (7, None, "ZRE", 4), (None, 10, "ZRE", 3)],
+        key=str,
+    )
+    gold = {r.billing_document: r.return_qty for r in load.layer(layers, "gold", 1003).collect()}
+    assert gold == {1: 0, 2: 0, 3: 0, 7: 16}
+    load.edit_batches(layers, [1001 + order.index(1)])
+    rows = load.layer(layers, "silver", 1004).select("billing_document", "billing_qty_in_sku").collect()
+    assert sorted(map(tuple, rows), key=str) == sorted([(1, 5), (2, 6), (3, 80), (4, 9), (7, 70), (None, 3)], key=str)
+
+
+def test_order_is_kept_from_the_first_load_on_or_not_at_all(spark, lines, tmp_path):
+    layers = Layers(spark, str(tmp_path / "out"), 4)
+    load.refresh(layers, lines((1, 10, "ZF2", 5)), 1001, None)
+    with pytest.raises(load.RunFailed, match="from the first load"):
+        load.refresh(layers, lines((1, 10, "ZF2", 5)), 1002, 1001, ordered=True)

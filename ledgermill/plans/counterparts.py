@@ -353,6 +353,11 @@ COUNTERPARTS: dict[str, str] = {
         "SELECT billing_document, count(*) AS n FROM b GROUP BY 1 ORDER BY n DESC, billing_document LIMIT 3"
     ),
     "snapshot_diff": _sql(f"SELECT {FLAT}, action, is_update FROM feed WHERE billing_document % 10 <> 4"),
+    "diff_by_digests": _sql(
+        """SELECT billing_document, item, billing_type, unnest([billing_qty_in_sku, billing_qty_in_sku + 1]) AS billing_qty_in_sku,
+                  unnest(['DELETE', 'INSERT']) AS action, true AS is_update
+           FROM b WHERE billing_document % 997 = 5"""
+    ),
     "net_changes": _sql(
         f"SELECT {FLAT}, action, is_update FROM feed WHERE NOT (action = 'DELETE' AND is_update)"
     ),

@@ -13,7 +13,9 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from functools import lru_cache
+from itertools import chain, compress
 
 import numpy as np
 import pyarrow as pa
@@ -51,8 +53,11 @@ _CODE = {c: n for n, c in enumerate(LETTERS, 1)}
 _OTHER = len(LETTERS) + 1
 _N = _OTHER + 1  # 0 is the edge of a word
 _EDGES = "\"'`.,;:?!()[]{}<>«»„“”‘’…-–—_*#%&|$+=/\\~^"
+_SIGNS = frozenset(STANDS_FOR)
 _PLAIN = re.compile(r"[^\W\d_]+")
-_TWICE = re.compile(r"(.)\1")
+# Marks at the end of a token that stand for nothing.
+_ENDINGS = [mark + white for mark in ".,;:?" for white in " \n"]
+_TWICE, _REPEATED = re.compile(r"(.)\1"), re.compile(r"(.)\1+")
 
 
 def _code_table() -> np.ndarray:
@@ -100,57 +105,108 @@ def costs_of(counts: np.ndarray) -> np.ndarray:
     return -np.log((three + 2 * double) / (three.sum(2, keepdims=True) + 2))
 
 
+class Tree:
+    """Parts of words, letter by letter, to tell at once that no path of a lattice can spell one of them.
+
+    A leaf of a whole word is written ``$``; a beginning ends in an empty key.
+    """
+
+    def __init__(self, parts: Iterable[str]) -> None:
+        self._root: dict = {}
+        for part in parts:
+            node = self._root
+            for c in part.removesuffix("$"):
+                node = node.setdefault(c, {})
+            node["$" if part.endswith("$") else ""] = {}
+        self.empty = not self._root
+
+    def walk(self, lattice: Iterable[list[tuple[str, float]]]) -> tuple[bool, list[dict]]:
+        """Whether a path begins with a known beginning, and the places in the tree where paths end that may go on.
+
+        The lattice is only asked for as long as some path goes on.
+        """
+        places = [self._root]
+        for options in lattice:
+            following: dict[int, dict] = {}
+            for place in places:
+                for written, _ in options:
+                    node: dict | None = place
+                    for c in written:
+                        node = node.get(c)
+                        if node is None:
+                            break
+                        if "" in node:
+                            return True, []
+                    if node is not None:
+                        following[id(node)] = node
+            if not following:
+                return False, []
+            places = list(following.values())
+        return False, places
+
+    def holds(self, lattice: Iterable[list[tuple[str, float]]]) -> bool:
+        """Whether some path spells a known part; only then is it worth finding the likeliest one."""
+        begins, places = self.walk(lattice)
+        return begins or any("$" in place for place in places)
+
+
 class Restorer:
     """Readings of disguised tokens under a language model."""
 
     def __init__(self, costs: np.ndarray) -> None:
         self._costs = costs
+        self._flat = costs.ravel().tolist()
 
     def _search(self, lattice: list[list[tuple[str, float]]]) -> str:
         """The likeliest path; each place of the lattice offers strings at a cost. A blank is an edge."""
-        costs = self._costs
+        costs = self._flat
         # Per last two codes the best way there, as a chain of what was written.
         best: dict[tuple[int, int], tuple[float, tuple | None]] = {(0, 0): (0.0, None)}
         for options in [*lattice, [(" ", 0.0)]]:
             following: dict[tuple[int, int], tuple[float, tuple | None]] = {}
-            for (a, b), (cost, chain) in best.items():
+            for (a, b), (cost, path) in best.items():
                 for written, own in options:
                     total, x, y = cost + own, a, b
                     for c in written:
                         code = 0 if c == " " else _CODE.get(c, _OTHER)
-                        total += costs[x, y, code]
+                        total += costs[(x * _N + y) * _N + code]
                         x, y = y, code
                     if total < following.get((x, y), (math.inf, None))[0]:
-                        following[x, y] = (total, (chain, written) if written else chain)
+                        following[x, y] = (total, (path, written) if written else path)
             best = following
-        chain, parts = min(best.values(), key=lambda found: found[0])[1], []
-        while chain is not None:
-            chain, written = chain
+        path, parts = min(best.values(), key=lambda found: found[0])[1], []
+        while path is not None:
+            path, written = path
             parts.append(written)
         return "".join(reversed(parts)).strip()
 
-    def _lattice(self, token: str) -> list[list[tuple[str, float]]]:
-        lattice, at = [], 0
+    def _options(self, token: str) -> Iterator[list[tuple[str, float]]]:
+        """Place by place what a token may stand for, at a cost."""
+        at = 0
         while at < len(token):
             c, run = token[at], 1
             while at + run < len(token) and token[at + run] == c:
                 run += 1
-            letters = c if c.isalpha() else STANDS_FOR.get(c, "")
-            own = 0.0 if c.isalpha() else SIGN_COST
-            if c == " ":
-                lattice.append([("", DROP_COST), (" ", KEEP_COST)])
-            elif not letters:
-                lattice.append([("", MARK_COST)])
+            at += run
+            if c.isalpha():
+                yield [(c, 0.0)] if run == 1 else [(c, REPEAT_COST), (c + c, REPEAT_COST * (run > 2))]
+            elif c == " ":
+                yield [("", DROP_COST), (" ", KEEP_COST)]
+            elif c not in STANDS_FOR:
+                yield [("", MARK_COST)]
             elif run == 1:
-                lattice.append([(x, own) for x in letters])
+                yield [(x, SIGN_COST) for x in STANDS_FOR[c]]
             else:
-                lattice.append([(x * k, own + REPEAT_COST * (k < run)) for x in letters for k in (1, 2)])
-            at += run
-        return lattice
+                yield [(x * k, SIGN_COST + REPEAT_COST * (k < run)) for x in STANDS_FOR[c] for k in (1, 2)]
+
+    def _lattice(self, token: str) -> list[list[tuple[str, float]]]:
+        return list(self._options(token))
 
-    def restore_outer(self, before: str, core: str, after: str) -> str:
-        """The likeliest reading of a token between signs that are letters or nothing."""
-        return self._search([*_outer(before), *self._lattice(core), *_outer(after)])
+    def restore_outer(self, before: str, core: str, after: str, tree: Tree | None = None) -> str:
+        """The likeliest reading of a token between signs that are letters or nothing; none if it can't be in the tree."""
+        if tree and not tree.holds(chain(_outer(before), self._options(core), _outer(after))):
+            return ""
+        return self._search([*_outer(before), *self._options(core), *_outer(after)])
 
     def restore(self, token: str) -> str:
         """The likeliest reading of a token in lower case, or of tokens with one blank between."""
@@ -162,8 +218,11 @@ def _outer(signs: str) -> list[list[tuple[str, float]]]:
     return [[("", MARK_COST), *((x, SIGN_COST) for x in STANDS_FOR.get(c, ""))] for c in signs]
 
 
-def _readings(token: str, restorer: Restorer) -> set[str]:
-    """The words a token may be meant as: what it restores to, with signs at its edges as letters or as nothing, and its parts."""
+def _readings(token: str, restorer: Restorer, tree: Tree | None = None) -> set[str]:
+    """The words a token may be meant as: what it restores to, with signs at its edges as letters or as nothing, and its parts.
+
+    With a ``tree`` only readings matter that hold one of its parts, so a lattice that spells none is not searched.
+    """
     core = token.strip(_EDGES)
     at = token.find(core) if core else len(token)
     # Marks that stand for no letter go.
@@ -173,18 +232,27 @@ def _readings(token: str, restorer: Restorer) -> set[str]:
     plain = _PLAIN.fullmatch(core)
     found = parts.copy()
     if (plain and _TWICE.search(core)) or (not plain and any(c.isalpha() or c in STANDS_FOR for c in core)):
-        found |= set(restorer.restore(core).split())
+        found |= set(restorer.restore_outer("", core, "", tree).split())
     if (before or after) and (core or len(before) > 1):
-        found |= set(restorer.restore_outer(before, core, after).split())
+        found |= set(restorer.restore_outer(before, core, after, tree).split())
     return found
 
 
+@lru_cache(1 << 15)
+def _single(token: str) -> str:
+    """The one letter, or sign that may be one, that a token consists of but for marks at its edges; else nothing."""
+    core = token if len(token) == 1 else token.strip(_EDGES)
+    return core if len(core) == 1 and (core.isalpha() or core in STANDS_FOR) else ""
+
+
 def _spelled(tokens: list[str]) -> list[str]:
     """Runs of three or more tokens of one character, each joined by blanks."""
     found, run = [], []
-    for token in [*tokens, ""]:
-        core = token if len(token) == 1 else token.strip(_EDGES)
-        if len(core) == 1 and (core.isalpha() or core in STANDS_FOR):
+    cores = ["" if len(t) > 1 and t.isalpha() else _single(t) for t in tokens]
+    if b"\1\1\1" not in bytes(map(bool, cores)):
+        return found
+    for core in [*cores, ""]:
+        if core:
             run.append(core)
             continue
         if len(run) > 2:
@@ -198,18 +266,60 @@ def parts_of(word: str) -> list[str]:
     return [f"{word}$", *(word[:k] for k in range(SHORTEST_PART, min(LONGEST_PART, len(word)) + 1))]
 
 
-def _restored_words(text: str, restorer: Restorer, known: dict[str, frozenset[str]]) -> Iterator[frozenset[str]]:
-    """Per token of a text its readings, then those of spelled-out runs."""
-    tokens = text.lower().split()
-    for token in tokens:
+def _is_plain(token: str, core: str) -> bool:
+    """Whether a token can only be read as it is written: letters, none doubled, and no sign that may be a letter."""
+    return core.isalpha() and (len(core) == len(token) or _SIGNS.isdisjoint(token)) and not _TWICE.search(core)
+
+
+def _restored_words(
+    text: str, restorer: Restorer, known: dict[str, set[str]], tree: Tree | None = None, dull: _Dull | None = None
+) -> set[str]:
+    """The words of a text: those written plainly, the readings of all other tokens, and of spelled-out runs.
+
+    With a ``tree`` only words that hold its parts matter, and tokens that are ``dull`` for these parts are passed over.
+    """
+    lower = text.lower()
+    words = set(_PLAIN.findall(lower))
+    if tree is not None and tree.empty:
+        return words
+    tokens = lower.split()
+    for token in set(tokens):
+        if dull is not None and dull[token[:SHORTEST_PART]] and token.isalpha():
+            continue
+        if _is_plain(token, token.strip(_EDGES)):
+            continue
         found = known.get(token)
         if found is None:
             if len(known) >= REMEMBERED_READINGS:
                 known.clear()
-            found = known[token] = frozenset(_readings(token, restorer))
-        yield found
+            found = known[token] = _readings(token, restorer, tree)
+        words |= found
     for run in _spelled(tokens):
-        yield frozenset(restorer.restore(run).split())
+        words |= set(restorer.restore(run).split())
+    return words
+
+
+def _skeleton(word: str) -> str:
+    """A word with every letter once where it is repeated; readings of repeated letters share it."""
+    return _REPEATED.sub(r"\1", word)
+
+
+class _Dull(dict):
+    """By the first letters of a token of letters only whether it can't carry weight, nor begin a word that does.
+
+    Letters that are not doubled are read as they are written, so they tell.
+    """
+
+    def __init__(self, weights: Weights) -> None:
+        super().__init__()
+        self._weights = weights
+
+    def __missing__(self, head: str) -> bool:
+        known = self._weights
+        plain = len(head) > 1 and head.isalpha() and not _TWICE.search(head)
+        weighs = head in known.starts if len(head) == SHORTEST_PART else known.of_word(head) > 0
+        self[head] = found = plain and not weighs and head not in known.beginnings
+        return found
 
 
 class Weights(dict):
@@ -220,15 +330,38 @@ class Weights(dict):
         self._weights, self._restorer = weights, restorer
         self._whole = {part[:-1]: weight for part, weight in weights.items() if part.endswith("$")}
         self._longest, self._joined = max(map(len, self._whole), default=0), {}
+        self._tree, self._words = Tree(weights), Tree(f"{word}$" for word in self._whole)
+        # How weighted parts begin; and every beginning of a weighted whole word. Both also without repeated letters.
+        parts = [part.removesuffix("$") for part in weights]
+        self.starts = {part[:SHORTEST_PART] for part in parts}
+        self._bare_starts = {_skeleton(part)[:SHORTEST_PART] for part in parts}
+        self.beginnings = {word[:k] for word in self._whole for k in range(1, len(word) + 1)}
+        self._bare_beginnings = set(map(_skeleton, self.beginnings))
+        self.dull = _Dull(self)
+        # Of the tokens met: those a weighted word may begin with, without their edges; and those of one character.
+        self._begins: dict[str, str] = {}
+        self._singles: set[str] = set()
 
     def of_word(self, word: str) -> float:
+        if word[:SHORTEST_PART] not in self.starts:
+            return 0.0
         return max((self._weights.get(part, 0.0) for part in parts_of(word)), default=0.0)
 
     def __missing__(self, token: str) -> float:
-        if len(self) >= REMEMBERED:
-            self.clear()
-        self[token] = found = max(map(self.of_word, _readings(token, self._restorer)), default=0.0)
-        return found
+        core = token.strip(_EDGES)
+        if _is_plain(token, core) or (core.isalpha() and _SIGNS.isdisjoint(token) and not self._may_weigh(_skeleton(core))):
+            weight = self.of_word(core)
+        else:
+            weight = max(map(self.of_word, _readings(token, self._restorer, self._tree)), default=0.0)
+        self[token] = weight
+        if len(core or token) < self._longest and self._goes_on(core or token):
+            self._begins[token] = core or token
+        if _single(token):
+            self._singles.add(token)
+        return weight
+
+    def _may_weigh(self, skeleton: str) -> bool:
+        return any(skeleton[:n] in self._bare_starts for n in range(1, SHORTEST_PART + 1))
 
     def _of_joined(self, joined: str) -> float:
         """Weight of neighbouring tokens read as one whole word."""
@@ -238,26 +371,49 @@ class Weights(dict):
         if found is None:
             if len(self._joined) >= REMEMBERED:
                 self._joined.clear()
-            found = self._joined[joined] = self._whole.get(self._restorer.restore(joined), 0.0)
+            held = self._words.holds(self._restorer._options(joined))
+            found = self._joined[joined] = self._whole.get(self._restorer.restore(joined), 0.0) if held else 0.0
         return found
 
+    def _goes_on(self, run: str) -> bool:
+        """Whether a weighted whole word may be read as beginning like this."""
+        if run.isalpha():
+            if run in self.beginnings:
+                return True
+            if not _TWICE.search(run) or _skeleton(run) not in self._bare_beginnings:
+                return False
+        return bool(self._words.walk(self._restorer._options(run))[1])
+
     def _of_neighbours(self, tokens: list[str]) -> float:
-        """Weight of whole words with blanks in them; runs of single characters are read elsewhere."""
-        cores = [token.strip(_EDGES) or token for token in tokens]
+        """Weight of whole words with blanks in them; runs of single characters are read elsewhere.
+
+        A run of neighbours ends where no weighted word begins like it.
+        """
         total = 0.0
-        for at, joined in enumerate(cores):
-            for n, core in enumerate(cores[at + 1 : at + self._longest], 2):
+        for at in compress(range(len(tokens) - 1), map(self._begins.__contains__, tokens)):
+            joined = self._begins[tokens[at]]
+            for n, other in enumerate(tokens[at + 1 : at + self._longest], 2):
+                core = other.strip(_EDGES) or other
                 joined += core
-                if len(joined) > self._longest or not all(c.isalpha() or c in STANDS_FOR for c in core):
+                if len(joined) > self._longest or not self._goes_on(joined):
+                    break
+                if not all(c.isalpha() or c in STANDS_FOR for c in core):
                     break
                 if len(joined) > n:
                     total += self._of_joined(joined)
         return total
 
     def of_text(self, text: str) -> float:
-        tokens = text.lower().split()
-        total = sum(map(self.__getitem__, tokens)) + self._of_neighbours(tokens)
-        if sum(len(t) == 1 for t in tokens) > 2:
+        if len(self) >= REMEMBERED:
+            for known in (self, self._begins, self._singles):
+                known.clear()
+        lower = text.lower()
+        for ending in _ENDINGS:
+            lower = lower.replace(ending, ending[-1])
+        tokens, dull = lower.split(), self.dull
+        odd = [t for t in tokens if not (dull[t[:SHORTEST_PART]] and t.isalpha())]
+        total = sum(map(self.__getitem__, odd)) + self._of_neighbours(tokens)
+        if b"\1\1\1" in bytes(map(self._singles.__contains__, tokens)):
             for run in _spelled(tokens):
                 total += sum(map(self.of_word, self._restorer.restore(run).split()))
         return total
@@ -294,8 +450,8 @@ def _calibrated(rows: list[tuple[float, int, int]]) -> tuple[float, float]:
     return float(theta[0]), float(theta[1])
 
 
-def _held_out() -> Column:
-    return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 1, F.lit(False))
+def _held_out(column: str = "doc_id") -> Column:
+    return F.coalesce(F.crc32(F.col(column).cast("string")) % 3 == 1, F.lit(False))
 
 
 def _training(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -316,9 +472,13 @@ def _weights(training: DataFrame, costs) -> dict[str, float]:
     """Weights of the parts of words that mark toxic training rows."""
     totals = {row.toxic: row.n for row in training.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
 
-    def counting(parts):
+    def counting(parts, tree):
         def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             restorer, known, counts = Restorer(costs.value), {}, Counter()
+            wanted = None if parts is None else parts.value
+            own_tree = None if parts is None else Tree(wanted if tree else ())
+            dull = Weights(dict.fromkeys(wanted, 1.0), restorer).dull if tree else None
+            starts = None if wanted is None else {part.removesuffix("$")[:SHORTEST_PART] for part in wanted}
 
             def counted() -> pa.RecordBatch:
                 columns = [pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())]
@@ -326,9 +486,11 @@ def _weights(training: DataFrame, costs) -> dict[str, float]:
 
             for batch in batches:
                 for text in batch.column("text"):
-                    words = frozenset().union(*_restored_words(text.as_py(), restorer, known))
+                    words = _restored_words(text.as_py(), restorer, known, own_tree, dull)
+                    if starts is not None:
+                        words = [word for word in words if word[:SHORTEST_PART] in starts]
                     own = {part for word in words for part in parts_of(word)}
-                    counts.update(own if parts is None else own & parts.value)
+                    counts.update(own if wanted is None else own & wanted)
                     if len(counts) >= COUNTED_PARTS:
                         yield counted()
                         counts.clear()
@@ -336,15 +498,19 @@ def _weights(training: DataFrame, costs) -> dict[str, float]:
 
         return count
 
-    def rows_with(label: int, parts, least: int) -> dict[str, int]:
+    def rows_with(label: int, parts: Iterable[str] | None, tree: bool, least: int) -> dict[str, int]:
         texts = training.filter(F.col("toxic") == label).select("text")
-        counted = texts.mapInArrow(counting(parts), "part string, n bigint").groupBy("part").agg(F.sum("n").alias("n"))
+        shared = None if parts is None else training.sparkSession.sparkContext.broadcast(frozenset(parts))
+        counted = texts.mapInArrow(counting(shared, tree), "part string, n bigint").groupBy("part").agg(F.sum("n").alias("n"))
         return {row.part: row.n for row in counted.filter(F.col("n") >= least).collect()}
 
     # Bounded by the training rows: parts that several toxic ones of them have.
-    toxic = rows_with(1, None, LEAST_ROWS)
-    clean = rows_with(0, training.sparkSession.sparkContext.broadcast(frozenset(toxic)), 1)
-    return weights_of(toxic, clean, totals.get(1, 0), totals.get(0, 0))
+    toxic = rows_with(1, None, False, LEAST_ROWS)
+    # Clean rows are first read as they are written: a part that is too frequent there can't become less so by what
+    # is restored, and for the few others few tokens have to be restored.
+    n_toxic, n_clean = totals.get(1, 0), totals.get(0, 0)
+    left = weights_of(toxic, rows_with(0, toxic, False, 1), n_toxic, n_clean)
+    return weights_of({part: toxic[part] for part in left}, rows_with(0, left, True, 1), n_toxic, n_clean)
 
 
 def weights_of(toxic: dict[str, int], clean: dict[str, int], n_toxic: int, n_clean: int) -> dict[str, float]:
@@ -360,7 +526,7 @@ def weights_of(toxic: dict[str, int], clean: dict[str, int], n_toxic: int, n_cle
 
 
 def _scored(docs: DataFrame, labels: DataFrame, kept: list[str]) -> DataFrame:
-    """Columns ``kept`` of every row and its ``_score``."""
+    """Of every row ``row``, its columns ``kept``, and its ``score``."""
     spark = docs.sparkSession
     costs = spark.sparkContext.broadcast(_language_model(docs))  # one number per trigram of the alphabet
     training = _training(docs, labels)
@@ -370,18 +536,18 @@ def _scored(docs: DataFrame, labels: DataFrame, kept: list[str]) -> DataFrame:
         def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             weights = Weights(shared.value, Restorer(costs.value))
             for batch in batches:
-                found = [_evidence(weights.of_text(t.as_py())) for t in batch.column("_whole")]
-                columns = [batch.column(c) for c in names]
-                yield pa.RecordBatch.from_arrays([*columns, pa.array(found, pa.float64())], [*names, "_evidence"])
+                found = [_evidence(weights.of_text(t.as_py())) for t in batch.column("text")]
+                yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(found, pa.float64())], ["row", "evidence"])
 
-        schema = rows.select(*names).schema.add("_evidence", T.DoubleType())
-        return rows.select(*names, text_of().alias("_whole")).mapInArrow(weigh, schema)
+        # The caller's columns travel in one, so that their names meet no others.
+        packed = rows.select(F.struct(*names).alias("row"), text_of().alias("text"))
+        return packed.mapInArrow(weigh, packed.select("row").schema.add("evidence", T.DoubleType()))
 
     # Evidence lies between 0 and a constant; in steps of a hundredth there are a few hundred values.
-    binned = weighed(training, ["toxic"]).groupBy(F.round("_evidence", 2).alias("x"), "toxic").agg(F.count("*").alias("n"))
+    binned = weighed(training, ["toxic"]).groupBy(F.round("evidence", 2).alias("x"), "row.toxic").agg(F.count("*").alias("n"))
     intercept, slope = _calibrated([(r.x, r.toxic, r.n) for r in binned.collect()])
-    score = 1 / (1 + F.exp(-(F.lit(intercept) + F.lit(slope) * F.col("_evidence"))))
-    return weighed(docs, kept).select(*kept, score.alias("_score"))
+    score = 1 / (1 + F.exp(-(F.lit(intercept) + F.lit(slope) * F.col("evidence"))))
+    return weighed(docs, kept).select("row", score.alias("score"))
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -392,18 +558,23 @@ def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -
 
     Null and empty texts get the score of a text without evidence. A null doc_id stays null and is not
     held out; of a doc_id with several labels the toxic one counts; without labels nothing carries
-    weight, and scores are low. Repeated rows give repeated rows; an empty table gives none. Other columns
-    are not looked at.
+    weight, and scores are low. Repeated rows give repeated rows; an empty table gives none. Texts of any
+    length are read whole; weight beyond that of ``MOST_HITS`` plain hits no longer changes a score, which is
+    close to 1 there. Other columns are not looked at.
     """
     scored = _scored(docs, labels, ["doc_id"])
     return scored.select(
-        "doc_id",
-        _held_out().alias("held_out"),
-        F.col("_score").alias("score"),
-        (F.col("_score") >= threshold).cast("int").alias("predicted"),
+        "row.doc_id",
+        _held_out("row.doc_id").alias("held_out"),
+        "score",
+        (F.col("score") >= threshold).cast("int").alias("predicted"),
     )
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """``docs`` without the rows whose text scores ``threshold`` or more."""
-    return _scored(docs, labels, docs.columns).filter(F.col("_score") < threshold).select(*docs.columns)
+    """``docs`` without the rows whose text scores ``threshold`` or more; scores are those of ``toxicity``.
+
+    Null and empty texts stay, whole texts of any length are read, repeated rows go or stay together, an
+    empty table stays empty. All columns are kept as they are, whatever their names.
+    """
+    return _scored(docs, labels, docs.columns).filter(F.col("score") < threshold).select("row.*")

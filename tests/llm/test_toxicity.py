@@ -106,3 +106,28 @@ def test_words_with_blanks_are_weighed(restorer):
 def test_words_of_few_toxic_rows_carry_weight():
     weights = tox.weights_of({"seldom$": 29, "chance$": 5, "few$": 4}, {"chance$": 3}, 1_500, 13_000)
     assert set(weights) == {"seldom$"}
+
+
+def test_the_tree_leaves_out_no_reading_that_carries_weight(restorer):
+    """Weights with and without the shortcut are equal, on words disguised at random."""
+    rng = random.Random(3)
+    parts = {"blockhead$": 4.0, "mutton": 3.0, "los": 2.0, "rive": 1.0, "idea$": 1.5}
+    weights = tox.Weights(parts, restorer)
+    signs = {letter: sign for sign, letters in tox.STANDS_FOR.items() for letter in letters}
+    for _ in range(1_500):
+        word = list(rng.choice([*FILLER, "blockhead", "muttonface", "loser", "letter", "happen"]))
+        for _ in range(rng.randrange(4)):
+            at = rng.randrange(len(word))
+            word[at] = rng.choice([signs.get(word[at][:1], "#"), word[at] * 2, word[at] * 3, word[at] + rng.choice(".-*$!|")])
+        token = rng.choice(["", "$", "!", "("]) + "".join(word) + rng.choice(["", "$$", ",", "+"])
+        want = max(map(weights.of_word, tox._readings(token, restorer)), default=0.0)
+        assert weights[token] == want, token
+
+
+def test_columns_named_like_helpers_stay(spark):
+    names = ["_score", "score", "_whole", "_evidence", "evidence", "row", "toxic"]
+    rows = [(n, "a quiet river", *(f"{name}{n}" for name in names)) for n in range(5)] * 2
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string, " + ", ".join(f"{n} string" for n in names))
+    kept = tox.without_toxic(frame, spark.createDataFrame([(1, 0)], "doc_id bigint, toxic int"))
+    assert kept.columns == frame.columns
+    assert sorted(tuple(r) for r in kept.collect()) == sorted(rows)

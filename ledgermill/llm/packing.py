@@ -26,8 +26,10 @@ from ledgermill.session import stored
 PIECE_SCHEMA = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint"
 # Pieces that are numbered together, about; a length with more is dealt out to more groups.
 GROUP_ROWS = 1_000
-# Pieces of text a worker remembers the ids of.
-REMEMBERED = 400_000
+# Pieces of text a worker remembers the ids of; fewer where it is to forget them, among other work.
+REMEMBERED, REMEMBERED_BRIEFLY = 400_000, 150_000
+# Texts that are encoded together.
+TEXTS = 512
 
 
 def fullest(counts: dict[int, int], room: int) -> dict[int, int]:
@@ -84,8 +86,8 @@ def pieces(docs: DataFrame, tokenizer_path: str, capacity: int, end_id: int, for
     content, version = shared_tokenizer(spark, tokenizer_path)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = encoder(content.value, version, REMEMBERED)
-        for batch in batches:
+        known = encoder(content.value, version, REMEMBERED_BRIEFLY if forget else REMEMBERED)
+        for batch in (whole.slice(at, TEXTS) for whole in batches for at in range(0, whole.num_rows, TEXTS)):
             rows: list[tuple] = []
             arrays = known.ids(batch.column("text").to_pylist())
             for doc_id, ids in zip(batch.column("doc_id").to_pylist(), arrays, strict=True):

@@ -13,7 +13,7 @@ from ledgermill.functions import clock, rules
 from ledgermill.operators import changes as ch
 from ledgermill.operators import dashboard as dash
 from ledgermill.operators import edits, merge, netting, star, views
-from ledgermill.plans import load
+from ledgermill.plans import kept, load
 from ledgermill.session import all_stored, scratch_path, stored
 from ledgermill.sources import adapter, billing_csv, deliveries, files, snapshots
 from ledgermill.sources.layers import Layers
@@ -43,6 +43,8 @@ HAND_ENTERED = [
 ]
 # Parts of the allowed error of the sketches: three standard errors of the distinct counts.
 DISTINCT_ERROR, MERGED_ERROR = 0.15, 0.05
+# Three times the error of a quantile sketch's ranks.
+RANK_ERROR = 0.03
 TRACKED = 10_000
 
 
@@ -730,6 +732,46 @@ def any_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sums[0].join(sums[1], ["digit", "n_rows", "quantity"])
 
 
+@query
+def kept_views(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Figures of all views, kept up from changed buckets through three loads, an update and a delete."""
+    layers = Layers(spark, scratch_path(spark, "layers"), BUCKETS)
+    lines, digit = adapter.billing_lines(spark, sf_dir), F.col("billing_document") % 10
+    for n, some in enumerate((digit < 5, digit.between(5, 7), digit > 7)):
+        load.refresh(layers, lines.filter(some), fx.FIRST_BATCH_ID + n, fx.FIRST_BATCH_ID + n - 1 if n else None)
+        kept.keep_labels(layers, layers.latest())
+    load.edit(layers, digit == 2, {"billing_qty_in_sku": F.col("billing_qty_in_sku") + 1})
+    load.edit(layers, digit == 1)
+    return kept.sales(layers, layers.latest())
+
+
+@query
+def kept_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sketches kept through two loads and merged: the exact number of documents, and whether all lie within their errors."""
+    layers = Layers(spark, scratch_path(spark, "layers"), BUCKETS)
+    lines, digit = adapter.billing_lines(spark, sf_dir), F.col("billing_document") % 10
+    for n, some in enumerate((digit < 5, digit >= 5)):
+        load.refresh(layers, lines.filter(some), fx.FIRST_BATCH_ID + n, fx.FIRST_BATCH_ID + n - 1 if n else None)
+        kept.kept_sketches(layers, layers.latest())
+    found = kept.approx_figures(layers, layers.latest(), 0.7, 1)
+    quantity, top = F.col("billing_qty_in_sku"), F.col("materials")[0]
+    exact = lines.crossJoin(F.broadcast(found)).agg(  # one row
+        F.count_distinct("billing_document").alias("n_exact"),
+        F.any_value("n_documents").alias("n_documents"),
+        F.avg((quantity < F.col("quantile")).cast("int")).alias("below"),
+        F.avg((quantity <= F.col("quantile")).cast("int")).alias("up_to"),
+        F.count_if(F.col("material") == top["item"]).alias("n_item"),
+        F.any_value(top["count"]).alias("n_top"),
+        (F.count("*") / kept.TRACKED).alias("slack"),
+    )
+    return exact.select(
+        "n_exact",
+        (F.abs(F.col("n_documents") - F.col("n_exact")) <= F.col("n_exact") * MERGED_ERROR).alias("distinct_ok"),
+        ((F.col("below") <= 0.7 + RANK_ERROR) & (F.col("up_to") >= 0.7 - RANK_ERROR)).alias("quantile_ok"),
+        (F.abs(F.col("n_item") - F.col("n_top")) <= F.col("slack") * 2).alias("top_ok"),
+    )
+
+
 @query
 def small_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All lines but those of a few orders, then those in a load of their own: gold, returns and products as kept up."""

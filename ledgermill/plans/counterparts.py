@@ -159,6 +159,13 @@ TABLES = {
     "after": """
         SELECT * REPLACE (CAST(billing_qty_in_sku + if(billing_document % 10 = 2, 1, 0) AS BIGINT) AS billing_qty_in_sku)
         FROM b WHERE billing_document % 10 <> 1""",
+    "after_gold": """
+        SELECT s.*, coalesce(r.return_qty, 0) AS return_qty, s.billing_qty_in_sku - coalesce(r.return_qty, 0) AS final_qty
+        FROM after s LEFT JOIN (
+            SELECT assignment, material, item_description, sum(billing_qty_in_sku) AS return_qty
+            FROM after WHERE billing_type IN ('ZRE', 'S1') GROUP BY ALL
+        ) r ON s.billing_document = r.assignment AND s.material = r.material AND s.item_description = r.item_description
+        WHERE s.billing_type = 'ZF2' AND s.billing_date IS NOT NULL AND s.billing_qty_in_sku >= 0 AND s.material IS NOT NULL""",
     "mended": """
         SELECT * REPLACE (CASE WHEN billing_document % 10 > 6 AND billing_type = 'ZF2' THEN 600 ELSE billing_qty_in_sku END
                           AS billing_qty_in_sku)
@@ -426,6 +433,23 @@ COUNTERPARTS: dict[str, str] = {
                   CAST(sum(billing_qty_in_sku + if(billing_document % 10 IN (1, 2), 5, 0)) AS BIGINT) AS quantity
            FROM b WHERE billing_document % 10 <> 3 GROUP BY 1"""
     ),
+    "kept_views": _sql(
+        """SELECT label.by AS by, label.key AS key, count(DISTINCT billing_document) AS n_documents,
+                  CAST(sum(billing_qty_in_sku) AS BIGINT) AS billed, CAST(sum(return_qty) AS BIGINT) AS returned,
+                  CAST(sum(final_qty) AS BIGINT) AS net, CAST(sum(if(final_qty = 0, return_qty, final_qty)) AS BIGINT) AS amount
+           FROM (
+               SELECT g.*, unnest([
+                   {'by': 'billing_type', 'key': billing_type}, {'by': 'material', 'key': g.material},
+                   {'by': 'date_key', 'key': strftime(billing_date, '%Y-%m-%d')},
+                   {'by': 'year_month', 'key': strftime(billing_date, '%Y-%m')}, {'by': 'all', 'key': ''},
+                   {'by': 'product_category', 'key': p.product_category}, {'by': 'material_group', 'key': p.material_group}
+               ]) AS label
+               FROM after_gold g JOIN products p USING (material)
+           ) GROUP BY 1, 2"""
+    ),
+    "kept_sketches": _sql(
+        "SELECT count(DISTINCT billing_document) AS n_exact, true AS distinct_ok, true AS quantile_ok, true AS top_ok FROM b"
+    ),
     "small_batch": _sql(
         """SELECT material, item_description, material_group, product_category, n_rows, returned, remaining
            FROM products LEFT JOIN (

@@ -186,16 +186,25 @@ class Layers:
     def has_buckets(self, table: str, version: int) -> bool:
         return self.exists(f"{self._folder(table)}_live", version)
 
+    def versions_of(self, table: str) -> list[int]:
+        """The versions in which a table in buckets was written."""
+        names = files.names_in(self.spark, f"{self.root}/{self._folder(table)}_live")
+        return sorted(int(name.removeprefix("v=")) for name in names if name.startswith("v="))
+
+    def live(self, table: str, version: int) -> DataFrame:
+        """bucket and v: which version of every bucket is live, at most as many rows as there are buckets."""
+        return self.read(f"{self._folder(table)}_live", version)
+
     def read_buckets(
-        self, table: str, version: int, schema: str, only: DataFrame | None = None
+        self, table: str, version: int, schema: str, only: DataFrame | None = None, bucket: bool = False
     ) -> DataFrame:
-        """The live rows as of a version, of all buckets or only of some."""
+        """The live rows as of a version, of all buckets or only of some; with their ``bucket`` if asked for."""
         live = self.read(f"{self._folder(table)}_live", version).filter(F.col("v") >= 0)
         if only is not None:
             live = live.join(only, "bucket", "left_semi")
         rows = self.spark.read.schema(f"{schema}, v bigint, bucket int").parquet(f"{self.root}/{self._folder(table)}")
         # At most one row per bucket, so it can always be broadcast.
-        return rows.join(F.broadcast(live), ["v", "bucket"]).select(*column_names(schema))
+        return rows.join(F.broadcast(live), ["v", "bucket"]).select(*column_names(schema), *(["bucket"] if bucket else []))
 
     def written_rows(self, table: str, version: int, schema: str) -> DataFrame:
         """The rows a version itself holds."""

@@ -139,7 +139,12 @@ def mix_report(docs: DataFrame, **targets) -> DataFrame:
 
 
 def mix(docs: DataFrame, **targets) -> DataFrame:
-    """The mix itself: each row of ``docs`` as often as it is drawn, with the columns of ``docs``."""
+    """The mix itself: each row of ``docs`` as often as it is drawn, with the columns of ``docs``.
+
+    Null and empty texts have size 0 and come at most as often as the others; a null source is a source of its own;
+    repeated rows are drawn each; an empty table stays empty; texts of any length count whole. Columns named like the
+    helpers here (``_size``, ``_source``, ``_rank``) are not allowed for.
+    """
     drawn = copies(docs, **targets)
     # At most ``most`` copies, rounded up: a handful.
     each = F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))

@@ -253,8 +253,8 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, shortest: int = SHORTE
     joined by one blank.
 
     Null texts have no words. A row without doc_id is neither cut nor a reason to cut; rows with the
-    same doc_id are no reason to cut each other; texts shorter than the window stay. An empty table
-    gives no rows. Other columns are not looked at.
+    same doc_id are no reason to cut each other; texts shorter than the window stay. Texts of any length
+    are taken whole. An empty table gives no rows. Other columns are not looked at.
     """
     blocks = stored(_blocks(docs), "blocks")
     n_words = blocks.agg(F.sum("n_words")).first()[0] or 0

@@ -44,7 +44,7 @@ def token_counts(
     shared folder. Two runs that append the same digest at once do no harm: counts are equal.
 
     Null and empty texts count 0 tokens. A null doc_id stays null; repeated rows give repeated rows;
-    an empty table gives no rows. Other columns of ``docs`` are not looked at, whatever their names.
+    texts of any length are counted whole; an empty table gives no rows. Other columns of ``docs`` are not looked at, whatever their names.
     """
     spark = docs.sparkSession
     content, version = shared_tokenizer(spark, tokenizer_path)

@@ -91,7 +91,7 @@ def write_token_ids(docs: DataFrame, tokenizer_path: str, out_dir: str, end_id:
 
     Texts move once, to their range of doc_ids; ids never move. Null texts are empty and give the end
     id alone; null doc_ids come first; rows that share a doc_id follow each other in the order of their
-    texts. An empty table gives a table without segments. Other columns are not looked at.
+    texts; texts of any length are written whole. An empty table gives a table without segments. Other columns are not looked at.
     """
     spark = docs.sparkSession
     content, version = shared_tokenizer(spark, tokenizer_path)

@@ -37,6 +37,31 @@ def test_few_rows_and_none(spark):
     assert top_k(few.limit(0), F.col("vec_id") == 0).count() == 0
 
 
+def test_very_large_components(spark):
+    rng = random.Random(9)
+    sizes = [1.0, 2.0**23, 2.0**31 / 256, 2.0**40, 3e38]
+    rows = [(n, [float(np.float32(rng.choice(sizes) * rng.uniform(-1, 1))) for _ in range(4)]) for n in range(200)]
+    rows += [(n, rows[n % 7][1]) for n in range(200, 230)] + [(n, [2.0**23 - 1] * 4) for n in range(250, 260)]
+    frame = spark.createDataFrame([(*r, "x", "y") for r in rows], SCHEMA)
+    got = top_k(frame, F.col("vec_id") % 10 == 0, k=5).collect()
+    whole = {d: [math.floor(256 * x) for x in v] for d, v in rows}
+    want = []
+    for q in whole:
+        if q % 10 == 0:
+            scored = sorted((-sum(a * b for a, b in zip(whole[q], v)), d) for d, v in whole.items() if d != q)
+            want += [(q, rank, d, min(max(-s, -(2**63)), 2**63 - 1)) for rank, (s, d) in enumerate(scored[:5], 1)]
+    assert sorted(map(tuple, got)) == sorted(want)
+
+
+def test_components_beyond_doubles(spark):
+    rows = [(0, [1e300, 1e300], "", ""), (1, [1e300, -1e300], "", ""), (2, [-1e305, 1.0], "", ""), (3, [1.7e308, 0.0], "", ""), (4, [2e300, 0.0], "", "")]
+    frame = spark.createDataFrame(rows, SCHEMA.replace("float", "double"))
+    # 256 * 1.7e308 is not finite.
+    assert [tuple(r) for r in top_k(frame, F.col("vec_id") == 0).orderBy("rank").collect()] == [
+        (0, 1, 4, 2**63 - 1), (0, 2, 1, 0), (0, 3, 2, -(2**63)),
+    ]
+
+
 def test_blocks_are_left_out():
     rng = np.random.default_rng(1)
     centres = rng.normal(0, 300, (20, 16))

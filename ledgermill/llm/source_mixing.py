@@ -73,19 +73,25 @@ def _offset_of_source() -> Column:
 
 
 def copies(
-    docs: DataFrame, weights: Sequence[int] = WEIGHTS, share: float = SHARE, most: float = MOST
+    docs: DataFrame, kept: Sequence[str], weights: Sequence[int] = WEIGHTS, share: float = SHARE, most: float = MOST
 ) -> DataFrame:
-    """``docs`` with _size, _source_size, _target (its source's) and _copies, how often the mix has the row."""
-    rows = docs.withColumns(
-        {
-            "_size": n_words_of(),
-            "_source": F.coalesce(F.col("source"), F.lit("")),
-            "_no_source": F.col("source").isNull().cast("int"),
-            # Made before the shuffle, so that a text that is not wanted itself does not move.
-            "_tie": F.xxhash64("text"),
-            "_group": F.substring(F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), 1, GROUP_DIGITS),
-        }
-    ).withColumn("_class", F.length(F.bin("_size")))
+    """_doc (columns ``kept`` of ``docs``), _size, _source_size, _target (its source's) and _copies, how often the mix
+    has the row."""
+    # The caller's columns go into one, so that none can be taken for a helper.
+    rows = docs.select(
+        F.struct(*(F.col(f"`{name}`") for name in kept)).alias("_doc"),
+        F.col("doc_id").alias("_id"),
+        n_words_of().alias("_size"),
+        F.coalesce(F.col("source"), F.lit("")).alias("_source"),
+        F.col("source").isNull().cast("int").alias("_no_source"),
+        # Made before the shuffle, so that a text that is not wanted itself does not move.
+        F.xxhash64("text").alias("_tie"),
+    )
+    # Rows without doc_id are dealt out by their texts.
+    dealt = F.coalesce(F.col("_id").cast("string"), F.concat(F.lit("text:"), F.col("_tie").cast("string")))
+    rows = rows.withColumns(
+        {"_group": F.substring(F.md5(dealt), 1, GROUP_DIGITS), "_class": F.length(F.bin("_size"))}
+    )
     group = [*_SOURCE, "_class", "_group"]
     # The narrow counts; documents themselves move once, to their group.
     counts = stored(
@@ -107,15 +113,15 @@ def copies(
             _offset_of_source().alias("_offset"),
         )
     )
-    within = Window.partitionBy(*group).orderBy("_size", "doc_id", "_tie")
+    within = Window.partitionBy(*group).orderBy("_size", "_id", "_tie")
     rank = F.col("_before") + F.row_number().over(within) - 1
 
     def up_to(n: Column) -> Column:
         return F.floor(n * F.col("_rate") + F.col("_offset"))
 
     placed = rows.join(offsets, group).withColumn("_rank", rank)
-    return placed.withColumn("_copies", up_to(F.col("_rank") + 1) - up_to(F.col("_rank"))).drop(
-        *group, "_before", "_rate", "_offset", "_rank", "_tie"
+    return placed.withColumn("_copies", up_to(F.col("_rank") + 1) - up_to(F.col("_rank"))).select(
+        "_doc", "_size", "_source_size", "_target", "_copies"
     )
 
 
@@ -128,9 +134,9 @@ def mix_report(docs: DataFrame, **targets) -> DataFrame:
     without words has target 0. Repeated rows count and are drawn each on their own; null doc_ids stay
     null; an empty table gives no rows. Other columns are not looked at.
     """
-    drawn = copies(docs.select("doc_id", "text", "source"), **targets)
+    drawn = copies(docs, ["doc_id"], **targets)
     return drawn.select(
-        "doc_id",
+        "_doc.doc_id",
         F.col("_size").alias("size"),
         F.col("_source_size").alias("source_size"),
         F.col("_target").alias("target"),
@@ -142,10 +148,10 @@ def mix(docs: DataFrame, **targets) -> DataFrame:
     """The mix itself: each row of ``docs`` as often as it is drawn, with the columns of ``docs``.
 
     Null and empty texts have size 0 and come at most as often as the others; a null source is a source of its own;
-    repeated rows are drawn each; an empty table stays empty; texts of any length count whole. Columns named like the
-    helpers here (``_size``, ``_source``, ``_rank``) are not allowed for.
+    repeated rows are drawn each; an empty table stays empty; texts of any length count whole. All columns are kept as they
+    are, whatever their names.
     """
-    drawn = copies(docs, **targets)
+    drawn = copies(docs, docs.columns, **targets)
     # At most ``most`` copies, rounded up: a handful.
     each = F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))
-    return drawn.filter("_copies > 0").withColumn("_copy", each).select(*docs.columns)
+    return drawn.filter("_copies > 0").withColumn("_copy", each).select("_doc.*")

@@ -29,3 +29,13 @@ def test_mix_repeats_rows_and_keeps_columns(docs):
 def test_empty_table(docs):
     assert mix_report(docs()).count() == 0
     assert mix(docs()).count() == 0
+
+
+def test_columns_named_like_helpers_are_kept(docs):
+    names = ("_doc", "_id", "_size", "_source", "_no_source", "_tie", "_group", "_class", "_rank", "_copies", "_rate", "_target")
+    frame = docs((1, "a b", "s"), (2, "c", "s"), (3, "d e f", "t"), (None, "g", None), (None, "h", None))
+    clashing = frame.selectExpr("*", *(f"concat(text, '{name}') AS {name}" for name in names))
+    mixed = mix(clashing)
+    assert mixed.columns == clashing.columns
+    assert sorted(map(tuple, mixed.select(*frame.columns).collect()), key=str) == sorted(map(tuple, mix(frame).collect()), key=str)
+    assert all(row[name] == row.text + name for row in mixed.collect() for name in names)

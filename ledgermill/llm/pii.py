@@ -3,20 +3,23 @@
 Base rules find emails, IP addresses, card numbers and phone numbers by pattern and check. Beside them,
 generators with loose patterns propose candidates, which may overlap: written-out emails, numbers with
 other separators or without a plus, secrets. Gradient-boosted trees score candidates by their format
-and what stands before them. They learn from seeds: candidates that a base rule confirms, or that
-follow a word such as "password", are true; candidates that fail a check which true ones pass, such as
-card numbers with a wrong check digit, are false. A threshold per kind is calibrated on the seeds of all
-documents, so that nearly all accepted ones are true; where that can't be reached, none is added.
+and what stands before them. They learn from seeds. True ones are candidates that the base rule of their own kind
+confirms, values that a word such as "password" names, and addresses of eight groups. False ones are what a base rule
+confirms as another kind, what fails a check that true ones pass (check digits, parts above 255, lengths, domain
+endings), placeholders, numbers and capitals without a key word, hashes and ids of code, clock times. A threshold per
+kind is calibrated on the seeds of texts that the trees were not fitted on, so that nearly all accepted ones are true;
+a kind with few seeds leans on those of all kinds. Where that can't be reached, none is added.
 
 Everything is built from column expressions. The trees become one too, so scoring needs no shuffle: a
-document's candidates stay an array in its row.
+document's candidates stay an array in its row. Sums along an array are made chunk by chunk (``running``), and spans
+meet as one sorted array, so the work of a text grows little faster than its matches.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 from functools import reduce
-from operator import and_, or_
+from operator import add, and_, or_
 
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
@@ -62,34 +65,90 @@ _GENERATOR_HOLDS = (
 )
 _KEY_WORDS = r"(?i)(?:pass|pwd|token|secret|key|tel|phone|call|mail|card|visa|host|server|ip)[a-z_]*[\"']?[\s:=]*$"
 _ANCHORED = r"(?i)^(?:pass|pwd|token|secret|api)"
+# What shows that a candidate is none: words in place of a secret, names of hashes, dates, clock times.
+_PLACEHOLDER = r"(?i)[=:] ?[\"']?(?:[x*.#_-]+|(?:your|my|example|change|redacted|hidden|none|null|true|false|undefined|<)[^\s]*)$"
+_CODE = r"(?i)(?:commit|sha[0-9-]*|md5|hash|checksum|digest|uuid|guid|revision|build|isbn|id)[\"']?[\s:=#]*$"
+_DATE = r"^(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}[.-][0-9]{2}[.-][0-9]{4})"
+_CLOCK = r"^[0-9]{2}(?::[0-9]{2}){2,3}$"
 # Trees: at most so many candidates to learn from, of every kind, chosen by hash of their documents.
 SAMPLE_CANDIDATES = 20_000
 ROUNDS, DEPTH = 8, 3
-PRECISION, LEAST_SEEDS = 0.99, 20
+# Calibration: the share of true ones among those accepted, and how many seeds of its own kind weigh as much as all kinds'.
+PRECISION, POOLED = 0.99, 20
+# Texts whose hash leaves this part are kept from the fit, to calibrate on.
+FOLDS = 3
+# Length of the chunks in which arrays are summed up.
+CHUNK = 256
 
 _SPAN = "struct<start:int,end:int,value:string,before:string>"
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is made once, however often ``body`` names it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def running(values: Column, combine: Callable[[Column, Column], Column]) -> Column:
+    """For every place of an array of int what ``combine`` makes of 0 and all values before it.
+
+    Chunks are combined first, so an array of n values costs n * CHUNK + (n / CHUNK)^2 steps, not n^2.
+    """
+    zero = F.lit(0)
+
+    def appended(state: Column, value: Column) -> Column:
+        return F.concat(state, F.array(combine(F.element_at(state, -1), value)))
+
+    def of(values: Column) -> Column:
+        n_chunks = F.ceil(F.size(values) / F.lit(CHUNK)).cast("int")
+        numbers = F.filter(F.sequence(F.lit(0), n_chunks), lambda c: c < n_chunks)
+        chunks = F.transform(numbers, lambda c: F.slice(values, c * CHUNK + 1, CHUNK))
+
+        def within(chunks: Column) -> Column:
+            totals = F.transform(chunks, lambda chunk: F.aggregate(chunk, zero, combine))
+
+            def made(befores: Column) -> Column:
+                return F.flatten(
+                    F.transform(
+                        chunks,
+                        lambda chunk, c: let(
+                            F.aggregate(chunk, F.array(F.get(befores, c)), appended),
+                            lambda sums: F.slice(sums, F.lit(1), F.size(sums) - 1),
+                        ),
+                    )
+                )
+
+            return let(F.aggregate(totals, F.array(zero), appended), made)
+
+        return let(chunks, within)
+
+    return let(values, of)
+
+
 def located(text: Column, pattern: str) -> Column:
     """The matches of a pattern from left to right, as array of (start, end, value, before) in code points.
 
     Each match is set between marks, the text cut at the marks and the lengths of the pieces added up.
     """
     mark = "\x01"
-    pieces = F.split(F.regexp_replace(F.translate(text, mark, "\x02"), pattern, f"{mark}$0{mark}"), mark, -1)
-    start = F.expr(f"struct(0 AS at, false AS inside, '' AS before, CAST(array() AS array<{_SPAN}>) AS found)")
-
-    def step(state: Column, piece: Column) -> Column:
-        end = state["at"] + F.length(piece)
-        own = F.struct(state["at"].alias("start"), end.alias("end"), piece.alias("value"), state["before"].alias("before"))
-        return F.struct(
-            end.alias("at"),
-            (~state["inside"]).alias("inside"),
-            F.when(state["inside"], F.lit("")).otherwise(F.right(piece, F.lit(24))).alias("before"),
-            F.when(state["inside"], F.concat(state["found"], F.array(own))).otherwise(state["found"]).alias("found"),
-        )
+    cut = F.split(F.regexp_replace(F.translate(text, mark, "\x02"), pattern, f"{mark}$0{mark}"), mark, -1)
 
-    return F.aggregate(pieces, start, step, lambda state: state["found"])
+    def of(pieces: Column) -> Column:
+        def placed(starts: Column) -> Column:
+            # Every second piece is a match.
+            numbers = F.filter(F.sequence(F.lit(0), F.size(pieces)), lambda n: (n % 2 == 1) & (n < F.size(pieces)))
+            return F.transform(
+                numbers,
+                lambda n: F.struct(
+                    F.get(starts, n).alias("start"),
+                    (F.get(starts, n) + F.length(F.get(pieces, n))).alias("end"),
+                    F.get(pieces, n).alias("value"),
+                    F.right(F.get(pieces, n - 1), F.lit(24)).alias("before"),
+                ),
+            )
+
+        return let(running(F.transform(pieces, F.length), add), placed)
+
+    return let(cut, of)
 
 
 def _digits(value: Column) -> Column:
@@ -135,17 +194,79 @@ def _worth(text: Column, holds: tuple[str, ...]) -> Column:
     return reduce(and_, (text.rlike(pattern) for pattern in holds))
 
 
-def candidates(text: Column) -> Column:
-    """What the generators propose: array of (kind, start, end, value, before), without repeats."""
+def _named(kind: str) -> Callable[[Column], Column]:
+    """A span as (kind, start, end, value, before)."""
+    return lambda m: F.struct(F.lit(kind).alias("kind"), *(m[c].alias(c) for c in ("start", "end", "value", "before")))
 
-    def named(kind: str) -> Callable[[Column], Column]:
-        return lambda m: F.struct(F.lit(kind).alias("kind"), *(m[c].alias(c) for c in ("start", "end", "value", "before")))
 
+def candidates(text: Column) -> Column:
+    """What the generators propose: array of (kind, start, end, value, before), in order and without repeats."""
     found = [
-        F.transform(F.when(_worth(text, holds), located(text, pattern)).otherwise(_none()), named(kind))
+        F.transform(F.when(_worth(text, holds), located(text, pattern)).otherwise(_none()), _named(kind))
         for (kind, pattern), holds in zip(GENERATORS, _GENERATOR_HOLDS, strict=True)
     ]
-    return F.array_distinct(F.concat(*found))
+
+    def new(spans: Column) -> Column:
+        def first(span: Column, n: Column) -> Column:
+            before = F.get(spans, n - 1)
+            return (n == 0) | (span["kind"] != before["kind"]) | (span["start"] != before["start"]) | (span["end"] != before["end"])
+
+        return F.filter(spans, first)
+
+    return let(F.array_sort(F.concat(*found)), new)
+
+
+def touched(spans: Column, others: Column) -> Column:
+    """``spans`` as (meets, span): whether a span has a place in common with any of ``others``; in any order.
+
+    Both go into one array: spans by their end, others by their start and after them. A span meets one of the
+    others if one that starts before the span's end reaches beyond the span's start.
+    """
+    asked = F.transform(spans, lambda s: F.struct(s["end"].alias("at"), F.lit(0).alias("reach"), s.alias("span")))
+    nothing = F.when(F.lit(False), F.get(spans, F.lit(0)))
+    given = F.transform(others, lambda o: F.struct(o["start"].alias("at"), o["end"].alias("reach"), nothing.alias("span")))
+
+    def of(events: Column) -> Column:
+        def judged(reached: Column) -> Column:
+            marked = F.transform(
+                events, lambda e, n: F.struct((F.get(reached, n) > e["span"]["start"]).alias("meets"), e["span"].alias("span"))
+            )
+            return F.filter(marked, lambda m: m["span"].isNotNull())
+
+        return let(running(F.transform(events, lambda e: e["reach"]), lambda a, b: F.greatest(a, b)), judged)
+
+    return let(F.array_sort(F.concat(asked, given)), of)
+
+
+def seeds(text: Column) -> Column:
+    """Candidates that are surely true or false, as array of (label, span)."""
+    base = F.concat(*(F.transform(base_spans(text, kind), _named(kind)) for kind in BASE_KINDS))
+
+    def of(base: Column) -> Column:
+        # Base spans and candidates in one order: a candidate that a base rule of its kind confirms stands right after it.
+        def ranked(proposed: int) -> Callable[[Column], Column]:
+            names = ("kind", "start", "end", None, "value", "before")
+            return lambda m: F.struct(*(m[c].alias(c) if c else F.lit(proposed).alias("proposed") for c in names))
+
+        both = F.concat(F.transform(base, ranked(0)), F.transform(candidates(text), ranked(1)))
+
+        def compared(ordered: Column) -> Column:
+            def confirmed(e: Column, n: Column) -> Column:
+                before = F.get(ordered, n - 1)
+                same = reduce(and_, (before[c] == e[c] for c in ("kind", "start", "end")))
+                return (n > 0) & (before["proposed"] == 0) & same
+
+            names = ("kind", "start", "end", "value", "before", "proposed")
+            marked = F.transform(
+                ordered, lambda e, n: F.struct(*(e[c].alias(c) for c in names), confirmed(e, n).alias("confirmed"))
+            )
+            return F.filter(marked, lambda m: m["proposed"] == 1)
+
+        met = touched(let(F.array_sort(both), compared), base)
+        labelled = F.transform(met, lambda m: F.struct(_seed(m["span"], m["meets"]).alias("label"), m["span"].alias("c")))
+        return F.filter(labelled, lambda m: m["label"].isNotNull())
+
+    return let(base, of)
 
 
 def features(c: Column) -> dict[str, Column]:
@@ -172,23 +293,25 @@ def features(c: Column) -> dict[str, Column]:
     }
 
 
-def _seed(c: Column, base: Column) -> Column:
-    """1.0 for a candidate that is surely true, 0.0 for one surely false, null for the others."""
-    confirmed = F.exists(base, lambda b: (b["start"] == c["start"]) & (b["end"] == c["end"]))
-    digits = _digits(c["value"])
+def _seed(c: Column, meets: Column) -> Column:
+    """1.0 for a candidate that is surely true, 0.0 for one surely false, null for the others.
+
+    ``meets`` says whether a base span shares a place with it; unless that one confirms it, the candidate is false:
+    what stands there is known to be something else.
+    """
+    value, digits = c["value"], _digits(c["value"])
     n = F.length(digits)
+    named = value.rlike(_ANCHORED)
+    address = F.regexp_count(value, F.lit(":"))
     wrong = (
-        F.when(c["kind"] == "card", n.between(16, 19) & ~_passes("card", c["value"]))
-        .when(c["kind"] == "ip", ~c["value"].contains(":") & ~_passes("ip", c["value"]))
-        .when(c["kind"] == "phone", ~n.between(8, 15))
-        .otherwise(False)
+        F.when(c["kind"] == "card", n.between(16, 19) & ~_passes("card", value))
+        .when(c["kind"] == "ip", F.when(value.contains(":"), value.rlike(_CLOCK)).otherwise(~_passes("ip", value)))
+        .when(c["kind"] == "phone", ~n.between(8, 15) | value.rlike(_DATE))
+        .when(c["kind"] == "email", ~value.rlike("[A-Za-z]{2,}$"))
+        .otherwise(F.when(named, value.rlike(_PLACEHOLDER)).otherwise(value.rlike("^[0-9]+$|^[A-Z]+$") | c["before"].rlike(_CODE)))
     )
-    keyed = (c["kind"] == "secret") & c["value"].rlike(_ANCHORED)
-    return F.when(confirmed | keyed, 1.0).when(wrong, 0.0)
-
-
-def _all_base(text: Column) -> Column:
-    return F.concat(*(base_spans(text, kind) for kind in BASE_KINDS))
+    right = ((c["kind"] == "secret") & named) | ((c["kind"] == "ip") & (address == 7))
+    return F.when(c["confirmed"], 1.0).when(wrong | meets, 0.0).when(right, 1.0)
 
 
 def _node(node, names: list[str]) -> Callable[[Mapping[str, Column]], Column]:
@@ -210,24 +333,39 @@ def _shares(counts: Mapping[str, int]) -> dict[str, float]:
     return shares
 
 
+def _thresholds(bins: Mapping[tuple[str, int], tuple[float, int]]) -> dict[str, float]:
+    """Per kind the lowest score from which on nearly all are true, from (true, all) by kind and score in hundredths.
+
+    The share of true ones of all kinds counts as ``POOLED`` more seeds of a kind, so a kind without seeds has the
+    threshold of all kinds, and one with many its own.
+    """
+    own, pooled, thresholds = {kind: (0.0, 0) for kind in KINDS}, (0.0, 0), {}
+    for at in sorted({at for _, at in bins}, reverse=True):
+        for kind in KINDS:
+            true, n = bins.get((kind, at), (0.0, 0))
+            own[kind] = (own[kind][0] + true, own[kind][1] + n)
+            pooled = (pooled[0] + true, pooled[1] + n)
+        for kind, (true, n) in own.items():
+            if true + POOLED * pooled[0] / pooled[1] >= PRECISION * (n + POOLED):
+                thresholds[kind] = at / 100
+    return thresholds
+
+
 def fit_candidates(docs: DataFrame) -> Callable[[Column], Column] | None:
     """A predicate on candidates that says which to accept, learnt from ``docs``; None if nothing can be learnt."""
-    own = docs.select(text_of().alias("text"), F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)).alias("_hash"))
+    # Copies of a text fall in one part, whatever their doc_id, so none is fitted on and calibrated on.
+    own = docs.select(text_of().alias("text")).withColumn("_hash", F.pmod(F.xxhash64("text"), F.lit(1 << 30)))
     likely = own.filter(reduce(or_, (_worth(F.col("text"), holds) for holds in _GENERATOR_HOLDS)))
-    exploded = likely.select(
-        "text", "_hash", _all_base(F.col("text")).alias("base"), F.explode(candidates(F.col("text"))).alias("c")
-    )
-    numbers = {f"f_{name}": value for name, value in features(F.col("c")).items()}
-    labelled = exploded.select(
-        _seed(F.col("c"), F.col("base")).alias("label"), "_hash", "c.kind", *(v.alias(n) for n, v in numbers.items())
-    ).filter("label IS NOT NULL")
-    seeds = stored(labelled, "candidate-seeds")
-    shares = _shares({r.kind: r.n for r in seeds.groupBy("kind").agg(F.count("*").alias("n")).collect()})
+    labelled = likely.select("_hash", F.explode(seeds(F.col("text"))).alias("s"))
+    numbers = {f"f_{name}": value for name, value in features(F.col("s.c")).items()}
+    found = stored(labelled.select("s.label", "_hash", "s.c.kind", *(v.alias(n) for n, v in numbers.items())), "candidate-seeds")
+    learnt = found.filter(F.col("_hash") % FOLDS != 0)
+    shares = _shares({r.kind: r.n for r in learnt.groupBy("kind").agg(F.count("*").alias("n")).collect()})
     least = F.lit(0)
     for kind, share in shares.items():
         least = F.when(F.col("kind") == kind, int(share * (1 << 30))).otherwise(least)
     # Ordered, so that every run learns from the same candidates, in the same order.
-    chosen = seeds.filter((F.col("_hash") % 3 != 0) & (F.pmod(F.xxhash64("_hash", "kind"), F.lit(1 << 30)) < least))
+    chosen = learnt.filter(F.pmod(F.xxhash64("_hash", "kind"), F.lit(1 << 30)) < least)
     fitting = stored(
         chosen.orderBy("_hash", "kind", "label", *numbers).limit(SAMPLE_CANDIDATES).coalesce(1), "fitting-seeds"
     )
@@ -243,16 +381,11 @@ def fit_candidates(docs: DataFrame) -> Callable[[Column], Column] | None:
         margin = sum((F.lit(w) * node(x) for w, node in zip(model.treeWeights, nodes, strict=True)), F.lit(0.0))
         return 1 / (1 + F.exp(-2 * margin))
 
-    # Calibration: per kind the lowest score, in hundredths, from which on nearly all seeds of all documents are true.
-    scored = seeds.select("kind", "label", F.floor(score({n: F.col(f"f_{n}") for n in names}) * 100).alias("bin"))
+    # Per kind the numbers of seeds by score in hundredths, of texts not fitted on.
+    held = found.filter(F.col("_hash") % FOLDS == 0)
+    scored = held.select("kind", "label", F.floor(score({n: F.col(f"f_{n}") for n in names}) * 100).alias("bin"))
     bins = scored.groupBy("kind", "bin").agg(F.sum("label").alias("true"), F.count("*").alias("n")).collect()
-    thresholds = {}
-    for kind in KINDS:
-        true = n = 0
-        for row in sorted((r for r in bins if r.kind == kind), key=lambda r: -r.bin):
-            true, n = true + row.true, n + row.n
-            if n >= LEAST_SEEDS and true >= PRECISION * n:
-                thresholds[kind] = row.bin / 100
+    thresholds = _thresholds({(r.kind, r.bin): (r.true, r.n) for r in bins})
     if not thresholds:
         return None
 
@@ -265,42 +398,39 @@ def fit_candidates(docs: DataFrame) -> Callable[[Column], Column] | None:
     return accepted
 
 
-def _listed(text: Column, accepted: Callable[[Column], Column] | None) -> tuple[dict[str, Column], Column]:
-    """Base spans by kind, and the added ones: accepted candidates that touch no base span."""
-    base = {kind: base_spans(text, kind) for kind in BASE_KINDS}
-    if accepted is None:
-        return base, F.filter(candidates(text), lambda c: F.lit(False))
-    return base, F.filter(candidates(text), accepted)
-
-
 def _numbered(kind: int, spans: Column) -> Column:
     return F.transform(spans, lambda s: F.struct(F.lit(kind).alias("kind"), s["start"].alias("start"), s["end"].alias("end")))
 
 
 def personal_data(docs: DataFrame, kept: list[str] | None = None) -> DataFrame:
-    """Columns ``kept`` of ``docs`` and _base and _spans, arrays of (kind, start, end) in listed order.
+    """_doc (columns ``kept`` of ``docs``, doc_id by default), _whole (the text), and _base and _spans, arrays of
+    (kind, start, end) in listed order.
 
-    kind is the place in ``KINDS``; _spans holds _base and the spans that the trees add.
+    kind is the place in ``KINDS``; _spans holds _base and the spans that the trees add, which touch no base span.
     """
     accepted = fit_candidates(docs)
     kept = ["doc_id"] if kept is None else kept
-    rows = docs.select(*kept, text_of().alias("_whole"))
-    base, added = _listed(F.col("_whole"), accepted)
-    found = rows.select(*kept, "_whole", *(_numbered(n, base[k]).alias(f"_{k}") for n, k in enumerate(BASE_KINDS)), added.alias("_added"))
-    joined = found.withColumn("_base", F.concat(*(F.array_sort(f"_{k}") for k in BASE_KINDS)))
-
-    def free(c: Column) -> Column:
-        return ~F.exists("_base", lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"]))
-
-    more = F.transform(
-        F.filter("_added", free),
-        lambda c: F.struct(
-            (F.array_position(F.array(*map(F.lit, KINDS)), c["kind"]) - 1).cast("int").alias("kind"),
-            c["start"].alias("start"),
-            c["end"].alias("end"),
-        ),
-    )
-    return joined.select(*kept, "_whole", "_base", F.array_sort(F.array_union("_base", more)).alias("_spans"))
+    # The caller's columns go into one, so that none can be taken for a helper.
+    rows = docs.select(F.struct(*(F.col(f"`{name}`") for name in kept)).alias("_doc"), text_of().alias("_whole"))
+    text = F.col("_whole")
+    base = F.concat(*(_numbered(n, base_spans(text, kind)) for n, kind in enumerate(BASE_KINDS)))
+
+    def listed(base: Column) -> Column:
+        if accepted is None:
+            return F.struct(base.alias("base"), base.alias("spans"))
+        free = F.filter(touched(F.filter(candidates(text), accepted), base), lambda m: ~m["meets"])
+        more = F.transform(
+            free,
+            lambda m: F.struct(
+                (F.array_position(F.array(*map(F.lit, KINDS)), m["span"]["kind"]) - 1).cast("int").alias("kind"),
+                m["span"]["start"].alias("start"),
+                m["span"]["end"].alias("end"),
+            ),
+        )
+        return F.struct(base.alias("base"), F.array_sort(F.concat(base, more)).alias("spans"))
+
+    found = rows.select("_doc", "_whole", let(F.array_sort(base), listed).alias("_found"))
+    return found.select("_doc", "_whole", F.col("_found.base").alias("_base"), F.col("_found.spans").alias("_spans"))
 
 
 def _written(spans: Column) -> Column:
@@ -320,8 +450,8 @@ def personal_data_report(docs: DataFrame) -> DataFrame:
     Counts and base_sha256 are of the base rules, spans lists all spans as kind:start:end, in code points,
     end exclusive.
 
-    Null texts are empty and have no spans. Null doc_ids stay null; repeated rows are read each; an empty
-    table gives no rows; without seeds of both kinds the trees add nothing. Other columns are not looked at.
+    Null texts are empty and have no spans; texts of any length are read whole. Null doc_ids stay null; repeated
+    rows are read each; an empty table gives no rows; without seeds of both kinds the trees add nothing. Other columns are not looked at.
     """
     found = personal_data(docs)
     counts = [
@@ -329,27 +459,49 @@ def personal_data_report(docs: DataFrame) -> DataFrame:
         for n, kind in enumerate(BASE_KINDS)
     ]
     return found.select(
-        "doc_id", *counts, F.sha2(_written(F.col("_base")), 256).alias("base_sha256"), _written(F.col("_spans")).alias("spans")
+        "_doc.doc_id", *counts, F.sha2(_written(F.col("_base")), 256).alias("base_sha256"), _written(F.col("_spans")).alias("spans")
     )
 
 
 def redact(docs: DataFrame) -> DataFrame:
-    """``docs`` with every span of its texts replaced by its kind in brackets; other texts are left as they are."""
+    """``docs`` with every span of its texts replaced by its kind in brackets; other texts are left as they are.
+
+    Spans that overlap are replaced from the first start to the last end, with a mark for each that reaches beyond those
+    before it. Null and empty texts stay, texts of any length are read whole, repeated rows are treated alike, an
+    empty table stays empty. All columns are kept as they are, whatever their names.
+    """
     found = personal_data(docs, docs.columns)
     by_place = F.array_sort(
         F.transform("_spans", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind")))
     )
-    names = F.array(*(F.lit(f"[{kind.upper()}]") for kind in KINDS))
+    marks = F.array(*(F.lit(f"[{kind.upper()}]") for kind in KINDS))
+    whole = F.col("_whole")
+
+    def of(spans: Column) -> Column:
+        def cut(reached: Column) -> Column:
+            def chunk(first: Column) -> Column:
+                # A chunk's spans are cut from its own part of the text, which begins where those before it have reached.
+                since, last = F.get(reached, first), F.least(first + CHUNK, F.size(spans)) - 1
+                until = F.greatest(F.get(reached, last), F.get(spans, last)["end"])
+
+                def replaced(part: Column) -> Column:
+                    def one(s: Column, n: Column) -> Column:
+                        before = F.get(reached, first + n)
+                        own = F.when(s["end"] > before, F.get(marks, s["kind"])).otherwise("")
+                        between = F.substring(part, before - since + 1, F.greatest(s["start"] - before, F.lit(0)))
+                        return F.concat(between, own)
+
+                    return F.array_join(F.transform(F.slice(spans, first + 1, CHUNK), one), "")
+
+                return let(F.substring(whole, since + 1, until - since), replaced)
 
-    def step(state: Column, s: Column) -> Column:
-        between = F.substring("_whole", state["at"] + 1, F.greatest(s["start"] - state["at"], F.lit(0)))
-        # A span that lies within what has been replaced leaves no mark of its own.
-        mark = F.when(s["end"] > state["at"], F.get(names, s["kind"])).otherwise("")
-        return F.struct(F.greatest(state["at"], s["end"]).alias("at"), F.concat(state["text"], between, mark).alias("text"))
+            firsts = F.filter(F.sequence(F.lit(0), F.size(spans), F.lit(CHUNK)), lambda first: first < F.size(spans))
+            end = F.greatest(F.element_at(reached, -1), F.element_at(spans, -1)["end"])
+            return F.concat(F.array_join(F.transform(firsts, chunk), ""), F.substring(whole, end + 1, F.length(whole)))
 
-    def rest(state: Column) -> Column:
-        return F.concat(state["text"], F.substring("_whole", state["at"] + 1, F.length("_whole")))
+        ends = F.transform(spans, lambda s: s["end"])
+        return let(running(ends, lambda a, b: F.greatest(a, b)), cut)
 
-    done = F.aggregate(by_place, F.expr("struct(0 AS at, '' AS text)"), step, rest)
-    text = F.when(F.size("_spans") > 0, done).otherwise(F.col("text"))
-    return found.withColumn("text", text).select(*docs.columns)
+    done = F.when(F.size("_spans") > 0, let(by_place, of)).otherwise(F.col("_doc.text"))
+    named = [done.alias(name) if name == "text" else F.col(f"_doc.`{name}`") for name in docs.columns]
+    return found.select(*named)

@@ -120,3 +120,67 @@ def test_a_seldom_kind_has_its_threshold(docs):
 
 def test_every_kind_is_learnt_from():
     assert pii._shares({"secret": 50, "card": 1_000_000, "phone": 10_000}) == {"secret": 1.0, "phone": 0.9975, "card": 0.009975}
+
+
+def test_seeds_are_confirmed_by_their_own_kind(docs):
+    texts = [
+        "host 192.168.100.200 up", "pay 4804024845641364 now", "pay 4804024845641365 now", "password=hunter22x", "password: xxxxxxxx",
+        "commit 0641917ea4e9feb9cda8", "at 12:30:45:10", "fe80:1:2:3:4:5:6:7", "on 2024-05-06 we", "mail a.b@c.de or x @ y.5", "+1 (215) 555-8778",
+    ]
+    rows = docs(*enumerate(texts)).select("text", F.explode(pii.seeds(F.col("text"))).alias("s")).collect()
+    got = {(r.s.c.kind, r.s.c.value, r.s.label) for r in rows}
+    assert got == {
+        ("ip", "192.168.100.200", 1.0), ("phone", "192.168.100.200", 0.0),
+        ("card", "4804024845641364", 1.0), ("phone", "4804024845641364", 0.0), ("secret", "4804024845641364", 0.0),
+        ("card", "4804024845641365", 0.0), ("phone", "4804024845641365", 0.0), ("secret", "4804024845641365", 0.0),
+        ("secret", "password=hunter22x", 1.0), ("secret", "password: xxxxxxxx", 0.0), ("secret", "0641917ea4e9feb9cda8", 0.0),
+        ("ip", "12:30:45:10", 0.0), ("ip", "fe80:1:2:3:4:5:6:7", 1.0), ("phone", "2024-05-06", 0.0),
+        ("email", "a.b@c.de", 1.0), ("email", "x @ y.5", 0.0), ("phone", "+1 (215) 555-8778", 1.0),
+    }
+
+
+def test_sums_and_meetings_equal_plain_python(spark):
+    rng = random.Random(8)
+    span = "array<struct<kind:string,start:int,end:int>>"
+    rows = []
+    for n in (0, 1, 2, 255, 256, 257, 600, 1_500):
+        made = [[("k", a, a + rng.randint(1, 6)) for a in (rng.randint(0, 9 * n) for _ in range(n))] for _ in range(2)]
+        rows.append((n, [rng.randint(0, 9) for _ in range(n)], *made))
+    frame = spark.createDataFrame(rows, f"n int, v array<int>, spans {span}, others {span}")
+    got = frame.select(
+        "n", pii.running(F.col("v"), lambda a, b: a + b).alias("sums"), pii.touched(F.col("spans"), F.col("others")).alias("met")
+    )
+    by_n = {r.n: r for r in got.collect()}
+    for n, v, spans, others in rows:
+        assert by_n[n].sums == [sum(v[:i]) for i in range(n)]
+        want = [(any(a < d and c < b for _, c, d in others), k, a, b) for k, a, b in spans]
+        assert sorted((m.meets, *m.span) for m in by_n[n].met) == sorted(want)
+
+
+def test_thresholds_need_no_least_number_of_seeds():
+    many = {("phone", 90): (500.0, 500), ("phone", 10): (0.0, 500)}
+    assert pii._thresholds(many) == {kind: 0.9 for kind in pii.KINDS}
+    assert pii._thresholds({**many, ("card", 95): (400.0, 400), ("card", 90): (0.0, 300)})["card"] == 0.95
+    assert pii._thresholds({}) == {}
+
+
+def test_very_many_matches_in_one_text(docs):
+    # Some 20,000 addresses and keys; the work must not grow with their square.
+    text = " ".join(f"a{n}@b.cd 10.0.{n % 256}.1 password=pw{n:06d}z" for n in range(10_000))
+    rows = docs((1, text), (2, "é a@b.cd"), *((n, f"password=hunt{n:05d} or 999.1.1.{n}") for n in range(3, 300)))
+    got = {r.doc_id: r for r in pii.personal_data_report(rows).collect()}
+    assert (got[1].n_email, got[1].n_ip) == (10_000, 10_000)
+    assert got[1].spans.count("secret:") == 10_000
+    clean = {r.doc_id: r.text for r in pii.redact(rows).collect()}
+    assert clean[1] == " ".join(["[EMAIL] [IP] [SECRET]"] * 10_000)
+    assert clean[2] == "é [EMAIL]"
+
+
+def test_columns_named_like_helpers_are_kept(docs):
+    names = ("_doc", "_whole", "_base", "_spans", "_found", "_hash", "s")
+    frame = docs((1, "mail a@b.cd"), (2, None), (3, "")).selectExpr("*", *(f"concat('{name}', doc_id) AS {name}" for name in names))
+    out = pii.redact(frame)
+    assert out.columns == frame.columns
+    rows = {r.doc_id: r for r in out.collect()}
+    assert {n: r.text for n, r in rows.items()} == {1: "mail [EMAIL]", 2: None, 3: ""}
+    assert all(r[name] == f"{name}{r.doc_id}" for r in rows.values() for name in names)

@@ -73,3 +73,15 @@ def test_nothing_sold(spark, lines, tmp_path):
     load.reset_layers(layers, 1001, 1002)
     assert kept.sales(layers, 1002).count() == 0
     assert kept.approx_figures(layers, 1002).first().n_documents == 0
+
+
+def test_materials_that_a_sketch_can_not_tell_apart_are_counted(spark, lines, tmp_path, monkeypatch):
+    monkeypatch.setattr(kept, "TRACKED", 8)
+    layers = Layers(spark, str(tmp_path / "out"), 4)
+    many = [(n, 10, "ZF2", 5, {"material": f"M{n % 100:03}"}) for n in range(300)]
+    most = [(1000 + n, 10, "ZF2", 5, {"material": "M007"}) for n in range(2)]
+    load.refresh(layers, lines(*many, *most, (2000, 10, "ZF2", 5, {"material": None})), 1001, None)
+    materials = kept.approx_figures(layers, 1001, 0.5, 2).first().materials
+    assert [tuple(one) for one in materials] == [("M007", 5), ("M000", 3)]
+    found = views.top_k(lines(*many, *most), "material", 2, exact=False, tracked=8)
+    assert [tuple(row) for row in found.collect()] == [("M007", 5), ("M000", 3)]

@@ -94,3 +94,16 @@ def test_export_has_a_header_and_reads_back(spark, inbox, tmp_path):
     again, _ = read_billing_csv(spark, out)
     columns = HEADER.strip().lower().split(",")
     assert sorted(again.select(*columns).collect()) == sorted(good.select(*columns).collect())
+
+
+def test_a_delivery_of_one_type_is_split_into_files_of_one_name(spark, lines, tmp_path, small_partitions):
+    from ledgermill.plans.catalogue import _as_text, _deliver_by_type
+
+    one = lines((1, 10, "ZF2", 5), (1, 20, "ZRE", 2))
+    many = one.crossJoin(spark.range(60_000).withColumn("noise", F.sha2(F.col("id").cast("string"), 256)))
+    text = _as_text(many.withColumn("item_description", F.col("noise")))
+    _deliver_by_type(spark, text, str(tmp_path / "in"))
+    rows, _ = read_billing_csv(spark, f"{tmp_path}/in/*")
+    found = {row.billing_type: row for row in rows.groupBy("billing_type").agg(F.count("*").alias("n"), F.collect_set("source_file").alias("names")).collect()}
+    assert {kind: (row.n, row.names) for kind, row in found.items()} == {"ZF2": (60_000, ["ZF2.csv"]), "ZRE": (60_000, ["ZRE.csv"])}
+    assert len(list((tmp_path / "in").glob("*/ZF2.csv"))) > 1

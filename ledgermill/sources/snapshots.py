@@ -32,7 +32,7 @@ def write_snapshot(frame: DataFrame, path: str, keys: Sequence[str], buckets: in
     spark, columns = frame.sparkSession, frame.columns
     placed = frame.withColumn("bucket", F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
     # Rows of a bucket come together in few files; a very large bucket is split between tasks.
-    placed.hint("rebalance", "bucket").write.partitionBy("bucket").parquet(f"{path}/rows")
+    placed.hint("rebalance", "bucket").write.option("compression", "zstd").partitionBy("bucket").parquet(f"{path}/rows")
     written = spark.read.schema(placed.schema).parquet(f"{path}/rows")
     marks = [F.count("*"), _mark(columns, 1), _mark(columns, 2)]
     digests = written.groupBy("bucket").agg(*(m.alias(name) for m, name in zip(marks, _DIGEST, strict=True)))

@@ -403,3 +403,12 @@ def test_order_is_kept_from_the_first_load_on_or_not_at_all(spark, lines, tmp_pa
     load.refresh(layers, lines((1, 10, "ZF2", 5)), 1001, None)
     with pytest.raises(load.RunFailed, match="from the first load"):
         load.refresh(layers, lines((1, 10, "ZF2", 5)), 1002, 1001, ordered=True)
+
+
+def test_tables_between_steps_go_once_a_version_is_finished(spark, lines, tmp_path):
+    layers = Layers(spark, str(tmp_path / "out"), 4)
+    load.refresh(layers, lines((1, 10, "ZF2", 5)), 1001, None)
+    load.refresh(layers, lines((2, 10, "ZF2", 5)), 1002, 1001)
+    assert {row[2] for row in load.edit(layers, F.col("item") == 10, {"material": F.lit("M1")})} == {"done"}
+    assert not [place for name in ("changes", "images", "came") for place in (tmp_path / "out" / name).glob("v=*")]
+    assert load.layer(layers, "fact_sales", 1003).filter("material = 'M1'").count() == 2

@@ -3,7 +3,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from ledgermill.operators.changes import change_counts, net_changes, snapshot_diff
+from ledgermill.operators.changes import change_counts, net_changes, net_stored_changes, snapshot_diff
 from ledgermill.operators.edits import delete_where, evolve_schema, rename_prefix, update_from, update_where
 from ledgermill.operators.merge import merge_cdc, merge_upsert
 
@@ -145,3 +145,20 @@ def test_update_from_takes_one_partner_and_refuses_two(spark, target):
     twice = source.unionByName(source.filter("k = 1"))
     with pytest.raises(Exception, match="more than one source row"):
         update_from(wider, twice, ["k"], {"w": "w"}).collect()
+
+
+@pytest.mark.parametrize("n_single", [3, 200])
+def test_netting_stored_changes_by_repeated_keys_gives_the_same(spark, n_single):
+    odd = [
+        (1, 1, "old", "INSERT", False, 1),
+        (1, 1, "new", "INSERT", False, 2),
+        (2, 1, "b", "DELETE", False, 1),
+        (2, 1, "B", "INSERT", None, 1),
+        (3, 1, "c", "DELETE", True, 1),
+        (4, 1, None, "INSERT", True, None),
+        (5, 1, "e", None, None, 1),
+        (None, 1, "n", "INSERT", True, 1),
+        (None, 1, "n", "INSERT", False, 1),
+    ]
+    changes = feed(spark, *odd, *((10 + n, n, f"v{n}", "INSERT", False, 1) for n in range(n_single)))
+    assert rows(net_stored_changes(changes, KEYS)) == rows(net_changes(changes, KEYS))

@@ -143,3 +143,11 @@ def test_refreshed_gold_equals_a_full_netting(lines):
     assert sorted(refreshed.collect(), key=str) == sorted(net_out(new).collect(), key=str)
     hit = affected_invoices(feed_of(changes, "INSERT"), new)
     assert {(row.billing_document, row.item) for row in hit.collect()} == {(1, 10), (1, None), (3, 10), (5, 10)}
+
+
+def test_an_empty_table_of_returns_shuffles_no_invoice(spark, lines, tmp_path):
+    silver = clean(lines(*((n, 10, "ZF2", 50) for n in range(50))))
+    silver.limit(0).write.parquet(str(tmp_path / "returns"))
+    netted = net_out(silver, returns=spark.read.schema(silver.schema).parquet(str(tmp_path / "returns")))
+    assert netted.count() == 50
+    assert "SortMergeJoin" not in netted._jdf.queryExecution().executedPlan().toString()

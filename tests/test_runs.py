@@ -412,3 +412,32 @@ def test_tables_between_steps_go_once_a_version_is_finished(spark, lines, tmp_pa
     assert {row[2] for row in load.edit(layers, F.col("item") == 10, {"material": F.lit("M1")})} == {"done"}
     assert not [place for name in ("changes", "images", "came") for place in (tmp_path / "out" / name).glob("v=*")]
     assert load.layer(layers, "fact_sales", 1003).filter("material = 'M1'").count() == 2
+
+
+@pytest.mark.parametrize(("buckets", "n_files"), [(8, 3), (32, 1)])
+def test_tasks_write_into_few_buckets_themselves(spark, lines, tmp_path, buckets, n_files):
+    layers = Layers(spark, str(tmp_path / "out"), buckets)
+    rows = lines(*((n, 10, "ZF2", 50) for n in range(600))).repartition(3)
+    layers.write_buckets(rows, "kept", 1001, layers.every_bucket(), None)
+    found = [len(list(part.glob("*.parquet"))) for part in Path(layers.root, f"kept_in_{buckets}", "v=1001").glob("bucket=*")]
+    assert found == [n_files] * buckets
+    assert layers.read_buckets("kept", 1001, "billing_document bigint").count() == 600
+
+
+def test_a_load_of_new_lines_meets_no_old_line(spark, lines, tmp_path):
+    """Lines that are not there yet are added without a join of whole old lines; the layers are those of one load."""
+    first = [(n, 10, "ZF2", 50, {"assignment": n, "material": f"M{n % 7}"}) for n in range(40)]
+    second = [(1_000 + n, 10, "ZRE", 1 + n, {"assignment": n, "material": f"M{n % 7}"}) for n in range(0, 40, 3)]
+    second += [(None, 10, "ZRE", 1, {"assignment": 5, "material": "M5"}), (3, 10, "ZF2", 99, {"assignment": 3})]
+    seen = []
+    layers = Layers(spark, str(tmp_path / "two"), 8)
+    drop, layers.drop = layers.drop, lambda name, version: seen.append((name, version))
+    load.refresh(layers, lines(*first), 1001, None)
+    load.refresh(layers, lines(*second), 1002, 1001)
+    assert layers.read("found", 1002).count() == 1  # the line that came again
+    for name, version in seen:
+        drop(name, version)
+    once = Layers(spark, str(tmp_path / "one"), 8)
+    load.refresh(once, lines(*first, *second[:-1]), 1001, None)
+    for name in ("silver", "gold", "fact_sales", "dim_product"):
+        assert table(layers, name, 1002) == table(once, name, 1001), name

@@ -441,3 +441,24 @@ def test_a_load_of_new_lines_meets_no_old_line(spark, lines, tmp_path):
     load.refresh(once, lines(*first, *second[:-1]), 1001, None)
     for name in ("silver", "gold", "fact_sales", "dim_product"):
         assert table(layers, name, 1002) == table(once, name, 1001), name
+
+
+def test_new_lines_are_written_beside_those_there(spark, lines, tmp_path, monkeypatch):
+    """A load of new documents writes its own rows only; the layers, also once edited, are those of one load."""
+    loads = []
+    for n, at in enumerate((range(400), range(400, 430))):
+        loads.append([(i, 10, "ZF2", 50, {"assignment": i, "material": f"M{i % 7}", "item_description": f"pig {n}"}) for i in at])
+        loads[n] += [(90_000 + i, 10, "ZRE", 1 + i % 9, {"assignment": i, "material": f"M{i % 7}", "item_description": f"pig {n}"}) for i in at[::3]]
+    layers, once = (Layers(spark, str(tmp_path / name), 2) for name in ("parts", "one"))
+    for n, rows in enumerate(loads):
+        assert {r[2] for r in load.refresh(layers, lines(*rows), 1001 + n, 1000 + n if n else None)} == {"done"}
+    expected = {"silver": 40, "returns": 10, "gold": 30, "fact_sales": 30}
+    assert {name: layers.written_rows(name, 1002, (load.BUCKETED | load.STATE)[name]).count() for name in expected} == expected
+    assert layers.can_grow("silver", 1002, layers.every_bucket())
+    monkeypatch.setattr("ledgermill.sources.layers.MOST_PARTS", 2)
+    assert not layers.can_grow("silver", 1002, layers.every_bucket())
+    load.refresh(once, lines(*loads[0], *loads[1]), 1001, None)
+    for at in (layers, once):
+        assert {r[2] for r in load.edit(at, F.col("billing_document") % 10 == 1)} == {"done"}
+    for name in (*load.BUCKETED, "dim_product", "dim_billing_type", "dim_date"):
+        assert table(layers, name, 1003) == table(once, name, 1002), name

@@ -450,6 +450,7 @@ def test_new_lines_are_written_beside_those_there(spark, lines, tmp_path, monkey
         loads.append([(i, 10, "ZF2", 50, {"assignment": i, "material": f"M{i % 7}", "item_description": f"pig {n}"}) for i in at])
         loads[n] += [(90_000 + i, 10, "ZRE", 1 + i % 9, {"assignment": i, "material": f"M{i % 7}", "item_description": f"pig {n}"}) for i in at[::3]]
     layers, once = (Layers(spark, str(tmp_path / name), 2) for name in ("parts", "one"))
+    monkeypatch.setattr("ledgermill.sources.layers.GROW_FROM", 1)
     for n, rows in enumerate(loads):
         assert {r[2] for r in load.refresh(layers, lines(*rows), 1001 + n, 1000 + n if n else None)} == {"done"}
     expected = {"silver": 40, "returns": 10, "gold": 30, "fact_sales": 30}

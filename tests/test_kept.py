@@ -2,10 +2,12 @@ from __future__ import annotations
 
 from pathlib import Path
 
+import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from ledgermill.operators import views
-from ledgermill.plans import kept, load
+from ledgermill.plans import catalogue, kept, load
 from ledgermill.sources.layers import Layers
 
 
@@ -66,6 +68,28 @@ def test_catching_up_opens_changed_buckets_only(spark, lines, tmp_path):
     assert 5 <= figures.quantile <= 60 and len(figures.materials) == 2
 
 
+@pytest.mark.parametrize("name", ["kept_views", "edited_layers"])
+def test_a_failed_edit_is_no_result(spark, lines, monkeypatch, name):
+    """The layers are then those from before the edit, whose figures are not what was asked for."""
+    some = lines(*rows(*range(20)))
+    monkeypatch.setattr(catalogue, "_lines_once", lambda *_: some)
+    monkeypatch.setattr(catalogue.adapter, "billing_lines", lambda *_: some)
+    for edit in ("edit", "edit_batches"):
+        monkeypatch.setattr(load, edit, lambda *_, **__: [("bronze", 1, "done", ""), ("silver", None, "failed", "no room")])
+    with pytest.raises(load.RunFailed, match="no room"):
+        getattr(catalogue, name)(spark, "")
+
+
+def test_loads_that_can_not_be_read_are_no_empty_layers(spark, lines, tmp_path, monkeypatch):
+    layers = Layers(spark, str(tmp_path / "out"), 4)
+    assert layers.latest() is None and not layers.has_buckets("silver", 1001)
+    load.refresh(layers, lines(*rows(1, 2)), 1001, None)
+    monkeypatch.setattr("ledgermill.sources.layers.LOAD_SCHEMA", "version number")
+    for call in (layers.latest, lambda: load.next_version(layers)):
+        with pytest.raises(AnalysisException):
+            call()
+
+
 def test_nothing_sold(spark, lines, tmp_path):
     layers = Layers(spark, str(tmp_path / "out"), 4)
     load.refresh(layers, lines((1, 10, "S1", 5)), 1001, None)
